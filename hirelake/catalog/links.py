@@ -143,7 +143,7 @@ def board_listing_links(spark, sf_dir):
             F.lit(board).alias("source"), F.col("p_partkey").alias("page_no"), F.expr(html).alias("html")
         )
         rows = boards.listing_links(pages, board).select(
-            "source", "page_no", F.col("n_links").cast("int").alias("n_links"), "pos", "url"
+            "source", "page_no", F.col("n_links").cast("int").alias("n_links"), F.col("pos").cast("long").alias("pos"), "url"
         )
         out = rows if out is None else out.unionByName(rows)
     return out

@@ -17,14 +17,21 @@ for attributes, so what crosses back to the JVM stays near the size of those reg
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+import sys
+from collections.abc import Iterable
 from html import unescape
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hirelake.functions import lists
+
+# The UDFs travel whole, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE_TYPE = T.ArrayType(
     T.StructType()
     .add("path", "string")
@@ -36,19 +43,20 @@ _ARROW_NODES = pa.list_(
 )
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<[!?][^>]*>"
-    r"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)"
-    r"(?P<attrs>(?:[^>\"']*+(?:\"[^\"]*\"|'[^']*')?)*+|[^>]*)>",
-    re.S,
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
+    r"|<(script|style|textarea|title)\b([^>]*)>(.*?)(?:</\1\s*>|\Z)"
+    r"|</([A-Za-z][^\s/>]*)[^>]*>"
+    r"|<([A-Za-z][^\s/>]*)([^>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*+)*+|[^>]*)>",
+    re.S | re.I,
 )
+# Groups of _MARKUP by its lastindex: content elements, end tags, start tags.
+_CONTENT, _END, _START = 3, 4, 6
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
 _RESERVED = re.compile(r"[/#.\[\]%]")
 
-# Elements of HTML that have no end tag, whose content is not markup,
-# and that end an open element of the listed kinds.
+# Elements of HTML that have no end tag, whose content is not shown, and
+# that end an open element of the listed kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset(("script", "style", "textarea", "title"))
 UNSEEN = ("script", "style")
 MAX_DEPTH = 256  # beyond it elements are read as siblings, so that paths stay bounded
 BLOCKS = frozenset(
@@ -70,34 +78,6 @@ def _encoded(name: str) -> str:
     return _RESERVED.sub(lambda m: f"%{ord(m[0]):02X}", name)
 
 
-def _events(html: str) -> Iterator[tuple[str, str, str]]:
-    """('text', text, '') / ('open', tag, attributes) / ('close', tag, '') in order."""
-    pos, end = 0, len(html)
-    while pos < end:
-        hit = _MARKUP.search(html, pos)
-        start = hit.start() if hit else end
-        if start > pos:
-            yield "text", unescape(html[pos:start]), ""
-        if not hit:
-            return
-        pos = hit.end()
-        if not hit["tag"]:
-            continue
-        tag = hit["tag"].lower()
-        if hit["close"]:
-            yield "close", tag, ""
-            continue
-        yield "open", tag, hit["attrs"]
-        if tag in RAW:
-            stop = re.compile(rf"</{tag}\s*>", re.I).search(html, pos)
-            raw_end = stop.start() if stop else end
-            if raw_end > pos:
-                raw = html[pos:raw_end]
-                yield "text", raw if tag in UNSEEN else unescape(raw), ""
-            pos = stop.end() if stop else end
-            yield "close", tag, ""
-
-
 def _attributes(source: str) -> dict[str, str]:
     found = {}
     for name, double, single, bare in _ATTR.findall(source):
@@ -105,53 +85,75 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
-def _walk(html: str, regions: tuple, attrs: tuple) -> Iterator[tuple[str, str | None, dict | None]]:
-    """Nodes of one page. The stack holds [tag, path, children so far by tag, inside a region]."""
-    stack = [["", "", {}, not regions]]
-
-    def pop_to(names: set | frozenset, stops: set | frozenset) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth][0] in names:
-                del stack[depth:]
-                return
-            if stack[depth][0] in stops:
-                return
-
-    for kind, value, source in _events(html):
-        if kind == "text":
-            if stack[-1][3]:
-                yield stack[-1][1], value, None
-        elif kind == "close":
-            pop_to({value}, frozenset())
-        else:
-            if value in BLOCKS:
-                pop_to({"p"}, {"button", "table", "td", "th"})
-            if value in ENDS:
-                names, stops = ENDS[value]
-                while any(frame[0] in names for frame in _since(stack, stops)):
-                    pop_to(names, stops)
-            parent = stack[-1]
-            parent[2][value] = parent[2].get(value, 0) + 1
-            parent[2][""] = parent[2].get("", 0) + 1
-            given = _attributes(source) if source.strip() else {}
-            ident, classes = given.get("id", ""), given.get("class", "").split()
-            inside = parent[3] or any(_in_region(r, value, ident, classes) for r in regions)
-            path = f"{parent[1]}/{_encoded(value)}[{parent[2][""]},{parent[2][value]}]"
-            if ident:
-                path += "#" + _encoded(ident)
-            path += "." + "".join(_encoded(c) + "." for c in classes)
-            if inside:
-                yield path, None, {a: given[a] for a in attrs if a in given}
-            if value not in VOID and len(stack) <= MAX_DEPTH:
-                stack.append([value, path, {}, inside])
-
-
-def _since(stack: list, stops: set) -> Iterator[list]:
-    """Open elements from the innermost out to the first stop."""
-    for frame in reversed(stack[1:]):
-        if frame[0] in stops:
-            return
-        yield frame
+def _start_tag(tag: str, source: str, regions: tuple, attrs: tuple) -> tuple[str, str, bool, dict]:
+    """(tag, rest of its path segment, opens a region, wanted attributes)"""
+    tag = tag.lower()
+    given = _attributes(source) if source.strip() else {}
+    ident, classes = given.get("id", ""), given.get("class", "").split()
+    rest = (f"#{_encoded(ident)}" if ident else "") + "." + "".join(f"{_encoded(c)}." for c in classes)
+    opens = any(_in_region(r, tag, ident, classes) for r in regions)
+    return tag, rest, opens, {a: given[a] for a in attrs if a in given}
+
+
+def _close(stack: list, names: set | frozenset, stops: set | frozenset = frozenset()) -> bool:
+    """Close the innermost open element of the names, unless a stop is met first."""
+    for depth in range(len(stack) - 1, 0, -1):
+        tag = stack[depth][0]
+        if tag in names:
+            del stack[depth:]
+            return True
+        if tag in stops:
+            return False
+    return False
+
+
+def _walk(html: str, regions: tuple, attrs: tuple, memo: dict, out: list) -> None:
+    """Append the page's nodes (path, text, attributes) to `out`. The stack holds
+    [tag, path, children, children by tag, inside a region]; `memo` keeps start tags
+    already read, which repeat a lot."""
+    stack = [["", "", 0, {}, not regions]]
+    pos = 0
+
+    def text(value: str) -> None:
+        if stack[-1][4]:
+            out.append((stack[-1][1], value, None))
+
+    for hit in _MARKUP.finditer(html):
+        start = hit.start()
+        if start > pos:
+            text(unescape(html[pos:start]))
+        pos = hit.end()
+        kind = hit.lastindex
+        if kind == _END:
+            _close(stack, {hit[4].lower()})
+            continue
+        if kind is None:
+            continue
+        source = hit.group(5, 6) if kind == _START else hit.group(1, 2)
+        known = memo.get(source)
+        if known is None:
+            if len(memo) > 20_000:
+                memo.clear()
+            known = memo[source] = _start_tag(*source, regions, attrs)
+        tag, rest, opens, given = known
+        if tag in BLOCKS:
+            _close(stack, {"p"}, {"button", "table", "td", "th"})
+        if tag in ENDS:
+            while _close(stack, *ENDS[tag]):
+                pass
+        parent = stack[-1]
+        parent[2] += 1
+        nth = parent[3][tag] = parent[3].get(tag, 0) + 1
+        inside = parent[4] or opens
+        path = f"{parent[1]}/{tag}[{parent[2]},{nth}]{rest}"
+        if inside:
+            out.append((path, None, given))
+            if kind == _CONTENT and hit[3]:
+                out.append((path, hit[3] if tag in UNSEEN else unescape(hit[3]), None))
+        if kind == _START and tag not in VOID and len(stack) <= MAX_DEPTH:
+            stack.append([tag, path, 0, {}, inside])
+    if pos < len(html):
+        text(unescape(html[pos:]))
 
 
 def _in_region(region: tuple, tag: str, ident: str, classes: list[str]) -> bool:
@@ -165,21 +167,22 @@ def _in_region(region: tuple, tag: str, ident: str, classes: list[str]) -> bool:
 
 
 def _to_arrow(pages: Iterable[str | None], regions: tuple, attrs: tuple) -> pa.Array:
-    paths, texts, keys, values = [], [], [], []
-    page_ends, map_ends = [0], [0]
+    nodes: list = []
+    memo: dict = {}
+    page_ends = [0]
     for page in pages:
-        for path, text, given in _walk(page or "", regions, attrs):
-            paths.append(path)
-            texts.append(text)
-            for name, value in (given or {}).items():
-                keys.append(name)
-                values.append(value)
-            map_ends.append(len(keys))
-        page_ends.append(len(paths))
+        _walk(page or "", regions, attrs, memo, nodes)
+        page_ends.append(len(nodes))
+    keys, values, map_ends = [], [], [0]
+    for _, _, given in nodes:
+        if given:
+            keys.extend(given)
+            values.extend(given.values())
+        map_ends.append(len(keys))
     struct = pa.StructArray.from_arrays(
         [
-            pa.array(paths, pa.string()),
-            pa.array(texts, pa.string()),
+            pa.array([n[0] for n in nodes], pa.string()),
+            pa.array([n[1] for n in nodes], pa.string()),
             pa.MapArray.from_arrays(map_ends, pa.array(keys, pa.string()), pa.array(values, pa.string())),
         ],
         fields=list(_ARROW_NODES.value_type),
@@ -207,14 +210,13 @@ def html_text(fragments: pa.Array) -> pa.Array:
     """Plain text of an HTML fragment; script and style content is not text."""
 
     def plain(fragment: str) -> str:
-        out, hidden = [], 0
-        for kind, value, _ in _events(fragment):
-            if kind == "text":
-                if not hidden:
-                    out.append(value)
-            elif value in UNSEEN:
-                hidden = int(kind == "open")
-        return "".join(out)
+        parts, pos = [], 0
+        for hit in _MARKUP.finditer(fragment):
+            parts.append(fragment[pos:hit.start()])
+            if hit.lastindex == _CONTENT and hit[1].lower() not in UNSEEN:
+                parts.append(hit[3])
+            pos = hit.end()
+        return unescape("".join([*parts, fragment[pos:]]))
 
     return pa.array([None if f is None else plain(f) for f in fragments.to_pylist()], pa.string())
 
@@ -332,7 +334,7 @@ def within(nodes: Column, path: Column) -> Column:
 def first_within(nodes: Column, css: str) -> Column:
     """Nodes of the first matching element; null when there is none."""
     path = F.get(elements(nodes, css), F.lit(0))
-    return F.when(path.isNotNull(), within(nodes, path))
+    return lists.let(path, lambda p: F.when(p.isNotNull(), within(nodes, p)))
 
 
 def plain_text(nodes: Column) -> Column:

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelake.functions import text as tx
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` over a value computed once. A lambda would otherwise compute an expression
+    from outside it again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def at(items: Column, index: int) -> Column:
     """Zero-based item; a negative index counts from the end."""
     if index < 0:

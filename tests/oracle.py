@@ -11,6 +11,8 @@ TABLES = (
     " conversations"
 ).split()
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
 
 def database(sf_dir):
     con = duckdb.connect()
@@ -36,6 +38,10 @@ def difference(spark, con, name, fn, sql, sf_dir):
     names = [d[0] for d in rel.description]
     if sorted(names) != cols:
         return f"columns {cols} != {sorted(names)}"
+    kinds = {d[0]: str(d[1]) for d in rel.description}
+    wrong = [f"{c}: {t} vs {kinds[c]}" for c, t in df.dtypes if TYPES.get(t) != kinds[c]]
+    if wrong:
+        return f"types {wrong}"
     order = [names.index(c) for c in cols]
     want = sorted(([plain(row[i]) for i in order] for row in rel.fetchall()), key=repr)
     if got != want:
