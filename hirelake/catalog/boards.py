@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hirelake.catalog.html_shapes import RITEAID_LISTING, detail_pages
-from hirelake.catalog.registry import query, shape, shape_sql, table
+from hirelake.catalog.registry import query, shape, shape_sql, spread_table
 from hirelake.plans import boards, schema
 from hirelake.sources import sinks
 
@@ -108,7 +108,7 @@ def board_mckesson(spark, sf_dir):
 )
 def board_riteaid(spark, sf_dir):
     """Listing cards joined with detail pages; no id in the label or no description: left out."""
-    listings = table(spark, sf_dir, "orders").select(F.expr(RITEAID_LISTING).alias("html"))
+    listings = spread_table(spark, sf_dir, "orders", "o_orderkey").select(F.expr(RITEAID_LISTING).alias("html"))
     postings = boards.riteaid(listings, detail_pages(spark, sf_dir, "riteaid"))
     return _items(postings, "riteaid", *schema.ITEM_FIELDS["riteaid"])
 

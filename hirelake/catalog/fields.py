@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hirelake.catalog.registry import pages as captured_pages
 from hirelake.catalog.registry import query, shape, shape_sql, table
 from hirelake.catalog.sql import quoted
 from hirelake.functions import html as H
@@ -28,7 +29,7 @@ _SHOWN = "regexp_replace(html, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</s
 
 @query(f"select page_id, {_plain('''regexp_extract(html, '<title>([^<]*)</title>', 1)''')} as title from pages")
 def page_title(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", H.element_text(F.col("html"), "title").alias("title"))
+    return captured_pages(spark, sf_dir).select("page_id", H.element_text(F.col("html"), "title").alias("title"))
 
 
 _HEADS = f"""select page_id, {_plain("regexp_extract(html, '<title>([^<]*)</title>', 1)")} as title,
@@ -40,7 +41,7 @@ _HEADS = f"""select page_id, {_plain("regexp_extract(html, '<title>([^<]*)</titl
 def page_heading(spark, sf_dir):
     """Three selectors over one node array."""
     rules = ["title::text", "article > h1::text", "div.ad::text"]
-    nodes = table(spark, sf_dir, "pages").select("page_id", H.html_nodes(F.col("html"), rules).alias("n"))
+    nodes = captured_pages(spark, sf_dir).select("page_id", H.html_nodes(F.col("html"), rules).alias("n"))
     return nodes.select(
         "page_id",
         *[H.select_first(F.col("n"), rule).alias(name) for rule, name in zip(rules, ("title", "heading", "ad"))],
@@ -54,14 +55,14 @@ def page_heading(spark, sf_dir):
 def page_paragraphs(spark, sf_dir):
     rule = "article p::text"
     texts = H.select_all(H.html_nodes(F.col("html"), [rule]), rule)
-    return table(spark, sf_dir, "pages").select("page_id", texts.alias("p")).select(
+    return captured_pages(spark, sf_dir).select("page_id", texts.alias("p")).select(
         "page_id", F.size("p").cast("long").alias("n_paragraphs"), F.array_join("p", "|").alias("paragraphs")
     )
 
 
 @query(f"select page_id, {_plain(f'''regexp_replace({_SHOWN}, '<[^>]*>', '', 'g')''')} as text from pages")
 def page_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", H.html_text(F.col("html")).alias("text"))
+    return captured_pages(spark, sf_dir).select("page_id", H.html_text(F.col("html")).alias("text"))
 
 
 LISTS = shape_sql("text_lists")
@@ -228,9 +229,8 @@ def constants_and_empties(spark, sf_dir):
     from {shape_sql('job_api')} t"""
 )
 def json_jobs(spark, sf_dir):
-    captures = json_api.jobs_per_page(shape(spark, sf_dir, "job_api").select("body"))
     job = F.col("job")
-    return json_api.jobs(captures).select(
+    return json_api.jobs(shape(spark, sf_dir, "job_api").select("body")).select(
         job["slug"].alias("slug"),
         job["title"].alias("title"),
         urls.slug_url(job["slug"], "https://jobs.marriott.com/marriott/jobs/").alias("job_link"),
@@ -251,3 +251,8 @@ def json_jobs(spark, sf_dir):
 def json_nested_links(spark, sf_dir):
     rows = json_api.nested_links(shape(spark, sf_dir, "paging_api"), base="https://mckesson.wd3.myworkdayjobs.com")
     return rows.select("id", "pos", "url")
+
+
+@query(f"select id, cast(1 as bigint) as n_links from {shape_sql('job_api')} t")
+def json_jobs_per_page(spark, sf_dir):
+    return json_api.jobs_per_page(shape(spark, sf_dir, "job_api").select("id", "body")).select("id", "n_links")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hirelake.catalog.links import ORIGIN
-from hirelake.catalog.registry import query, shape, shape_sql, table
+from hirelake.catalog.registry import pages as captured_pages
+from hirelake.catalog.registry import query, shape, shape_sql
 from hirelake.catalog.sql import PAGE_LINKS, absolute_sql, host_sql, normalised_sql, origin_sql
 from hirelake.functions import urls
 from hirelake.operators import frontier, links, paging
+from hirelake.session import written
 
 LISTING = shape_sql("listing_pages")
 PAGE_LIMIT = 100
@@ -17,7 +19,7 @@ ZONE = "regexp_extract({}, '([a-z]+)$', 1)"
 
 def _zoned(spark, sf_dir):
     """Links with their top-level domain as source and their page's link count."""
-    rows = links.page_links(table(spark, sf_dir, "pages"), keep=("page_id", "url"))
+    rows = links.page_links(captured_pages(spark, sf_dir), keep=("page_id", "url"))
     return rows.select(
         F.regexp_extract(urls.host(F.col("url")), "([a-z]+)$", 1).alias("source"),
         F.col("page_id").alias("page_no"),
@@ -63,7 +65,7 @@ def stop_first_empty(spark, sf_dir):
     from (select source, page_no, pos, url, {PAGE_LIMIT} + n_links - pos as priority from {_ZONED_SQL} z) t"""
 )
 def frontier_priority(spark, sf_dir):
-    rows = frontier.detail_requests(_zoned(spark, sf_dir), PAGE_LIMIT)
+    rows = written(frontier.detail_requests(_zoned(spark, sf_dir), PAGE_LIMIT), "requests")
     return frontier.ranked(rows).select("source", "page_no", "pos", "url", "priority", "fetch_rank")
 
 
@@ -73,7 +75,7 @@ def frontier_priority(spark, sf_dir):
     from (select source, page_no, pos, url, page_no - pos as priority from {_ZONED_SQL} z) t"""
 )
 def frontier_priority_by_page(spark, sf_dir):
-    rows = frontier.detail_requests(_zoned(spark, sf_dir), None)
+    rows = written(frontier.detail_requests(_zoned(spark, sf_dir), None), "requests")
     return frontier.ranked(rows).select("source", "page_no", "pos", "url", "priority", "fetch_rank")
 
 
@@ -99,7 +101,7 @@ def listing_priority(spark, sf_dir):
     group by source, url_norm"""
 )
 def frontier_new_urls(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
+    pages = captured_pages(spark, sf_dir)
     found = pages.select(
         F.lit("web").alias("source"), F.col("page_id").alias("page_no"), F.lit(0).alias("pos"), "url"
     )
@@ -130,7 +132,7 @@ _ALLOWED_SQL = " or ".join(f"h = '{d}' or ends_with(h, '.{d}')" for _, d in DOMA
 
 @query(f"select page_id, url from (select page_id, url, {host_sql('url')} as h from pages) t where {_ALLOWED_SQL}")
 def domain_filter(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select(F.lit("web").alias("source"), "page_id", "url")
+    pages = captured_pages(spark, sf_dir).select(F.lit("web").alias("source"), "page_id", "url")
     return frontier.allowed(pages, _domains(spark)).select("page_id", "url")
 
 
@@ -163,13 +165,14 @@ def resume_from_state(spark, sf_dir):
       where rn = 1 and url_norm not in (select {normalised_sql('url')} from pages)) d"""
 )
 def crawl_frontier(spark, sf_dir):
-    """Links, allowed domains, new URLs and fetch order in one job."""
+    """Links, allowed domains, new URLs and fetch order. The links and the new requests are
+    tables, as each is read more than once."""
     zoned = _zoned(spark, sf_dir)
     domains = spark.createDataFrame([("com", "example.com"), ("net", "example.net")], "source string, domain string")
-    captured = table(spark, sf_dir, "pages").select(
+    captured = captured_pages(spark, sf_dir).select(
         F.regexp_extract(urls.host(F.col("url")), "([a-z]+)$", 1).alias("source"),
         urls.normalised(F.col("url")).alias("url_norm"),
     )
-    fresh = frontier.unseen(frontier.allowed(zoned, domains), captured)
-    rows = frontier.ranked(frontier.detail_requests(fresh, PAGE_LIMIT))
+    fresh = frontier.unseen(frontier.allowed(written(zoned, "links"), domains), captured)
+    rows = frontier.ranked(written(frontier.detail_requests(fresh, PAGE_LIMIT), "frontier"))
     return rows.select("source", "url_norm", "page_no", "pos", "priority", "fetch_rank")

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hirelake.catalog.registry import spread_table
+
 
 def monster_listings(orders: DataFrame) -> DataFrame:
     return orders.select(
@@ -119,7 +121,7 @@ def detail_pages(spark, sf_dir: str, board: str) -> DataFrame:
     """Captured detail pages `(source, kind, page_no, url, html, captured_at)` of one board."""
     name, url, html = DETAIL_HTML[board]
     key = {"part": "p_partkey", "orders": "o_orderkey"}[name]
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(
+    return spread_table(spark, sf_dir, name, key).select(
         F.lit(board).alias("source"),
         F.lit("detail").alias("kind"),
         F.col(key).alias("page_no"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hirelake.catalog.registry import pages as captured_pages
 from hirelake.catalog.registry import query, shape, shape_sql, table
 from hirelake.catalog.sql import PAGE_LINKS, host_sql
 from hirelake.functions import urls
@@ -138,7 +139,7 @@ def retry_candidates(spark, sf_dir):
 
 @query(f"select {host_sql('url')} as source, page_id as page_no, count(*) as n_links from {PAGE_LINKS} l group by 1, 2")
 def page_counters(spark, sf_dir):
-    rows = links.page_links(table(spark, sf_dir, "pages"), keep=("page_id", "url")).select(
+    rows = links.page_links(captured_pages(spark, sf_dir), keep=("page_id", "url")).select(
         urls.host(F.col("url")).alias("source"), F.col("page_id").alias("page_no")
     )
     return quality.page_counters(rows)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hirelake.catalog import html_shapes as P
-from hirelake.catalog.registry import query, shape, shape_sql, table
+from hirelake.catalog.registry import pages as captured_pages
+from hirelake.catalog.registry import query, spread_table, shape, shape_sql, table
 from hirelake.catalog.sql import PAGE_LINKS, absolute_sql, host_sql, normalised_sql, origin_sql, quoted
 from hirelake.functions import html as H
 from hirelake.functions import urls
@@ -20,7 +21,7 @@ ORIGIN = "^[A-Za-z]+://[^/?#]+"
 
 def page_frontier(spark, sf_dir):
     """Links of the captured pages as frontier rows; each page stands for a listing page."""
-    rows = links.page_links(table(spark, sf_dir, "pages"), keep=("page_id", "url"))
+    rows = links.page_links(captured_pages(spark, sf_dir), keep=("page_id", "url"))
     return rows.select(
         urls.host(F.col("url")).alias("source"),
         F.col("page_id").alias("page_no"),
@@ -42,18 +43,18 @@ def links_per_host(spark, sf_dir):
 
 @query(f"select page_id, pos, href from {PAGE_LINKS} l")
 def page_links(spark, sf_dir):
-    rows = links.page_links(table(spark, sf_dir, "pages"))
+    rows = links.page_links(captured_pages(spark, sf_dir))
     return rows.select("page_id", F.col("pos").cast("long").alias("pos"), "href")
 
 
 @query(f"select page_id, pos, href from {PAGE_LINKS} l")
 def region_links(spark, sf_dir):
-    return links.region_links(table(spark, sf_dir, "pages"), REGION).withColumn("pos", F.col("pos").cast("long"))
+    return links.region_links(captured_pages(spark, sf_dir), REGION).withColumn("pos", F.col("pos").cast("long"))
 
 
 @query(f"select page_id, pos - 2 as pos, href from {PAGE_LINKS} l where pos >= 2 and pos < 5")
 def link_slice(spark, sf_dir):
-    rows = links.region_links(table(spark, sf_dir, "pages"), REGION, start=2, stop=5)
+    rows = links.region_links(captured_pages(spark, sf_dir), REGION, start=2, stop=5)
     return rows.withColumn("pos", F.col("pos").cast("long"))
 
 
@@ -63,7 +64,7 @@ def link_slice(spark, sf_dir):
       when pos % 3 = 2 then url else href end as h from {PAGE_LINKS} l) t"""
 )
 def absolute_links(spark, sf_dir):
-    rows = links.page_links(table(spark, sf_dir, "pages"), keep=("page_id", "url"))
+    rows = links.page_links(captured_pages(spark, sf_dir), keep=("page_id", "url"))
     href = (
         F.when(F.col("url").like("https:%") & (F.col("pos") % 3 == 1),
                F.concat(F.lit("//"), urls.host(F.col("url")), F.col("href")))
@@ -78,7 +79,7 @@ def absolute_links(spark, sf_dir):
 
 @query(f"select page_id, url, {normalised_sql('url')} as url_norm, {host_sql('url')} as host from pages")
 def normalised_urls(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
+    return captured_pages(spark, sf_dir).select(
         "page_id", "url", urls.normalised(F.col("url")).alias("url_norm"), urls.host(F.col("url")).alias("host")
     )
 
@@ -88,14 +89,14 @@ def normalised_urls(spark, sf_dir):
     left join (select page_id, href from {PAGE_LINKS} l where pos = n_links - 1) l on p.page_id = l.page_id"""
 )
 def next_link(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
+    return captured_pages(spark, sf_dir).select(
         "page_id", links.next_link(H.anchor_hrefs(F.col("html"))).alias("next_href")
     )
 
 
 @query(f"select page_id, count(*) as n_links from {PAGE_LINKS} l group by page_id")
 def link_counts(spark, sf_dir):
-    return links.link_counts(links.page_links(table(spark, sf_dir, "pages")))
+    return links.link_counts(links.page_links(captured_pages(spark, sf_dir)))
 
 
 @query(
@@ -108,14 +109,14 @@ def link_counts(spark, sf_dir):
 )
 def sponsored_filter(spark, sf_dir):
     """Listing pages of two cards, the second sponsored for some."""
-    pages = P.monster_listings(table(spark, sf_dir, "orders"))
+    pages = P.monster_listings(spread_table(spark, sf_dir, "orders", "o_orderkey"))
     rows = boards.listing_links(pages, "monster_sg")
     return rows.select("page_no", F.col("n_links").cast("int").alias("n_links"), "pos", "url")
 
 
 @query("""select o_orderkey as page_no, o_orderkey as total from orders""")
 def listing_totals(spark, sf_dir):
-    pages = P.monster_listings(table(spark, sf_dir, "orders"))
+    pages = P.monster_listings(spread_table(spark, sf_dir, "orders", "o_orderkey"))
     return boards.listing_total(pages, "monster_sg").select("page_no", "total")
 
 
@@ -136,7 +137,7 @@ def listing_totals(spark, sf_dir):
 )
 def board_listing_links(spark, sf_dir):
     """Link rules of five boards over listing pages made from `part`."""
-    part = table(spark, sf_dir, "part")
+    part = spread_table(spark, sf_dir, "part", "p_partkey")
     out = None
     for board, html in P.LISTING_HTML.items():
         pages = part.select(

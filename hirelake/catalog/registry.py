@@ -8,6 +8,7 @@ from string import Formatter
 from pyspark.sql import DataFrame, SparkSession
 
 from hirelake.catalog.shapes import SHAPES
+from hirelake.sources import captures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +30,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The captured pages, shared out over the cores."""
+    return captures.spread(table(spark, sf_dir, "pages"))
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table that pages are written from, shared out before the pages exist."""
+    return captures.spread(table(spark, sf_dir, name), key)
+
+
 def shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table in the form a job reads, made by Spark SQL from the given tables."""
     text = SHAPES[name]

@@ -107,22 +107,24 @@ def _close(stack: list, names: set | frozenset, stops: set | frozenset = frozens
     return False
 
 
-def _walk(html: str, regions: tuple, attrs: tuple, memo: dict, out: list) -> None:
-    """Append the page's nodes (path, text, attributes) to `out`. The stack holds
-    [tag, path, children, children by tag, inside a region]; `memo` keeps start tags
-    already read, which repeat a lot."""
+def _walk(html: str, regions: tuple, attrs: tuple, memo: dict, out: tuple[list, list, list]) -> None:
+    """Append the page's nodes to the three lists of `out`: paths, texts, attributes. The
+    stack holds [tag, path, children, children by tag, inside a region]; `memo` keeps start
+    tags already read, which repeat a lot."""
     stack = [["", "", 0, {}, not regions]]
     pos = 0
+    paths, texts, found = out
 
-    def text(value: str) -> None:
-        if stack[-1][4]:
-            out.append((stack[-1][1], value, None))
+    def add(path: str, text: str | None, given: dict | None = None) -> None:
+        paths.append(path)
+        texts.append(text)
+        found.append(given)
 
     for hit in _MARKUP.finditer(html):
-        start = hit.start()
-        if start > pos:
-            text(unescape(html[pos:start]))
-        pos = hit.end()
+        start, end = hit.span()
+        if start > pos and stack[-1][4]:
+            add(stack[-1][1], unescape(html[pos:start]))
+        pos = end
         kind = hit.lastindex
         if kind == _END:
             _close(stack, {hit[4].lower()})
@@ -147,13 +149,13 @@ def _walk(html: str, regions: tuple, attrs: tuple, memo: dict, out: list) -> Non
         inside = parent[4] or opens
         path = f"{parent[1]}/{tag}[{parent[2]},{nth}]{rest}"
         if inside:
-            out.append((path, None, given))
+            add(path, None, given)
             if kind == _CONTENT and hit[3]:
-                out.append((path, hit[3] if tag in UNSEEN else unescape(hit[3]), None))
+                add(path, hit[3] if tag in UNSEEN else unescape(hit[3]))
         if kind == _START and tag not in VOID and len(stack) <= MAX_DEPTH:
             stack.append([tag, path, 0, {}, inside])
-    if pos < len(html):
-        text(unescape(html[pos:]))
+    if pos < len(html) and stack[-1][4]:
+        add(stack[-1][1], unescape(html[pos:]))
 
 
 def _in_region(region: tuple, tag: str, ident: str, classes: list[str]) -> bool:
@@ -167,22 +169,22 @@ def _in_region(region: tuple, tag: str, ident: str, classes: list[str]) -> bool:
 
 
 def _to_arrow(pages: Iterable[str | None], regions: tuple, attrs: tuple) -> pa.Array:
-    nodes: list = []
+    nodes: tuple[list, list, list] = ([], [], [])
     memo: dict = {}
     page_ends = [0]
     for page in pages:
         _walk(page or "", regions, attrs, memo, nodes)
-        page_ends.append(len(nodes))
+        page_ends.append(len(nodes[0]))
     keys, values, map_ends = [], [], [0]
-    for _, _, given in nodes:
+    for given in nodes[2]:
         if given:
             keys.extend(given)
             values.extend(given.values())
         map_ends.append(len(keys))
     struct = pa.StructArray.from_arrays(
         [
-            pa.array([n[0] for n in nodes], pa.string()),
-            pa.array([n[1] for n in nodes], pa.string()),
+            pa.array(nodes[0], pa.string()),
+            pa.array(nodes[1], pa.string()),
             pa.MapArray.from_arrays(map_ends, pa.array(keys, pa.string()), pa.array(values, pa.string())),
         ],
         fields=list(_ARROW_NODES.value_type),

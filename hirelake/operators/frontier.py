@@ -31,7 +31,8 @@ def ranked(frontier: DataFrame, page_block: int = PAGE_BLOCK, width: int = 64) -
 
     Rows are numbered inside (source, priority, block of pages), which a page limit or a
     page size bounds, and the counts of the groups in front are added. A source with a
-    third of all rows is thus spread over as many tasks as it has groups."""
+    third of all rows is thus spread over as many tasks as it has groups. The frontier is
+    read twice: hand in a table, not a plan that parses pages."""
     blocked = frontier.withColumn("_pages", F.floor(F.col("page_no") / F.lit(page_block)).cast("long"))
     group = ["source", "priority", "_pages"]
     counts = blocked.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).withColumn("_down", -F.col("priority"))
@@ -64,7 +65,8 @@ def allowed(frontier: DataFrame, domains: DataFrame, url: str = "url") -> DataFr
     """URLs on an allowed domain of their source or a sub-domain of one.
 
     Distinct hosts are matched by their suffixes, an equality join; frontier rows then
-    meet the hosts that passed. `domains` holds source and domain."""
+    meet the hosts that passed. `domains` holds source and domain. The frontier is read
+    twice: hand in a table."""
     hosted = frontier.withColumn("_host", urls.host(F.col(url)))
     suffixes = (
         hosted.select("source", "_host").where(F.col("_host").isNotNull()).distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,12 +11,19 @@ from hirelake.functions import html as H
 from hirelake.functions import lists, urls
 
 
+def exploded(df: DataFrame, items: str, keep: Sequence[str], value: str) -> DataFrame:
+    """One row per list item with its place. The outer form, because the inner one makes
+    the optimizer test the list for emptiness further down, and so extract it twice."""
+    rows = df.select(*keep, F.posexplode_outer(items).alias("pos", value))
+    return rows.where(F.col("pos").isNotNull())
+
+
 def page_links(pages: DataFrame, html: str = "html", keep: tuple = ("page_id",)) -> DataFrame:
     """(page, n_links, pos, href) for every anchor of a page. Only the JVM touches the page;
     the count comes with the row, so no later job has to group for it."""
     found = pages.select(*keep, H.anchor_hrefs(F.col(html)).alias("_hrefs"))
-    return found.select(*keep, F.size("_hrefs").cast("long").alias("n_links"),
-                        F.posexplode("_hrefs").alias("pos", "href"))
+    counted = found.select(*keep, F.size("_hrefs").cast("long").alias("n_links"), "_hrefs")
+    return exploded(counted, "_hrefs", [*keep, "n_links"], "href")
 
 
 def region_links(
@@ -24,11 +33,8 @@ def region_links(
     """Links under a region. start/stop keep a slice of each page's links before the rows
     are made."""
     hrefs = H.select_all(H.html_nodes(F.col(html), [selector]), selector)
-    return pages.select(*keep, F.posexplode(lists.window(hrefs, start, stop)).alias("pos", "href"))
-
-
-def sliced(hrefs: Column, start: int, stop: int | None = None) -> Column:
-    return lists.window(hrefs, start, stop)
+    sliced_hrefs = pages.select(*keep, lists.window(hrefs, start, stop).alias("_hrefs"))
+    return exploded(sliced_hrefs, "_hrefs", keep, "href")
 
 
 def absolute(links: DataFrame, base: str | Column, href: str = "href") -> DataFrame:
@@ -44,11 +50,18 @@ def cards(pages: DataFrame, card: str, fields: dict[str, str], html: str = "html
           keep: tuple = ("page_id",)) -> DataFrame:
     """One row per card of a listing page, with the first match of each field's selector
     inside the card."""
-    nodes = H.html_nodes(F.col(html), [card])
+    return card_fields(pages.select(*keep, H.html_nodes(F.col(html), [card]).alias("_nodes")), card, fields, keep)
+
+
+def card_nodes(pages: DataFrame, card: str, keep: tuple) -> DataFrame:
+    """One row per card with the card's own nodes in `card`, from pages with `_nodes`."""
     inside = F.transform(H.elements(F.col("_nodes"), card), lambda p: H.within(F.col("_nodes"), p))
-    exploded = pages.select(*keep, nodes.alias("_nodes")).select(*keep, F.posexplode(inside).alias("pos", "_card"))
-    return exploded.select(
-        *keep, "pos", *[H.select_first(F.col("_card"), sel).alias(name) for name, sel in fields.items()]
+    return exploded(pages.select(*keep, inside.alias("_cards")), "_cards", keep, "card")
+
+
+def card_fields(pages: DataFrame, card: str, fields: dict[str, str], keep: tuple) -> DataFrame:
+    return card_nodes(pages, card, keep).select(
+        *keep, "pos", *[H.select_first(F.col("card"), sel).alias(name) for name, sel in fields.items()]
     )
 
 

@@ -17,6 +17,7 @@ from hirelake.functions import dates, lists, pay, urls
 from hirelake.functions import html as H
 from hirelake.functions import text as tx
 from hirelake.operators import cards as card_ops
+from hirelake.operators import links as link_ops
 from hirelake.plans import schema
 from hirelake.plans.rules import (
     DESCRIPTION_CUTS,
@@ -257,11 +258,10 @@ def riteaid_cards(listings: DataFrame) -> DataFrame:
     """Cards of listing pages: url of the posting, industry, label. The link and its label
     are those of the card's first anchor."""
     rules = LISTING_RULES["riteaid"]
-    n, card = F.col("n"), F.col("card")
-    cards = F.transform(H.elements(n, rules["card"]), lambda path: H.within(n, path))
+    card = F.col("card")
+    pages = listings.select(H.html_nodes(F.col("html"), [rules["card"]]).alias("_nodes"))
     return (
-        listings.select(H.html_nodes(F.col("html"), [rules["card"]]).alias("n"))
-        .select(F.explode(cards).alias("card"))
+        link_ops.card_nodes(pages, rules["card"], ())
         .select(
             H.visible_text(H.first_within(card, rules["industry"])).alias("industry"),
             H.first_element(card, rules["anchor"])["attrs"].alias("a"),
@@ -319,20 +319,21 @@ def listing_links(listings: DataFrame, board: str) -> DataFrame:
     rules = LISTING_RULES[board]
     keep = ("source", "page_no")
     n = F.col("n")
-    if "card" in rules and "link" in rules:
+    if "card" in rules:
         cards = F.transform(H.elements(n, rules["card"]), lambda path: H.within(n, path))
         plain = F.filter(cards, lambda c: F.coalesce(H.select_first(c, rules["sponsored"]), F.lit("")) == "")
         hrefs = F.transform(plain, lambda c: H.select_first(c, rules["link"]))
-        outer = [rules["card"]]
+        outer = rules["card"]
     else:
         hrefs = lists.window(H.select_all(n, rules["links"]), *LINK_SLICES.get(board, (0, None)))
-        outer = [rules["links"]]
-    pages = listings.select(*keep, H.html_nodes(F.col("html"), outer).alias("n")).select(
-        *keep, hrefs.alias("hrefs")
+        outer = rules["links"]
+    pages = (
+        listings.select(*keep, H.html_nodes(F.col("html"), [outer]).alias("n"))
+        .select(*keep, hrefs.alias("_hrefs"))
+        .select(*keep, F.size("_hrefs").alias("n_links"), "_hrefs")
     )
-    return pages.select(
-        *keep, F.size("hrefs").alias("n_links"), F.posexplode("hrefs").alias("pos", "href")
-    ).withColumn("url", urls.absolute(F.col("href"), LINK_BASES[board]))
+    rows = link_ops.exploded(pages, "_hrefs", [*keep, "n_links"], "href")
+    return rows.withColumn("url", urls.absolute(F.col("href"), LINK_BASES[board]))
 
 
 def listing_total(listings: DataFrame, board: str = "monster_sg") -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -38,3 +38,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     return os.path.join(shared_dir(spark), "hirelake", f"{name}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, safe when executors are
+    lost, and read back by column. For results that several later steps read."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -22,6 +22,13 @@ def pages(spark: SparkSession, path: str, schema: T.StructType = CAPTURED_PAGES)
     return spark.read.schema(schema).parquet(path)
 
 
+def spread(pages: DataFrame, key: str = "url") -> DataFrame:
+    """Reading pages costs far more than moving them. Where the files give fewer tasks than
+    the cluster has cores, the table is small: share it out. Larger input stays as it is."""
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages if pages.rdd.getNumPartitions() >= cores else pages.repartition(cores, key)
+
+
 def page_stream(
     spark: SparkSession, path: str, schema: T.StructType = CAPTURED_PAGES, pattern: str | None = None,
     files_per_batch: int = 1000,

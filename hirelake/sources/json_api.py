@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.functions import lists, urls
+from hirelake.operators import links
 
 # Names in the job API's payload, and the five parts of a location in
 # the order they are printed.
@@ -22,16 +23,17 @@ NESTED_LINKS_TYPE = "array<struct<title:struct<commandLink:string>>>"
 
 
 def jobs(captures: DataFrame, body: str = "body") -> DataFrame:
-    """One row per element of `jobs[].data`, in a struct column `job`, with its place `pos`."""
+    """One row per element of `jobs[].data`, in a struct column `job`, with its place `pos`
+    and the number of jobs of its response, `n_links`."""
     keep = [c for c in captures.columns if c != body]
     parsed = F.from_json(F.col(body), JOBS_BODY)["jobs"]
-    return captures.select(*keep, F.posexplode(parsed).alias("pos", "entry")).select(
-        *keep, "pos", F.col("entry.data").alias("job")
-    )
+    bodies = captures.select(*keep, parsed.alias("_jobs")).select(*keep, F.size("_jobs").alias("n_links"), "_jobs")
+    rows = links.exploded(bodies, "_jobs", [*keep, "n_links"], "entry")
+    return rows.select(*keep, "n_links", "pos", F.col("entry.data").alias("job"))
 
 
 def jobs_per_page(captures: DataFrame, body: str = "body") -> DataFrame:
-    """Number of jobs of each response; an empty response counts 0."""
+    """Number of jobs of each response, for the stop rules; an empty response counts 0."""
     parsed = F.from_json(F.col(body), JOBS_BODY)["jobs"]
     return captures.withColumn("n_links", F.coalesce(F.size(parsed), F.lit(0)).cast("long"))
 
@@ -40,7 +42,8 @@ def nested_links(captures: DataFrame, body: str = "body", base: str | None = Non
     """One row per link of a deeply nested pagination payload."""
     keep = [c for c in captures.columns if c != body]
     items = F.try_variant_get(F.try_parse_json(F.col(body)), NESTED_LINKS_PATH, NESTED_LINKS_TYPE)
-    rows = captures.select(*keep, F.posexplode(items["title"]["commandLink"]).alias("pos", "href"))
+    hrefs = captures.select(*keep, items["title"]["commandLink"].alias("_hrefs"))
+    rows = links.exploded(hrefs, "_hrefs", keep, "href")
     return rows if base is None else rows.withColumn("url", urls.absolute(F.col("href"), base))
 
 
