@@ -127,7 +127,7 @@ def detail_routing_lists(spark, sf_dir):
     )
 
 
-_CHAIN = ["[0-9]{5,}", "[A-Z]{3,}", "[^ ]+@[^ ]+", "https?:[^ ]+"]
+_CHAIN = ["[0-9]{5,}", "[A-Z]{3,}", "@[^ ]+", "https?:[^ ]+"]
 
 
 @query(

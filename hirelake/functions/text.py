@@ -92,7 +92,7 @@ def without_ends(text: Column) -> Column:
 
 def icon_text(markup: Column) -> Column:
     """Text after the first inline icon of a list item, one span unwrapped."""
-    tail = F.split_part(markup, F.lit("svg>"), F.lit(2))
+    tail = F.split_part(markup, F.lit("</svg>"), F.lit(2))
     text = stripped(F.split_part(tail, F.lit("</li"), F.lit(1)))
     inner = F.split_part(F.split_part(text, F.lit("span>"), F.lit(2)), F.lit("</"), F.lit(1))
     return F.when(F.contains(text, F.lit("<span>")), stripped(inner)).otherwise(text)
