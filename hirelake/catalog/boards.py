@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.catalog.html_shapes import RITEAID_LISTING, detail_pages
+from hirelake.catalog.html_shapes import DETAIL_HTML, RITEAID_LISTING, detail_pages
 from hirelake.catalog.registry import query, shape, shape_sql, spread_table
-from hirelake.plans import boards, schema
+from hirelake.plans import boards, pipeline, schema
 from hirelake.sources import sinks
 
 AGE = "strftime(timestamp '2021-12-31 10:20:30' - to_days({}), '%Y-%m-%d %H:%M:%S')"
@@ -143,3 +146,24 @@ def all_boards(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.count("job_id").alias("n_ids"), F.count(posted).alias("n_dates"),
         F.min(posted).alias("first_day"),
     )
+
+
+@query(
+    f"""select source, accepted, count(*) as n, count(job_id) as n_ids from (
+    select b as source, true as accepted, case when b = 'careerjet' or (b = 'paypal' and p_partkey % 7 = 0) then null else p_partkey end as job_id
+    from part, (select unnest(['monster_sg', 'careerjet', 'paypal', 'quest', 'lockheed', 'cisco', 'mckesson']) as b) boards
+    union all select 'riteaid', true, o_orderkey from orders where o_orderstatus <> 'P' and o_orderpriority <> '5-LOW'
+    union all select 'marriott', true, id from {shape_sql('job_api')} j) t group by source, accepted"""
+)
+def postings_pipeline(spark, sf_dir):
+    """All captures in one table to all boards' postings, judged and counted."""
+    captured = [detail_pages(spark, sf_dir, board) for board in DETAIL_HTML]
+    listings = spread_table(spark, sf_dir, "orders", "o_orderkey").select(
+        F.lit("riteaid").alias("source"), F.lit("listing").alias("kind"), F.col("o_orderkey").alias("page_no"),
+        F.lit("https://careers.riteaid.com/jobs?page=1").alias("url"), F.expr(RITEAID_LISTING).alias("html"),
+        F.expr("timestamp '2021-12-31 10:20:30'").alias("captured_at"),
+    )
+    pages = reduce(DataFrame.unionByName, [*captured, listings])
+    api = shape(spark, sf_dir, "job_api").select("body", F.expr("timestamp '2021-12-31 10:20:30'").alias("captured_at"))
+    judged = pipeline.judged_postings(pipeline.all_postings(pages, api))
+    return judged.groupBy("source", "accepted").agg(F.count(F.lit(1)).alias("n"), F.count("job_id").alias("n_ids"))

@@ -19,6 +19,7 @@ UNIT_DAYS = {
 # Words that mean the posting is from now, token by token (parity mode).
 NOW_TOKENS = ["just", "today", "minutes", "hours", "hour"]
 
+MAX_DAYS = 100_000
 STAMP = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -26,14 +27,24 @@ def _after_colon(posted: Column) -> Column:
     return F.when(F.contains(posted, F.lit(":")), F.split_part(posted, F.lit(":"), F.lit(2))).otherwise(posted)
 
 
+def _count(digits: Column) -> Column:
+    """The digits as a number; no digits mean one, more than a number holds mean null."""
+    return F.when(digits == "", F.lit(1).cast("bigint")).otherwise(digits.try_cast("bigint"))
+
+
+def _bounded(count: Column, unit: int = 1) -> Column:
+    """Days, null where the text gives no believable age. One such page must not stop a job."""
+    return F.when(count <= MAX_DAYS // max(unit, 1), (count * unit).cast("int"))
+
+
 def age_days(posted: Column) -> Column:
     """Whole days back; null text means posted now, text without a number means one unit."""
     text = F.lower(tx.stripped(_after_colon(posted)))
-    number = F.coalesce(F.regexp_extract(text, "([0-9]+)", 1).try_cast("int"), F.lit(1))
+    number = _count(F.regexp_extract(text, "([0-9]+)", 1))
     days = F.when(text.isNull() | text.rlike(r"\b(just|today)\b"), 0).when(text.rlike(r"\byesterday\b"), 1)
     for unit, size in UNIT_DAYS.items():
-        days = days.when(text.rlike(rf"\b{unit}s?\b"), number * size)
-    return days.otherwise(number)
+        days = days.when(text.rlike(rf"\b{unit}s?\b"), _bounded(number, size))
+    return days.otherwise(_bounded(number))
 
 
 def age_days_parity(posted: Column) -> Column:
@@ -43,12 +54,12 @@ def age_days_parity(posted: Column) -> Column:
     head = F.get(tokens, F.lit(0))
 
     def digits(value: Column) -> Column:
-        return F.coalesce(F.when(value.rlike("^[0-9]+$"), value.try_cast("int")), F.lit(1))
+        return _count(F.regexp_extract(value, "^([0-9]+)$", 1))
 
     return (
         F.when(text.isNull() | F.arrays_overlap(tokens, F.array(*[F.lit(t) for t in NOW_TOKENS])), 0)
-        .when(F.array_contains(tokens, "month"), digits(head) * 30)
-        .otherwise(digits(F.replace(head, F.lit("+"), F.lit(""))))
+        .when(F.array_contains(tokens, "month"), _bounded(digits(head), 30))
+        .otherwise(_bounded(digits(F.replace(head, F.lit("+"), F.lit("")))))
     )
 
 

@@ -31,6 +31,7 @@ from hirelake.plans.rules import (
 from hirelake.sources import json_api
 
 KEEP = ("url", "captured_at")
+OFFSET_STAMP = "yyyy-MM-dd'T'HH:mm:ssZ"
 # Rules that apply inside a detail row, not to the page.
 INNER = {"detail_key", "detail_value"}
 
@@ -247,7 +248,9 @@ def marriott(captures: DataFrame) -> DataFrame:
         experience=pay.experience_range(job["experience_levels"]),
         experience_raw=job["experience_levels"],
         posted_raw=job["create_date"],
-        posted_at=F.try_to_timestamp(job["create_date"]),
+        posted_at=F.coalesce(
+            F.try_to_timestamp(job["create_date"]), F.try_to_timestamp(job["create_date"], F.lit(OFFSET_STAMP))
+        ),
         description=tx.clean(H.html_text(job["description"]), board),
         job_url=urls.slug_url(job["slug"], LINK_BASES[board]),
         apply_url=job["apply_url"],

@@ -18,6 +18,8 @@ def session(app: str = "hirelake", master: str | None = None, **conf: str) -> Sp
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Node arrays are larger than the pages they come from; keep their batches small.
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     )
     if master:
         builder = builder.master(master)

@@ -27,46 +27,51 @@ LISTINGS = {
         50, 50,
     ),
 }
+# Fixed value: the last offset asked for.
 MCKESSON_LAST = 900
 
 
-def numbers(start: Column, stop: Column, step: int) -> Column:
-    """start, start+step, … up to stop; empty when stop lies before start."""
-    return F.when(stop >= start, F.sequence(start, stop, F.lit(step).cast("long"))).otherwise(
-        F.array().cast("array<bigint>")
-    )
+BLOCK = 10_000
 
 
-def listing_requests(ranges: DataFrame, template: str | Column, step: int = 1) -> DataFrame:
-    """`ranges` has one row per crawl with `start` and `stop`; the rows multiply here, so
-    the driver never holds the requests."""
+def listing_requests(ranges: DataFrame, template: str | Column, step: int | Column = 1) -> DataFrame:
+    """One request per number start, start + step, ... up to stop, from one row per crawl
+    with `start` and `stop`. Rows multiply on the executors and in two steps, blocks first,
+    so that neither one list nor one task holds all requests of a large crawl."""
     text = F.lit(template) if isinstance(template, str) else template
+    by = (F.lit(step) if isinstance(step, int) else step).cast("long")
     keep = [c for c in ranges.columns if c not in ("start", "stop")]
-    expanded = ranges.select(
-        *keep, text.alias("_template"),
-        F.posexplode(numbers(F.col("start").cast("long"), F.col("stop").cast("long"), step)).alias("_i", "number"),
+    counted = (
+        ranges.where(F.col("stop") >= F.col("start"))
+        .withColumn("_template", text)
+        .withColumn("_step", by)
+        .withColumn("_n", F.floor((F.col("stop") - F.col("start")) / F.col("_step")).cast("long") + 1)
     )
-    return expanded.select(
-        *keep,
-        (F.col("_i") + 1).cast("long").alias("page_no"),
-        "number",
-        F.replace("_template", F.lit("{}"), F.col("number").cast("string")).alias("url"),
+    block = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(BLOCK).cast("long"))
+    blocks = counted.withColumn("_first", F.explode(block)).repartition("_first")
+    last = F.least(F.col("_first") + BLOCK, F.col("_n")) - 1
+    return (
+        blocks.withColumn("_i", F.explode(F.sequence("_first", last)))
+        .withColumn("page_no", F.col("_i") + 1)
+        .withColumn("number", (F.col("start") + F.col("_i") * F.col("_step")).cast("long"))
+        .withColumn("url", F.replace("_template", F.lit("{}"), F.col("number").cast("string")))
+        .select(*keep, "page_no", "number", "url")
     )
 
 
 def board_requests(ranges: DataFrame) -> DataFrame:
     """Requests for rows `(source, last_page)`, each board paged its own way."""
     rows = [
-        F.struct(F.lit(name).alias("source"), F.lit(t).alias("template"), F.lit(a).cast("long").alias("first"),
-                 F.lit(s).cast("long").alias("step"))
-        for name, (t, a, s) in LISTINGS.items()
+        F.struct(F.lit(name).alias("source"), F.lit(template).alias("template"),
+                 F.lit(first).cast("long").alias("first"), F.lit(step).cast("long").alias("step"))
+        for name, (template, first, step) in LISTINGS.items()
     ]
     paging = F.try_element_at(F.filter(F.array(*rows), lambda r: r["source"] == F.col("source")), F.lit(1))
-    return (
-        ranges.withColumn("_p", paging)
-        .where(F.col("_p").isNotNull() & (F.col("last_page") >= 1))
-        .select("source", "_p", F.explode(F.sequence(F.lit(1).cast("long"), F.col("last_page").cast("long"))).alias("page_no"))
-        .withColumn("number", F.col("_p.first") + (F.col("page_no") - 1) * F.col("_p.step"))
-        .select("source", "page_no", "number",
-                F.replace(F.col("_p.template"), F.lit("{}"), F.col("number").cast("string")).alias("url"))
+    known = (
+        ranges.select("source", "last_page", paging.alias("_p"))
+        .where(F.col("_p").isNotNull())
+        .withColumn("start", F.col("_p.first"))
+        .withColumn("stop", F.col("_p.first") + (F.col("last_page") - 1) * F.col("_p.step"))
     )
+    made = listing_requests(known, F.col("_p.template"), F.col("_p.step"))
+    return made.select("source", "page_no", "number", "url")

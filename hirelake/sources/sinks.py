@@ -46,10 +46,13 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFram
 
 def write_postings(df: DataFrame, path: str, by: Sequence[str] = ("source",), mode: str = "append",
                    max_records: int = 5_000_000) -> None:
-    """Partitioned Parquet. Rows are written where they are, with no shuffle on `by`:
-    one board may hold a third of all rows, and a shuffle on it would make one task
-    write them all. File size is bounded by `max_records`."""
-    df.write.mode(mode).option("maxRecordsPerFile", max_records).partitionBy(*by).parquet(path)
+    """Partitioned Parquet in files of even size. The rebalance gathers each partition's
+    rows and lets adaptive execution split those of a large board and merge those of small
+    ones, so neither one task nor a million small files come of it."""
+    (
+        df.hint("rebalance", *by).write.mode(mode).option("maxRecordsPerFile", max_records)
+        .partitionBy(*by).parquet(path)
+    )
 
 
 def split_write(df: DataFrame, path: str, mode: str = "append") -> None:

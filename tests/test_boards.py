@@ -72,3 +72,21 @@ def test_mckesson_short_list(spark):
 def test_paypal_unescapes_twice(spark):
     html = '<div id="jdp-job-description-section"><div><b>a</b><b>b</b><p>&lt;i&gt;R &amp;amp; D&lt;/i&gt;</p><b>x</b><b>y</b><b>z</b></div></div>'
     assert boards.paypal(page(spark, html)).first().description == "R & D"
+
+
+def test_pipeline_joins_all_boards(spark):
+    from pyspark.sql import functions as F
+
+    from hirelake.plans import pipeline
+
+    pages = [("paypal", "detail", 1, "u1", '<h1 id="jdp-title-job-title">T</h1>', NOW),
+             ("quest", "detail", 1, "u2", "<p>nothing</p>", NOW),
+             ("paypal", "listing", 1, "u3", "<p>list</p>", NOW)]
+    df = spark.createDataFrame(pages, "source string, kind string, page_no long, url string, html string, captured_at timestamp")
+    api = spark.createDataFrame([('{"jobs":[{"data":{"slug":"7","title":"M","create_date":"2021-01-11T08:00:00+0000"}}]}', NOW)],
+                                "body string, captured_at timestamp")
+    got = pipeline.judged_postings(pipeline.all_postings(df, api))
+    rows = {r.source: r for r in got.collect()}
+    assert {s: r.accepted for s, r in rows.items()} == {"paypal": True, "quest": False, "marriott": True}
+    assert rows["quest"].missing == ["title"] and rows["marriott"].posted_at == dt.datetime(2021, 1, 11, 8)
+    assert got.where(F.col("source") == "paypal").count() == 1

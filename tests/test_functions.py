@@ -36,6 +36,14 @@ def test_age_days_parity(spark):
     assert one(spark, list(want), dates.age_days_parity) == list(want.values())
 
 
+def test_unbelievable_ages_are_null(spark):
+    values = ["99999999999999999999 days ago", "2000000000 days ago", "999999 years ago", "100000 days ago"]
+    assert one(spark, values, dates.age_days) == [None, None, None, 100000]
+    assert one(spark, values, dates.age_days_parity) == [None, None, None, 100000]
+    at = one(spark, values[:3], lambda c: dates.posted_at(c, F.lit(NOW)))
+    assert at == [None, None, None]
+
+
 def test_posted_at_moves_with_as_of(spark):
     df = spark.createDataFrame([(NOW, "2 days ago"), (NOW + dt.timedelta(days=1), "2 days ago")], "a timestamp, p string")
     got = [r[0] for r in df.select(dates.posted_at(F.col("p"), F.col("a"))).collect()]

@@ -103,6 +103,9 @@ def test_requests(spark):
     df = spark.createDataFrame([("a", 0, 49), ("b", 5, 4)], "source string, start long, stop long")
     got = requests.listing_requests(df, "u?o={}", 25)
     assert rows(got, "source", "page_no", "number", "url") == [("a", 1, 0, "u?o=0"), ("a", 2, 25, "u?o=25")]
+    big = spark.createDataFrame([("a", 1, 25_000)], "source string, start long, stop long")
+    many = requests.listing_requests(big, "{}")
+    assert (many.count(), many.select("url").distinct().count()) == (25_000, 25_000)
     boards = requests.board_requests(spark.createDataFrame([("cisco", 2), ("x", 3)], "source string, last_page long"))
     assert [r.number for r in boards.orderBy("page_no").collect()] == [0, 25]
 
@@ -191,6 +194,12 @@ def test_json_bodies(spark):
     assert rows(json_api.nested_links(df, base="https://m.com"), "start", "url") == [(0, "https://m.com/j/1")]
 
 
+def test_json_lines(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"jobs":[{"data":{"slug":"1"}}]}\n{"jobs":[]}\n')
+    got = json_api.jobs(captures.json_lines(spark, str(tmp_path)))
+    assert rows(got, "job.slug") == [("1",)]
+
+
 def test_spread_only_small_tables(spark):
     small = spark.range(10).repartition(1)
     large = spark.range(10).repartition(64)

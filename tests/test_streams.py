@@ -75,3 +75,12 @@ def test_running_counts(spark, folder):
     assert counts() == [("paypal", 4)]
     add([capture(i) for i in range(4, 7)])
     assert counts() == [("paypal", 7)]
+
+
+def test_progress_counter(spark, folder):
+    path, add, out = folder
+    add([capture(i) for i in range(5)])
+    stream = incremental.progress_counter(captures.page_stream(spark, path)).select("source", "url")
+    query = incremental.start(stream, f"{out}/rows", f"{out}/ckpt")
+    query.awaitTermination()
+    assert sum(p.observedMetrics["responses"]["responses"] for p in query.recentProgress if p.observedMetrics) == 5
