@@ -68,9 +68,12 @@ def monster_sg(pages: DataFrame) -> DataFrame:
     n = F.col("n")
     details = F.transform(
         H.elements(n, rules["detail"]),
-        lambda path: F.struct(
-            H.select_first(H.within(n, path), rules["detail_key"]).alias("key"),
-            H.select_all(H.within(n, path), rules["detail_value"]).alias("value"),
+        lambda path: lists.let(
+            H.within(n, path),
+            lambda row: F.struct(
+                H.select_first(row, rules["detail_key"]).alias("key"),
+                H.select_all(row, rules["detail_value"]).alias("value"),
+            ),
         ),
     )
     df = _nodes(pages, rules).withColumn("details", details)
