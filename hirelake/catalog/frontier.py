@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hirelake.catalog.html_shapes import LISTING_HTML
 from hirelake.catalog.links import ORIGIN
 from hirelake.catalog.registry import pages as captured_pages
-from hirelake.catalog.registry import query, shape, shape_sql
+from hirelake.catalog.registry import query, shape, shape_sql, spread_table
 from hirelake.catalog.sql import PAGE_LINKS, absolute_sql, host_sql, normalised_sql, origin_sql
 from hirelake.functions import urls
 from hirelake.operators import frontier, links, paging
+from hirelake.plans import crawl
 from hirelake.session import written
 
 LISTING = shape_sql("listing_pages")
@@ -176,3 +178,19 @@ def crawl_frontier(spark, sf_dir):
     fresh = frontier.unseen(frontier.allowed(written(zoned, "links"), domains), captured)
     rows = frontier.ranked(written(frontier.detail_requests(fresh, PAGE_LIMIT), "frontier"))
     return rows.select("source", "url_norm", "page_no", "pos", "priority", "fetch_rank")
+
+
+@query(
+    """select 'quest' as source, 'https://careers.questdiagnostics.com/en-US/job/' || p_partkey as url, p_partkey as page_no,
+    0 as pos, p_partkey as priority, row_number() over (order by p_partkey desc) as fetch_rank
+    from (select p_partkey, row_number() over (order by p_partkey) as rn from part) t where rn <= 10000"""
+)
+def board_frontier(spark, sf_dir):
+    """Listing pages of one board, made from `part`, to its ranked detail requests; the
+    board ends its listing at a number of links."""
+    listings = spread_table(spark, sf_dir, "part", "p_partkey").select(
+        F.lit("quest").alias("source"), F.col("p_partkey").alias("page_no"), F.expr(LISTING_HTML["quest"]).alias("html")
+    )
+    none = spark.createDataFrame([], "source string, url_norm string")
+    ranked = crawl.detail_frontier(listings, none, "quest")
+    return ranked.select("source", "url", "page_no", "pos", "priority", "fetch_rank")

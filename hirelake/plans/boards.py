@@ -319,29 +319,37 @@ BOARDS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def listing_links(listings: DataFrame, board: str) -> DataFrame:
-    """Detail links of listing pages `(source, page_no, html)`: position, href, absolute url
-    and the number of links of the page."""
+def listing_pages(listings: DataFrame, board: str) -> DataFrame:
+    """`(source, page_no, n_links, hrefs)` of listing pages; a page without links counts 0."""
     rules = LISTING_RULES[board]
-    keep = ("source", "page_no")
     n = F.col("n")
     if "card" in rules:
         cards = F.transform(H.elements(n, rules["card"]), lambda path: H.within(n, path))
-        plain = F.filter(cards, lambda c: F.coalesce(H.select_first(c, rules["sponsored"]), F.lit("")) == "")
-        hrefs = F.transform(plain, lambda c: H.select_first(c, rules["link"]))
+        if "sponsored" in rules:
+            cards = F.filter(cards, lambda c: F.coalesce(H.select_first(c, rules["sponsored"]), F.lit("")) == "")
+        hrefs = F.array_compact(F.transform(cards, lambda c: H.select_first(c, rules["link"])))
         outer = rules["card"]
     else:
         hrefs = lists.window(H.select_all(n, rules["links"]), *LINK_SLICES.get(board, (0, None)))
         outer = rules["links"]
-    pages = (
-        listings.select(*keep, H.html_nodes(F.col("html"), [outer]).alias("n"))
-        .select(*keep, hrefs.alias("_hrefs"))
-        .select(*keep, F.size("_hrefs").alias("n_links"), "_hrefs")
+    return (
+        listings.select("source", "page_no", H.html_nodes(F.col("html"), [outer]).alias("n"))
+        .select("source", "page_no", hrefs.alias("hrefs"))
+        .select("source", "page_no", F.size("hrefs").cast("long").alias("n_links"), "hrefs")
     )
-    rows = link_ops.exploded(pages, "_hrefs", [*keep, "n_links"], "href")
+
+
+def page_links(pages: DataFrame, board: str) -> DataFrame:
+    """One row per link of listing_pages: position, href, absolute url."""
+    rows = link_ops.exploded(pages, "hrefs", ["source", "page_no", "n_links"], "href")
     return rows.withColumn("url", urls.absolute(F.col("href"), LINK_BASES[board]))
 
 
+def listing_links(listings: DataFrame, board: str) -> DataFrame:
+    """Detail links of listing pages `(source, page_no, html)`."""
+    return page_links(listing_pages(listings, board), board)
+
+
 def listing_total(listings: DataFrame, board: str = "monster_sg") -> DataFrame:
     """The total a listing page's heading gives."""
     rule = LISTING_RULES[board]["total"]

@@ -27,8 +27,6 @@ LISTINGS = {
         50, 50,
     ),
 }
-# Fixed value: the last offset asked for.
-MCKESSON_LAST = 900
 
 
 BLOCK = 10_000

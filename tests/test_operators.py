@@ -205,3 +205,35 @@ def test_spread_only_small_tables(spark):
     large = spark.range(10).repartition(64)
     assert captures.spread(small, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert captures.spread(large, "id").rdd.getNumPartitions() == 64
+
+
+def test_detail_frontier_stops_where_the_board_does(spark):
+    from hirelake.plans import boards, crawl
+
+    card = '<mat-expansion-panel class="mat-expansion-panel"><a href="/jobs/{}" aria-label="T">x</a></mat-expansion-panel>'
+    page = '<div class="job-results-container"><search-job-cards><mat-accordion>{}</mat-accordion></search-job-cards></div>'
+    data = [("riteaid", p, page.format("".join(card.format(i) for i in ids))) for p, ids in
+            [(1, [1, 2]), (2, [2, 3]), (3, []), (4, [9])]]
+    df = spark.createDataFrame(data, "source string, page_no long, html string")
+    seen = spark.createDataFrame([("riteaid", "https://careers.riteaid.com/jobs/1")], "source string, url_norm string")
+    got = crawl.detail_frontier(df, seen, "riteaid")
+    assert rows(got, "fetch_rank", "page_no", "pos", "url") == [
+        (1, 2, 1, "https://careers.riteaid.com/jobs/3"), (2, 1, 1, "https://careers.riteaid.com/jobs/2")]
+    counts = boards.listing_pages(df, "riteaid")
+    assert rows(crawl.next_listing(counts, "riteaid"), "source", "page_no", "jobs_fetched") == [("riteaid", 3, 4)]
+
+
+def test_next_listing_keeps_to_limits(spark):
+    from hirelake.plans import crawl
+
+    df = spark.createDataFrame([("m", p, 5) for p in range(1, 21)], "source string, page_no long, n_links long")
+    assert crawl.next_listing(df, "monster_sg").count() == 0
+    assert rows(crawl.next_listing(df, "paypal"), "page_no", "jobs_fetched") == [(21, 100)]
+
+
+def test_retries_by_kind_of_request(spark):
+    from hirelake.plans import crawl
+
+    log = spark.createDataFrame([("u", i, i, "http") for i in range(7)], "url string, ts long, event_id long, failure string")
+    assert crawl.retries(log, "listing").count() == 0
+    assert rows(crawl.retries(log, "detail"), "url", "attempts") == [("u", 7)]
