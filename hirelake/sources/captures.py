@@ -24,7 +24,8 @@ def pages(spark: SparkSession, path: str, schema: T.StructType = CAPTURED_PAGES)
 
 def spread(pages: DataFrame, key: str = "url") -> DataFrame:
     """Reading pages costs far more than moving them. Where the files give fewer tasks than
-    the cluster has cores, the table is small: share it out. Larger input stays as it is."""
+    the cluster has cores, the table is small: share it out. Larger input stays as it is.
+    `pages` is a scan with narrow steps; asking for its tasks plans it but runs nothing."""
     cores = pages.sparkSession.sparkContext.defaultParallelism
     return pages if pages.rdd.getNumPartitions() >= cores else pages.repartition(cores, key)
 
