@@ -4,9 +4,10 @@ import pytest
 from oracle import database, difference
 
 import __spark_entry__ as entry_points
+from hirelake import catalog
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,10 @@ def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 
