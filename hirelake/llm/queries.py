@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import importlib.util
+import os
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import pii, quality
+from hirelake.llm import chat, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """The vocabulary file of a public tokenizer; TOKENIZER_DIR names another folder."""
+    own = os.environ.get("TOKENIZER_DIR")
+    if own is None:
+        own = os.path.dirname(importlib.util.find_spec("public_tokenizers").origin)
+    return os.path.join(own, name)
+
+
 def _span_list(spans, kinds):
     """kind:start:end, comma-joined."""
     names = F.array(*(F.lit(k) for k in kinds))
@@ -30,6 +43,50 @@ def _span_list(spans, kinds):
     )
 
 
+def _chat_digests(path: str, template: chat.Template):
+    kind = pa.struct([
+        ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
+        ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()),
+    ])
+
+    def digests(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        own = chat.Formatter(path, template)
+        for formatted, starts, ends, loss in batches:
+            out = []
+            for i, text in enumerate(formatted.to_pylist()):
+                turns = own.parse(text)
+                arrays = (np.array(x[i].values.to_numpy(zero_copy_only=False)) for x in (starts, ends, loss))
+                learnt = "".join(own.masked(text, *arrays))
+                out.append({
+                    "n_turns": len(turns),
+                    "turns_sha256": hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(),
+                    "loss_chars": len(learnt),
+                    "loss_sha256": hashlib.sha256(learnt.encode()).hexdigest(),
+                    "formatted_chars": len(text),
+                })
+            yield pa.array(out, kind)
+
+    return digests
+
+
+@query
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, and read back from what was made."""
+    path, template = tokenizer_file("byte_bpe_50k.json"), chat.Template()
+    tricky = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(tricky).alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    digests = F.arrow_udf(
+        _chat_digests(path, template),
+        "struct<n_turns:long,turns_sha256:string,loss_chars:long,loss_sha256:string,formatted_chars:long>",
+    )
+    made = chat.format_conversations(turns, path, template)
+    return made.select("conv_id", digests("formatted", "starts", "ends", "loss").alias("d")).select("conv_id", "d.*")
+
+
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, and the terms that give it away."""
@@ -52,3 +109,17 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, carry=["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.col("spans")
+    count = lambda k: F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
+    return secrets.find(docs, carry=["doc_id"]).select(
+        "doc_id",
+        *(count(k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS[:3])),
+        F.sha2(_span_list(F.filter(spans, lambda s: s["kind"] < 3), secrets.KINDS), 256).alias("base_sha256"),
+        _span_list(spans, secrets.KINDS).alias("spans"),
+    )
