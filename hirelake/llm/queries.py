@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import chat, pii, quality, secrets
+from hirelake.llm import bpe, chat, pii, quality, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,6 +87,15 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("conv_id", digests("formatted", "starts", "ends", "loss").alias("d")).select("conv_id", "d.*")
 
 
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.cluster(docs, carry=["doc_id"]).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, and the terms that give it away."""
@@ -102,6 +111,33 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _id_digests(width: int):
+    def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        names = [str(i) for i in range(1 << 16)]
+        for ids in batches:
+            out = []
+            for value in ids.to_pylist():
+                numbers = np.frombuffer(value or b"", dtype=f"<u{width}").tolist()
+                text = " ".join(map(names.__getitem__, numbers) if width == 2 else map(str, numbers))
+                out.append({"n_tokens": len(numbers), "ids_sha256": hashlib.sha256(text.encode()).hexdigest()})
+            yield pa.array(out, pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string())]))
+
+    return digests
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    path = tokenizer_file("word_bpe_49k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    digests = F.arrow_udf(_id_digests(bpe.id_bytes(path)), "struct<n_tokens:long,ids_sha256:string>")
+    return (
+        bpe.encode(docs, path, carry=["doc_id"])
+        .select("doc_id", digests("ids").alias("d"), F.sha2(bpe.decoded("ids", path), 256).alias("decoded_sha256"))
+        .select("doc_id", "d.*", "decoded_sha256")
+    )
+
+
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality statistics and verdict of every document."""
