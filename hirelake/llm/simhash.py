@@ -59,7 +59,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     for at in range(0, len(starts), COUNTED):
         pairs = zip(starts[at : at + COUNTED].tolist(), ends[at : at + COUNTED].tolist())
         hashes = np.array([digest(whole[s:e], SEED) for s, e in pairs], dtype=np.uint64)
-        set_bits += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0)
+        set_bits += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return sum(1 << b for b in np.flatnonzero(2 * set_bits > len(starts)).tolist())
 
 
