@@ -159,11 +159,11 @@ def _cumulated(bins: DataFrame, sums: list[str], at: Column) -> DataFrame:
 
 
 def _medians(rows: DataFrame) -> DataFrame:
-    """The lower median of each axis, from counts per distinct value."""
+    """The lower median of each axis to a hundredth, from counts per bin."""
     out = None
     for k in range(AXES):
-        counts = rows.groupBy("_group", F.col(f"_x{k}").alias("_bin")).agg(F.count("*").alias("_n"))
-        one = _cumulated(counts, ["_n"], F.lit(0.5)).select("_group", F.col("_bin").cast("double").alias(f"_m{k}"))
+        counts = rows.groupBy("_group", F.floor(F.col(f"_x{k}") / 100).alias("_bin")).agg(F.count("*").alias("_n"))
+        one = _cumulated(counts, ["_n"], F.lit(0.5)).select("_group", (F.col("_bin") * 100.0 + 50).alias(f"_m{k}"))
         out = one if out is None else out.join(one, "_group")
     return out
 
