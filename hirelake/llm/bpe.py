@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.columns import packed, unpacked
+from hirelake.llm.columns import bit_table, packed, unpacked
 from hirelake.llm.rolling import Rolling
 from hirelake.session import written
 
@@ -246,17 +246,9 @@ def _joined(parts_: pa.Array) -> pa.Array:
 
 
 def repeated_chunks(rows: DataFrame) -> np.ndarray:
-    """The table of slots of chunk hashes that occur twice or more. At most TABLE_BITS / 64
-    rows come to the driver, whatever the corpus."""
+    """The table of slots of chunk hashes that occur twice or more."""
     counts = rows.select("text").mapInArrow(_count_chunks, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-    slot = F.pmod(F.col("hash").cast("decimal(20,0)"), F.lit(TABLE_BITS)).cast("long")
-    words = (
-        counts.where("n >= 2").select(slot.alias("slot"))
-        .groupBy(F.floor(F.col("slot") / 64).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
-    ).toPandas()
-    table = np.zeros(TABLE_BITS // 64, dtype=np.int64)
-    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
+    return bit_table(counts.where("n >= 2"), "hash", TABLE_BITS)
 
 
 def encode(docs: DataFrame, tokenizer: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +33,16 @@ def unpacked(df: DataFrame, carry: list[str], *added: Column | str) -> DataFrame
     new = [F.col(c) if isinstance(c, str) else c for c in added]
     taken = {n.lower() for n in df.select(*new).columns}
     return df.select(*(F.col("_in")[c].alias(c) for c in carry if c.lower() not in taken), *new)
+
+
+def bit_table(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A table of `bits` (a power of two) truth values, true where some hash has that remainder.
+    At most bits / 64 rows come to the driver, whatever the number of hashes."""
+    slot = F.col(column).bitwiseAND(F.lit(bits - 1).cast("long"))
+    words = (
+        hashes.select(slot.alias("slot")).groupBy(F.floor(F.col("slot") / 64).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
+    ).toPandas()
+    table = np.zeros(bits // 64, dtype=np.int64)
+    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import bpe, chat, pii, quality, secrets, simhash
+from hirelake.llm import bpe, chat, decontam, pii, quality, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -159,3 +159,13 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_span_list(F.filter(spans, lambda s: s["kind"] < 3), secrets.KINDS), 256).alias("base_sha256"),
         _span_list(spans, secrets.KINDS).alias("spans"),
     )
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return decontam.check(docs, items, carry=["doc_id"]).select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
