@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import bpe, chat, decontam, pii, quality, secrets, simhash
+from hirelake.llm import bpe, chat, decontam, lines, pii, quality, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -169,3 +169,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.check(docs, items, carry=["doc_id"]).select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
     )
+
+
+@query
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand earlier, within one edit."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedupe(docs, carry=["doc_id"]).select(
+        "doc_id", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256")
+    )

@@ -150,3 +150,44 @@ def chat(turns):
     both = "".join(f"{r or ''}\n{t or ''}\n" for r, t in turns)
     loss = "".join(t or "" for r, t in turns if r == "assistant")
     return sha(both), len(loss), sha(loss)
+
+
+def within_one_edit(a, b):
+    if abs(len(a) - len(b)) > 1:
+        return False
+    p = 0
+    while p < min(len(a), len(b)) and a[p] == b[p]:
+        p += 1
+    s = 0
+    while s < min(len(a), len(b)) - p and a[-1 - s] == b[-1 - s]:
+        s += 1
+    return max(len(a), len(b)) - p - s <= 1
+
+
+def lines(rows, min_chars=20):
+    """(doc_id, n_removed, kept text) of (doc_id, text) rows."""
+    places, plain = {}, lambda x: " ".join(x.lower().split())
+    tie = lambda t: int.from_bytes(hashlib.sha256((t or "").encode()).digest()[:8], "big", signed=True)
+    for doc, text in rows:
+        for i, line in enumerate(text.split("\n") if text else ()):
+            if len(plain(line)) >= min_chars:
+                at = (doc is None, doc or 0, tie(text), i)
+                places[plain(line)] = min(places.get(plain(line), at), at)
+    by_size = {}
+    for x in places:
+        by_size.setdefault(len(x), []).append(x)
+    best = {
+        x: min([places[x]] + [places[y] for n in (-1, 0, 1) for y in by_size.get(len(x) + n, ()) if within_one_edit(x, y)])
+        for x in places
+    }
+    out = []
+    for doc, text in rows:
+        kept, gone = [], 0
+        for i, line in enumerate(text.split("\n") if text else ()):
+            at = (doc is None, doc or 0, tie(text), i)
+            if plain(line) in best and best[plain(line)] < at and len(line) >= min_chars:
+                gone += 1
+            else:
+                kept.append(line)
+        out.append((doc, gone, "\n".join(kept)))
+    return out
