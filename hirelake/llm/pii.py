@@ -167,11 +167,11 @@ def _scored(found: DataFrame, docs: DataFrame, text: str, limits: Limits) -> Dat
         F.explode(F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "[^\\p{L}]+"))).alias("term")
     ).where(F.length("term") >= limits.min_letters)
     with_term = said.join(candidates, "term", "left_semi").groupBy("term").agg(F.count("*").alias("with_term"))
-    total = docs.agg(F.count("*").alias("total"))
-    share = F.log2(F.col("both") * F.col("total") / (F.col("with_entity") * F.col("with_term")))
-    whole = F.log2(F.col("total") / F.col("with_entity"))
+    total = docs.agg(F.count("*").alias("total")).scalar()
+    share = F.log2(F.col("both") * total / (F.col("with_entity") * F.col("with_term")))
+    whole = F.log2(total / F.col("with_entity"))
     return (
-        pairs.join(entities, "entity").join(with_term, "term").join(F.broadcast(total))
+        pairs.join(entities, "entity").join(with_term, "term")
         .withColumn("disclosed", F.when(whole > 0, share / whole).otherwise(F.lit(0.0)))
         .where(F.col("disclosed") >= limits.generalise_at)
         .select("entity", "term", "disclosed")
