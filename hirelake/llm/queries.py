@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import bpe, chat, decontam, lines, pii, quality, secrets, simhash
+from hirelake.llm import bpe, chat, decontam, lines, pii, quality, secrets, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,6 +111,15 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that start in an earlier one."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.dedupe(docs, carry=["doc_id"]).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def _id_digests(width: int):
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names = [str(i) for i in range(1 << 16)]
