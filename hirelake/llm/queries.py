@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import importlib.util
-import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hirelake.llm import bpe, chat, decontam, lines, pii, quality, secrets, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,14 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_file(name: str) -> str:
-    """The vocabulary file of a public tokenizer; TOKENIZER_DIR names another folder."""
-    own = os.environ.get("TOKENIZER_DIR")
-    if own is None:
-        own = os.path.dirname(importlib.util.find_spec("public_tokenizers").origin)
-    return os.path.join(own, name)
-
-
 def _span_list(spans, kinds):
     """kind:start:end, comma-joined."""
     names = F.array(*(F.lit(k) for k in kinds))
@@ -72,7 +63,7 @@ def _chat_digests(path: str, template: chat.Template):
 @query
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations formatted, and read back from what was made."""
-    path, template = tokenizer_file("byte_bpe_50k.json"), chat.Template()
+    path, template = bpe.tokenizer_file("byte_bpe_50k.json"), chat.Template()
     tricky = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -137,7 +128,7 @@ def _id_digests(width: int):
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
-    path = tokenizer_file("word_bpe_49k.json")
+    path = bpe.tokenizer_file("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     digests = F.arrow_udf(_id_digests(bpe.id_bytes(path)), "struct<n_tokens:long,ids_sha256:string>")
     return (
@@ -187,3 +178,13 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedupe(docs, carry=["doc_id"]).select(
         "doc_id", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline over the documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
