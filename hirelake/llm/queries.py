@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hirelake.llm import bpe, chat, decontam, lines, pii, quality, secrets, simhash, substring
+from hirelake.llm import bpe, chat, decontam, lines, lm, pii, quality, secrets, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,6 +147,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document under the counts of all the others."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score(docs, carry=["doc_id"]).select("doc_id", "n_words", "n_backoff", F.round("log_score", 6).alias("log_score"))
+
+
 @query
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""

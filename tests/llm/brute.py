@@ -191,3 +191,24 @@ def lines(rows, min_chars=20):
                 kept.append(line)
         out.append((doc, gone, "\n".join(kept)))
     return out
+
+
+def scores(rows, alpha=0.4):
+    """(doc_id, n_words, n_backoff, log score per word) of (doc_id, text) rows."""
+    import math
+
+    words = [[w.decode() for w in (t or "").encode().lower().split()] for _, t in rows]
+    c1, c2 = Counter(x for w in words for x in w), Counter(p for w in words for p in zip(w, w[1:]))
+    total, out = sum(c1.values()), []
+    for (doc, _), w in zip(rows, words):
+        o1, o2, n = Counter(w), Counter(zip(w, w[1:])), total - len(w)
+        s = k = 0
+        for i, x in enumerate(w):
+            if i and c2[w[i - 1], x] > o2[w[i - 1], x]:
+                s += math.log(c2[w[i - 1], x] - o2[w[i - 1], x]) - math.log(c1[w[i - 1]] - o1[w[i - 1]])
+                continue
+            k += 1
+            seen = c1[x] - o1[x]
+            s += (math.log(alpha) if i else 0) + (math.log(seen) if seen else math.log(alpha)) - (math.log(n) if n else 0)
+        out.append((doc, len(w), k, s / len(w) if w and n else None))
+    return out
