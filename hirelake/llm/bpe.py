@@ -26,25 +26,30 @@ from __future__ import annotations
 
 import hashlib
 import importlib.util
+import json
 import os
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.llm.columns import bit_table, packed, unpacked
-from hirelake.llm.rolling import Rolling
+from hirelake.llm.rolling import Rolling, blocks
 from hirelake.session import written
 
-#: Bytes the rolling hash sees; a cut is made where its low bits are zero.
+#: Bytes the rolling hash sees; a cut is made where its high bits are zero.
 WINDOW = 24
-CUT_BITS = 10
+CUT_BITS = 11
 #: Slots of the table of repeated chunks (2 MB), whatever the size of the corpus.
 TABLE_BITS = 1 << 24
 #: Words whose tokens a task keeps.
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 20
+#: Bytes of text that a task encodes before it hands rows on.
+SLICE = 1 << 22
 SPACE = b" \t\n\r\x0b\x0c"
 
 
@@ -69,23 +74,49 @@ class Codec:
         size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.cache: dict[bytes, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            made = json.load(file)
+        self.lowers = '"Lowercase"' in json.dumps(made["normalizer"])
+        # Letters and what follows them are then apart before any merge.
+        rules = json.dumps(made["pre_tokenizer"])
+        self.splits = all(json.dumps(part)[1:-1] in rules for part in (r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"))
         probe = ["a", "b7", "c.", "É"]
         if self.raw(" ".join(probe)) != b"".join(map(self.raw, probe)) or self.raw(" \n"):
             raise ValueError("the tokenizer does not drop white space between words")
 
+    def many(self, texts: list[str]) -> list[bytes]:
+        coded = [c.ids for c in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        packed_ids = np.fromiter(chain.from_iterable(coded), dtype=self.kind).tobytes()
+        ends = [0, *accumulate(len(c) * self.kind.itemsize for c in coded)]
+        return [packed_ids[a:b] for a, b in zip(ends, ends[1:])]
+
     def raw(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+        return self.many([text])[0]
+
+    def decode(self, ids: bytes) -> str:
+        return self.tokenizer.decode(np.frombuffer(ids, dtype=self.kind).tolist(), skip_special_tokens=False)
+
+    def _stem(self, word: bytes) -> tuple[bytes, bytes]:
+        """The word as letters in lower case and one mark at its end, where that gives the same tokens."""
+        mark = word[-1:] if self.splits and word[-1:] in b".," else b""
+        stem = word[: len(word) - len(mark)]
+        if not stem.isalpha():
+            return word, b""
+        return stem.lower() if self.lowers else stem, mark
 
     def words(self, words: list[bytes]) -> list[bytes]:
         """Packed ids of each word; new ones are encoded in one call."""
         cache = self.cache
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
-        missing = [w for w in dict.fromkeys(words) if w not in cache]
+        missing = {w for w in words if w not in cache}
         if missing:
-            coded = self.tokenizer.encode_batch([w.decode() for w in missing], add_special_tokens=False)
-            for w, c in zip(missing, coded):
-                cache[w] = np.array(c.ids, dtype=self.kind).tobytes()
+            if len(cache) > CACHED_WORDS:
+                cache.clear()
+                missing = set(words)
+            stems = {w: self._stem(w) for w in missing}
+            new = list({x for pair in stems.values() for x in pair if x and x not in cache})
+            cache.update(zip(new, self.many([w.decode() for w in new])))
+            for w, (stem, mark) in stems.items():
+                cache[w] = cache[stem] + cache[mark] if mark else cache[stem]
         return [cache[w] for w in words]
 
 
@@ -94,10 +125,11 @@ def cuts(data: bytes, rolling: Rolling) -> tuple[np.ndarray, np.ndarray]:
     in front of it only, and never splits a character."""
     raw = np.frombuffer(data, dtype=np.uint8)
     sums = rolling.prefix(raw)
-    ends = np.arange(WINDOW, len(raw))
-    seen = rolling.between(sums, ends - WINDOW, ends)
-    low = (seen & np.uint64((1 << CUT_BITS) - 1)) == 0
-    ends = ends[low & ((raw[WINDOW:] & 0xC0) != 0x80)] if len(ends) else ends
+    ends = np.zeros(0, np.int64)
+    if len(raw) > WINDOW:
+        seen = (sums[WINDOW:-1] - sums[: -WINDOW - 1]) * rolling.down[: len(raw) - WINDOW]
+        ends = np.flatnonzero(seen >> np.uint64(64 - CUT_BITS) == 0) + WINDOW
+        ends = ends[(raw[ends] & 0xC0) != 0x80]
     ends = np.append(ends, len(raw))
     return ends, rolling.between(sums, np.concatenate(([0], ends[:-1])), ends)
 
@@ -204,7 +236,9 @@ def parts(codec: Codec, data: bytes, ends: np.ndarray, shared: np.ndarray) -> li
         if open_right:
             carried = own[-1]
         core = own[int(open_left) : len(own) - int(open_right)]
-        core_ids = codec.words(core)
+        # Of a shared chunk only the words next to joins are encoded here.
+        core_ids = codec.words(core[:8] + core[-8:] if shared[i] and len(core) > 16 else core)
+        core = core[:8] + core[-8:] if len(core_ids) < len(core) else core
         if seam is not None:
             near = words + core
             pending.append(repaired(codec, near, coded + core_ids, len(words), seam))
@@ -229,23 +263,25 @@ def _encode_documents(path: str, table, reuse: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, rolling, bits = Codec(path), Rolling(), table.value
         for batch in batches:
-            kept, out = [], []
-            for row, t in enumerate(_texts(batch, "text")):
-                ends, hashes = cuts(t, rolling)
-                shared = bits[slots(hashes)]
-                if bool(shared.any()) != reuse:
-                    continue
-                kept.append(row)
-                made = parts(codec, t, ends, shared)
-                if reuse:
-                    made = made or [(None, b"", False, False)]
-                    out.append([{"pos": p, "key": k, "ids": x, "first": a, "last": b} for p, (k, x, a, b) in enumerate(made)])
-                else:
-                    out.append(b"".join(x for _, x, _, _ in made))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_in").take(pa.array(kept, pa.int64())), pa.array(out, part if reuse else pa.binary())],
-                ["_in", "_out"],
-            )
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+            for a, b in blocks(sizes, SLICE):
+                kept, out = [], []
+                for row, t in enumerate(_texts(batch.slice(a, b - a), "text")):
+                    ends, hashes = cuts(t, rolling)
+                    shared = bits[slots(hashes)]
+                    if bool(shared.any()) != reuse:
+                        continue
+                    kept.append(a + row)
+                    made = parts(codec, t, ends, shared)
+                    if reuse:
+                        made = made or [(None, b"", False, False)]
+                        out.append([{"pos": p, "key": k, "ids": x, "first": f, "last": e} for p, (k, x, f, e) in enumerate(made)])
+                    else:
+                        out.append(b"".join(x for _, x, _, _ in made))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_in").take(pa.array(kept, pa.int64())), pa.array(out, part if reuse else pa.binary())],
+                    ["_in", "_out"],
+                )
 
     return run
 
@@ -298,11 +334,7 @@ def _decoder(path: str):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = Codec(path)
         for ids in batches:
-            out = []
-            for value in ids.to_pylist():
-                numbers = np.frombuffer(value or b"", dtype=codec.kind).tolist()
-                out.append(codec.tokenizer.decode(numbers, skip_special_tokens=False))
-            yield pa.array(out, pa.string())
+            yield pa.array([codec.decode(value or b"") for value in ids.to_pylist()], pa.string())
 
     return run
 

@@ -111,16 +111,22 @@ def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _id_digests(width: int):
+def _id_digests(path: str):
+    kind = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        names = [str(i) for i in range(1 << 16)]
+        codec, names = bpe.Codec(path), [str(i) for i in range(1 << 16)]
         for ids in batches:
             out = []
-            for value in ids.to_pylist():
-                numbers = np.frombuffer(value or b"", dtype=f"<u{width}").tolist()
-                text = " ".join(map(names.__getitem__, numbers) if width == 2 else map(str, numbers))
-                out.append({"n_tokens": len(numbers), "ids_sha256": hashlib.sha256(text.encode()).hexdigest()})
-            yield pa.array(out, pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string())]))
+            for value in ids:
+                packed = value.as_py() or b""
+                numbers = np.frombuffer(packed, dtype=codec.kind).tolist()
+                out.append({
+                    "n_tokens": len(numbers),
+                    "ids_sha256": hashlib.sha256(" ".join(names[i] if i < 1 << 16 else str(i) for i in numbers).encode()).hexdigest(),
+                    "decoded_sha256": hashlib.sha256(codec.decode(packed).encode()).hexdigest(),
+                })
+            yield pa.array(out, kind)
 
     return digests
 
@@ -130,12 +136,8 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     path = bpe.tokenizer_file("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    digests = F.arrow_udf(_id_digests(bpe.id_bytes(path)), "struct<n_tokens:long,ids_sha256:string>")
-    return (
-        bpe.encode(docs, path, carry=["doc_id"])
-        .select("doc_id", digests("ids").alias("d"), F.sha2(bpe.decoded("ids", path), 256).alias("decoded_sha256"))
-        .select("doc_id", "d.*", "decoded_sha256")
-    )
+    digests = F.arrow_udf(_id_digests(path), "struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
+    return bpe.encode(docs, path, carry=["doc_id"]).select("doc_id", digests("ids").alias("d")).select("doc_id", "d.*")
 
 
 @query
