@@ -100,6 +100,18 @@ def simhash(rows):
     return [(doc, f"{prints[i]:016x}", least.get(root(i))) for i, (doc, _) in enumerate(rows)]
 
 
+def components_of(prints):
+    """Number of components of fingerprints given in hex."""
+    left, count = {int(p, 16) for p in prints}, 0
+    while left:
+        found, count = [left.pop()], count + 1
+        for p in found:
+            near = {q for q in left if (p ^ q).bit_count() <= 4}
+            left -= near
+            found += near
+    return count
+
+
 def repeats(rows, window=50):
     """(doc_id, n_words, n_removed, kept) of (doc_id, text) rows."""
     words = [WORD.findall(t or "") for _, t in rows]
@@ -212,3 +224,59 @@ def scores(rows, alpha=0.4):
             s += (math.log(alpha) if i else 0) + (math.log(seen) if seen else math.log(alpha)) - (math.log(n) if n else 0)
         out.append((doc, len(w), k, s / len(w) if w and n else None))
     return out
+
+
+def robust(rows, rules):
+    """kept per row of (text, lang, source): the base rule, then the fit by numpy."""
+    import json
+    import math
+
+    import numpy as np
+
+    from hirelake.llm import quality as q
+
+    stats = [quality(t) for t, _, _ in rows]
+    keys = []
+    for _, lang, source in rows:
+        pair = {k: v for k, v in (("_lang", lang), ("_source", source)) if v is not None}
+        keys.append(("2" + json.dumps(pair), "1" + json.dumps({k: v for k, v in pair.items() if k == "_lang"})))
+    good = [i for i, s in enumerate(stats) if not s[5]]
+    sizes = Counter(keys[i][0] for i in good)
+    small = Counter()
+    for i in good:
+        if sizes[keys[i][0]] < rules.min_rows:
+            small[keys[i][1]] += 1
+    groups = {}
+    for i in good:
+        pair, pool = keys[i]
+        name = pair if sizes[pair] >= rules.min_rows else pool if small[pool] >= rules.min_rows else "0"
+        groups.setdefault(name, []).append(i)
+
+    def vector(i):
+        n, chars, symbols, dup, rep, _ = stats[i]
+        lines = sum(1 for x in (rows[i][0] or "").split("\n") if WORD.search(x))
+        raw = (math.log(chars / n), math.sqrt(symbols / chars), math.sqrt(dup / lines), math.sqrt(rep / n))
+        return [math.floor(x * q.UNIT + 0.5) for x in raw]
+
+    kept = [not s[5] for s in stats]
+    floors = np.diag([(f * q.UNIT) ** 2 for f in rules.floors])
+    for members in groups.values():
+        if len(members) < rules.least_rows:
+            continue
+        x = np.array([vector(i) for i in members], dtype=float)
+        n = len(x)
+        middle = []
+        for k in range(q.AXES):
+            bins = np.sort(np.floor(x[:, k] / 100))
+            middle.append(bins[math.ceil(0.5 * n) - 1] * 100 + 50)
+        centre, cov = np.array(middle), floors
+        for _ in range(rules.steps):
+            d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
+            bins = np.floor(np.log(d + 1e-6) * 32)
+            near = x[bins <= np.sort(bins)[math.ceil(rules.share * n) - 1]]
+            centre = near.mean(axis=0)
+            cov = (near.T @ near / len(near) - np.outer(centre, centre)) * q.consistency(rules.share) + floors
+        d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
+        for i, far in zip(members, d > q.quantile(1 - rules.reject)):
+            kept[i] = not far
+    return kept
