@@ -61,15 +61,18 @@ class WaveletMatrix:
             bits = (values >> k & 1).astype(np.uint8)
             self.levels.append((BitRanks(bits), int(len(bits) - bits.sum())))
             values = np.concatenate((values[bits == 0], values[bits == 1]))
+        symbols = np.arange(sigma)
+        self.start = self._descend(symbols, np.zeros(sigma, dtype=np.int64))
+
+    def _descend(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+        for k, (ranks, zeros) in zip(range(self.depth - 1, -1, -1), self.levels):
+            ones = ranks.ones(at)
+            at = np.where(symbols >> k & 1, zeros + ones, at - ones)
+        return at
 
     def rank(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How often each symbol stands in front of each place."""
-        start = np.zeros_like(at)
-        for k, (ranks, zeros) in zip(range(self.depth - 1, -1, -1), self.levels):
-            one = (symbols >> k & 1).astype(bool)
-            a, b = ranks.ones(start), ranks.ones(at)
-            start, at = np.where(one, zeros + a, start - a), np.where(one, zeros + b, at - b)
-        return at - start
+        return self._descend(symbols, at) - self.start[symbols]
 
 
 class Least:
@@ -107,7 +110,7 @@ class Index:
         self.wavelet = WaveletMatrix(self.text[order - 1], sigma)
         self.below = np.concatenate(([0], np.cumsum(np.bincount(self.text, minlength=sigma))))
         sizes = np.array([len(p) + 1 for p in pieces])
-        self.owner = Least(np.repeat(owners, sizes)[order])
+        self.owner = Least(np.repeat(owners, sizes)[order].astype(np.int32))
         self.n = len(self.text)
 
     def widened(self, low: np.ndarray, high: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,8 +131,11 @@ class Index:
         """Matching statistics, at most `most`: per query and place, how many symbols from there on
         also stand in a sequence of a smaller owner. All queries advance together, from their last
         symbol to their first."""
-        out = [np.zeros(len(p), dtype=np.int32) for p in pieces]
+        if not pieces:
+            return []
         sizes = np.array([len(p) for p in pieces])
+        flat, ends = np.concatenate(pieces), np.cumsum(sizes)
+        found = np.zeros(len(flat), dtype=np.int32)
         low, high = np.zeros(len(pieces), np.int64), np.full(len(pieces), self.n, np.int64)
         depth = np.zeros(len(pieces), np.int64)
         for back in range(1, int(sizes.max(initial=0)) + 1):
@@ -138,14 +144,14 @@ class Index:
             if len(full):
                 depth[full] = most - 1
                 low[full], high[full] = self.widened(low[full], high[full], depth[full])
-            symbol = np.array([pieces[q][len(pieces[q]) - back] for q in live]) + self.shift
+            symbol = flat[ends[live] - back] + self.shift
             wait = np.arange(len(live))
             while len(wait):
                 q, c = live[wait], symbol[wait]
                 known = c < len(self.below) - 1
                 c = np.where(known, c, 0)
-                a = self.below[c] + self.wavelet.rank(c, low[q])
-                b = self.below[c] + self.wavelet.rank(c, high[q])
+                both = self.wavelet.rank(np.concatenate((c, c)), np.concatenate((low[q], high[q])))
+                a, b = self.below[c] + both[: len(c)], self.below[c] + both[len(c) :]
                 good = known & (a < b)
                 good[good] = self.owner.of(a[good], b[good]) < owners[q[good]]
                 yes, no = q[good], q[~good]
@@ -154,9 +160,8 @@ class Index:
                 # The others drop symbols at their right end until one more matches, or none is left.
                 more = depth[no] > 0
                 wait, no = wait[~good][more], no[more]
-                ends = np.maximum(self.shared[low[no]], self.shared[high[no]])
-                depth[no] = np.minimum(ends, depth[no] - 1)
+                parent = np.maximum(self.shared[low[no]], self.shared[high[no]])
+                depth[no] = np.minimum(parent, depth[no] - 1)
                 low[no], high[no] = self.widened(low[no], high[no], depth[no])
-            for q in live:
-                out[q][len(pieces[q]) - back] = depth[q]
-        return out
+            found[ends[live] - back] = depth[live]
+        return np.split(found, ends[:-1])

@@ -46,7 +46,9 @@ GRAM = 16
 #: Different segments of one anchor that one shard may have.
 CROWD = 2000
 #: Words in the index of a shard; whole anchors only.
-SHARD_WORDS = 1 << 18
+SHARD_WORDS = 1 << 19
+#: Characters of segments that a task gets, about.
+SHARD_CHARS = 1 << 22
 #: Slots of the table of anchors with different segments (2 MB), whatever their number.
 TABLE_BITS = 1 << 24
 
@@ -132,9 +134,11 @@ def _search(window: int):
         numbers: dict[str, int] = {}
         pieces = [np.array([numbers.setdefault(w, len(numbers)) for w in r["plain"].split(" ")]) for r in rows]
         owners = np.unique([r["owner"] for r in rows], return_inverse=True)[1]
-        found = Index(pieces, owners).matches(pieces, owners, window)
-        out = [ranges(f >= window, window) for f in found]
-        kept = [i for i, x in enumerate(out) if x]
+        # The least owner of an anchor has nothing earlier to find.
+        asked = [i for i, r in enumerate(rows) if r["owner"] != r["least"]]
+        found = Index(pieces, owners).matches([pieces[i] for i in asked], owners[asked], window)
+        out = {i: ranges(f >= window, window) for i, f in zip(asked, found)}
+        kept = [i for i, x in out.items() if x]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([rows[i]["hash"] for i in kept], pa.int64()), pa.array([rows[i]["digest"] for i in kept], pa.int64()),
@@ -162,17 +166,21 @@ def _windows(window: int):
     """Each window of a segment by digest, with its place in the segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, other = Rolling(1 << 12), Rolling(1 << 12)
+        rolling, other = Rolling(), Rolling()
         other.letters = other.letters[::-1].copy()
         for batch in batches:
-            for hash_, digest, plain in zip(*(batch.column(c).to_pylist() for c in ("hash", "digest", "plain"))):
-                texts = [plain.encode()]
-                (a, _), (b, _) = (Words(texts, r).runs(window) for r in (rolling, other))
-                n = len(a)
+            texts = [t.as_py() for t in batch.column("plain").cast(pa.binary())]
+            for a, b in blocks([len(t) for t in texts]):
+                words = Words(texts[a:b], rolling)
+                one, whole = words.runs(window)
+                two = Words(texts[a:b], other).runs(window)[0]
+                at = np.flatnonzero(whole)
+                row = pa.array(words.text[at] + a)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(n, hash_)), pa.array(np.full(n, digest)), pa.array(np.arange(n, dtype=np.int32)),
-                        pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
+                        batch.column("hash").take(row), batch.column("digest").take(row),
+                        pa.array((at - words.first[words.text[at]]).astype(np.int32)),
+                        pa.array(one[at].view(np.int64)), pa.array(two[at].view(np.int64)),
                     ],
                     ["hash", "digest", "at", "w1", "w2"],
                 )
@@ -192,7 +200,7 @@ def _gone(rows: DataFrame, window: int, crowd: int) -> DataFrame:
     shared = folded.groupBy("hash").agg(
         F.min("owner").alias("owner"), F.max("last").alias("last"), F.count("*").alias("segments")
     ).where("owner < last")
-    shared = written(shared.select("hash", "segments"), "shared-anchors")
+    shared = written(shared.select("hash", "segments", F.col("owner").alias("least")), "shared-anchors")
     mixed = shared.where("segments > 1")
 
     table = rows.sparkSession.sparkContext.broadcast(bit_table(mixed, "hash", TABLE_BITS))
@@ -201,8 +209,11 @@ def _gone(rows: DataFrame, window: int, crowd: int) -> DataFrame:
     texts = written(
         texts.join(mixed, "hash").join(folded.select("hash", "digest", "owner"), ["hash", "digest"]), "segment-texts"
     )
-    dealt = texts.where(F.col("segments") <= crowd).select("hash", "digest", "owner", "plain")
-    dealt = dealt.repartition("hash").sortWithinPartitions("hash")
+    dealt = texts.where(F.col("segments") <= crowd).select("hash", "digest", "owner", "least", "plain")
+    # Searching takes much longer than moving, so there are as many tasks as shards, small as they are.
+    total = texts.agg(F.coalesce(F.sum(F.length("plain")), F.lit(0))).first()[0]
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total) // SHARD_CHARS)
+    dealt = dealt.repartition(tasks, "hash").sortWithinPartitions("hash")
     span = "array<struct<start:int,end:int>>"
     searched = dealt.mapInArrow(_search(window), f"hash long, digest long, found {span}")
     searched = searched.select("hash", "digest", F.explode("found").alias("r")).select("hash", "digest", "r.*")
