@@ -152,11 +152,11 @@ def all_boards(spark, sf_dir):
     f"""select source, accepted, count(*) as n, count(job_id) as n_ids from (
     select b as source, true as accepted, case when b = 'careerjet' or (b = 'paypal' and p_partkey % 7 = 0) then null else p_partkey end as job_id
     from part, (select unnest(['monster_sg', 'careerjet', 'paypal', 'quest', 'lockheed', 'cisco', 'mckesson']) as b) boards
-    union all select 'riteaid', true, o_orderkey from orders where o_orderstatus <> 'P' and o_orderpriority <> '5-LOW'
+    union all select 'riteaid', o_orderstatus <> 'P' and o_orderpriority <> '5-LOW', case when o_orderpriority <> '5-LOW' then o_orderkey end from orders
     union all select 'marriott', true, id from {shape_sql('job_api')} j) t group by source, accepted"""
 )
 def postings_pipeline(spark, sf_dir):
-    """All captures in one table to all boards' postings, judged and counted."""
+    """All captures in one table to all boards' postings and rejects, counted."""
     captured = [detail_pages(spark, sf_dir, board) for board in DETAIL_HTML]
     listings = spread_table(spark, sf_dir, "orders", "o_orderkey").select(
         F.lit("riteaid").alias("source"), F.lit("listing").alias("kind"), F.col("o_orderkey").alias("page_no"),
@@ -165,5 +165,5 @@ def postings_pipeline(spark, sf_dir):
     )
     pages = reduce(DataFrame.unionByName, [*captured, listings])
     api = shape(spark, sf_dir, "job_api").select("body", F.expr("timestamp '2021-12-31 10:20:30'").alias("captured_at"))
-    judged = pipeline.judged_postings(pipeline.all_postings(pages, api))
+    judged = pipeline.all_judged(pages, api)
     return judged.groupBy("source", "accepted").agg(F.count(F.lit(1)).alias("n"), F.count("job_id").alias("n_ids"))

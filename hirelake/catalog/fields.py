@@ -253,6 +253,19 @@ def json_nested_links(spark, sf_dir):
     return rows.select("id", "pos", "url")
 
 
+@query(
+    f"""select id, case when id % 7 <> 0 then 1 end as n_jobs, case when id % 7 = 0 then 'body' end as missing
+    from {shape_sql('job_api')} t"""
+)
+def json_jobs_and_rejects(spark, sf_dir):
+    """Jobs of the responses that can be read, and a reject for each of the others."""
+    body = F.when(F.col("id") % 7 == 0, F.substring("body", 1, 40)).otherwise(F.col("body"))
+    bodies = shape(spark, sf_dir, "job_api").select("id", body.alias("body"))
+    read = json_api.jobs(bodies).select("id", F.col("n_links").cast("int").alias("n_jobs"), F.lit(None).cast("string").alias("missing"))
+    lost = json_api.unreadable(bodies, json_api.slugs())
+    return read.unionByName(lost.select("id", F.lit(None).cast("int").alias("n_jobs"), F.array_join("missing", ",").alias("missing")))
+
+
 @query(f"select id, cast(1 as bigint) as n_links from {shape_sql('job_api')} t")
 def json_jobs_per_page(spark, sf_dir):
     return json_api.jobs_per_page(shape(spark, sf_dir, "job_api").select("id", "body")).select("id", "n_links")

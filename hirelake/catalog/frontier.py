@@ -63,7 +63,7 @@ def stop_first_empty(spark, sf_dir):
 
 @query(
     f"""select source, page_no, pos, url, priority,
-    row_number() over (partition by source order by priority desc, page_no, pos) as fetch_rank
+    row_number() over (partition by source order by priority desc, page_no, pos, url) as fetch_rank
     from (select source, page_no, pos, url, {PAGE_LIMIT} + n_links - pos as priority from {_ZONED_SQL} z) t"""
 )
 def frontier_priority(spark, sf_dir):
@@ -73,7 +73,7 @@ def frontier_priority(spark, sf_dir):
 
 @query(
     f"""select source, page_no, pos, url, priority,
-    row_number() over (partition by source order by priority desc, page_no, pos) as fetch_rank
+    row_number() over (partition by source order by priority desc, page_no, pos, url) as fetch_rank
     from (select source, page_no, pos, url, page_no - pos as priority from {_ZONED_SQL} z) t"""
 )
 def frontier_priority_by_page(spark, sf_dir):
@@ -159,7 +159,7 @@ def resume_from_state(spark, sf_dir):
 
 @query(
     f"""select source, url_norm, page_no, pos, priority,
-    row_number() over (partition by source order by priority desc, page_no, pos) as fetch_rank from (
+    row_number() over (partition by source order by priority desc, page_no, pos, url_norm) as fetch_rank from (
       select source, url_norm, page_no, pos, {PAGE_LIMIT} + n_links - pos as priority from (
         select *, row_number() over (partition by source, url_norm order by page_no, pos, n_links, url) as rn from (
           select source, page_no, pos, n_links, url, {normalised_sql('url')} as url_norm, {host_sql('url')} as h
@@ -183,14 +183,34 @@ def crawl_frontier(spark, sf_dir):
 @query(
     """select 'quest' as source, 'https://careers.questdiagnostics.com/en-US/job/' || p_partkey as url, p_partkey as page_no,
     0 as pos, p_partkey as priority, row_number() over (order by p_partkey desc) as fetch_rank
-    from (select p_partkey, row_number() over (order by p_partkey) as rn from part) t where rn <= 10000"""
+    from part"""
 )
 def board_frontier(spark, sf_dir):
-    """Listing pages of one board, made from `part`, to its ranked detail requests; the
-    board ends its listing at a number of links."""
+    """All listing pages of one board, made from `part`, to its ranked detail requests."""
     listings = spread_table(spark, sf_dir, "part", "p_partkey").select(
         F.lit("quest").alias("source"), F.col("p_partkey").alias("page_no"), F.expr(LISTING_HTML["quest"]).alias("html")
     )
     none = spark.createDataFrame([], "source string, url_norm string")
     ranked = crawl.detail_frontier(listings, none, "quest")
     return ranked.select("source", "url", "page_no", "pos", "priority", "fetch_rank")
+
+
+@query(f"select source, max(page_no) + 1 as page_no, cast(sum(n_links) as bigint) as jobs_fetched from {LISTING} l group by source")
+def next_listing(spark, sf_dir):
+    """The page to ask for next of boards whose listing has no end of its own."""
+    return crawl.next_listing(shape(spark, sf_dir, "listing_pages"), "paypal")
+
+
+@query(
+    """select url, page_no, pos, priority, row_number() over (order by priority desc, page_no, pos, url) as fetch_rank from (
+    select 'https://mckesson.wd3.myworkdayjobs.com/job/' || n as url, min(page_no) as page_no, arg_min(pos, page_no) as pos,
+      20 - arg_min(pos, page_no) as priority from (
+        select event_id as page_no, 0 as pos, event_id as n from events union all select event_id, 1, event_id + 1 from events) t
+    group by n) d"""
+)
+def api_frontier(spark, sf_dir):
+    """Listing responses of a board that pages by JSON to its ranked detail requests."""
+    bodies = shape(spark, sf_dir, "paging_api").select(F.lit("mckesson").alias("source"), F.col("id").alias("page_no"), "body")
+    none = spark.createDataFrame([], "source string, url_norm string")
+    ranked = crawl.detail_frontier(bodies, none, "mckesson")
+    return ranked.select("url", "page_no", F.col("pos").cast("int").alias("pos"), F.col("priority").cast("int").alias("priority"), "fetch_rank")

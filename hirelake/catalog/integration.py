@@ -16,20 +16,21 @@ from hirelake.sources import sinks
 _PAIRS = f"""(select c.job_url, trim(c.industry) as industry,
     case when contains(c.label, ' ') then regexp_extract(c.label, '^(.*) [^ ]*$', 1) else c.label end as title,
     case when contains(c.label, ' ') then split_part(c.label, ' ', -1) end as job_id,
-    d.location, d.description, d.apply_url
-    from {shape_sql('cards')} c join {shape_sql('details')} d on c.job_url = d.job_url)"""
+    d.location, d.description, d.apply_url, d.job_url is not null as found
+    from {shape_sql('cards')} c left join {shape_sql('details')} d on c.job_url = d.job_url)"""
 _COMPLETE = "location is not null and description is not null and apply_url is not null and job_id is not null"
+_COLUMNS = "job_url, industry, title, job_id, location, description, apply_url"
 
 
-@query(f"select * from {_PAIRS} p where {_COMPLETE}")
+@query(f"select {_COLUMNS} from {_PAIRS} p where {_COMPLETE}")
 def card_detail_join(spark, sf_dir):
     return cards.postings(shape(spark, sf_dir, "cards"), shape(spark, sf_dir, "details"))
 
 
 @query(
-    f"""select job_url, concat_ws(',', case when location is null then 'location' end,
+    f"""select job_url, case when not found then 'detail' else concat_ws(',', case when location is null then 'location' end,
     case when description is null then 'description' end, case when apply_url is null then 'apply_url' end,
-    case when job_id is null then 'job_id' end) as missing
+    case when job_id is null then 'job_id' end) end as missing
     from {_PAIRS} p where not ({_COMPLETE})"""
 )
 def card_detail_rejects(spark, sf_dir):
@@ -38,10 +39,11 @@ def card_detail_rejects(spark, sf_dir):
 
 
 @query(
-    f"""select 'location' as field, count(*) as n from {_PAIRS} p where location is null
-    union all select 'description', count(*) from {_PAIRS} p where description is null
-    union all select 'apply_url', count(*) from {_PAIRS} p where apply_url is null
-    union all select 'job_id', count(*) from {_PAIRS} p where job_id is null"""
+    f"""select 'location' as field, count(*) as n from {_PAIRS} p where found and location is null
+    union all select 'description', count(*) from {_PAIRS} p where found and description is null
+    union all select 'apply_url', count(*) from {_PAIRS} p where found and apply_url is null
+    union all select 'job_id', count(*) from {_PAIRS} p where found and job_id is null
+    union all select 'detail', count(*) from {_PAIRS} p where not found"""
 )
 def reject_reasons(spark, sf_dir):
     judged = cards.joined(shape(spark, sf_dir, "cards"), shape(spark, sf_dir, "details"))

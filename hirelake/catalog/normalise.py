@@ -108,8 +108,8 @@ PAY = shape_sql("pay_and_experience")
 
 
 @query(
-    f"""select id, experience, case when contains(lower(experience), 'fresher') then 0 else cast(n[1] as integer) end as low,
-    case when contains(lower(experience), 'fresher') then 0 else cast(n[2] as integer) end as high
+    f"""select id, experience, case when contains(lower(experience), 'fresher') then 0 else cast(n[1] as bigint) end as low,
+    case when contains(lower(experience), 'fresher') then 0 else cast(n[2] as bigint) end as high
     from (select id, experience, regexp_extract_all(experience, '[0-9]+') as n from {PAY} t) u"""
 )
 def experience_range(spark, sf_dir):
@@ -120,7 +120,7 @@ def experience_range(spark, sf_dir):
 
 
 @query(
-    f"""select id, salary, cast(replace(n[1], ',', '') as integer) as low, cast(replace(n[2], ',', '') as integer) as high
+    f"""select id, salary, cast(replace(n[1], ',', '') as bigint) as low, cast(replace(n[2], ',', '') as bigint) as high
     from (select id, salary, regexp_extract_all(salary, '[0-9][0-9,]*') as n from {PAY} t) u"""
 )
 def salary_range(spark, sf_dir):
@@ -132,7 +132,7 @@ def salary_range(spark, sf_dir):
 
 @query(
     f"""select id, employment_type, contains(lower(employment_type), 'permanent') as permanent,
-    case when contains(lower(employment_type), 'permanent') then cast(replace(n[1], ',', '') as integer) end as low,
+    case when contains(lower(employment_type), 'permanent') then cast(replace(n[1], ',', '') as bigint) end as low,
     case when contains(lower(employment_type), 'permanent') then salary else 'Not specified' end as salary_raw
     from (select id, salary, employment_type, regexp_extract_all(salary, '[0-9][0-9,]*') as n from {PAY} t) u"""
 )

@@ -1,7 +1,13 @@
 """Pieces of checking SQL (DuckDB) that several queries share."""
 
-from hirelake.functions.html import HREF_PATTERN
-from hirelake.functions.text import WHITESPACE
+# Written out here, not taken from the library, so that a wrong pattern there shows.
+WHITESPACE = "".join(map(chr, (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+)))
+HREF = (
+    r"""(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|"""
+    r"""<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
+)
 
 
 def quoted(text: str) -> str:
@@ -41,7 +47,7 @@ def normalised_sql(url: str) -> str:
 _ANCHORS = (
     "list_transform(list_filter(regexp_extract_all(html, {p}, 1), lambda x: x <> ''), "
     "lambda x: replace(trim(x, '\"'''), '&amp;', '&'))"
-).format(p=quoted(HREF_PATTERN))
+).format(p=quoted(HREF))
 
 # (page_id, url, n_links, pos, href), pos from 0
 PAGE_LINKS = (

@@ -19,7 +19,8 @@ UNIT_DAYS = {
 # Words that mean the posting is from now, token by token (parity mode).
 NOW_TOKENS = ["just", "today", "minutes", "hours", "hour"]
 
-MAX_DAYS = 100_000
+# What an interval can hold; more than that is no age.
+INTERVAL_DAYS = 106_751_990
 STAMP = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -32,9 +33,9 @@ def _count(digits: Column) -> Column:
     return F.when(digits == "", F.lit(1).cast("bigint")).otherwise(digits.try_cast("bigint"))
 
 
-def _bounded(count: Column, unit: int = 1) -> Column:
-    """Days, null where the text gives no believable age. One such page must not stop a job."""
-    return F.when(count <= MAX_DAYS // max(unit, 1), (count * unit).cast("int"))
+def _days(count: Column, unit: int = 1) -> Column:
+    """Days; null where they overflow. One such page must not stop a job."""
+    return F.try_multiply(count, F.lit(unit).cast("bigint")).try_cast("int")
 
 
 def age_days(posted: Column) -> Column:
@@ -43,8 +44,8 @@ def age_days(posted: Column) -> Column:
     number = _count(F.regexp_extract(text, "([0-9]+)", 1))
     days = F.when(text.isNull() | text.rlike(r"\b(just|today)\b"), 0).when(text.rlike(r"\byesterday\b"), 1)
     for unit, size in UNIT_DAYS.items():
-        days = days.when(text.rlike(rf"\b{unit}s?\b"), _bounded(number, size))
-    return days.otherwise(_bounded(number))
+        days = days.when(text.rlike(rf"\b{unit}s?\b"), _days(number, size))
+    return days.otherwise(_days(number))
 
 
 def age_days_parity(posted: Column) -> Column:
@@ -58,14 +59,14 @@ def age_days_parity(posted: Column) -> Column:
 
     return (
         F.when(text.isNull() | F.arrays_overlap(tokens, F.array(*[F.lit(t) for t in NOW_TOKENS])), 0)
-        .when(F.array_contains(tokens, "month"), _bounded(digits(head), 30))
-        .otherwise(_bounded(digits(F.replace(head, F.lit("+"), F.lit("")))))
+        .when(F.array_contains(tokens, "month"), _days(digits(head), 30))
+        .otherwise(_days(digits(F.replace(head, F.lit("+"), F.lit("")))))
     )
 
 
 def posted_at(posted: Column, as_of: Column, parity: bool = False) -> Column:
     days = age_days_parity(posted) if parity else age_days(posted)
-    return as_of - F.make_dt_interval(days)
+    return F.try_subtract(as_of, F.make_dt_interval(F.when(days <= INTERVAL_DAYS, days)))
 
 
 def gmt_text(stamp: Column, zone: str | Column) -> Column:

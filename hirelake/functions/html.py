@@ -43,10 +43,11 @@ _ARROW_NODES = pa.list_(
 )
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(script|style|textarea|title)\b([^>]*)>(.*?)(?:</\1\s*>|\Z)"
-    r"|</([A-Za-z][^\s/>]*)[^>]*>"
-    r"|<([A-Za-z][^\s/>]*)([^>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*+)*+|[^>]*)>",
+    # A tag ends before the next `<`, so a page of unclosed ones is still read in linear time.
+    r"<!--.*?(?:-->|\Z)|<[!?][^<>]*>"
+    r"|<(script|style|textarea|title)\b([^<>]*)>(.*?)(?:</\1\s*>|\Z)"
+    r"|</([A-Za-z][^\s/<>]*)[^<>]*>"
+    r"|<([A-Za-z][^\s/<>]*)([^<>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^<>\"']*+)*+|[^<>]*)>",
     re.S | re.I,
 )
 # Groups of _MARKUP by its lastindex: content elements, end tags, start tags.
@@ -58,7 +59,9 @@ _RESERVED = re.compile(r"[/#.\[\]%]")
 # that end an open element of the listed kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = ("script", "style")
-MAX_DEPTH = 256  # beyond it elements are read as siblings, so that paths stay bounded
+#: Steps of a path, so that paths stay bounded; a deeper element's path is that of its ancestor
+#: at this depth, and its own step.
+MAX_DEPTH = 256
 BLOCKS = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr"
     " main nav ol p pre section table ul".split()
@@ -112,7 +115,7 @@ def _walk(html: str, regions: tuple, attrs: tuple, memo: dict, out: tuple[list,
     stack holds [tag, path, children, children by tag, inside a region]; `memo` keeps start
     tags already read, which repeat a lot."""
     stack = [["", "", 0, {}, not regions]]
-    pos = 0
+    pos = serial = 0
     paths, texts, found = out
 
     def add(path: str, text: str | None, given: dict | None = None) -> None:
@@ -147,12 +150,16 @@ def _walk(html: str, regions: tuple, attrs: tuple, memo: dict, out: tuple[list,
         parent[2] += 1
         nth = parent[3][tag] = parent[3].get(tag, 0) + 1
         inside = parent[4] or opens
-        path = f"{parent[1]}/{tag}[{parent[2]},{nth}]{rest}"
+        if len(stack) <= MAX_DEPTH:
+            path = f"{parent[1]}/{tag}[{parent[2]},{nth}]{rest}"
+        else:
+            serial += 1
+            path = f"{stack[MAX_DEPTH][1]}/{tag}[{parent[2]},{nth}]{rest}~{serial}."
         if inside:
             add(path, None, given)
             if kind == _CONTENT and hit[3]:
                 add(path, hit[3] if tag in UNSEEN else unescape(hit[3]))
-        if kind == _START and tag not in VOID and len(stack) <= MAX_DEPTH:
+        if kind == _START and tag not in VOID:
             stack.append([tag, path, 0, {}, inside])
     if pos < len(html) and stack[-1][4]:
         add(stack[-1][1], unescape(html[pos:]))
@@ -362,8 +369,12 @@ def visible_text(nodes: Column) -> Column:
 
 # Comments, scripts and styles are matched first and give an empty group, so markup
 # quoted inside them is passed over.
-_SKIP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|"
-HREF_PATTERN = _SKIP + r"""<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
+_SKIP = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|"
+# Attributes are passed over whole, quoted values with all they hold.
+HREF_PATTERN = _SKIP + (
+    r"""<a(?=\s)(?:\s+(?!href\s*=)[^\s=<>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s<>"']+))?+)*+"""
+    r"""\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s<>]+)"""
+)
 # The five entities XML predefines.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
 
@@ -383,7 +394,7 @@ def anchor_hrefs(html: Column) -> Column:
 def element_text(html: Column, tag: str) -> Column:
     """Content of the first element of a kind that holds text only (title, h1)."""
     hits = F.filter(
-        F.regexp_extract_all(html, F.lit(_SKIP + rf"<{tag}\b[^>]*>([^<]*)</{tag}\s*>"), F.lit(1)),
+        F.regexp_extract_all(html, F.lit(_SKIP + rf"<{tag}\b[^<>]*>([^<]*)</{tag}\s*>"), F.lit(1)),
         lambda x: x != "",
     )
     return unescaped(F.get(hits, F.lit(0)))

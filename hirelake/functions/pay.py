@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from hirelake.functions import text as tx
 
-RANGE = "struct<min:int,max:int>"
+RANGE = "struct<min:bigint,max:bigint>"
 NOT_SPECIFIED = "Not Specified"
 
 
 def _range(low: Column, high: Column) -> Column:
-    return F.struct(low.try_cast("int").alias("min"), high.try_cast("int").alias("max"))
+    whole = lambda x: x.try_cast("decimal(38,6)").try_cast("bigint")
+    return F.struct(whole(low).alias("min"), whole(high).alias("max"))
 
 
 def _numbers(text: Column, pattern: str) -> Column:
@@ -21,8 +22,8 @@ def _numbers(text: Column, pattern: str) -> Column:
 
 
 def experience_range(text: Column) -> Column:
-    """`fresher` is 0..0, otherwise the first two integers; no integer gives null."""
-    nums = _numbers(text, "[0-9]+")
+    """`fresher` is 0..0, otherwise the first two numbers, without fractions; no number gives null."""
+    nums = _numbers(text, r"[0-9]+(?:\.[0-9]+)?")
     return (
         F.when(tx.has_word(text, "fresher"), _range(F.lit(0), F.lit(0)))
         .when(F.size(nums) > 0, _range(F.get(nums, F.lit(0)), F.get(nums, F.lit(1))))
@@ -30,8 +31,8 @@ def experience_range(text: Column) -> Column:
 
 
 def salary_range(text: Column) -> Column:
-    """First two numbers, thousands commas removed, currency text ignored."""
-    nums = _numbers(text, "[0-9][0-9,]*")
+    """First two numbers, thousands commas and fractions removed, currency text ignored."""
+    nums = _numbers(text, r"[0-9][0-9,]*(?:\.[0-9]+)?")
     return F.when(F.size(nums) > 0, _range(F.get(nums, F.lit(0)), F.get(nums, F.lit(1))))
 
 

@@ -71,17 +71,19 @@ def last_count(text: Column) -> Column:
 
 def label_title(label: Column) -> Column:
     """Everything before the last space; a label without a space is all title."""
+    label = stripped(label)
     return F.when(F.contains(label, F.lit(" ")), F.regexp_extract(label, "(?s)^(.*) [^ ]*$", 1)).otherwise(label)
 
 
 def label_id(label: Column) -> Column:
     """What follows the last space; null when there is none."""
-    return F.when(F.contains(label, F.lit(" ")), F.split_part(label, F.lit(" "), F.lit(-1)))
+    label = stripped(label)
+    return F.when(F.contains(label, F.lit(" ")), F.nullif(F.split_part(label, F.lit(" "), F.lit(-1)), F.lit("")))
 
 
 def title_before(title: Column, location: Column) -> Column:
-    """Text in front of the location, hyphens removed; the whole title if it is absent."""
-    head = F.when(location == "", title).otherwise(F.split_part(title, location, F.lit(1)))
+    """Text in front of the location, hyphens removed; the whole title if there is none."""
+    head = F.when(location.isNull() | (location == ""), title).otherwise(F.split_part(title, location, F.lit(1)))
     return F.replace(head, F.lit("-"), F.lit(""))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hirelake.functions import urls
-from hirelake.operators.paging import total_before
+from hirelake.operators.paging import WIDTH, total_before
 
 PAGE_BLOCK = 1_000
 
@@ -26,8 +26,8 @@ def listing_priority(page_no: Column, page_limit: int | None = None) -> Column:
     return page_no - 5 if page_limit is None else F.lit(page_limit) - page_no
 
 
-def ranked(frontier: DataFrame, page_block: int = PAGE_BLOCK, width: int = 64) -> DataFrame:
-    """Fetch order per source: priority from high to low, then page, then position.
+def ranked(frontier: DataFrame, page_block: int = PAGE_BLOCK, width: int = WIDTH) -> DataFrame:
+    """Fetch order per source: priority from high to low, then page, then position, then URL.
 
     Rows are numbered inside (source, priority, block of pages), which a page limit or a
     page size bounds, and the counts of the groups in front are added. A source with a
@@ -35,9 +35,12 @@ def ranked(frontier: DataFrame, page_block: int = PAGE_BLOCK, width: int = 64) -
     read twice: hand in a table, not a plan that parses pages."""
     blocked = frontier.withColumn("_pages", F.floor(F.col("page_no") / F.lit(page_block)).cast("long"))
     group = ["source", "priority", "_pages"]
-    counts = blocked.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).withColumn("_down", -F.col("priority"))
-    offsets = total_before(counts, ["source"], "_down", "_n", "_before", width, then=["_pages"]).select(*group, "_before")
-    inside = W.partitionBy(*group).orderBy("page_no", "pos")
+    # One number for priority and block, so that the totals are cut into blocks of bounded size too.
+    order = -F.col("priority") * F.lit(1 << 31) + F.col("_pages")
+    counts = blocked.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).withColumn("_order", order)
+    offsets = total_before(counts, ["source"], "_order", "_n", "_before", width).select(*group, "_before")
+    tie = [c for c in ("url_norm", "url") if c in frontier.columns]
+    inside = W.partitionBy(*group).orderBy("page_no", "pos", *tie)
     return (
         blocked.join(offsets, group)
         .withColumn("fetch_rank", (F.row_number().over(inside) + F.col("_before")).cast("long"))

@@ -41,14 +41,16 @@ def within_page_limit(pages: DataFrame, limit: int) -> DataFrame:
 
 
 def until_total(pages: DataFrame, total: int | Column, width: int = WIDTH) -> DataFrame:
-    """Page 1, and every page for which the links of the pages before stay below the total."""
+    """Page 1, and every page for which the links of the pages before stay below the total. A
+    page whose total is not known does not end the listing."""
     bound = F.lit(total) if isinstance(total, int) else total
     before = total_before(pages, ["source"], "page_no", "n_links", "links_before", width)
-    return before.where(F.col("links_before") < bound)
+    return before.where((F.col("page_no") == 1) | bound.isNull() | (F.col("links_before") < bound))
 
 
 def until_first_empty(pages: DataFrame) -> DataFrame:
-    """Pages in front of the source's first empty page."""
+    """Pages in front of the source's first empty page. A page that cannot be read has a null
+    count and is not an empty one."""
     first = pages.groupBy("source").agg(F.min(F.when(F.col("n_links") == 0, F.col("page_no"))).alias("_first"))
     return (
         pages.join(first, "source")

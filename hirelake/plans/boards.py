@@ -292,12 +292,22 @@ def riteaid_details(pages: DataFrame) -> DataFrame:
     )
 
 
+def riteaid_judged(listings: DataFrame, details: DataFrame) -> DataFrame:
+    """All listing cards joined with detail pages, with what each one lacks."""
+    return card_ops.joined(riteaid_cards(listings), card_ops.latest_details(riteaid_details(details)))
+
+
 def riteaid(listings: DataFrame, details: DataFrame) -> DataFrame:
     """Listing cards joined with detail pages; a posting with a missing part is left out."""
-    found = card_ops.postings(riteaid_cards(listings), card_ops.latest_details(riteaid_details(details)))
+    return riteaid_fields(card_ops.quality.accepted(riteaid_judged(listings, details)))
+
+
+def riteaid_fields(found: DataFrame, **more: Column) -> DataFrame:
+    """Canonical columns of joined cards, and further ones."""
     return _fields(
         found,
         "riteaid",
+        **more,
         job_id=F.col("job_id"),
         title=F.col("title"),
         location=F.col("location"),
@@ -320,7 +330,8 @@ BOARDS: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def listing_pages(listings: DataFrame, board: str) -> DataFrame:
-    """`(source, page_no, n_links, hrefs)` of listing pages; a page without links counts 0."""
+    """`(source, page_no, n_links, hrefs)` of listing pages; a page without links counts 0, one
+    without HTML null."""
     rules = LISTING_RULES[board]
     n = F.col("n")
     if "card" in rules:
@@ -332,10 +343,24 @@ def listing_pages(listings: DataFrame, board: str) -> DataFrame:
     else:
         hrefs = lists.window(H.select_all(n, rules["links"]), *LINK_SLICES.get(board, (0, None)))
         outer = rules["links"]
+    read = F.col("html").isNotNull().alias("read")
     return (
-        listings.select("source", "page_no", H.html_nodes(F.col("html"), [outer]).alias("n"))
-        .select("source", "page_no", hrefs.alias("hrefs"))
-        .select("source", "page_no", F.size("hrefs").cast("long").alias("n_links"), "hrefs")
+        listings.select("source", "page_no", read, H.html_nodes(F.col("html"), [outer]).alias("n"))
+        .select("source", "page_no", "read", hrefs.alias("hrefs"))
+        .select("source", "page_no", F.when(F.col("read"), F.size("hrefs")).cast("long").alias("n_links"), "hrefs")
+    )
+
+
+#: Boards whose listing is an API; each gives its links as a list.
+API_PAGES: dict[str, Callable[[], Column]] = {"mckesson": json_api.nested_hrefs, "marriott": json_api.slugs}
+
+
+def api_pages(captures: DataFrame, board: str) -> DataFrame:
+    """The same as listing_pages, of API responses `(source, page_no, body)`; an unreadable one
+    has a null count."""
+    hrefs = API_PAGES[board]()
+    return captures.select("source", "page_no", hrefs.alias("hrefs")).select(
+        "source", "page_no", F.when(F.col("hrefs").isNotNull(), F.size("hrefs")).cast("long").alias("n_links"), "hrefs"
     )
 
 

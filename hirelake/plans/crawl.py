@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelake.operators import frontier, paging, quality
 from hirelake.plans import boards
-from hirelake.plans.rules import ATTEMPTS, DOMAINS, LINK_CAPS, PAGE_LIMITS, UNTIL_EMPTY
+from hirelake.plans.rules import ATTEMPTS, DOMAINS, PAGE_LIMITS, UNTIL_EMPTY
 from hirelake.session import written
 
 
@@ -16,13 +16,15 @@ def allowed_domains(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "source string, domain string")
 
 
-def read_pages(pages: DataFrame, board: str) -> DataFrame:
-    """Listing pages up to where the board's stop rule ends the listing."""
-    if board in PAGE_LIMITS:
-        return paging.within_page_limit(pages, PAGE_LIMITS[board])
+def read_pages(pages: DataFrame, board: str, page_limit: int | None = None, link_total: int | None = None) -> DataFrame:
+    """Listing pages up to where the listing ends: behind `page_limit` pages or `link_total` links
+    if the caller sets them (rules.PAGE_LIMITS and rules.LINK_CAPS hold what each board was
+    first crawled with), and before the first empty page where the board ends like that."""
+    if page_limit is not None:
+        pages = paging.within_page_limit(pages, page_limit)
     counts = pages.select("source", "page_no", "n_links")
-    if board in LINK_CAPS:
-        kept = paging.until_total(counts, LINK_CAPS[board])
+    if link_total is not None:
+        kept = paging.until_total(counts, link_total)
     elif board in UNTIL_EMPTY:
         kept = paging.until_first_empty(counts)
     else:
@@ -30,13 +32,17 @@ def read_pages(pages: DataFrame, board: str) -> DataFrame:
     return pages.join(kept.select("source", "page_no"), ["source", "page_no"], "left_semi")
 
 
-def detail_frontier(listings: DataFrame, seen: DataFrame, board: str) -> DataFrame:
-    """Ranked detail requests no earlier run has made, on the board's own domains.
+def detail_frontier(
+    listings: DataFrame, seen: DataFrame, board: str, page_limit: int | None = None, link_total: int | None = None
+) -> DataFrame:
+    """Ranked detail requests no earlier run has made, on the board's own domains. `listings` are
+    captured pages, or API responses with a `body` for the boards that page by JSON.
 
     Listing pages are parsed once, into a table of links; so are the new requests, which
     ranking reads twice."""
-    pages = written(boards.listing_pages(listings, board), f"{board}-listing")
-    links = boards.page_links(read_pages(pages, board), board)
+    found = boards.api_pages(listings, board) if board in boards.API_PAGES else boards.listing_pages(listings, board)
+    pages = written(found, f"{board}-listing")
+    links = boards.page_links(read_pages(pages, board, page_limit, link_total), board)
     if board in DOMAINS:
         links = frontier.allowed(links, allowed_domains(listings.sparkSession))
     fresh = frontier.unseen(links.drop("href"), seen)
@@ -45,15 +51,19 @@ def detail_frontier(listings: DataFrame, seen: DataFrame, board: str) -> DataFra
     return ranked.select("source", "kind", "url", "url_norm", "page_no", "pos", "priority", "fetch_rank")
 
 
-def next_listing(pages: DataFrame, board: str) -> DataFrame:
+def next_listing(
+    pages: DataFrame, board: str, page_limit: int | None = None, link_total: int | None = None
+) -> DataFrame:
     """The number of the page to ask for next: one behind the last page read, as long as
-    the stop rule lets the listing go on."""
-    state = paging.crawl_state(read_pages(pages, board).select("source", "page_no", "n_links"))
+    the listing goes on. A board that ends with an empty page is done once that page is known."""
+    state = paging.crawl_state(read_pages(pages, board, page_limit, link_total).select("source", "page_no", "n_links"))
     going_on = F.lit(True)
-    if board in PAGE_LIMITS:
-        going_on = F.col("page_no") < PAGE_LIMITS[board]
-    elif board in LINK_CAPS:
-        going_on = F.col("jobs_fetched") < LINK_CAPS[board]
+    if page_limit is not None:
+        going_on = going_on & (F.col("page_no") < page_limit)
+    if link_total is not None:
+        going_on = going_on & (F.col("jobs_fetched") < link_total)
+    elif board in UNTIL_EMPTY:
+        state = state.join(pages.where("n_links = 0").select("source").distinct(), "source", "left_anti")
     return state.where(going_on).select("source", (F.col("page_no") + 1).alias("page_no"), "jobs_fetched")
 
 

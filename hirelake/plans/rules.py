@@ -126,11 +126,12 @@ POSITIONS = {
 }
 DESCRIPTION_CUTS = {"paypal": (2, 3), "quest": (2, 1), "lockheed": (0, 12)}
 MIN_DESCRIPTION = 200
-# Where each board's listing ends (page limit, number of links, or the first
-# page without links) and the attempts allowed per kind of request.
+# Where each board's listing ends (page limit and number of links, applied
+# only by callers that pass them on; or the first page without links) and the attempts
+# allowed per kind of request.
 PAGE_LIMITS = {"monster_sg": 20, "careerjet": 100, "mckesson": 18}
 LINK_CAPS = {"paypal": 10_000, "quest": 10_000, "lockheed": 10_000}
-UNTIL_EMPTY = ("riteaid", "cisco")
+UNTIL_EMPTY = ("riteaid", "cisco", "marriott")
 ATTEMPTS = {"start": 5, "start_capped": 10, "listing": 5, "detail": 15}
 # Domains each board's requests stay on, sub-domains included.
 DOMAINS = {

@@ -13,7 +13,7 @@ from hirelake.functions import dates
 from hirelake.functions import lists
 
 _TEXTS = T.ArrayType(T.StringType())
-_RANGE = T.StructType().add("min", "integer").add("max", "integer")
+_RANGE = T.StructType().add("min", "long").add("max", "long")
 
 POSTING = (
     T.StructType()

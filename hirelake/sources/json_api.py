@@ -33,16 +33,34 @@ def jobs(captures: DataFrame, body: str = "body") -> DataFrame:
 
 
 def jobs_per_page(captures: DataFrame, body: str = "body") -> DataFrame:
-    """Number of jobs of each response, for the stop rules; an empty response counts 0."""
+    """Number of jobs of each response, for the stop rules; an empty response counts 0, an
+    unreadable one null."""
     parsed = F.from_json(F.col(body), JOBS_BODY)["jobs"]
-    return captures.withColumn("n_links", F.coalesce(F.size(parsed), F.lit(0)).cast("long"))
+    return captures.withColumn("n_links", F.when(parsed.isNotNull(), F.size(parsed)).cast("long"))
+
+
+def nested_hrefs(body: str = "body") -> Column:
+    """The links of a nested payload; null where it cannot be read."""
+    items = F.try_variant_get(F.try_parse_json(F.col(body)), NESTED_LINKS_PATH, NESTED_LINKS_TYPE)
+    return items["title"]["commandLink"]
+
+
+def slugs(body: str = "body") -> Column:
+    """The postings' names in `jobs[].data`; null where the body cannot be read."""
+    return F.from_json(F.col(body), JOBS_BODY)["jobs"]["data"]["slug"]
+
+
+def unreadable(captures: DataFrame, found: Column, body: str = "body") -> DataFrame:
+    """Responses that give no list at all, as rejects: with `jobs` and `nested_links` every response
+    is in the result or here. `found` is what is looked for, such as `slugs()`."""
+    keep = [c for c in captures.columns if c != body]
+    return captures.where(found.isNull()).select(*keep, F.array(F.lit(body)).alias("missing"))
 
 
 def nested_links(captures: DataFrame, body: str = "body", base: str | None = None) -> DataFrame:
     """One row per link of a deeply nested pagination payload."""
     keep = [c for c in captures.columns if c != body]
-    items = F.try_variant_get(F.try_parse_json(F.col(body)), NESTED_LINKS_PATH, NESTED_LINKS_TYPE)
-    hrefs = captures.select(*keep, items["title"]["commandLink"].alias("_hrefs"))
+    hrefs = captures.select(*keep, nested_hrefs(body).alias("_hrefs"))
     rows = links.exploded(hrefs, "_hrefs", keep, "href")
     return rows if base is None else rows.withColumn("url", urls.absolute(F.col("href"), base))
 

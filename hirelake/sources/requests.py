@@ -35,7 +35,8 @@ BLOCK = 10_000
 def listing_requests(ranges: DataFrame, template: str | Column, step: int | Column = 1) -> DataFrame:
     """One request per number start, start + step, ... up to stop, from one row per crawl
     with `start` and `stop`. Rows multiply on the executors and in two steps, blocks first,
-    so that neither one list nor one task holds all requests of a large crawl."""
+    which are dealt by crawl and block: neither the requests of a large crawl nor those of very
+    many small ones end up in one list or task."""
     text = F.lit(template) if isinstance(template, str) else template
     by = (F.lit(step) if isinstance(step, int) else step).cast("long")
     keep = [c for c in ranges.columns if c not in ("start", "stop")]
@@ -46,7 +47,7 @@ def listing_requests(ranges: DataFrame, template: str | Column, step: int | Colu
         .withColumn("_n", F.floor((F.col("stop") - F.col("start")) / F.col("_step")).cast("long") + 1)
     )
     block = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(BLOCK).cast("long"))
-    blocks = counted.withColumn("_first", F.explode(block)).repartition("_first")
+    blocks = counted.withColumn("_first", F.explode(block)).repartition(*keep, "start", "stop", "_first")
     last = F.least(F.col("_first") + BLOCK, F.col("_n")) - 1
     return (
         blocks.withColumn("_i", F.explode(F.sequence("_first", last)))

@@ -56,5 +56,7 @@ def write_postings(df: DataFrame, path: str, by: Sequence[str] = ("source",), mo
 
 
 def split_write(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Accepted and rejected rows in one pass over the input (see quality.judged)."""
-    write_postings(df, path, by=("accepted",), mode=mode)
+    """Accepted and rejected rows in one pass over the input (see quality.judged), each by source
+    where there is one."""
+    by = ("accepted", "source") if "source" in df.columns else ("accepted",)
+    write_postings(df, path, by=by, mode=mode)

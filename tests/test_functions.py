@@ -38,8 +38,11 @@ def test_age_days_parity(spark):
 
 def test_unbelievable_ages_are_null(spark):
     values = ["99999999999999999999 days ago", "2000000000 days ago", "999999 years ago", "100000 days ago"]
-    assert one(spark, values, dates.age_days) == [None, None, None, 100000]
-    assert one(spark, values, dates.age_days_parity) == [None, None, None, 100000]
+    assert one(spark, values, dates.age_days) == [None, 2_000_000_000, 364_999_635, 100_000]
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    got = one(spark, values, lambda c: F.year(dates.posted_at(c, now)))
+    assert got == [None, None, None, 1750]
+    assert one(spark, values, dates.age_days_parity) == [None, 2_000_000_000, 999_999, 100_000]
     at = one(spark, values[:3], lambda c: dates.posted_at(c, F.lit(NOW)))
     assert at == [None, None, None]
 
@@ -66,13 +69,14 @@ def test_typed_date(spark):
 
 
 def test_experience(spark):
-    want = {"Fresher": (0, 0), "2-5 years": (2, 5), "2 - 5 Years": (2, 5), "10+ years": (10, None), "": None, None: None}
+    want = {"Fresher": (0, 0), "2-5 years": (2, 5), "2 - 5 Years": (2, 5), "10+ years": (10, None), "": None, None: None, "2.5 - 4 years": (2, 4)}
     assert [r and tuple(r) for r in one(spark, list(want), pay.experience_range)] == list(want.values())
 
 
 def test_salary(spark):
     want = {"60,000 - 72,000": (60000, 72000), "60000-72000": (60000, 72000), "60,000 SGD - 72,000 SGD": (60000, 72000),
-            "S$5,000": (5000, None), "Not Specified": None, None: None, "99999999999 - 5": (None, 5)}
+            "S$5,000": (5000, None), "Not Specified": None, None: None, "99999999999 - 5": (99999999999, 5), "4,500.50 - 5,000.75": (4500, 5000),
+            "Rp 3,000,000,000 - 4,000,000,000": (3_000_000_000, 4_000_000_000), "9" * 40 + " - 5": (None, 5)}
     assert [r and tuple(r) for r in one(spark, list(want), pay.salary_range)] == list(want.values())
 
 
@@ -96,14 +100,14 @@ def test_control_characters(spark):
 
 
 def test_label_split(spark):
-    values = ["Store Manager 12345", "12345", "", None]
-    assert one(spark, values, tx.label_title) == ["Store Manager", "12345", "", None]
-    assert one(spark, values, tx.label_id) == ["12345", None, None, None]
+    values = ["Store Manager 12345", "12345", "", None, "Store Clerk 12 "]
+    assert one(spark, values, tx.label_title) == ["Store Manager", "12345", "", None, "Store Clerk"]
+    assert one(spark, values, tx.label_id) == ["12345", None, None, None, "12"]
 
 
 @pytest.mark.parametrize("title,place,want", [
     ("Co-op Tech - Reno (NV)", "Reno (NV)", "Coop Tech  "), ("Tech St. Paul", "St. Paul", "Tech "),
-    ("Tech-2", "Nowhere", "Tech2"), ("Tech", "", "Tech"),
+    ("Tech-2", "Nowhere", "Tech2"), ("Tech", "", "Tech"), ("Tech-3", None, "Tech3"),
 ])
 def test_title_before(spark, title, place, want):
     df = spark.createDataFrame([(title, place)], "t string, l string")

@@ -72,3 +72,31 @@ def test_html_text(spark):
 def test_unknown_selector_is_an_error():
     with pytest.raises(ValueError):
         H.path_regex("p::before")
+
+
+def test_anchor_with_angle_in_a_quoted_value(spark):
+    html = "<a title='a > b' href='/x'>x</a><a class=c\nhref = /y>y</a><a data-href='/n'>n</a><a href=\"/z\" download>z</a>"
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(H.anchor_hrefs(F.col("html"))).first()[0] == ["/x", "/y", "/z"]
+    nodes = H.html_nodes(F.col("html"))
+    assert df.select(H.select_all(nodes, "a::attr(href)")).first()[0] == ["/x", "/y", "/z"]
+
+
+def test_very_deep_pages_keep_texts_with_their_elements(spark):
+    deep = "<div>" * 600 + "<p class='inner'>in</p></div>out" + "</div>" * 599 + "<p class='last'>end</p>"
+    df = spark.createDataFrame([(deep,)], "html string")
+    nodes = H.html_nodes(F.col("html"))
+    assert df.select(H.select_first(nodes, "p.inner::text")).first()[0] == "in"
+    assert df.select(H.select_first(nodes, "p.last::text")).first()[0] == "end"
+    assert df.select(H.select_all(nodes, "div > p.last::text")).first()[0] == []
+    assert df.select(H.plain_text(nodes)).first()[0] == "inoutend"
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<!--", "</a", "<!x", "<script>", "<a x='"])
+def test_unclosed_markup_is_read_in_linear_time(spark, piece):
+    import time
+
+    df = spark.createDataFrame([(piece * 60_000,)], "html string")
+    start = time.time()
+    df.select(F.size(H.html_nodes(F.col("html"), ["p"])), F.size(H.anchor_hrefs(F.col("html")))).collect()
+    assert time.time() - start < 20

@@ -126,9 +126,10 @@ def test_cards_good_and_rejected_are_all(spark):
                               "job_url string, location string, description string, apply_url string")
     judged = cards.joined(c, d)
     good, bad = quality.accepted(judged), quality.rejected(judged)
-    assert good.count() + bad.count() == 30
+    assert good.count() + bad.count() == 40
     assert good.where("location is null or description is null or job_id is null").count() == 0
-    assert rows(bad.where("job_url = 'u0'"), F.array_join("missing", ",")) == [("location,description,job_id",)]
+    assert rows(bad.where("job_url = 'u0'"), "location", F.array_join("missing", ",")) == [("", "description,job_id")]
+    assert rows(bad.where("job_url >= 'u30' and job_url <= 'u39' and length(job_url) = 3"), F.array_join("missing", ",")) == [("detail",)] * 10
 
 
 def test_latest_detail_wins_and_hot_url_joins_whole(spark):
@@ -188,7 +189,8 @@ def test_json_bodies(spark):
     bodies = ['{"jobs":[{"data":{"slug":"1","city":"C"}},{"data":{"slug":"2"}}]}', '{"jobs":[]}', "broken", None]
     df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "page_no int, body string")
     assert rows(json_api.jobs(df), "page_no", "pos", "job.slug") == [(0, 0, "1"), (0, 1, "2")]
-    assert rows(json_api.jobs_per_page(df), "page_no", "n_links") == [(0, 2), (1, 0), (2, 0), (3, 0)]
+    assert rows(json_api.jobs_per_page(df), "page_no", "n_links") == [(0, 2), (1, 0), (2, None), (3, None)]
+    assert rows(json_api.unreadable(df, json_api.slugs()), "page_no", "missing") == [(2, ["body"]), (3, ["body"])]
     nested = ['{"body":{"children":[{"children":[{"listItems":[{"title":{"commandLink":"/j/1"}}]}]}]}}', '{"body":{}}', "broken", None]
     df = spark.createDataFrame([(i, b) for i, b in enumerate(nested)], "start int, body string")
     assert rows(json_api.nested_links(df, base="https://m.com"), "start", "url") == [(0, "https://m.com/j/1")]
@@ -220,15 +222,68 @@ def test_detail_frontier_stops_where_the_board_does(spark):
     assert rows(got, "fetch_rank", "page_no", "pos", "url") == [
         (1, 2, 1, "https://careers.riteaid.com/jobs/3"), (2, 1, 1, "https://careers.riteaid.com/jobs/2")]
     counts = boards.listing_pages(df, "riteaid")
-    assert rows(crawl.next_listing(counts, "riteaid"), "source", "page_no", "jobs_fetched") == [("riteaid", 3, 4)]
+    assert crawl.next_listing(counts, "riteaid").count() == 0
+    going_on = counts.where("page_no < 3")
+    assert rows(crawl.next_listing(going_on, "riteaid"), "source", "page_no", "jobs_fetched") == [("riteaid", 3, 4)]
+
+
+def test_unreadable_pages_do_not_end_a_listing(spark):
+    from hirelake.plans import boards, crawl
+
+    df = spark.createDataFrame([("riteaid", 1, None), ("riteaid", 2, "<p>none</p>")], "source string, page_no long, html string")
+    counts = boards.listing_pages(df, "riteaid")
+    assert rows(counts, "page_no", "n_links") == [(1, None), (2, 0)]
+    assert rows(crawl.read_pages(counts, "riteaid"), "page_no") == [(1,)]
+
+
+def test_boards_that_page_by_json(spark):
+    from hirelake.plans import crawl
+
+    nested = '{"body":{"children":[{"children":[{"listItems":[{"title":{"commandLink":"/j/1"}},{"title":{"commandLink":"/j/2"}}]}]}]}}'
+    jobs = '{"jobs":[{"data":{"slug":"5"}}]}'
+    seen = spark.createDataFrame([], "source string, url_norm string")
+    for board, bodies, want in [
+        ("mckesson", [nested, "broken"], ["https://mckesson.wd3.myworkdayjobs.com/j/1", "https://mckesson.wd3.myworkdayjobs.com/j/2"]),
+        ("marriott", [jobs, None], ["https://jobs.marriott.com/marriott/jobs/5"]),
+    ]:
+        df = spark.createDataFrame([(board, i + 1, b) for i, b in enumerate(bodies)], "source string, page_no long, body string")
+        assert [r[1] for r in rows(crawl.detail_frontier(df, seen, board), "fetch_rank", "url")] == want
 
 
 def test_next_listing_keeps_to_limits(spark):
     from hirelake.plans import crawl
 
     df = spark.createDataFrame([("m", p, 5) for p in range(1, 21)], "source string, page_no long, n_links long")
-    assert crawl.next_listing(df, "monster_sg").count() == 0
-    assert rows(crawl.next_listing(df, "paypal"), "page_no", "jobs_fetched") == [(21, 100)]
+    assert crawl.next_listing(df, "monster_sg", page_limit=20).count() == 0
+    assert rows(crawl.next_listing(df, "monster_sg"), "page_no", "jobs_fetched") == [(21, 100)]
+    assert rows(crawl.next_listing(df, "paypal", link_total=1000), "page_no", "jobs_fetched") == [(21, 100)]
+    assert crawl.next_listing(df, "paypal", link_total=40).count() == 0
+
+
+def test_first_page_is_read_whatever_the_total(spark):
+    df = spark.createDataFrame([("s", p, 5) for p in range(1, 4)], "source string, page_no long, n_links long")
+    assert rows(paging.until_total(df, 0), "page_no") == [(1,)]
+    assert rows(paging.until_total(df, F.lit(None).cast("long")), "page_no") == [(1,), (2,), (3,)]
+
+
+def test_many_small_crawls_are_spread(spark):
+    from hirelake.sources import requests
+
+    crawls = spark.range(1000).selectExpr("concat('s', id) source", "1 start", "20 stop")
+    made = requests.listing_requests(crawls, "https://x.com/{}").select(F.spark_partition_id().alias("p"))
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    try:
+        sizes = [r["count"] for r in made.groupBy("p").count().collect()]
+    finally:
+        spark.conf.unset(merge)
+    assert sum(sizes) == 20_000 and max(sizes) < 12_000
+
+
+def test_rank_of_tied_requests_is_by_url(spark):
+    data = [("s", 1, 0, 5, u) for u in ("b", "a", "c")]
+    df = spark.createDataFrame(data, "source string, page_no long, pos long, priority long, url string")
+    assert rows(frontier.ranked(df), "fetch_rank", "url") == [(1, "a"), (2, "b"), (3, "c")]
 
 
 def test_retries_by_kind_of_request(spark):
