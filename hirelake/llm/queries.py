@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hirelake.llm import bpe, chat, decontam, lines, lm, pii, quality, secrets, simhash, substring
+from hirelake.llm import bpe, chat, checks, decontam, lines, lm, pii, quality, secrets, simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(checks.ORACLES)
 
 
 def query(fn):
