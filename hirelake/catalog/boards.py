@@ -135,12 +135,17 @@ def board_marriott(spark, sf_dir):
       case when b = 'cisco' then null when b = 'paypal' then strftime(make_date(2021, 12, 1 + p_size % 28), '%Y-%m-%d')
         when b in ('quest', 'lockheed') then strftime(make_date(2021, 1 + p_size % 12, 1 + p_size % 28), '%Y-%m-%d')
         else strftime(date '2021-12-31' - p_size, '%Y-%m-%d') end as posted_on
-    from part, (select unnest(['monster_sg', 'careerjet', 'paypal', 'quest', 'lockheed', 'cisco', 'mckesson']) as b) boards) t
+    from part, (select unnest(['monster_sg', 'careerjet', 'paypal', 'quest', 'lockheed', 'cisco', 'mckesson']) as b) boards
+    union all select 'riteaid', o_orderkey, null from orders where o_orderstatus <> 'P' and o_orderpriority <> '5-LOW'
+    union all select 'marriott', id, '2021-0' || (1 + id % 9) || '-11' from """ + shape_sql("job_api") + """ j) t
     group by source"""
 )
 def all_boards(spark, sf_dir):
-    """Seven boards in one canonical table, then counted per board."""
-    merged = schema.combine(fn(detail_pages(spark, sf_dir, board)) for board, fn in boards.BOARDS.items())
+    """Nine boards in one canonical table, then counted per board."""
+    found = [fn(detail_pages(spark, sf_dir, board)) for board, fn in boards.BOARDS.items()]
+    listings = spread_table(spark, sf_dir, "orders", "o_orderkey").select(F.expr(RITEAID_LISTING).alias("html"))
+    api = shape(spark, sf_dir, "job_api").select("body", F.expr("timestamp '2021-12-31 10:20:30'").alias("captured_at"))
+    merged = schema.combine([*found, boards.riteaid(listings, detail_pages(spark, sf_dir, "riteaid")), boards.marriott(api)])
     posted = F.coalesce(F.col("posted_at").cast("date"), F.col("posted_date")).cast("string")
     return merged.groupBy("source").agg(
         F.count(F.lit(1)).alias("n"), F.count("job_id").alias("n_ids"), F.count(posted).alias("n_dates"),

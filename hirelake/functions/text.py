@@ -26,8 +26,8 @@ CRLF = "\r\n"
 
 
 def without_chars(text: Column, chars: str) -> Column:
-    """Delete every occurrence of each character."""
-    return F.translate(text, chars, "")
+    """Delete every occurrence of each character, in one pass."""
+    return F.regexp_replace(text, "[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]+", "")
 
 
 def without_crlf(text: Column) -> Column:

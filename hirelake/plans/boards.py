@@ -351,6 +351,14 @@ def listing_pages(listings: DataFrame, board: str) -> DataFrame:
     )
 
 
+def next_page(listings: DataFrame, board: str) -> DataFrame:
+    """The link to the next listing page, the last one of the page's own links to pages; null where
+    there is none."""
+    rule = LISTING_RULES[board]["next"]
+    href = link_ops.next_link(H.select_all(H.html_nodes(F.col("html"), [rule]), rule))
+    return listings.select("source", "page_no", urls.absolute(href, LINK_BASES[board]).alias("next_url"))
+
+
 #: Boards whose listing is an API; each gives its links as a list.
 API_PAGES: dict[str, Callable[[], Column]] = {"mckesson": json_api.nested_hrefs, "marriott": json_api.slugs}
 

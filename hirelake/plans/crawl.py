@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelake.functions import urls
 from hirelake.operators import frontier, paging, quality
 from hirelake.plans import boards
 from hirelake.plans.rules import ATTEMPTS, DOMAINS, PAGE_LIMITS, UNTIL_EMPTY
 from hirelake.session import written
+from hirelake.sources.requests import LISTINGS
 
 
 def allowed_domains(spark: SparkSession) -> DataFrame:
@@ -40,13 +42,41 @@ def detail_frontier(
 
     Listing pages are parsed once, into a table of links; so are the new requests, which
     ranking reads twice."""
+    pages = _listing_table(listings, board)
+    return _ranked(_details(pages, seen, board, page_limit, link_total), board)
+
+
+def all_requests(
+    listings: DataFrame, seen: DataFrame, board: str, page_limit: int | None = None, link_total: int | None = None
+) -> DataFrame:
+    """detail_frontier and the request for the listing's next page, ranked together: the next
+    page has a priority of its own, given when the page in front of it was read."""
+    pages = _listing_table(listings, board)
+    template, first, step = LISTINGS[board]
+    number = F.lit(first) + (F.col("page_no") - 1) * F.lit(step)
+    following = next_listing(pages, board, page_limit, link_total).select(
+        "source", "page_no", F.replace(F.lit(template), F.lit("{}"), number.cast("string")).alias("url")
+    )
+    rows = frontier.listing_request_rows(following, PAGE_LIMITS.get(board)).withColumn("url_norm", urls.normalised(F.col("url")))
+    details = _details(pages, seen, board, page_limit, link_total)
+    columns = ["source", "kind", "url", "url_norm", "page_no", F.col("pos").cast("long").alias("pos"), "priority"]
+    return _ranked(details.select(*columns).unionByName(rows.select(*columns)), board)
+
+
+def _listing_table(listings: DataFrame, board: str) -> DataFrame:
     found = boards.api_pages(listings, board) if board in boards.API_PAGES else boards.listing_pages(listings, board)
-    pages = written(found, f"{board}-listing")
+    return written(found, f"{board}-listing")
+
+
+def _details(pages: DataFrame, seen: DataFrame, board: str, page_limit: int | None, link_total: int | None) -> DataFrame:
     links = boards.page_links(read_pages(pages, board, page_limit, link_total), board)
     if board in DOMAINS:
         links = frontier.allowed(links, allowed_domains(listings.sparkSession))
     fresh = frontier.unseen(links.drop("href"), seen)
-    requests = frontier.detail_requests(fresh, PAGE_LIMITS.get(board))
+    return frontier.detail_requests(fresh, PAGE_LIMITS.get(board))
+
+
+def _ranked(requests: DataFrame, board: str) -> DataFrame:
     ranked = frontier.ranked(written(requests, f"{board}-requests"))
     return ranked.select("source", "kind", "url", "url_norm", "page_no", "pos", "priority", "fetch_rank")
 

@@ -292,3 +292,22 @@ def test_retries_by_kind_of_request(spark):
     log = spark.createDataFrame([("u", i, i, "http") for i in range(7)], "url string, ts long, event_id long, failure string")
     assert crawl.retries(log, "listing").count() == 0
     assert rows(crawl.retries(log, "detail"), "url", "attempts") == [("u", 7)]
+
+
+def test_details_and_next_listing_are_ranked_together(spark):
+    from hirelake.plans import crawl
+
+    card = '<div class="job-results-container"><search-job-cards><mat-accordion><mat-expansion-panel class="mat-expansion-panel"><a href="/jobs/{}" aria-label="T">x</a></mat-expansion-panel></mat-accordion></search-job-cards></div>'
+    df = spark.createDataFrame([("riteaid", 1, card.format(1)), ("riteaid", 2, card.format(2))], "source string, page_no long, html string")
+    seen = spark.createDataFrame([], "source string, url_norm string")
+    got = rows(crawl.all_requests(df, seen, "riteaid"), "fetch_rank", "kind", "url")
+    assert got == [(1, "detail", "https://careers.riteaid.com/jobs/2"), (2, "detail", "https://careers.riteaid.com/jobs/1"),
+                   (3, "listing", "https://careers.riteaid.com/jobs?page=3")]
+
+
+def test_next_page_is_the_last_page_link(spark):
+    from hirelake.plans import boards
+
+    html = '<div id="search-content"><p><a href="/p=1">1</a><a href="/p=3">next</a></p></div><a href="/other">o</a>'
+    df = spark.createDataFrame([("careerjet", 2, html), ("careerjet", 9, "<p>x</p>")], "source string, page_no long, html string")
+    assert rows(boards.next_page(df, "careerjet"), "page_no", "next_url") == [(2, "https://www.careerjet.co.in/p=3"), (9, None)]
