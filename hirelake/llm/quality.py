@@ -133,20 +133,27 @@ def _vector() -> list[Column]:
     return [F.round(x * UNIT).cast("long") for x in raw]
 
 
-def _grouped(stats: DataFrame, rules: Rules) -> DataFrame:
-    """Each row with its `_group`: its pair, or else a pool of small ones."""
-    pair = F.concat(F.lit("2"), F.to_json(F.struct("_lang", "_source")))
-    one = F.concat(F.lit("1"), F.to_json(F.struct("_lang")))
+def _pair() -> Column:
+    return F.concat(F.lit("2"), F.to_json(F.struct("_lang", "_source")))
+
+
+def _groups(stats: DataFrame, rules: Rules) -> DataFrame:
+    """The `_group` of each pair: itself, or else a pool of small ones."""
+    pair, one = _pair(), F.concat(F.lit("1"), F.to_json(F.struct("_lang")))
     sizes = (
         stats.where(~F.col("base_failed")).groupBy(pair.alias("_pair"), one.alias("_pool")).agg(F.count("*").alias("_n"))
         .withColumn("_own", F.col("_n") >= rules.min_rows)
     )
     pools = sizes.where(~F.col("_own")).groupBy("_pool").agg((F.sum("_n") >= rules.min_rows).alias("_pooled"))
-    chosen = sizes.join(pools, "_pool", "left").select(
+    return sizes.join(pools, "_pool", "left").select(
         "_pair",
         F.when(F.col("_own"), F.col("_pair")).when(F.col("_pooled"), F.col("_pool")).otherwise(F.lit("0")).alias("_group"),
     )
-    return stats.withColumn("_pair", pair).join(chosen, "_pair", "left").drop("_pair")
+
+
+def _grouped(stats: DataFrame, groups: DataFrame) -> DataFrame:
+    """Each row with its `_group`."""
+    return stats.withColumn("_pair", _pair()).join(groups, "_pair", "left").drop("_pair")
 
 
 def _cumulated(bins: DataFrame, sums: list[str], at: Column) -> DataFrame:
@@ -245,13 +252,15 @@ def score(
     stats = with_statistics(rows).drop("_text").withColumn("base_failed", base_failed(rules))
     stats = stats.withColumns({f"_x{i}": F.when(~F.col("base_failed"), x) for i, x in enumerate(_vector())})
     stats = written(stats, "statistics")
+    # Written tables have a known size: small ones are broadcast, and rows with texts stay where they are.
+    groups = written(_groups(stats, rules), "groups")
     fit_on = written(
-        _grouped(stats, rules).where(~F.col("base_failed")).select("_group", *(f"_x{i}" for i in range(AXES))), "vectors"
+        _grouped(stats, groups).where(~F.col("base_failed")).select("_group", *(f"_x{i}" for i in range(AXES))), "vectors"
     )
     judged = fit_on.groupBy("_group").agg(F.count("*").alias("_n")).where(F.col("_n") >= rules.least_rows).select("_group")
     fit = fitted(fit_on.join(judged, "_group", "left_semi"), rules)
     far = F.coalesce(F.col("distance") > quantile(1 - rules.reject), F.lit(False))
-    out = with_distance(_grouped(stats, rules), fit).withColumn("kept", ~F.col("base_failed") & ~far)
+    out = with_distance(_grouped(stats, groups), fit).withColumn("kept", ~F.col("base_failed") & ~far)
     return unpacked(out, carry, *ADDED)
 
 
