@@ -185,7 +185,9 @@ def check(
         .agg(F.count("*").alias("n_items"), F.sort_array(F.collect_list(F.col("item").cast("string"))).alias("items"))
     )
     zero = F.lit(0).cast("long")
-    out = marked.select("_row", "_in", "n_words").join(covered, "_row", "left").join(found, "_row", "left").select(
+    # Written, its size is known: a small table is broadcast, and rows with texts stay where they are.
+    leaks = written(covered.join(found, "_row"), "leaks-per-row")
+    out = marked.select("_row", "_in", "n_words").join(leaks, "_row", "left").select(
         "_in", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.col("n_hit").isNotNull().alias("contaminated"),
     )
