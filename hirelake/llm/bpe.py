@@ -44,7 +44,7 @@ from hirelake.session import written
 #: Bytes the rolling hash sees; a cut is made where its high bits are zero.
 WINDOW = 24
 CUT_BITS = 11
-#: Slots of the table of repeated chunks (2 MB), whatever the size of the corpus.
+#: Slots of the table of repeated chunks (16 MB in a task), whatever the size of the corpus.
 TABLE_BITS = 1 << 24
 #: Words whose tokens a task keeps.
 CACHED_WORDS = 1 << 20

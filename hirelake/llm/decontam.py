@@ -33,7 +33,7 @@ from hirelake.session import written
 WINDOW = 10
 #: Words in a run; a window has WINDOW - GRAM + 1 of them.
 GRAM = 5
-#: Slots of the bit table (2 MB), whatever the number of items.
+#: Slots of the bit table (16 MB in a task), whatever the number of items.
 TABLE_BITS = 1 << 24
 #: Bytes that separate words; letters are lowered first.
 SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])

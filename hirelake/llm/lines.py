@@ -38,7 +38,7 @@ from hirelake.llm.rolling import Rolling, mixed
 from hirelake.session import written
 
 MIN_CHARS = 20
-#: Slots of the table of lines that may have a partner (2 MB), whatever their number.
+#: Slots of the table of lines that may have a partner (16 MB in a task), whatever their number.
 TABLE_BITS = 1 << 24
 
 

@@ -138,12 +138,13 @@ def score(docs: DataFrame, text: str = "text", carry: list[str] | None = None, a
     contexts = sized.select(
         F.col("w").alias("w1"), F.explode(F.sequence(F.lit(0), F.expr("shiftleft(1, coalesce(power, 0)) - 1"))).alias("part"), F.col("c").alias("c1")
     )
-    pairs = texts.mapInArrow(_pairs(parts), "row long, w1 long, part int, w2 long, n int, own1 int, own2 int")
+    pairs = texts.mapInArrow(_pairs(parts), "row long, w1 long, part int, w2 long, n int, own1 int, own2 int").where("w2 is not null")
     met = pairs.join(contexts, ["w1", "part"]).withColumn("both", F.sum("n").over(Window.partitionBy("w1", "part", "w2")) - F.col("n"))
-    known = met.where("both > 0").groupBy("row").agg(
+    # Both branches ask for all columns, always in vain, and so share one exchange of the pairs.
+    known = met.where("both > 0 and both + own2 > 0").groupBy("row").agg(
         F.sum(F.col("n") * (F.log("both") - F.log(F.col("c1") - F.col("own1")))).alias("s"), F.lit(0).cast("long").alias("k")
     )
-    alone = met.where("both = 0").select("row", F.col("w2").alias("w"), "n", F.col("own2").alias("own"), F.lit(math.log(alpha)).alias("a"))
+    alone = met.where("both = 0 and both + own1 > 0 and both + c1 > 0").select("row", F.col("w2").alias("w"), "n", F.col("own2").alias("own"), F.lit(math.log(alpha)).alias("a"))
     first = firsts.where("w is not null").select("row", "w", F.lit(1).alias("n"), "own", F.lit(0.0).alias("a"))
     seen = F.col("c") - F.col("own")
     backoff = alone.unionByName(first).join(words, "w").groupBy("row").agg(

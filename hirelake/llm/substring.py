@@ -49,7 +49,7 @@ CROWD = 2000
 SHARD_WORDS = 1 << 19
 #: Characters of segments that a task gets, about.
 SHARD_CHARS = 1 << 22
-#: Slots of the table of anchors with different segments (2 MB), whatever their number.
+#: Slots of the table of anchors with different segments (16 MB in a task), whatever their number.
 TABLE_BITS = 1 << 24
 
 
