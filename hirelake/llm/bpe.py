@@ -107,8 +107,9 @@ class Codec:
     def words(self, words: list[bytes]) -> list[bytes]:
         """Packed ids of each word; new ones are encoded in one call."""
         cache = self.cache
-        missing = {w for w in words if w not in cache}
-        if missing:
+        found = list(map(cache.get, words))
+        if None in found:
+            missing = {w for w, ids in zip(words, found) if ids is None}
             if len(cache) > CACHED_WORDS:
                 cache.clear()
                 missing = set(words)
@@ -117,7 +118,8 @@ class Codec:
             cache.update(zip(new, self.many([w.decode() for w in new])))
             for w, (stem, mark) in stems.items():
                 cache[w] = cache[stem] + cache[mark] if mark else cache[stem]
-        return [cache[w] for w in words]
+            found = [cache[w] for w in words]
+        return found
 
 
 def cuts(data: bytes, rolling: Rolling) -> tuple[np.ndarray, np.ndarray]:

@@ -115,7 +115,8 @@ def _id_digests(path: str):
     kind = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec, names = bpe.Codec(path), [str(i) for i in range(1 << 16)]
+        codec = bpe.Codec(path)
+        name = [str(i) for i in range(1 << 16)].__getitem__ if codec.kind.itemsize == 2 else str
         for ids in batches:
             out = []
             for value in ids:
@@ -123,7 +124,7 @@ def _id_digests(path: str):
                 numbers = np.frombuffer(packed, dtype=codec.kind).tolist()
                 out.append({
                     "n_tokens": len(numbers),
-                    "ids_sha256": hashlib.sha256(" ".join(names[i] if i < 1 << 16 else str(i) for i in numbers).encode()).hexdigest(),
+                    "ids_sha256": hashlib.sha256(" ".join(map(name, numbers)).encode()).hexdigest(),
                     "decoded_sha256": hashlib.sha256(codec.decode(packed).encode()).hexdigest(),
                 })
             yield pa.array(out, kind)
