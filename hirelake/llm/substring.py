@@ -178,11 +178,11 @@ def _windows(window: int):
                 row = pa.array(words.text[at] + a)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("hash").take(row), batch.column("digest").take(row),
+                        batch.column("hash").take(row), batch.column("digest").take(row), batch.column("owner").take(row),
                         pa.array((at - words.first[words.text[at]]).astype(np.int32)),
                         pa.array(one[at].view(np.int64)), pa.array(two[at].view(np.int64)),
                     ],
-                    ["hash", "digest", "at", "w1", "w2"],
+                    ["hash", "digest", "owner", "at", "w1", "w2"],
                 )
 
     return run
@@ -200,15 +200,14 @@ def _gone(rows: DataFrame, window: int, crowd: int) -> DataFrame:
     shared = folded.groupBy("hash").agg(
         F.min("owner").alias("owner"), F.max("last").alias("last"), F.count("*").alias("segments")
     ).where("owner < last")
-    shared = written(shared.select("hash", "segments", F.col("owner").alias("least")), "shared-anchors")
-    mixed = shared.where("segments > 1")
+    shared = shared.select("hash", "segments", F.col("owner").alias("least"))
+    known = written(folded.join(shared, "hash").select("hash", "digest", "owner", "least", "segments"), "shared-segments")
+    mixed = known.where("segments > 1")
 
     table = rows.sparkSession.sparkContext.broadcast(bit_table(mixed, "hash", TABLE_BITS))
     texts = rows.mapInArrow(_segment_texts(window, table), "hash long, digest long, plain string")
     texts = texts.groupBy("hash", "digest").agg(F.first("plain").alias("plain"))
-    texts = written(
-        texts.join(mixed, "hash").join(folded.select("hash", "digest", "owner"), ["hash", "digest"]), "segment-texts"
-    )
+    texts = written(texts.join(mixed, ["hash", "digest"]), "segment-texts")
     dealt = texts.where(F.col("segments") <= crowd).select("hash", "digest", "owner", "least", "plain")
     # Searching takes much longer than moving, so there are as many tasks as shards, small as they are.
     total = texts.agg(F.coalesce(F.sum(F.length("plain")), F.lit(0))).first()[0]
@@ -219,9 +218,9 @@ def _gone(rows: DataFrame, window: int, crowd: int) -> DataFrame:
     searched = searched.select("hash", "digest", F.explode("found").alias("r")).select("hash", "digest", "r.*")
 
     crowded = texts.where(F.col("segments") > crowd)
-    cut = crowded.select("hash", "digest", "plain").mapInArrow(
-        _windows(window), "hash long, digest long, at int, w1 long, w2 long"
-    ).join(folded.select("hash", "digest", "owner"), ["hash", "digest"])
+    cut = crowded.select("hash", "digest", "owner", "plain").mapInArrow(
+        _windows(window), f"hash long, digest long, owner {id_kind}, at int, w1 long, w2 long"
+    )
     cut = written(cut, "windows")
     first = cut.groupBy("w1", "w2").agg(F.min("owner").alias("least"))
     single = cut.join(first, ["w1", "w2"]).where("least < owner").select(
@@ -229,7 +228,7 @@ def _gone(rows: DataFrame, window: int, crowd: int) -> DataFrame:
     )
 
     own = written(searched.unionByName(single), "found")
-    placed = anchors.join(shared.select("hash"), "hash", "left_semi").join(folded, ["hash", "digest"])
+    placed = anchors.join(known, ["hash", "digest"])
     placed = written(placed.select("id", "tie", "hash", "digest", "low", "size", "owner"), "placed")
     whole = placed.where((F.col("owner") < F.col("id")) & (F.col("size") >= window)).select(
         "id", "tie", F.col("low").alias("start"), (F.col("low") + F.col("size")).alias("end")
