@@ -13,6 +13,7 @@ from hirelake.functions import urls
 from hirelake.operators import frontier, links, paging
 from hirelake.plans import crawl
 from hirelake.session import written
+from hirelake.sources.requests import LISTINGS
 
 LISTING = shape_sql("listing_pages")
 PAGE_LIMIT = 100
@@ -201,6 +202,27 @@ def next_listing(spark, sf_dir):
     return crawl.next_listing(shape(spark, sf_dir, "listing_pages"), "paypal")
 
 
+BOARD_ROWS = ", ".join(
+    f"('{b}', {str(b in ('riteaid', 'cisco', 'marriott')).lower()})"
+    for b in ("careerjet", "cisco", "lockheed", "marriott", "mckesson", "monster_sg", "paypal", "quest", "riteaid")
+)
+
+
+@query(
+    f"""select board, l.source, max(page_no) + 1 as page_no, cast(sum(n_links) as bigint) as jobs_fetched
+    from {LISTING} l cross join (values {BOARD_ROWS}) b(board, until_empty) left join
+      (select source as ended from {LISTING} e where n_links = 0 group by source) e on l.source = e.ended
+    where not until_empty or ended is null group by board, l.source"""
+)
+def next_listing_boards(spark, sf_dir):
+    """The page to ask for next under the stop rule of each of the nine boards."""
+    pages, out = shape(spark, sf_dir, "listing_pages"), None
+    for board in LISTINGS:
+        one = crawl.next_listing(pages, board).select(F.lit(board).alias("board"), "source", "page_no", "jobs_fetched")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query(
     """select url, page_no, pos, priority, row_number() over (order by priority desc, page_no, pos, url) as fetch_rank from (
     select 'https://mckesson.wd3.myworkdayjobs.com/job/' || n as url, min(page_no) as page_no, arg_min(pos, page_no) as pos,

@@ -71,7 +71,7 @@ def _listing_table(listings: DataFrame, board: str) -> DataFrame:
 def _details(pages: DataFrame, seen: DataFrame, board: str, page_limit: int | None, link_total: int | None) -> DataFrame:
     links = boards.page_links(read_pages(pages, board, page_limit, link_total), board)
     if board in DOMAINS:
-        links = frontier.allowed(links, allowed_domains(listings.sparkSession))
+        links = frontier.allowed(links, allowed_domains(pages.sparkSession))
     fresh = frontier.unseen(links.drop("href"), seen)
     return frontier.detail_requests(fresh, PAGE_LIMITS.get(board))
 

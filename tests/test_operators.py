@@ -311,3 +311,30 @@ def test_next_page_is_the_last_page_link(spark):
     html = '<div id="search-content"><p><a href="/p=1">1</a><a href="/p=3">next</a></p></div><a href="/other">o</a>'
     df = spark.createDataFrame([("careerjet", 2, html), ("careerjet", 9, "<p>x</p>")], "source string, page_no long, html string")
     assert rows(boards.next_page(df, "careerjet"), "page_no", "next_url") == [(2, "https://www.careerjet.co.in/p=3"), (9, None)]
+
+
+NESTED = '{{"body":{{"children":[{{"children":[{{"listItems":[{{"title":{{"commandLink":"/j/{}"}}}}]}}]}}]}}}}'
+RITEAID = ('<div class="job-results-container"><search-job-cards><mat-accordion><mat-expansion-panel class="mat-expansion-panel">'
+           '<a href="/jobs/{}" aria-label="T">x</a></mat-expansion-panel></mat-accordion></search-job-cards></div>')
+MONSTER = '<div class="card-panel job-apply-card"><div class="job-tittle"><h3><a href="//www.monster.com.sg/job/{}">x</a></h3></div></div>'
+
+
+@pytest.mark.parametrize("board", ["careerjet", "cisco", "lockheed", "marriott", "mckesson", "monster_sg", "paypal", "quest", "riteaid"])
+def test_every_board_gives_details_and_its_next_listing(spark, board):
+    from hirelake.catalog.html_shapes import LISTING_HTML
+    from hirelake.plans import crawl
+
+    schema_of = "source string, page_no long, {} string"
+    made = {"mckesson": NESTED, "marriott": '{{"jobs":[{{"data":{{"slug":"{}"}}}}]}}', "riteaid": RITEAID, "monster_sg": MONSTER}
+    if board in made:
+        body = "body" if board in ("mckesson", "marriott") else "html"
+        df = spark.createDataFrame([(board, p, made[board].format(p)) for p in (1, 2)], schema_of.format(body))
+    else:
+        df = spark.range(1, 3).selectExpr("id p_partkey", "id p_size").select(
+            F.lit(board).alias("source"), F.col("p_partkey").alias("page_no"), F.expr(LISTING_HTML[board]).alias("html"))
+    seen = spark.createDataFrame([], "source string, url_norm string")
+    got = crawl.all_requests(df, seen, board).collect()
+    assert {r.page_no for r in got if r.kind == "detail"} == {1, 2}
+    assert [r.page_no for r in got if r.kind == "listing"] == [3]
+    details = {r.url for r in got if r.kind == "detail"}
+    assert details == {r.url for r in crawl.detail_frontier(df, seen, board).collect()}
