@@ -1,20 +1,22 @@
 """Personal data: pattern spans, and terms that give a protected entity away.
 
 All of it is DataFrame work. Base spans come from four patterns. Entities are the distinct
-values they find. A term that stands near an entity is judged by how strongly it reveals
-it over the whole corpus:
+values they find. Terms are the words (runs of letters and digits, in lower case) outside base
+spans. A term that stands in a document with an entity, however far off, is judged by how strongly
+it reveals it over the whole corpus:
 
     disclosed = log2(P(entity | term) / P(entity)) / log2(1 / P(entity))
 
 the pointwise mutual information of both as a share of the entity's information: 1 where
 the term never occurs without the entity, 0 where they are independent. P(entity | term) is
-the share of documents with the term that have it near the entity. Terms at or over
-`remove_at` are removed, those at or over `generalise_at` replaced by a placeholder; both
-need `min_contexts` different surroundings, so a text and its copies prove nothing.
+the share of documents with the term that have the entity. Terms at or over `remove_at` are
+removed, those at or over `generalise_at` replaced by a placeholder, wherever they stand, also
+in documents without the entity. Both need `min_contexts` different surroundings of the entity,
+so a text and its copies prove nothing.
 
-Only words near entities become candidates, and only candidates are counted in the rest of
-the corpus. All counts fold before they are shuffled; no group is collected but the spans
-of one document.
+Only words of documents with an entity in enough surroundings become candidates, and only
+candidates are counted in the rest of the corpus. All counts fold before they are shuffled; no
+group is collected but the entities and the terms to mark of one document.
 
 Defined cases: a null text is empty; repeated rows each give their result (and count as
 documents); an entity in every document has no information, so no term reveals it; an
@@ -46,22 +48,23 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 IP_PARTS = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})){3}$"
 SPAN = "array<struct<kind:int,start:int,end:int,value:string>>"
-LETTERS = r"\p{L}+"
+#: What stands between terms.
+BETWEEN = r"[^\p{L}\p{M}\p{N}]+"
 
 
 @dataclass(frozen=True)
 class Limits:
-    """`reach`: characters on either side of an entity in which terms count as near;
-    `min_letters`: shorter terms never count."""
+    """`reach`: characters on either side of an entity that are its surroundings;
+    `min_letters`: shorter terms never count (1: there is no floor)."""
 
     reach: int = 64
-    min_letters: int = 4
+    min_letters: int = 1
     min_contexts: int = 2
     generalise_at: float = 0.6
     remove_at: float = 0.85
 
 
-def located(text: Column, pattern: str, offset: Column | int = 0) -> Column:
+def located(text: Column, pattern: str | Column, offset: Column | int = 0) -> Column:
     """Matches with their code points: array<struct<start, end, value>>, end exclusive.
 
     Gaps and matches alternate, so their lengths add up to positions."""
@@ -81,7 +84,7 @@ def located(text: Column, pattern: str, offset: Column | int = 0) -> Column:
 
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     return let(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(0)),
         lambda found: F.when(F.size(found) == 0, none).otherwise(let(F.split(text, pattern, -1), lambda gaps: placed(found, gaps))),
     )
 
@@ -138,46 +141,80 @@ def _near(text: Column, span: Column, limits: Limits) -> Column:
     return F.struct(whole.alias("before"), cut.alias("after"), (span["start"] - F.length(whole)).alias("at"))
 
 
-def _terms(text: Column, span: Column, limits: Limits) -> Column:
-    """Per entity: itself, a hash of its surroundings, the terms there and their places."""
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with spaces in the place of base spans, so that positions stay."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        start = F.greatest(acc["at"], s["start"])
+        gap = F.substring(text, acc["at"] + 1, start - acc["at"])
+        piece = F.concat(acc["out"], gap, F.repeat(F.lit(" "), s["end"] - start))
+        return F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(s["end"].alias("at"), piece.alias("out")))
+
+    done = F.aggregate(ordered, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) == 0, text).otherwise(done)
 
-    def of(near: Column) -> Column:
-        both = F.concat(located(near["before"], LETTERS, near["at"]), located(near["after"], LETTERS, span["end"]))
-        long = F.filter(both, lambda t: F.length(t["value"]) >= limits.min_letters)
-        terms = F.transform(long, lambda t: F.struct(F.lower(t["value"]).alias("term"), t["start"].alias("start"), t["end"].alias("end")))
-        return F.struct(
-            _entity(span).alias("entity"),
-            F.xxhash64(F.lower(near["before"]), F.lower(near["after"])).alias("context"),
-            terms.alias("terms"),
-        )
 
-    return let(_near(text, span, limits), of)
+def _entities(text: Column, spans: Column, limits: Limits) -> Column:
+    """Each entity of the text once, with a hash of its surroundings."""
+
+    def of(span: Column) -> Column:
+        hashed = lambda near: F.xxhash64(F.lower(near["before"]), F.lower(near["after"]))
+        return F.struct(_entity(span).alias("entity"), let(_near(text, span, limits), hashed).alias("context"))
+
+    return let(
+        F.array_sort(F.transform(spans, of)),
+        lambda found: F.filter(found, lambda x, i: (i == 0) | (F.get(found, i - 1)["entity"] != x["entity"])),
+    )
 
 
-def _scored(found: DataFrame, docs: DataFrame, text: str, limits: Limits) -> DataFrame:
-    """(entity, term, disclosed) of the terms over the lower limit. `found`: row, entity,
-    context, term, start, end."""
-    per_doc = found.groupBy("row", "entity", "term").agg(F.min("context").alias("context"))
-    contexts = per_doc.groupBy("entity", "term", "context").agg(F.count("*").alias("docs"))
-    pairs = contexts.groupBy("entity", "term").agg(F.sum("docs").alias("both"), F.count("*").alias("contexts"))
+def _forms(masked: Column, limits: Limits) -> Column:
+    """The different words as they are written."""
+    return F.filter(F.array_distinct(F.split(masked, BETWEEN)), lambda w: F.length(w) >= limits.min_letters)
+
+
+def _scored(base: DataFrame, limits: Limits) -> DataFrame:
+    """(term, disclosed) of the terms over the lower limit, by the entity that each reveals most."""
+    found = base.where(F.size("_spans") > 0).select("_forms", F.explode("_found").alias("e")).select("e.*", "_forms")
+    contexts = written(found.groupBy("entity", "context").agg(F.count("*").alias("docs")), "contexts")
+    entities = written(
+        contexts.groupBy("entity").agg(F.sum("docs").alias("with_entity"), F.count("*").alias("contexts"))
+        .where(F.col("contexts") >= limits.min_contexts).drop("contexts"),
+        "entities",
+    )
+    terms = F.array_distinct(F.transform("_forms", F.lower))
+    near = found.join(entities.select("entity"), "entity", "left_semi").select("entity", "context", F.explode(terms).alias("term"))
+    pairs = near.groupBy("entity", "term", "context").agg(F.count("*").alias("docs"))
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("docs").alias("both"), F.count("*").alias("contexts"))
     pairs = written(pairs.where(F.col("contexts") >= limits.min_contexts), "pairs")
-    entities = found.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
-    candidates = pairs.select("term").distinct()
-    said = docs.select(
-        F.explode(F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "[^\\p{L}]+"))).alias("term")
-    ).where(F.length("term") >= limits.min_letters)
-    with_term = said.join(candidates, "term", "left_semi").groupBy("term").agg(F.count("*").alias("with_term"))
-    total = docs.agg(F.count("*").alias("total")).scalar()
+    candidates = written(pairs.select("term").distinct(), "candidates")
+    said = base.select(F.explode(terms).alias("term"))
+    with_term = said.groupBy("term").agg(F.count("*").alias("with_term")).join(candidates, "term", "left_semi")
+    total = base.agg(F.count("*").alias("total")).scalar()
     share = F.log2(F.col("both") * total / (F.col("with_entity") * F.col("with_term")))
     whole = F.log2(total / F.col("with_entity"))
     return (
         pairs.join(entities, "entity").join(with_term, "term")
         .withColumn("disclosed", F.when(whole > 0, share / whole).otherwise(F.lit(0.0)))
         .where(F.col("disclosed") >= limits.generalise_at)
-        .select("entity", "term", "disclosed")
+        .groupBy("term").agg(F.max("disclosed").alias("disclosed"))
     )
 
 
+def _marked(masked: Column, kinds: Column) -> Column:
+    """Spans of all places of the words `kinds` (map of written form to kind)."""
+    pattern = F.concat(
+        F.lit(r"(?<![\p{L}\p{M}\p{N}])(?:"), F.array_join(F.map_keys(kinds), "|"), F.lit(r")(?![\p{L}\p{M}\p{N}])")
+    )
+    return F.transform(
+        located(masked, pattern),
+        lambda s: F.struct(
+            F.try_element_at(kinds, s["value"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lower(s["value"]).alias("value")
+        ),
+    ).cast(SPAN)
+
+
 def _clean(text: Column, spans: Column) -> Column:
     """The text with spans replaced: base spans and generalised terms by a placeholder, removed
     terms by nothing. Overlapping spans count once, the leftmost and longest first."""
@@ -196,30 +233,30 @@ def find(docs: DataFrame, text: str = "text", carry: list[str] | None = None, li
     """Adds `spans` (array<struct<kind, start, end, value>>, by kind and start) to the columns
     `carry` (all unless named) and, where the text is carried, `clean_text`.
 
-    Texts are scanned twice: once for spans and surroundings, once to count candidate terms."""
+    The texts without base spans are written once, as counting and marking terms both read them."""
     carry = docs.columns if carry is None else carry
     whole = F.coalesce(F.col("_text"), F.lit(""))
     rows = packed(docs, carry, _text=F.col(text)).select("_in", "_text", base_spans(whole).alias("_spans"))
-    near = F.transform("_spans", lambda s: _terms(whole, s, limits))
     base = written(
-        rows.select("_in", "_spans", F.when(F.size("_spans") > 0, near).alias("_near"), F.monotonically_increasing_id().alias("_row")),
+        rows.select(
+            "_in", "_spans", F.when(F.size("_spans") > 0, _entities(whole, F.col("_spans"), limits)).alias("_found"),
+            _masked(whole, F.col("_spans")).alias("_masked"), F.monotonically_increasing_id().alias("_row"),
+        ),
         "spans",
-    )
-    found = written(
-        base.where(F.size("_spans") > 0).select(F.col("_row").alias("row"), F.explode("_near").alias("n"))
-        .select("row", "n.entity", "n.context", F.explode("n.terms").alias("t"))
-        .select("row", "entity", "context", "t.term", "t.start", "t.end"),
-        "near",
     )
+    formed = base.select("_row", "_spans", "_found", _forms(F.col("_masked"), limits).alias("_forms"))
     kind = F.when(F.col("disclosed") >= limits.remove_at, F.lit(5)).otherwise(F.lit(4))
-    scored = _scored(found, docs, text, limits).select("entity", "term", kind.alias("kind"))
-    extra = (
-        found.join(scored, ["entity", "term"])
-        .groupBy(F.col("row").alias("_row"), "start", "end", "term").agg(F.max("kind").alias("kind"))
-        .groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end", F.col("term").alias("value"))).alias("_more"))
+    scored = written(_scored(formed, limits).select("term", kind.alias("kind")), "terms")
+    marks = (
+        formed.select("_row", F.explode("_forms").alias("form")).withColumn("term", F.lower("form")).join(scored, "term")
+        .groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("form", "kind"))).alias("_kinds"))
     )
-    spans = F.array_sort(F.concat("_spans", F.coalesce(F.col("_more"), F.array().cast(SPAN))))
-    out = base.join(extra, "_row", "left").withColumn("spans", spans)
+    extra = written(marks, "marks")
+    none = F.array().cast(SPAN)
+    base = base.join(extra, "_row", "left").withColumn(
+        "_more", F.when(F.col("_kinds").isNotNull(), _marked(F.col("_masked"), F.col("_kinds"))).otherwise(none)
+    )
+    out = base.withColumn("spans", F.array_sort(F.concat("_spans", "_more")))
     if text in carry:
         out = out.withColumn("_text", F.coalesce(F.col("_in")[text], F.lit("")))
         return unpacked(out.withColumn("clean_text", _clean(F.col("_text"), F.col("spans"))), carry, "spans", "clean_text")
