@@ -11,7 +11,7 @@ TABLES = (
     " conversations"
 ).split()
 
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
 
 
 def database(sf_dir):
@@ -26,6 +26,9 @@ def plain(value):
         return str(int(value)) if value == int(value) else str(value)
     if isinstance(value, datetime.datetime):
         return value.strftime("%Y-%m-%d %H:%M:%S")
+    # Sums of floats depend on their order in the last digits.
+    if isinstance(value, float):
+        return f"{value:.9g}"
     return None if value is None else str(value)
 
 
