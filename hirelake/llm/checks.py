@@ -74,7 +74,40 @@ select doc_id, count(*) filter (where gone) as n_removed,
   sha256(coalesce(string_agg(line, chr(10) order by x) filter (where not gone), '')) as kept_sha256
 from k group by doc_id"""
 
+
+
+def _centroid_rounds(rounds: int = 3, k: int = 16, width: int = 64) -> str:
+    """Assignment and exact floors of means, written out round by round."""
+    parts = [f"""
+with v as materialized (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor({width} * cast(x as double)) as bigint)) as c
+  from embeddings where len(embedding) = {width} and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c0 as materialized (
+  select row_number() over (order by h, c) - 1 as k, c from (
+    select sha256('1:' || cast(vec_id as varchar)) as h, c from v order by h, c limit {k}) t)"""]
+    for i in range(rounds + 1):
+        parts.append(f""", a{i} as materialized (
+  select r, min((d, k)) as best from (
+    select r, k, list_sum(list_transform(list_zip(v.c, c{i}.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as d from v, c{i}) t
+  group by r)""")
+        if i < rounds:
+            parts.append(f""", m{i + 1} as (
+  select k, x, cast((s - ((s % n) + n) % n) // n as bigint) as y from (
+    select best[2] as k, x, sum(y) as s, count(*) as n from (
+      select best, unnest(c) as y, generate_subscripts(c, 1) as x from a{i} join v using (r)) u group by 1, 2) w),
+c{i + 1} as materialized (
+  select k, coalesce(n.c, c{i}.c) as c from c{i} left join (select k, list(y order by x) as c from m{i + 1} group by k) n using (k))""")
+    last = f"a{rounds}"
+    parts.append(f"""
+select vec_id, cast(best[2] as int) as cluster, cast(best[1] as bigint) as distance,
+  cast(sum(best[1]) over (partition by best[2]) as bigint) as cluster_inertia, cast(sum(best[1]) over () as bigint) as inertia,
+  sha256(array_to_string(f.c, ',')) as centroid_sha256
+from {last} join v using (r) join (select k, c from c{rounds}) f on f.k = best[2]""")
+    return "".join(parts)
+
+
 ORACLES = {
+    "op11_centroids": _centroid_rounds(),
     "op4_substring": SUBSTRING,
     "op7_lm": LANGUAGE_MODEL,
     "op9_decontamination": DECONTAMINATION,

@@ -7,11 +7,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hirelake.llm import bpe, chat, checks, decontam, lines, lm, pii, quality, secrets, simhash, substring
+from hirelake.llm import (
+    bpe, centroids, chat, checks, columns, decontam, langid, lines, lm, periodic, pii, quality, secrets, simhash, substring,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = dict(checks.ORACLES)
@@ -190,6 +192,54 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its nearest centroid after three rounds."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    assigned, final = centroids.cluster(vectors, carry=["vec_id"])
+    digests = {c: hashlib.sha256(",".join(map(str, row)).encode()).hexdigest() for c, row in enumerate(final.tolist())}
+    return assigned.withColumn("centroid_sha256", centroids.per_cluster(digests, "string"))
+
+
+@query
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; learned from the labelled ones that are not held out."""
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
+    net = langid.trained(docs.where("lang is not null and not held_out"), "doc_id")
+    return langid.identify(docs.select("doc_id", "text", "held_out"), net, carry=["doc_id", "held_out"])
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """The texts, in a tenth of the documents with a tail of words that comes round again, as the
+    contract of op13 says."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, columns.words(F.col("text"))).alias("w"))
+    n, g = F.greatest(F.size("w"), F.lit(1)), F.col("g")
+    a = F.pmod(g, n)
+    rows = rows.select("doc_id", "text", "w", a.alias("a"), (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).alias("p"))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + F.pmod(i - F.col("a"), F.col("p"))).cast("int")
+    around = F.array_join(F.transform("w", lambda _, i: F.get("w", place(i))), " ")
+    return rows.select("doc_id", F.when(F.size("w") > 0, around).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run of words that come round again, and what is left without their repeats."""
+    docs = looped(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    runs = F.col("runs")
+    # length / period compared exactly; of equal ones the first stays, and runs come by start and period.
+    more = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    best = F.aggregate(runs, F.lit(None).cast(periodic.RUN), lambda b, r: F.when(more(b, r), r).otherwise(b))
+    lines_ = F.transform(runs, lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    found = periodic.find(docs, carry=["doc_id"]).select("doc_id", "runs", "kept_text", best.alias("best"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines_, ""), 256).alias("runs_sha256"), F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline over the documents."""
