@@ -191,12 +191,14 @@ def sampled(labelled: DataFrame, key: Column, text: Column, lang: Column, settin
     rows = labelled.select(lang.alias("lang"), text.alias("text"), F.xxhash64(key, text).alias("h")).where(
         F.col("lang").isNotNull() & (F.length(F.coalesce("text", F.lit(""))) > 0)
     )
-    # Whether a row may be chosen needs its hash alone: texts are shuffled for chosen ones only.
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # Whether a row may be chosen needs its hash alone: texts are shuffled for chosen ones only. The
+    # first row of each language comes first, so no more than most_texts languages are ever chosen
+    # from, and so many counts may go to every task.
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(settings.most_texts)
     slots = F.lit(1 << 30)
     likely = F.pmod("h", slots) <= slots * (2 * settings.per_language / F.col("n"))
     best = W.partitionBy("lang").orderBy("h", "text")
-    ranked = rows.join(counts, "lang").where(likely).withColumn("rank", F.row_number().over(best))
+    ranked = rows.join(F.broadcast(counts), "lang").where(likely).withColumn("rank", F.row_number().over(best))
     return ranked.where(F.col("rank") <= settings.per_language).orderBy("rank", "lang").limit(settings.most_texts).select("lang", "text")
 
 
