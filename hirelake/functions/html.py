@@ -1,12 +1,17 @@
 """HTML to a node array (one Arrow UDF) and selectors over that array (built-in functions).
 
-A node is `struct<path, text, attrs>`. `path` is the chain of elements from the root,
-one segment per element: `/tag[n,m]#id.class1.class2.`, n being the element's place
-among its sibling elements and m its place among those of the same tag. An element node
-has null text; a text node carries the path of the element it is directly in. Array
-order is document order.
-
-Selectors are compiled on the driver to one regular expression over `path`. The
+A node is `struct<step, text, attrs, up, depth, size>`; array order is document order. An element
+node has null text and its own step of a path, `/tag[n,m]#id.class1.class2.`, n being the element's
+place among its sibling elements and m its place among those of the same tag. A text node has a
+null step. `up` is how many nodes further in front the parent element stands (for a text: the
+element it is directly in), 0 where that is not in the array; `depth` counts the element and its
+ancestors. `size` is the number of nodes of the subtree, so what is inside an element is a
+slice of the array. All three are relative, so that a slice is a node array again.
+
+Ancestors are found by following `up`, and only for nodes whose own step fits the end of the
+selector; deep pages therefore cost no more to hold than flat ones.
+
+Selectors are compiled on the driver to one regular expression per part, for a step. The
 vocabulary is tag, `*`, #id, .class, [class*=part], :nth-child(n), :nth-of-type(m),
 descendant and child combinators, ending in `::text`, ` *::text`, `::attr(name)` or ` *::attr(name)`.
 
@@ -34,13 +39,17 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NODE_TYPE = T.ArrayType(
     T.StructType()
-    .add("path", "string")
+    .add("step", "string")
     .add("text", "string")
     .add("attrs", T.MapType(T.StringType(), T.StringType()))
+    .add("up", "integer")
+    .add("depth", "integer")
+    .add("size", "integer")
 )
-_ARROW_NODES = pa.list_(
-    pa.struct([("path", pa.string()), ("text", pa.string()), ("attrs", pa.map_(pa.string(), pa.string()))])
-)
+_ARROW_NODE = pa.struct([
+    ("step", pa.string()), ("text", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())),
+    ("up", pa.int32()), ("depth", pa.int32()), ("size", pa.int32()),
+])
 
 _MARKUP = re.compile(
     # A tag ends before the next `<`, so a page of unclosed ones is still read in linear time.
@@ -59,9 +68,6 @@ _RESERVED = re.compile(r"[/#.\[\]%]")
 # that end an open element of the listed kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = ("script", "style")
-#: Steps of a path, so that paths stay bounded; a deeper element's path is that of its ancestor
-#: at this depth, and its own step.
-MAX_DEPTH = 256
 BLOCKS = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr"
     " main nav ol p pre section table ul".split()
@@ -89,7 +95,7 @@ def _attributes(source: str) -> dict[str, str]:
 
 
 def _start_tag(tag: str, source: str, regions: tuple, attrs: tuple) -> tuple[str, str, bool, dict]:
-    """(tag, rest of its path segment, opens a region, wanted attributes)"""
+    """(tag, rest of its step, opens a region, wanted attributes)"""
     tag = tag.lower()
     given = _attributes(source) if source.strip() else {}
     ident, classes = given.get("id", ""), given.get("class", "").split()
@@ -98,39 +104,77 @@ def _start_tag(tag: str, source: str, regions: tuple, attrs: tuple) -> tuple[str
     return tag, rest, opens, {a: given[a] for a in attrs if a in given}
 
 
-def _close(stack: list, names: set | frozenset, stops: set | frozenset = frozenset()) -> bool:
-    """Close the innermost open element of the names, unless a stop is met first."""
-    for depth in range(len(stack) - 1, 0, -1):
-        tag = stack[depth][0]
-        if tag in names:
-            del stack[depth:]
-            return True
-        if tag in stops:
+class _Nodes:
+    """The nodes of several pages as lists by field."""
+
+    def __init__(self) -> None:
+        self.steps: list[str | None] = []
+        self.texts: list[str | None] = []
+        self.attrs: list[dict | None] = []
+        self.ups: list[int] = []
+        self.depths: list[int] = []
+        self.sizes: list[int] = []
+
+    def add(self, step: str | None, text: str | None, given: dict | None, parent: int, depth: int) -> int:
+        """`parent` is a place in the lists, or -1."""
+        place = len(self.steps)
+        self.steps.append(step)
+        self.texts.append(text)
+        self.attrs.append(given)
+        self.ups.append(place - parent if parent >= 0 else 0)
+        self.depths.append(depth)
+        self.sizes.append(1)
+        return place
+
+
+class _Open:
+    """The elements open at a place of the page, as a stack of [tag, children, children by tag,
+    inside a region, place of its node or -1, depth]. For each tag the places on the stack are
+    kept, so the innermost open element of a kind is found without looking through the others."""
+
+    def __init__(self, inside: bool, nodes: _Nodes) -> None:
+        self.stack: list[list] = [["", 0, {}, inside, -1, 0]]
+        self.places: dict[str, list[int]] = {}
+        self.nodes = nodes
+
+    def push(self, tag: str, inside: bool, place: int, depth: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append([tag, 0, {}, inside, place, depth])
+
+    def cut(self, length: int) -> None:
+        """Close all but the outermost `length` entries."""
+        while len(self.stack) > length:
+            tag, _, _, _, place, _ = self.stack.pop()
+            self.places[tag].pop()
+            if place >= 0:
+                self.nodes.sizes[place] = len(self.nodes.steps) - place
+
+    def close(self, names: Iterable[str], stops: Iterable[str] = ()) -> bool:
+        """Close the innermost open element of the names, unless a stop is open inside it."""
+        at = max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+        if not at or any(self.places[s][-1] > at for s in stops if self.places.get(s)):
             return False
-    return False
+        self.cut(at)
+        return True
 
 
-def _walk(html: str, regions: tuple, attrs: tuple, memo: dict, out: tuple[list, list, list]) -> None:
-    """Append the page's nodes to the three lists of `out`: paths, texts, attributes. The
-    stack holds [tag, path, children, children by tag, inside a region]; `memo` keeps start
-    tags already read, which repeat a lot."""
-    stack = [["", "", 0, {}, not regions]]
-    pos = serial = 0
-    paths, texts, found = out
+def _walk(html: str, regions: tuple, attrs: tuple, memo: dict, nodes: _Nodes) -> None:
+    """Append the page's nodes. `memo` keeps start tags already read, which repeat a lot."""
+    opened = _Open(not regions, nodes)
+    stack, pos = opened.stack, 0
 
-    def add(path: str, text: str | None, given: dict | None = None) -> None:
-        paths.append(path)
-        texts.append(text)
-        found.append(given)
+    def add_text(text: str) -> None:
+        top = stack[-1]
+        nodes.add(None, text, None, top[4], top[5])
 
     for hit in _MARKUP.finditer(html):
         start, end = hit.span()
-        if start > pos and stack[-1][4]:
-            add(stack[-1][1], unescape(html[pos:start]))
+        if start > pos and stack[-1][3]:
+            add_text(unescape(html[pos:start]))
         pos = end
         kind = hit.lastindex
         if kind == _END:
-            _close(stack, {hit[4].lower()})
+            opened.close((hit[4].lower(),))
             continue
         if kind is None:
             continue
@@ -142,27 +186,25 @@ def _walk(html: str, regions: tuple, attrs: tuple, memo: dict, out: tuple[list,
             known = memo[source] = _start_tag(*source, regions, attrs)
         tag, rest, opens, given = known
         if tag in BLOCKS:
-            _close(stack, {"p"}, {"button", "table", "td", "th"})
+            opened.close(("p",), ("button", "table", "td", "th"))
         if tag in ENDS:
-            while _close(stack, *ENDS[tag]):
+            while opened.close(*ENDS[tag]):
                 pass
         parent = stack[-1]
-        parent[2] += 1
-        nth = parent[3][tag] = parent[3].get(tag, 0) + 1
-        inside = parent[4] or opens
-        if len(stack) <= MAX_DEPTH:
-            path = f"{parent[1]}/{tag}[{parent[2]},{nth}]{rest}"
-        else:
-            serial += 1
-            path = f"{stack[MAX_DEPTH][1]}/{tag}[{parent[2]},{nth}]{rest}~{serial}."
+        parent[1] += 1
+        nth = parent[2][tag] = parent[2].get(tag, 0) + 1
+        inside, place, depth = parent[3] or opens, -1, parent[5]
         if inside:
-            add(path, None, given)
+            depth += 1
+            place = nodes.add(f"/{tag}[{parent[1]},{nth}]{rest}", None, given, parent[4], depth)
             if kind == _CONTENT and hit[3]:
-                add(path, hit[3] if tag in UNSEEN else unescape(hit[3]))
+                nodes.add(None, hit[3] if tag in UNSEEN else unescape(hit[3]), None, place, depth)
+                nodes.sizes[place] = 2
         if kind == _START and tag not in VOID:
-            stack.append([tag, path, 0, {}, inside])
-    if pos < len(html) and stack[-1][4]:
-        add(stack[-1][1], unescape(html[pos:]))
+            opened.push(tag, inside, place, depth)
+    if pos < len(html) and stack[-1][3]:
+        add_text(unescape(html[pos:]))
+    opened.cut(1)
 
 
 def _in_region(region: tuple, tag: str, ident: str, classes: list[str]) -> bool:
@@ -176,25 +218,24 @@ def _in_region(region: tuple, tag: str, ident: str, classes: list[str]) -> bool:
 
 
 def _to_arrow(pages: Iterable[str | None], regions: tuple, attrs: tuple) -> pa.Array:
-    nodes: tuple[list, list, list] = ([], [], [])
-    memo: dict = {}
-    page_ends = [0]
+    nodes, memo, page_ends = _Nodes(), {}, [0]
     for page in pages:
         _walk(page or "", regions, attrs, memo, nodes)
-        page_ends.append(len(nodes[0]))
+        page_ends.append(len(nodes.steps))
     keys, values, map_ends = [], [], [0]
-    for given in nodes[2]:
+    for given in nodes.attrs:
         if given:
             keys.extend(given)
             values.extend(given.values())
         map_ends.append(len(keys))
     struct = pa.StructArray.from_arrays(
         [
-            pa.array(nodes[0], pa.string()),
-            pa.array(nodes[1], pa.string()),
+            pa.array(nodes.steps, pa.string()),
+            pa.array(nodes.texts, pa.string()),
             pa.MapArray.from_arrays(map_ends, pa.array(keys, pa.string()), pa.array(values, pa.string())),
+            *(pa.array(numbers, pa.int32()) for numbers in (nodes.ups, nodes.depths, nodes.sizes)),
         ],
-        fields=list(_ARROW_NODES.value_type),
+        fields=list(_ARROW_NODE),
     )
     return pa.ListArray.from_arrays(pa.array(page_ends, pa.int32()), struct)
 
@@ -236,7 +277,7 @@ NUMBER = r"\d+"
 _COMPOUND = re.compile(
     r"(?P<tag>\*|[A-Za-z][\w-]*)?(?P<rest>(?:#[\w-]+|\.[\w-]+|\[class\*=[\w-]+\]|:nth-child\(\d+\)|:nth-of-type\(\d+\))*)$"
 )
-_HIDDEN = r"/(script|style)\[[^/]*$"
+_HIDDEN = r"^/(script|style)\["
 _TARGET = re.compile(r"^(?P<css>.*?)(?P<deep>\s+\*?)?::(?:(?P<text>text)|attr\((?P<attr>[\w-]+)\))$")
 
 
@@ -256,7 +297,7 @@ def _parts(compound: str) -> dict:
     }
 
 
-def _compounds(css: str) -> list[tuple[str, dict]]:
+def _compounds(css: str) -> list[tuple[str, str]]:
     """(combinator, compound) pairs; the first combinator is a descendant one."""
     tokens = css.replace(">", " > ").split()
     pairs, link = [], " "
@@ -264,14 +305,14 @@ def _compounds(css: str) -> list[tuple[str, dict]]:
         if token == ">":
             link = ">"
         else:
-            pairs.append((link, _parts(token)))
+            pairs.append((link, token))
             link = " "
     return pairs
 
 
 def _region(selector: str) -> tuple:
     css = _target(selector)[0]
-    first = _compounds(css)[0][1]
+    first = _parts(_compounds(css)[0][1])
     return first["tag"], first["id"], first["classes"], first["part"]
 
 
@@ -292,76 +333,135 @@ def _segment(p: dict) -> str:
     return rf"/{tag}\[{place}\]{ident}{classes}{part}[^/]*"
 
 
-def path_regex(css: str, deep: bool = False) -> str:
-    """Regular expression for the paths of matching elements (or of their strict descendants)."""
-    body = ""
-    for i, (link, compound) in enumerate(_compounds(css)):
-        body += ("" if i == 0 or link == ">" else "(?:/[^/]*)*") + _segment(compound)
-    return body + ("(?:/[^/]*)+$" if deep else "$")
+def path_regex(compound: str) -> str:
+    """Regular expression for the steps that one part of a selector matches."""
+    return f"^{_segment(_parts(compound))}$"
+
+
+def _fits(nodes: Column, place: Column, css: str, deep: bool = False) -> Column:
+    """Whether the element at a place matches (or lies strictly inside one that does).
+
+    Ancestors are looked at from the inside out. Bit j of `open` says that the parts from j on are
+    matched, so that part j - 1 is looked for: in the parent only if j is its child, else in any
+    ancestor. No path is put together, so depth costs time in proportion and no memory."""
+    links, parts = zip(*_compounds(css))
+    regexes = [path_regex(p) for p in parts]
+    links, last = [*links, " "], len(parts) - (not deep)
+    element = F.get(nodes, place)
+    own = F.lit(True) if deep else element["step"].rlike(regexes[-1])
+    if last == 0:
+        return own
+    stays = sum(1 << j for j in range(1, last + 1) if links[j] == " ")
+    # Where each part is a child of the one before, so many ancestors decide.
+    steps = element["depth"] if stays else F.lit(last)
+
+    def upward(so_far: Column, _: Column) -> Column:
+        step, is_open = F.get(nodes, so_far["at"])["step"], so_far["open"]
+        found = is_open.bitwiseAND(F.lit(stays))
+        for j in range(1, last + 1):
+            met = (is_open.bitwiseAND(F.lit(1 << j)) != 0) & step.rlike(regexes[j - 1])
+            found = found.bitwiseOR(F.when(met, 1 << (j - 1)).otherwise(0))
+        more = F.struct(_above(nodes, so_far["at"]).alias("at"), found.alias("open"))
+        going_on = (so_far["at"] >= 0) & (is_open > 1) & (is_open.bitwiseAND(F.lit(1)) == 0)
+        return F.when(going_on, more).otherwise(so_far)
+
+    start = F.struct(_above(nodes, place).alias("at"), F.lit(1 << last).alias("open"))
+    return own & (F.aggregate(F.sequence(F.lit(1), steps), start, upward)["open"].bitwiseAND(F.lit(1)) != 0)
+
+
+def _above(nodes: Column, place: Column) -> Column:
+    """Place of the parent element, -1 if it is not in the array."""
+    up = F.get(nodes, place)["up"]
+    return F.when(up > 0, place - up).otherwise(-1).cast("int")
 
 
 def select_all(nodes: Column, selector: str) -> Column:
     """Every text or attribute value the selector matches, in document order."""
     css, deep, attr = _target(selector)
-    regex = path_regex(css, deep)
-    if attr is None:
-        hits = F.filter(nodes, lambda n: n["text"].isNotNull() & n["path"].rlike(regex))
+
+    def texts(nodes: Column) -> Column:
+        hits = F.filter(nodes, lambda n, i: n["text"].isNotNull() & (n["up"] > 0) & _fits(nodes, i - n["up"], css, deep))
         return F.transform(hits, lambda n: n["text"])
-    value = lambda n: F.try_element_at(n["attrs"], F.lit(attr))
-    hits = F.filter(nodes, lambda n: value(n).isNotNull() & n["path"].rlike(regex))
-    return F.transform(hits, value)
+
+    def values(nodes: Column) -> Column:
+        value = lambda n: F.try_element_at(n["attrs"], F.lit(attr))
+        return F.transform(F.filter(nodes, lambda n, i: value(n).isNotNull() & _fits(nodes, i, css, deep)), value)
+
+    return lists.let(nodes, texts if attr is None else values)
 
 
 def select_first(nodes: Column, selector: str) -> Column:
     return F.get(select_all(nodes, selector), F.lit(0))
 
 
+def _elements(nodes: Column, css: str) -> Column:
+    """elements() of an array that is a column or bound already."""
+    return F.array_compact(F.transform(nodes, lambda n, i: F.when(n["text"].isNull() & _fits(nodes, i, css), i)))
+
+
 def elements(nodes: Column, css: str) -> Column:
-    """Paths of the matching elements, in document order; a path names one element."""
-    regex = path_regex(css)
-    hits = F.filter(nodes, lambda n: n["text"].isNull() & n["path"].rlike(regex))
-    return F.transform(hits, lambda n: n["path"])
+    """Places of the matching elements in the array."""
+    return lists.let(nodes, lambda nodes: _elements(nodes, css))
 
 
 def first_element(nodes: Column, css: str) -> Column:
     """The first matching element's node; null when there is none."""
-    regex = path_regex(css)
-    return F.get(F.filter(nodes, lambda n: n["text"].isNull() & n["path"].rlike(regex)), F.lit(0))
-
-
-def within(nodes: Column, path: Column) -> Column:
-    """Nodes under one element, their paths made relative to it."""
-    hits = F.filter(nodes, lambda n: F.startswith(n["path"], path))
-    return F.transform(
-        hits,
-        lambda n: F.struct(
-            F.substr(n["path"], F.length(path) + 1).alias("path"), n["text"].alias("text"), n["attrs"].alias("attrs")
-        ),
-    )
+    return lists.let(nodes, lambda nodes: F.get(nodes, F.get(_elements(nodes, css), F.lit(0))))
+
+
+def within(nodes: Column, place: Column) -> Column:
+    """The nodes of one element, as an array of its own. It comes first and has no step, so that
+    selectors match inside it."""
+
+    def cut(top: Column) -> Column:
+        first = F.struct(F.lit("").alias("step"), *(top[c].alias(c) for c in ("text", "attrs", "up", "depth", "size")))
+        return F.concat(F.array(first), F.slice(nodes, place + 2, top["size"] - 1))
+
+    return lists.let(F.get(nodes, place), cut)
 
 
 def first_within(nodes: Column, css: str) -> Column:
     """Nodes of the first matching element; null when there is none."""
-    path = F.get(elements(nodes, css), F.lit(0))
-    return lists.let(path, lambda p: F.when(p.isNotNull(), within(nodes, p)))
+
+    def inside(nodes: Column) -> Column:
+        place = F.get(_elements(nodes, css), F.lit(0))
+        return lists.let(place, lambda p: F.when(p.isNotNull(), within(nodes, p)))
+
+    return lists.let(nodes, inside)
+
+
+def outside(nodes: Column, css: str) -> Column:
+    """Nodes that lie in no matching element."""
+
+    def rest(nodes: Column) -> Column:
+        inside = lambda i: lambda p: (i >= p) & (i < p + F.get(nodes, p)["size"])
+        return lists.let(_elements(nodes, css), lambda places: F.filter(nodes, lambda _, i: ~F.exists(places, inside(i))))
+
+    return lists.let(nodes, rest)
+
+
+def _shown(nodes: Column) -> Column:
+    """Texts but those of scripts and styles."""
+    hidden = lambda nodes, n, i: F.get(nodes, i - n["up"])["step"].rlike(_HIDDEN)
+    seen = lambda nodes: lambda n, i: n["text"].isNotNull() & ~F.coalesce(hidden(nodes, n, i), F.lit(False))
+    return lists.let(nodes, lambda nodes: F.transform(F.filter(nodes, seen(nodes)), lambda n: n["text"]))
 
 
 def plain_text(nodes: Column) -> Column:
     """All text put together as it stands; script and style content is not text."""
-    shown = F.filter(nodes, lambda n: n["text"].isNotNull() & ~n["path"].rlike(_HIDDEN))
-    return F.array_join(F.transform(shown, lambda n: n["text"]), "")
+    return F.array_join(_shown(nodes), "")
 
 
 def element_texts(nodes: Column, css: str) -> Column:
     """Visible text of every matching element."""
-    return F.transform(elements(nodes, css), lambda p: visible_text(within(nodes, p)))
+    texts = lambda nodes: F.transform(_elements(nodes, css), lambda p: visible_text(within(nodes, p)))
+    return lists.let(nodes, texts)
 
 
 def visible_text(nodes: Column) -> Column:
     """Text a reader sees, near enough: script and style left out, runs of white space
     made one space, parts put together with a space. Styles are not evaluated."""
-    shown = F.filter(nodes, lambda n: n["text"].isNotNull() & ~n["path"].rlike(_HIDDEN))
-    parts = F.transform(shown, lambda n: F.btrim(F.regexp_replace(n["text"], r"[\s\xA0]+", " ")))
+    parts = F.transform(_shown(nodes), lambda t: F.btrim(F.regexp_replace(t, r"[\s\xA0]+", " ")))
     return F.array_join(F.filter(parts, lambda x: x != ""), " ")
 
 

@@ -68,8 +68,8 @@ def monster_sg(pages: DataFrame) -> DataFrame:
     n = F.col("n")
     details = F.transform(
         H.elements(n, rules["detail"]),
-        lambda path: lists.let(
-            H.within(n, path),
+        lambda place: lists.let(
+            H.within(n, place),
             lambda row: F.struct(
                 H.select_first(row, rules["detail_key"]).alias("key"),
                 H.select_all(row, rules["detail_value"]).alias("value"),
@@ -111,14 +111,15 @@ def careerjet(pages: DataFrame) -> DataFrame:
     board, rules = "careerjet", RULES["careerjet"]
     n = F.col("n")
 
-    def outside_icon(path: Column) -> Column:
-        shown = F.filter(H.within(n, path), lambda x: x["text"].isNotNull() & ~x["path"].rlike(r"/svg\["))
+    def outside_icon(place: Column) -> Column:
+        shown = F.filter(H.outside(H.within(n, place), "svg"), lambda x: x["text"].isNotNull())
         return tx.stripped(F.array_join(F.transform(shown, lambda x: x["text"]), ""))
 
     header = F.transform(H.elements(n, rules["detail"]), outside_icon)
-    df = _nodes(pages, rules).withColumn("layout", lists.layout(header))
-    posted = _first(board, "posted")
-    description = H.plain_text(H.first_within(n, rules["description"]))
+    # Columns of their own, as what is made of them names them several times.
+    found = {"header": header, "posted": _first(board, "posted"), "text": H.plain_text(H.first_within(n, rules["description"]))}
+    df = _nodes(pages, rules).withColumns(found).withColumn("layout", lists.layout(F.col("header")))
+    posted, description = F.col("posted"), F.col("text")
     return _fields(
         df,
         board,
@@ -335,7 +336,7 @@ def listing_pages(listings: DataFrame, board: str) -> DataFrame:
     rules = LISTING_RULES[board]
     n = F.col("n")
     if "card" in rules:
-        cards = F.transform(H.elements(n, rules["card"]), lambda path: H.within(n, path))
+        cards = F.transform(H.elements(n, rules["card"]), lambda place: H.within(n, place))
         if "sponsored" in rules:
             cards = F.filter(cards, lambda c: F.coalesce(H.select_first(c, rules["sponsored"]), F.lit("")) == "")
         hrefs = F.array_compact(F.transform(cards, lambda c: H.select_first(c, rules["link"])))

@@ -100,3 +100,75 @@ def test_unclosed_markup_is_read_in_linear_time(spark, piece):
     start = time.time()
     df.select(F.size(H.html_nodes(F.col("html"), ["p"])), F.size(H.anchor_hrefs(F.col("html")))).collect()
     assert time.time() - start < 20
+
+
+def walked(html, selectors=()):
+    regions = tuple(H._region(s) for s in selectors)
+    return H._to_arrow([html], regions, ("href",)).to_pylist()[0]
+
+
+@pytest.mark.parametrize("html", [
+    "<div>" * 100_000 + "deep", "<b>" * 50_000 + "</i>" * 50_000, "<i><b>" * 25_000 + "</i>" * 25_000 + "</b>" * 25_000,
+    "<p>" * 100_000, "<ul><li>" * 50_000, "<table><tr><td>" * 30_000,
+])
+def test_deep_and_unclosed_markup_is_walked_in_linear_time(html):
+    import time
+
+    start = time.perf_counter()
+    nodes = walked(html)
+    assert time.perf_counter() - start < 2
+    assert sum(n["text"] is None for n in nodes) == html.count("<") - html.count("</")
+
+
+def test_nodes_know_their_parents_and_subtrees():
+    """Against a tree made from the steps' depths by hand."""
+    for selectors in ((), ("ul",), ("li", "td")):
+        nodes = walked(SOUP, selectors)
+        for i, n in enumerate(nodes):
+            inside = nodes[i + 1 : i + n["size"]]
+            assert all(m["depth"] >= n["depth"] + (m["text"] is None) for m in inside)
+            after = nodes[i + n["size"] : i + n["size"] + 1]
+            assert n["text"] is not None or all(m["depth"] <= n["depth"] for m in after)
+            if n["up"]:
+                parent = nodes[i - n["up"]]
+                assert parent["text"] is None and i < i - n["up"] + parent["size"]
+                assert parent["depth"] == n["depth"] - (n["text"] is None)
+            else:
+                assert n["depth"] == (n["text"] is None)
+
+
+def test_selectors_below_any_depth(spark):
+    html = "<div>" * 5_000 + "<section><p class=x>in<b>b</b></p></section>" + "</div>" * 5_000
+    nodes = F.col("n")
+    for selector, want in [
+        ("section > p.x::text", ["in"]), ("div > section > p > b::text", ["b"]), ("div section b::text", ["b"]), ("section > b::text", []),
+    ]:
+        assert run(spark, html, H.select_all(nodes, selector)) == want
+    assert run(spark, html, H.element_texts(nodes, "section > p")) == ["in b"]
+
+
+def test_parts_of_parts_are_node_arrays(spark):
+    html = "<div class=c><ul><li><a href=/1>one</a><svg><g>icon</g></svg></li><li>two</li></ul></div><a href=/2>out</a>" * 2
+    n = F.col("n")
+    card = H.first_within(n, "div.c")
+    assert run(spark, html, H.element_texts(H.first_within(card, "ul"), "li")) == ["one icon", "two"]
+    assert run(spark, html, H.select_all(card, "li > a::attr(href)")) == ["/1"]
+    assert run(spark, html, H.select_all(card, "div li::text")) == []
+    assert run(spark, html, H.plain_text(H.outside(card, "svg"))) == "onetwo"
+    assert run(spark, html, F.transform(H.elements(n, "div.c"), lambda p: H.select_first(H.within(n, p), "a::text"))) == ["one", "one"]
+
+
+def test_a_page_of_many_cards_takes_time_in_proportion(spark):
+    import time
+
+    def seconds(cards):
+        html = "".join(f"<div class=card><h2>t{i}</h2><p>a<b>b</b></p><a href=/{i}>x</a></div>" for i in range(cards))
+        df = spark.createDataFrame([(html,)], "html string").select(H.html_nodes(F.col("html"), ["div.card"]).alias("n"))
+        n = F.col("n")
+        hrefs = F.transform(H.elements(n, "div.card"), lambda p: H.select_first(H.within(n, p), "a::attr(href)"))
+        start = time.time()
+        assert df.select(hrefs.alias("h")).first()[0] == [f"/{i}" for i in range(cards)]
+        return time.time() - start
+
+    seconds(50)
+    assert seconds(16_000) < 20 * max(seconds(2_000), 0.4)
