@@ -30,15 +30,18 @@ def ranked(frontier: DataFrame, page_block: int = PAGE_BLOCK, width: int = WIDTH
     """Fetch order per source: priority from high to low, then page, then position, then URL.
 
     Rows are numbered inside (source, priority, block of pages), which a page limit or a
-    page size bounds, and the counts of the groups in front are added. A source with a
-    third of all rows is thus spread over as many tasks as it has groups. The frontier is
-    read twice: hand in a table, not a plan that parses pages."""
+    page size bounds. The counts in front are summed by two trees of blocks (see
+    paging.total_before): one over the page blocks of each priority, one over the priorities of
+    each source, so that a source with a third of all rows, or one with a priority per
+    page, is never ordered in one task. The frontier is read twice: hand in a table, not a plan
+    that parses pages."""
     blocked = frontier.withColumn("_pages", F.floor(F.col("page_no") / F.lit(page_block)).cast("long"))
     group = ["source", "priority", "_pages"]
-    # One number for priority and block, so that the totals are cut into blocks of bounded size too.
-    order = -F.col("priority") * F.lit(1 << 31) + F.col("_pages")
-    counts = blocked.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).withColumn("_order", order)
-    offsets = total_before(counts, ["source"], "_order", "_n", "_before", width).select(*group, "_before")
+    counts = blocked.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    pages = total_before(counts, ["source", "priority"], "_pages", "_n", "_earlier", width).drop("_n")
+    steps = counts.groupBy("source", "priority").agg(F.sum("_n").alias("_n")).withColumn("_order", -F.col("priority"))
+    higher = total_before(steps, ["source"], "_order", "_n", "_higher", width).select("source", "priority", "_higher")
+    offsets = pages.join(higher, ["source", "priority"]).select(*group, (F.col("_earlier") + F.col("_higher")).alias("_before"))
     tie = [c for c in ("url_norm", "url") if c in frontier.columns]
     inside = W.partitionBy(*group).orderBy("page_no", "pos", *tie)
     return (

@@ -2,8 +2,8 @@
 `(source, page_no, n_links)`.
 
 One source may own a third of all pages, so nothing here orders a whole source in one
-task: running totals are taken in blocks of page numbers (at most `width` rows each) and
-the few block totals are summed up on their own.
+task: running totals are taken in blocks of numbers, the blocks' sums in blocks of blocks, and
+so on up, a tree whose windows see at most `width` rows each.
 """
 
 from __future__ import annotations
@@ -15,27 +15,51 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 WIDTH = 10_000
+#: Levels of blocks above the lowest one: enough for numbers up to 10^12, which page numbers and
+#: priorities stay far below.
+LEVELS = 2
 
 
 def total_before(
-    df: DataFrame, by: Sequence[str], order: str, value: str, name: str, width: int = WIDTH, then: Sequence[str] = ()
+    df: DataFrame, by: Sequence[str], order: str, value: str, name: str, width: int = WIDTH, then: Sequence[str] = (),
+    levels: int = LEVELS,
 ) -> DataFrame:
     """Sum of `value` over the rows in front, per `by`, in `order` (an integer column,
     negative numbers allowed) and then `then`.
 
-    Rows of a block share `by` and floor(order / width)."""
-    blocked = df.withColumn("_block", F.floor(F.col(order) / F.lit(width)).cast("long"))
-    totals = blocked.groupBy(*by, "_block").agg(F.sum(value).alias("_sum"))
-    over_blocks = W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*by, "_block", F.coalesce(F.sum("_sum").over(over_blocks), F.lit(0)).alias("_offset"))
+    Rows of a block share `by` and floor(order / width); blocks of a block share the same of their
+    own numbers, and so on for `levels`. The topmost window sees no more than twice `width` blocks
+    either while `order` is within width ** (levels + 1) of zero; beyond that totals are still
+    right. Rows of the same order stand in the same block, however many they are: count them before."""
+    blocked = df.withColumn("_block", _blocks(F.col(order), width))
+    sums = blocked.groupBy(*by, "_block").agg(F.sum(value).alias("_sum"))
     in_block = W.partitionBy(*by, "_block").orderBy(order, *then).rowsBetween(W.unboundedPreceding, -1)
     return (
-        blocked.join(offsets, [*by, "_block"])
+        blocked.join(_offsets(sums, by, width, levels), [*by, "_block"])
         .withColumn(name, (F.col("_offset") + F.coalesce(F.sum(value).over(in_block), F.lit(0))).cast("long"))
         .drop("_block", "_offset")
     )
 
 
+def _blocks(number: Column, width: int) -> Column:
+    """floor(number / width) in whole numbers: a double cannot hold every long."""
+    number, size = number.cast("long"), F.lit(width).cast("long")
+    return F.call_function("div", number - F.pmod(number, size), size)
+
+
+def _offsets(sums: DataFrame, by: Sequence[str], width: int, levels: int) -> DataFrame:
+    """(by, _block, _offset): what the blocks in front of each block add up to."""
+    if levels == 0:
+        in_front = W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+        return sums.select(*by, "_block", F.coalesce(F.sum("_sum").over(in_front), F.lit(0)).alias("_offset"))
+    grouped = sums.withColumn("_up", _blocks(F.col("_block"), width))
+    uppers = grouped.groupBy(*by, "_up").agg(F.sum("_sum").alias("_sum")).withColumnRenamed("_up", "_block")
+    above = _offsets(uppers, by, width, levels - 1).select(*by, F.col("_block").alias("_up"), F.col("_offset").alias("_above"))
+    in_front = W.partitionBy(*by, "_up").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    offset = F.col("_above") + F.coalesce(F.sum("_sum").over(in_front), F.lit(0))
+    return grouped.join(above, [*by, "_up"]).select(*by, "_block", offset.alias("_offset"))
+
+
 def within_page_limit(pages: DataFrame, limit: int) -> DataFrame:
     return pages.where(F.col("page_no") <= limit)
 
