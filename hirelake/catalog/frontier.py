@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.catalog.html_shapes import LISTING_HTML
@@ -10,9 +13,11 @@ from hirelake.catalog.registry import pages as captured_pages
 from hirelake.catalog.registry import query, shape, shape_sql, spread_table
 from hirelake.catalog.sql import PAGE_LINKS, absolute_sql, host_sql, normalised_sql, origin_sql
 from hirelake.functions import urls
-from hirelake.operators import frontier, links, paging
-from hirelake.plans import crawl
-from hirelake.session import written
+from hirelake.operators import frontier, links, paging, quality
+from hirelake.operators.seen import Seen
+from hirelake.plans import boards, crawl
+from hirelake.plans.rules import ATTEMPTS
+from hirelake.session import scratch, written
 from hirelake.sources.requests import LISTINGS
 
 LISTING = shape_sql("listing_pages")
@@ -236,3 +241,91 @@ def api_frontier(spark, sf_dir):
     none = spark.createDataFrame([], "source string, url_norm string")
     ranked = crawl.detail_frontier(bodies, none, "mckesson")
     return ranked.select("url", "page_no", F.col("pos").cast("int").alias("pos"), F.col("priority").cast("int").alias("priority"), "fetch_rank")
+
+
+def stored_seen(spark, buckets: int = 64) -> Seen:
+    """An empty table of requested URLs."""
+    path = scratch(spark, "seen")
+    return Seen(spark, "seen_" + path[-32:], path, buckets)
+
+
+# The URLs captured over plain http were requested by an earlier run, the others by the first of two.
+@query(
+    f"""select run, source, url_norm, page_no from (
+    select 1 as run, 'web' as source, url_norm, min(page_id) as page_no from (
+      select {normalised_sql('url')} as url_norm, page_id from pages) t
+    where url_norm not in (select {normalised_sql('url')} from pages where url like 'http:%') group by url_norm
+    union all
+    select 2, 'web', 'http://new.example.com/p/' || page_id, page_id from pages where page_id % 3 = 0) u"""
+)
+def frontier_runs(spark, sf_dir):
+    """Two runs of a crawl with the table of requested URLs between them: the second asks for the
+    first one's URLs too, and gets none of them."""
+    seen = stored_seen(spark)
+    pages = captured_pages(spark, sf_dir)
+    found = pages.select(F.lit("web").alias("source"), F.col("page_id").alias("page_no"), F.lit(0).alias("pos"), "url")
+    seen.remember(found.where(F.col("url").like("http:%")).withColumn("url_norm", urls.normalised(F.col("url"))))
+    first = written(seen.unseen(found), "run-1")
+    seen.remember(first)
+    again = found.where("page_no % 3 = 0").withColumn("url", F.concat(F.lit("http://new.example.com/p/"), F.col("page_no").cast("string")))
+    second = written(seen.unseen(found.unionByName(again)), "run-2")
+    seen.remember(second)
+    rows = lambda run, df: df.select(F.lit(run).alias("run"), "source", "url_norm", "page_no")
+    return rows(1, first).unionByName(rows(2, second))
+
+
+@query(
+    """select kind, url, page_no, pos, priority, row_number() over (order by priority desc, page_no, pos, url) as fetch_rank from (
+    select 'detail' as kind, 'https://careers.questdiagnostics.com/en-US/job/' || p_partkey as url, p_partkey as page_no,
+      0 as pos, p_partkey as priority from part
+    union all
+    select 'listing', 'https://careers.questdiagnostics.com/en-US/search?keywords=&location=&pagenumber=' || (max(p_partkey) + 1),
+      max(p_partkey) + 1, -1, max(p_partkey) - 5 from part) t"""
+)
+def board_requests_ranked(spark, sf_dir):
+    """Detail requests of a board's listing pages and the request for its next page, in one order."""
+    listings = spread_table(spark, sf_dir, "part", "p_partkey").select(
+        F.lit("quest").alias("source"), F.col("p_partkey").alias("page_no"), F.expr(LISTING_HTML["quest"]).alias("html")
+    )
+    ranked = crawl.all_requests(listings, stored_seen(spark), "quest")
+    return ranked.select("kind", "url", "page_no", F.col("pos").cast("int").alias("pos"), "priority", "fetch_rank")
+
+
+@query(
+    """select p_partkey as page_no, case when p_partkey % 4 > 0 then 'https://www.careerjet.co.in/jobs?p=' || (p_partkey + 1) end as next_url
+    from part"""
+)
+def careerjet_next_page(spark, sf_dir):
+    """The last link of a listing page's own pagination; every fourth page has none."""
+    links_ = (
+        "case when p_partkey % 4 > 0 then concat('<p><a href=\"/jobs?p=', p_partkey - 1, '\">back</a>"
+        "<a href=\"/jobs?p=', p_partkey + 1, '\">next</a></p>') else '' end"
+    )
+    html = f"concat('<div id=\"search-content\"><ul class=\"jobs\"><li><a href=\"/j/1\">J</a></ul>', {links_}, '</div><a href=\"/no\">n</a>')"
+    listings = spread_table(spark, sf_dir, "part", "p_partkey").select(
+        F.lit("careerjet").alias("source"), F.col("p_partkey").alias("page_no"), F.expr(html).alias("html")
+    )
+    return boards.next_page(listings, "careerjet").select("page_no", "next_url")
+
+
+_FAILURE = """case event_type when 'error' then 'http' when 'signup' then 'dns' when 'purchase' then 'timeout'
+    when 'view' then 'unknown' else 'ok' end"""
+
+
+@query(
+    " union all ".join(
+        f"""select '{kind}' as kind, url, attempts, last_failure from (
+        select 'https://jobs.example.com/j/' || user_id || '/' || event_id % 9 as url, count(*) as attempts,
+          arg_max({_FAILURE}, (ts, event_id)) as last_failure from events group by 1) t
+        where last_failure <> 'ok' and attempts < {most}"""
+        for kind, most in ATTEMPTS.items()
+    )
+)
+def retries_by_kind(spark, sf_dir):
+    """What to ask for again, with the attempts that each kind of request has."""
+    log = shape(spark, sf_dir, "fetch_log").select(
+        F.concat("url", F.lit("/"), (F.col("event_id") % 9).cast("string")).alias("url"), "ts", "event_id",
+        quality.failure_class(F.col("status"), F.col("error")).alias("failure"),
+    )
+    kinds = [crawl.retries(log, kind).select(F.lit(kind).alias("kind"), "url", "attempts", "last_failure") for kind in ATTEMPTS]
+    return reduce(DataFrame.unionByName, kinds)

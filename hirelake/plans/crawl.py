@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions import urls
 from hirelake.operators import frontier, paging, quality
+from hirelake.operators.seen import Seen
 from hirelake.plans import boards
 from hirelake.plans.rules import ATTEMPTS, DOMAINS, PAGE_LIMITS, UNTIL_EMPTY
 from hirelake.session import written
@@ -25,19 +28,21 @@ def read_pages(pages: DataFrame, board: str, page_limit: int | None = None, link
     if page_limit is not None:
         pages = paging.within_page_limit(pages, page_limit)
     counts = pages.select("source", "page_no", "n_links")
-    if link_total is not None:
-        kept = paging.until_total(counts, link_total)
-    elif board in UNTIL_EMPTY:
-        kept = paging.until_first_empty(counts)
-    else:
+    if link_total is None and board not in UNTIL_EMPTY:
         return pages
+    kept = counts
+    if board in UNTIL_EMPTY:
+        kept = paging.until_first_empty(kept)
+    if link_total is not None:
+        kept = paging.until_total(kept, link_total)
     return pages.join(kept.select("source", "page_no"), ["source", "page_no"], "left_semi")
 
 
 def detail_frontier(
-    listings: DataFrame, seen: DataFrame, board: str, page_limit: int | None = None, link_total: int | None = None
+    listings: DataFrame, seen: DataFrame | Seen, board: str, page_limit: int | None = None, link_total: int | None = None
 ) -> DataFrame:
-    """Ranked detail requests no earlier run has made, on the board's own domains. `listings` are
+    """Ranked detail requests no earlier run has made (`seen`: source and url_norm, as rows or as
+    the stored table), on the board's own domains. `listings` are
     captured pages, or API responses with a `body` for the boards that page by JSON.
 
     Listing pages are parsed once, into a table of links; so are the new requests, which
@@ -47,7 +52,7 @@ def detail_frontier(
 
 
 def all_requests(
-    listings: DataFrame, seen: DataFrame, board: str, page_limit: int | None = None, link_total: int | None = None
+    listings: DataFrame, seen: DataFrame | Seen, board: str, page_limit: int | None = None, link_total: int | None = None
 ) -> DataFrame:
     """detail_frontier and the request for the listing's next page, ranked together: the next
     page has a priority of its own, given when the page in front of it was read."""
@@ -68,11 +73,11 @@ def _listing_table(listings: DataFrame, board: str) -> DataFrame:
     return written(found, f"{board}-listing")
 
 
-def _details(pages: DataFrame, seen: DataFrame, board: str, page_limit: int | None, link_total: int | None) -> DataFrame:
+def _details(pages: DataFrame, seen: DataFrame | Seen, board: str, page_limit: int | None, link_total: int | None) -> DataFrame:
     links = boards.page_links(read_pages(pages, board, page_limit, link_total), board)
     if board in DOMAINS:
         links = frontier.allowed(links, allowed_domains(pages.sparkSession))
-    fresh = frontier.unseen(links.drop("href"), seen)
+    fresh = (seen.unseen if isinstance(seen, Seen) else partial(frontier.unseen, seen=seen))(links.drop("href"))
     return frontier.detail_requests(fresh, PAGE_LIMITS.get(board))
 
 
@@ -92,7 +97,7 @@ def next_listing(
         going_on = going_on & (F.col("page_no") < page_limit)
     if link_total is not None:
         going_on = going_on & (F.col("jobs_fetched") < link_total)
-    elif board in UNTIL_EMPTY:
+    if board in UNTIL_EMPTY:
         state = state.join(pages.where("n_links = 0").select("source").distinct(), "source", "left_anti")
     return state.where(going_on).select("source", (F.col("page_no") + 1).alias("page_no"), "jobs_fetched")
 
