@@ -27,6 +27,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,12 +44,18 @@ CROWD = 1 << 20
 SLOTS = 1 << 20
 
 
+def digests(words: list[bytes]) -> np.ndarray:
+    """64 bits of a keyed hash of each word, which stand for the word: polynomial hashes are equal
+    for some pairs of long words."""
+    return pd.util.hash_array(np.array(words, dtype=object)) if words else np.zeros(0, np.uint64)
+
+
 def _word_blocks(batch: pa.RecordBatch, rolling: Rolling) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray]]:
     """First row, words, hash per word, and number of that word in its text (per word)."""
     texts = [b" ".join((t.as_py() or b"").lower().split()) for t in batch.column("text").cast(pa.binary())]
     for a, b in blocks([len(t) for t in texts], 4 << 20):
         words = Words(texts[a:b], rolling)
-        hashes = words.runs(1)[0]
+        hashes = digests(words.data.split(b" ") if words.data else [])
         number = np.unique(hashes, return_inverse=True)[1]
         _, at, own = np.unique(words.text.astype(np.int64) << 32 | number, return_inverse=True, return_counts=True)
         yield a, words, hashes, own[at]
@@ -88,10 +95,9 @@ def _pairs(parts):
             for a, words, hashes, counts in _word_blocks(batch, rolling):
                 inside = np.flatnonzero(words.text[:-1] == words.text[1:])
                 w1, w2, text = hashes[inside], hashes[inside + 1], words.text[inside]
-                key = words.runs(2)[0][inside]
-                order = np.lexsort((key, text))
+                order = np.lexsort((w2, w1, text))
                 new = np.ones(len(order), dtype=bool)
-                new[1:] = (key[order][1:] != key[order][:-1]) | (text[order][1:] != text[order][:-1])
+                new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in (w1, w2, text)])
                 starts = np.flatnonzero(new)
                 one, n = order[starts], np.diff(np.append(starts, len(order)))
                 bits = power[(w1[one] % np.uint64(SLOTS)).astype(np.int64)].astype(np.uint64)

@@ -7,7 +7,7 @@ places. All windows around an anchor lie in its segment: the run and the window
 either side. Windows can be equal only if their anchors are, so segments are dealt to shards by
 their anchor, and the work grows with the text.
 
-1. Anchors are counted by hash and segment digest (128 bits together). Anchors of one document
+1. Anchors are counted by hash and segment digest (rolling hash and XXH3, 128 bits together). Anchors of one document
    are done with.
 2. Equal segments fold to the least id that has one. Whatever other document has that segment
    loses all of it.
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +59,13 @@ def tie(text: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True)
 
 
+def digests(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits of XXH3 of each stretch, which stand for its words: rolling hashes only propose, as
+    they are equal for some pairs of long words."""
+    places = zip(starts.tolist(), ends.tolist())
+    return np.fromiter((xxhash.xxh3_64_intdigest(data[a:b]) for a, b in places), np.uint64, len(starts))
+
+
 class Segments:
     """Anchors of some texts: `text`, `hash`, `digest`, first word `low` and number of words `size`."""
 
@@ -69,7 +77,7 @@ class Segments:
         self.begin = np.maximum(first, places - (window - GRAM))
         self.end = np.minimum(last, places + window)
         self.low, self.size = self.begin - first, self.end - self.begin
-        self.digest = rolling.between(w.sums, w.starts[self.begin], w.ends[self.end - 1]) if len(places) else self.hash
+        self.digest = digests(w.data, w.starts[self.begin], w.ends[self.end - 1])
 
     def plain(self, i: int) -> str:
         return self.words.data[self.words.starts[self.begin[i]] : self.words.ends[self.end[i] - 1]].decode()
@@ -166,21 +174,20 @@ def _windows(window: int):
     """Each window of a segment by digest, with its place in the segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, other = Rolling(), Rolling()
-        other.letters = other.letters[::-1].copy()
+        rolling = Rolling()
         for batch in batches:
             texts = [t.as_py() for t in batch.column("plain").cast(pa.binary())]
             for a, b in blocks([len(t) for t in texts]):
                 words = Words(texts[a:b], rolling)
                 one, whole = words.runs(window)
-                two = Words(texts[a:b], other).runs(window)[0]
                 at = np.flatnonzero(whole)
+                two = digests(words.data, words.starts[at], words.ends[at + window - 1])
                 row = pa.array(words.text[at] + a)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("hash").take(row), batch.column("digest").take(row), batch.column("owner").take(row),
                         pa.array((at - words.first[words.text[at]]).astype(np.int32)),
-                        pa.array(one[at].view(np.int64)), pa.array(two[at].view(np.int64)),
+                        pa.array(one[at].view(np.int64)), pa.array(two.view(np.int64)),
                     ],
                     ["hash", "digest", "owner", "at", "w1", "w2"],
                 )
