@@ -10,7 +10,7 @@ from hirelake.functions import html as H
 from hirelake.functions import urls
 from hirelake.session import scratch
 from hirelake.sources import captures
-from hirelake.streaming import incremental
+from hirelake.streaming import incremental, metrics
 
 
 def _arriving(spark, sf_dir):
@@ -68,3 +68,20 @@ def stream_counts(spark, sf_dir):
     pages = _arriving(spark, sf_dir).select(urls.host(F.col("url")).alias("source"))
     incremental.start_counts(incremental.counts(pages), f"{path}/rows", f"{path}/checkpoint").awaitTermination()
     return incremental.latest_counts(spark, f"{path}/rows")
+
+
+@query(
+    """select cast(count(*) as bigint) as pages,
+    cast(sum(len(html)) as bigint) as chars, cast(count(*) filter (where url like 'https:%') as bigint) as secure from pages"""
+)
+def stream_metrics(spark, sf_dir):
+    """What the batches of a stream report as they pass, summed up from the table of reports."""
+    path = scratch(spark, "stream-metrics")
+    secure = F.count_if(F.col("url").like("https:%"))
+    rows = metrics.observed(
+        _arriving(spark, sf_dir), "responses", pages=F.count(F.lit(1)), chars=F.sum(F.length("html")), secure=secure
+    ).select("source", "url")
+    with metrics.MetricsTable(spark, f"{path}/metrics") as table:
+        table.wait(incremental.start(rows, f"{path}/rows", f"{path}/checkpoint"))
+    values = metrics.latest(table.rows().where("observation = 'responses'")).groupBy().pivot("metric", ["pages", "chars", "secure"])
+    return values.agg(F.sum("value").cast("long"))

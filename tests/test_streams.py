@@ -84,3 +84,50 @@ def test_progress_counter(spark, folder):
     query = incremental.start(stream, f"{out}/rows", f"{out}/ckpt")
     query.awaitTermination()
     assert sum(p.observedMetrics["responses"]["responses"] for p in query.recentProgress if p.observedMetrics) == 5
+
+
+def test_counts_come_from_the_state_alone(spark, folder):
+    """Restarts carry the counters on; nothing is written per batch."""
+    import glob
+
+    path, add, out = folder
+    make = lambda: incremental.counts(captures.page_stream(spark, path, files_per_batch=1).select("source"))
+    for i in range(3):
+        add([capture(j) for j in range(4 * i, 4 * i + 4)] + [("quest", "detail", i, f"u{i}", "", T0)])
+        incremental.start_counts(make(), f"{out}/n", f"{out}/nc").awaitTermination()
+        got = sorted(map(tuple, incremental.latest_counts(spark, f"{out}/n").collect()))
+        assert got == [("paypal", 4 * i + 4), ("quest", i + 1)]
+    assert len(glob.glob(f"{out}/n/*.parquet")) == 1 and not glob.glob(f"{out}/n/batch=*")
+
+
+def test_metrics_table_has_a_row_per_batch(spark, folder):
+    from pyspark.sql import functions as F
+
+    from hirelake.streaming import metrics
+
+    path, add, out = folder
+    add([capture(i) for i in range(10)])
+
+    def run_once(every):
+        stream = metrics.observed(captures.page_stream(spark, path, files_per_batch=1), "seen", n=F.count(F.lit(1)), top=F.max("page_no"))
+        with metrics.MetricsTable(spark, f"{out}/metrics", every) as table:
+            table.wait(incremental.start(stream.select("source", "url"), f"{out}/rows", f"{out}/ckpt"))
+        return metrics.latest(table.rows())
+
+    first = run_once(every=1)
+    assert first.where("metric = 'n'").count() == 2
+    assert first.where("metric = 'n'").agg(F.sum("value")).first()[0] == 10
+    assert first.where("metric = 'top'").agg(F.max("value")).first()[0] == 9
+    add([capture(i) for i in range(10, 13)])
+    second = run_once(every=100)
+    by = {r["batch"]: r["value"] for r in second.where("metric = 'n'").collect()}
+    written = spark.read.parquet(f"{out}/rows").count()
+    assert written == 13 and sum(by.values()) == 13 and len(by) == second.where("metric = 'n'").count()
+
+
+def test_last_report_of_a_batch_counts(spark):
+    from hirelake.streaming import metrics
+
+    rows = [("q", "r1", 0, "2024-01-01", "o", "n", 5.0), ("q", "r2", 0, "2024-01-02", "o", "n", 7.0), ("q", "r1", 1, "2024-01-01", "o", "n", 1.0)]
+    got = metrics.latest(spark.createDataFrame(rows, metrics.METRICS)).select("batch", "value").collect()
+    assert sorted(map(tuple, got)) == [(0, 7.0), (1, 1.0)]
