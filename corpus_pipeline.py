@@ -2,13 +2,13 @@
 
     quality          documents that the rules reject go
     line_dedup       lines that stand earlier, within one edit, are cut out of the texts
-    near_dedup       of documents linked at a five-word Jaccard similarity of 0.8 one stays, the least id
+    near_dedup       of documents whose SimHash fingerprints link (4-word shingles, 4 bits) one stays, the least id
     decontamination  documents with a window of a benchmark item go
     tokens           texts become token ids
 
 All stages but the last return the columns of `documents`; `n_chars` follows the text. A
 document of which no line is left keeps its row with an empty text; such rows are near
-copies of each other, so one of them stays. Null texts are empty; repeated rows are copies;
+copies of each other (fingerprint zero), so one of them stays. Null texts are empty; repeated rows are copies;
 an empty table gives an empty result.
 """
 
@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import bpe, decontam, lines, nearcopies, quality
+from hirelake.llm import bpe, decontam, lines, quality, simhash
 from hirelake.session import removed, tables_made, written
 
 TOKENIZER = "word_bpe_49k.json"
@@ -34,7 +34,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return nearcopies.kept(docs)
+    return simhash.kept(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +55,12 @@ _before: list[str] = []
 
 def _tidy(stage: Stage) -> Stage:
     """The stage, removing what the stage before it left in the shared folder: when a stage
-    begins, the result of the one before has been written and its tables are done with."""
+    begins, the result of the one before has been written and its tables are done with, unless
+    `docs` still reads them."""
 
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        removed(spark, _before)
+        read = docs.inputFiles()
+        removed(spark, [path for path in _before if not any(path in file for file in read)])
         with tables_made() as made:
             out = stage(spark, docs, sf_dir)
         _before[:] = made
