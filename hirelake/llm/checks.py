@@ -56,17 +56,17 @@ from d left join words using (r) left join found using (r)"""
 
 # Of two lines within one edit, the first or the last eight characters agree.
 LINES = """
-with l as (select doc_id, x, line, case when length(line) >= 20 and length(p) >= 20 then p end as p from (
+with l as (select doc_id, x, line, nullif(p, '') as p from (
     select doc_id, x, line, trim(regexp_replace(lower(line), '\\s+', ' ', 'g')) as p from (
       select doc_id, unnest(s) as line, generate_subscripts(s, 1) as x
       from (select doc_id, string_split(text, chr(10)) as s from documents) a) b) c),
 f as (select p, min((doc_id, x)) as first from l where p is not null group by p),
 near as (
   select a.p, b.first from f a join f b on left(a.p, 8) = left(b.p, 8)
-    where a.p <> b.p and abs(length(a.p) - length(b.p)) <= 1 and levenshtein(a.p, b.p) <= 1
+    where a.p <> b.p and length(a.p) >= 20 and length(b.p) >= 20 and abs(length(a.p) - length(b.p)) <= 1 and levenshtein(a.p, b.p) <= 1
   union all
   select a.p, b.first from f a join f b on right(a.p, 8) = right(b.p, 8)
-    where a.p <> b.p and abs(length(a.p) - length(b.p)) <= 1 and levenshtein(a.p, b.p) <= 1
+    where a.p <> b.p and length(a.p) >= 20 and length(b.p) >= 20 and abs(length(a.p) - length(b.p)) <= 1 and levenshtein(a.p, b.p) <= 1
   union all select p, first from f),
 e as (select p, min(first) as first from near group by p),
 k as (select l.doc_id, l.x, l.line, e.first is not null and e.first < (l.doc_id, l.x) as gone from l left join e using (p))

@@ -1,10 +1,11 @@
 """Line dedup within one edit, by a deletion-neighbourhood join.
 
 A line is a piece of a text between line feeds; it is compared in lower case with white space
-at its ends and in runs folded, and only if `min_chars` characters are left. A line is removed
-if a line that is equal, or differs by one character replaced, inserted or deleted, stands
-earlier: in a document with a smaller id, or further up in the same one. Lines are judged on
-the input, not on what is left.
+at its ends and in runs folded. A line is removed if a line that is equal, or differs by one
+character replaced, inserted or deleted, stands earlier: in a document with a smaller id, or
+further up in the same one. Equal lines of any length count; one edit is allowed where both lines
+have `min_chars` characters, as in shorter ones a single character makes another word. Lines
+are judged on the input, not on what is left.
 
 Equal lines are folded first, to their earliest place. Then every different line would emit
 its variants: itself, and itself without each one of its characters, hashed. To emit few, a
@@ -16,7 +17,7 @@ a line that is another's variant differs from it by one deletion. Both ways need
 earliest line of a group, a minimum that folds before the shuffle; pairs of a group are never
 made. The edit distance to that earliest line is verified.
 
-Defined cases: null texts have no lines and stay null; lines too short stay; documents whose
+Defined cases: null texts have no lines and stay null; blank lines stay; documents whose
 id is null come after all others; rows of one id come in the order of their texts' digests;
 rows equal in id and text are one place, so all of them keep or lose the same lines; an empty
 table gives an empty result. A document keeps its row even if no line is left; its text is
@@ -37,6 +38,7 @@ from hirelake.llm.columns import bit_table, packed, unpacked
 from hirelake.llm.rolling import Rolling, mixed
 from hirelake.session import written
 
+#: Characters from which a line may differ by an edit from one that it repeats.
 MIN_CHARS = 20
 #: Slots of the table of lines that may have a partner (16 MB in a task), whatever their number.
 TABLE_BITS = 1 << 24
@@ -68,13 +70,11 @@ def half_keys(line: str) -> list[int]:
     return out
 
 
-def _lines(texts: pa.Array, min_chars: int) -> Iterator[tuple[int, int, str]]:
+def _lines(texts: pa.Array) -> Iterator[tuple[int, int, str]]:
     for row, text in enumerate(texts.to_pylist()):
         for at, line in enumerate(text.split("\n") if text else ()):
-            if len(line) >= min_chars:
-                plain = normal(line)
-                if len(plain) >= min_chars:
-                    yield row, at, plain
+            if plain := normal(line):
+                yield row, at, plain
 
 
 def _hashed(min_chars: int):
@@ -85,19 +85,20 @@ def _hashed(min_chars: int):
                 int.from_bytes(hashlib.sha256(t.as_py() or b"").digest()[:8], "big", signed=True)
                 for t in texts.cast(pa.binary())
             ]
-            rows, places, hashes, halves = [], [], [], []
-            for row, at, plain in _lines(texts, min_chars):
+            rows, places, hashes, halves, short = [], [], [], [], []
+            for row, at, plain in _lines(texts):
                 rows.append(row)
                 places.append(at)
                 hashes.append(line_hash(plain))
-                halves.append(half_keys(plain))
+                short.append(len(plain) < min_chars)
+                halves.append((0, 0, 0, 0) if short[-1] else half_keys(plain))
             h = np.array(hashes, dtype=np.int64).reshape(-1, 2)
-            k = np.array(halves, dtype=np.int64).reshape(-1, 4)
+            k, none = np.array(halves, dtype=np.int64).reshape(-1, 4), np.array(short, dtype=bool)
             own = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id").take(own), pa.array(ties, pa.int64()).take(own), pa.array(places, pa.int32()),
-                    pa.array(h[:, 0]), pa.array(h[:, 1]), *(pa.array(k[:, i]) for i in range(4)),
+                    pa.array(h[:, 0]), pa.array(h[:, 1]), *(pa.array(k[:, i], mask=none) for i in range(4)),
                 ],
                 ["id", "tie", "line", "h1", "h2", "k0", "k1", "k2", "k3"],
             )
@@ -110,7 +111,9 @@ def _texts_of(min_chars: int, table):
         bits = table.value
         for batch in batches:
             found = {}
-            for _, _, plain in _lines(batch.column("_text"), min_chars):
+            for _, _, plain in _lines(batch.column("_text")):
+                if len(plain) < min_chars:
+                    continue
                 h = line_hash(plain)
                 if bits[h[0] & TABLE_BITS - 1]:
                     found[h] = plain
@@ -183,7 +186,7 @@ def _removed(rows: DataFrame, min_chars: int) -> DataFrame:
         ),
         "distinct-lines",
     )
-    keys = distinct.select("h1", "h2", F.explode(F.array(*halves)).alias("half"))
+    keys = distinct.where("k0 is not null").select("h1", "h2", F.explode(F.array(*halves)).alias("half"))
     common = written(keys.groupBy("half").agg(F.count("*").alias("n")).where("n >= 2").select("half"), "halves")
     possible = written(keys.join(common, "half", "left_semi").select("h1", "h2").distinct(), "possible-lines")
     table = rows.sparkSession.sparkContext.broadcast(bit_table(possible, "h1", TABLE_BITS))

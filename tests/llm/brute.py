@@ -182,14 +182,15 @@ def lines(rows, min_chars=20):
     tie = lambda t: int.from_bytes(hashlib.sha256((t or "").encode()).digest()[:8], "big", signed=True)
     for doc, text in rows:
         for i, line in enumerate(text.split("\n") if text else ()):
-            if len(plain(line)) >= min_chars:
+            if plain(line):
                 at = (doc is None, doc or 0, tie(text), i)
                 places[plain(line)] = min(places.get(plain(line), at), at)
     by_size = {}
-    for x in places:
+    for x in (p for p in places if len(p) >= min_chars):
         by_size.setdefault(len(x), []).append(x)
+    near = lambda x, n: by_size.get(len(x) + n, ()) if len(x) >= min_chars else ()
     best = {
-        x: min([places[x]] + [places[y] for n in (-1, 0, 1) for y in by_size.get(len(x) + n, ()) if within_one_edit(x, y)])
+        x: min([places[x]] + [places[y] for n in (-1, 0, 1) for y in near(x, n) if within_one_edit(x, y)])
         for x in places
     }
     out = []
@@ -197,7 +198,7 @@ def lines(rows, min_chars=20):
         kept, gone = [], 0
         for i, line in enumerate(text.split("\n") if text else ()):
             at = (doc is None, doc or 0, tie(text), i)
-            if plain(line) in best and best[plain(line)] < at and len(line) >= min_chars:
+            if plain(line) in best and best[plain(line)] < at:
                 gone += 1
             else:
                 kept.append(line)
