@@ -5,17 +5,20 @@ words; the minimum-covariance-determinant (MCD) fit is a fixed number of concent
 steps, each one aggregation. Sums are taken over whole numbers, so the fit does not
 depend on the order of rows.
 
-Fit. Groups are the pairs of language and source; pairs of under `min_rows` documents are
-pooled by language, and languages still too small are pooled together. A step takes the
-share `share` of each group that lies nearest to the current centre (whole distance bins,
-so ties stay together) and computes its mean and covariance; the first step measures from
-coordinate medians. The rows of a group meet only in sums per group and distance bin,
-whose number does not grow with the data.
+Fit. Every pair of language and source is fitted, whatever its size, and so are every language
+and the whole. A step takes the share `share` of each group that lies nearest to the current
+centre (whole distance bins, so ties stay together) and computes its mean and covariance; the
+first step measures from coordinate medians. The rows of a group meet only in sums per group and
+distance bin, whose number does not grow with the data.
+
+Small groups. A document is judged by a mixture of its pair's estimate and its language's, which
+is itself a mixture with that of the whole. Of n documents the own estimate weighs
+n / (n + `pull`), so it moves smoothly from the wider group's to its own as the group grows.
 
 Defined cases: null texts count as empty and fail; null languages and sources are groups
-of their own; repeated rows count as often as they come; a group in which fewer than
-`least_rows` documents pass the base rule gets no verdict (they are kept); an empty table
-gives an empty result. Input columns are kept, except that an added
+of their own; repeated rows count as often as they come; a table of one document is its own
+centre, so it is kept if it passes the base rule; very long texts count as a whole, like others;
+an empty table gives an empty result. Input columns are kept, except that an added
 column takes the place of one of the same name.
 """
 
@@ -41,12 +44,12 @@ UNIT = 10_000
 class Rules:
     """`floors`: the spread, per axis, that is never held against a document: log of the
     mean word length, and roots of the shares of symbols, repeated lines, repeated words.
+    `pull`: documents of its own at which a group's estimate weighs as much as the wider one's.
     `reject`: probability that a clean document is farther out than the limit."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
-    min_rows: int = 200
-    least_rows: int = 20
+    pull: int = 30
     share: float = 0.75
     steps: int = 5
     reject: float = 0.001
@@ -133,46 +136,31 @@ def _vector() -> list[Column]:
     return [F.round(x * UNIT).cast("long") for x in raw]
 
 
-def _pair() -> Column:
-    return F.concat(F.lit("2"), F.to_json(F.struct("_lang", "_source")))
-
-
-def _groups(stats: DataFrame, rules: Rules) -> DataFrame:
-    """The `_group` of each pair: itself, or else a pool of small ones."""
-    pair, one = _pair(), F.concat(F.lit("1"), F.to_json(F.struct("_lang")))
-    sizes = (
-        stats.where(~F.col("base_failed")).groupBy(pair.alias("_pair"), one.alias("_pool")).agg(F.count("*").alias("_n"))
-        .withColumn("_own", F.col("_n") >= rules.min_rows)
-    )
-    pools = sizes.where(~F.col("_own")).groupBy("_pool").agg((F.sum("_n") >= rules.min_rows).alias("_pooled"))
-    return sizes.join(pools, "_pool", "left").select(
-        "_pair",
-        F.when(F.col("_own"), F.col("_pair")).when(F.col("_pooled"), F.col("_pool")).otherwise(F.lit("0")).alias("_group"),
-    )
-
-
-def _grouped(stats: DataFrame, groups: DataFrame) -> DataFrame:
-    """Each row with its `_group`."""
-    return stats.withColumn("_pair", _pair()).join(groups, "_pair", "left").drop("_pair")
+def _levels() -> list[Column]:
+    """The groups a row belongs to, from the whole to its pair."""
+    return [
+        F.lit("0"),
+        F.concat(F.lit("1"), F.to_json(F.struct("_lang"))),
+        F.concat(F.lit("2"), F.to_json(F.struct("_lang", "_source"))),
+    ]
 
 
-def _cumulated(bins: DataFrame, sums: list[str], at: Column) -> DataFrame:
-    """Per group, the sums over its lowest bins that together hold the `at` of its rows."""
-    up = Window.partitionBy("_group").orderBy("_bin")
-    whole = Window.partitionBy("_group")
-    out = bins.select("_group", "_bin", F.sum("_n").over(whole).alias("_all"), *(F.sum(c).over(up).alias(c) for c in sums))
-    return out.where(F.col("_n") >= F.ceil(at * F.col("_all"))).withColumn(
+def _cumulated(bins: DataFrame, sums: list[str], at: float, by: tuple = ("_group",)) -> DataFrame:
+    """Per group, the sums over its lowest bins that together hold the share `at` of its rows."""
+    up = Window.partitionBy(*by).orderBy("_bin")
+    whole = Window.partitionBy(*by)
+    out = bins.select(*by, "_bin", F.sum("_n").over(whole).alias("_all"), *(F.sum(c).over(up).alias(c) for c in sums))
+    return out.where(F.col("_n") >= F.ceil(F.lit(at) * F.col("_all"))).withColumn(
         "_first", F.row_number().over(up)).where("_first = 1").drop("_first")
 
 
 def _medians(rows: DataFrame) -> DataFrame:
     """The lower median of each axis to a hundredth, from counts per bin."""
-    out = None
-    for k in range(AXES):
-        counts = rows.groupBy("_group", F.floor(F.col(f"_x{k}") / 100).alias("_bin")).agg(F.count("*").alias("_n"))
-        one = _cumulated(counts, ["_n"], F.lit(0.5)).select("_group", (F.col("_bin") * 100.0 + 50).alias(f"_m{k}"))
-        out = one if out is None else out.join(one, "_group")
-    return out
+    axes = rows.select("_group", F.posexplode(F.array(*(f"_x{k}" for k in range(AXES)))).alias("_axis", "_x"))
+    counts = axes.groupBy("_group", "_axis", F.floor(F.col("_x") / 100).alias("_bin")).agg(F.count("*").alias("_n"))
+    middle = F.col("_bin") * 100.0 + 50
+    return _cumulated(counts, ["_n"], 0.5, ("_group", "_axis")).groupBy("_group").agg(
+        *(F.max(F.when(F.col("_axis") == k, middle)).alias(f"_m{k}") for k in range(AXES)))
 
 
 def _factored(fit: DataFrame) -> DataFrame:
@@ -219,7 +207,7 @@ def _concentrated(rows: DataFrame, fit: DataFrame, rules: Rules) -> DataFrame:
         *(exact(F.col(f"_x{i}") * F.col(f"_x{j}")).alias(f"_b{i}{j}") for i, j in pairs),
     )
     sums = ["_n", *(f"_a{i}" for i in range(AXES)), *(f"_b{i}{j}" for i, j in pairs)]
-    near, scale = _cumulated(bins, sums, F.lit(rules.share)), consistency(rules.share)
+    near, scale = _cumulated(bins, sums, rules.share), consistency(rules.share)
     n = F.col("_n").cast("double")
     means = {f"_m{i}": F.col(f"_a{i}").cast("double") / n for i in range(AXES)}
     spread = {}
@@ -228,17 +216,42 @@ def _concentrated(rows: DataFrame, fit: DataFrame, rules: Rules) -> DataFrame:
         floor = (rules.floors[i] * UNIT) ** 2 if i == j else 0.0
         spread[f"_s{i}{j}"] = inner * scale + floor
     return _factored(near.withColumns(means).withColumns(spread)).drop(
-        "_bin", "_all", *sums)
+        "_bin", *sums)
 
 
 def fitted(rows: DataFrame, rules: Rules) -> DataFrame:
-    """Centre and factor of each group; each step is written, so none is computed twice."""
+    """Centre, covariance and number of rows of each group; each step is written, so none is
+    computed twice."""
     fit = written(_first_fit(rows, rules), "mcd")
     for _ in range(rules.steps):
         fit = written(_concentrated(rows, fit, rules), "mcd")
     return fit
 
 
+def _drawn(fit: DataFrame, wider: DataFrame, rules: Rules) -> DataFrame:
+    """The estimates of `fit` mixed with those of `wider`, which has them by `_wider`: mean and
+    covariance of the two taken as one population, in shares of n to `pull`."""
+    names = [f"_m{i}" for i in range(AXES)] + [f"_s{i}{j}" for i in range(AXES) for j in range(i + 1)]
+    up = wider.select(F.col("_group").alias("_wider"), *(F.col(c).alias(f"{c}_up") for c in names))
+    own = F.col("_all") / (F.col("_all") + F.lit(float(rules.pull)))
+    mixed = lambda c: own * F.col(c) + (1 - own) * F.col(f"{c}_up")
+    apart = lambda i: F.col(f"_m{i}") - F.col(f"_m{i}_up")
+    return fit.join(up, "_wider").select(
+        "_group", "_all",
+        *(mixed(f"_m{i}").alias(f"_m{i}") for i in range(AXES)),
+        *((mixed(f"_s{i}{j}") + own * (1 - own) * apart(i) * apart(j)).alias(f"_s{i}{j}") for i in range(AXES) for j in range(i + 1)),
+    )
+
+
+def shrunk(fit: DataFrame, parents: DataFrame, rules: Rules) -> DataFrame:
+    """Estimates by which documents are judged: those of the pairs, drawn towards their languages',
+    which are drawn towards the whole's. `parents`: `_group` of each pair and language, and its `_wider`."""
+    linked = fit.drop(*(f"_l{i}{j}" for i in range(AXES) for j in range(i + 1))).join(parents, "_group")
+    level = lambda k: F.col("_group").startswith(k)
+    languages = _drawn(linked.where(level("1")), fit.where(level("0")), rules)
+    return _factored(_drawn(linked.where(level("2")), languages, rules)).drop("_all")
+
+
 def score(
     docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
     carry: list[str] | None = None, rules: Rules = Rules(),
@@ -253,14 +266,16 @@ def score(
     stats = stats.withColumns({f"_x{i}": F.when(~F.col("base_failed"), x) for i, x in enumerate(_vector())})
     stats = written(stats, "statistics")
     # Written tables have a known size: small ones are broadcast, and rows with texts stay where they are.
-    groups = written(_groups(stats, rules), "groups")
-    fit_on = written(
-        _grouped(stats, groups).where(~F.col("base_failed")).select("_group", *(f"_x{i}" for i in range(AXES))), "vectors"
-    )
-    judged = fit_on.groupBy("_group").agg(F.count("*").alias("_n")).where(F.col("_n") >= rules.least_rows).select("_group")
-    fit = fitted(fit_on.join(judged, "_group", "left_semi"), rules)
+    root, language, pair = _levels()
+    vectors = stats.where(~F.col("base_failed")).select(
+        F.array(root, language, pair).alias("_levels"), *(f"_x{i}" for i in range(AXES)))
+    fit_on = written(vectors, "vectors").select(F.explode("_levels").alias("_group"), *(f"_x{i}" for i in range(AXES)))
+    known = stats.where(~F.col("base_failed")).select(language.alias("_one"), pair.alias("_two")).distinct()
+    links = F.array(*(F.struct(F.col(a).alias("_group"), b.alias("_wider")) for a, b in (("_one", root), ("_two", F.col("_one")))))
+    parents = known.select(F.inline(links)).distinct()
+    fit = written(shrunk(fitted(fit_on, rules), parents, rules), "mcd")
     far = F.coalesce(F.col("distance") > quantile(1 - rules.reject), F.lit(False))
-    out = with_distance(_grouped(stats, groups), fit).withColumn("kept", ~F.col("base_failed") & ~far)
+    out = with_distance(stats.withColumn("_group", pair), fit).withColumn("kept", ~F.col("base_failed") & ~far)
     return unpacked(out, carry, *ADDED)
 
 

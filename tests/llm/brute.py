@@ -237,21 +237,11 @@ def robust(rows, rules):
     from hirelake.llm import quality as q
 
     stats = [quality(t) for t, _, _ in rows]
-    keys = []
-    for _, lang, source in rows:
-        pair = {k: v for k, v in (("_lang", lang), ("_source", source)) if v is not None}
-        keys.append(("2" + json.dumps(pair), "1" + json.dumps({k: v for k, v in pair.items() if k == "_lang"})))
     good = [i for i, s in enumerate(stats) if not s[5]]
-    sizes = Counter(keys[i][0] for i in good)
-    small = Counter()
-    for i in good:
-        if sizes[keys[i][0]] < rules.min_rows:
-            small[keys[i][1]] += 1
     groups = {}
     for i in good:
-        pair, pool = keys[i]
-        name = pair if sizes[pair] >= rules.min_rows else pool if small[pool] >= rules.min_rows else "0"
-        groups.setdefault(name, []).append(i)
+        for name in ((), rows[i][1:2], rows[i][1:3]):
+            groups.setdefault(tuple(name), []).append(i)
 
     def vector(i):
         n, chars, symbols, dup, rep, _ = stats[i]
@@ -261,9 +251,9 @@ def robust(rows, rules):
 
     kept = [not s[5] for s in stats]
     floors = np.diag([(f * q.UNIT) ** 2 for f in rules.floors])
-    for members in groups.values():
-        if len(members) < rules.least_rows:
-            continue
+    fits = {}
+    for name in sorted(groups, key=len):
+        members = groups[name]
         x = np.array([vector(i) for i in members], dtype=float)
         n = len(x)
         middle = []
@@ -277,7 +267,13 @@ def robust(rows, rules):
             near = x[bins <= np.sort(bins)[math.ceil(rules.share * n) - 1]]
             centre = near.mean(axis=0)
             cov = (near.T @ near / len(near) - np.outer(centre, centre)) * q.consistency(rules.share) + floors
-        d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
-        for i, far in zip(members, d > q.quantile(1 - rules.reject)):
-            kept[i] = not far
+        if name:
+            w, (up, spread) = n / (n + rules.pull), fits[name[:-1]]
+            gap = centre - up
+            centre, cov = w * centre + (1 - w) * up, w * cov + (1 - w) * spread + w * (1 - w) * np.outer(gap, gap)
+        fits[name] = centre, cov
+        if len(name) == 2:
+            d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
+            for i, far in zip(members, d > q.quantile(1 - rules.reject)):
+                kept[i] = not far
     return kept

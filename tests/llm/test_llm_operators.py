@@ -14,7 +14,7 @@ from hirelake.llm.components import components
 from hirelake.llm.fmindex import Index
 
 BYTES, WORDS = (bpe.tokenizer_file(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
-RULES = quality.Rules(min_rows=15, least_rows=5)
+RULES = quality.Rules(pull=5)
 
 
 def rows(df, *columns):
@@ -91,6 +91,24 @@ def test_quality_fit(spark):
     assert quality.kept(docs, rules=RULES).columns == docs.columns
 
 
+def test_quality_small_pairs(spark):
+    """A pair of 40 documents is judged by its own statistics, one of three mostly by its language's."""
+    pick = random.Random(8)
+    word = lambda a, b: "".join(pick.choice("abcdefgh") for _ in range(pick.randint(a, b)))
+    made = [(" ".join(word(3, 8) for _ in range(90)), "en", "large") for _ in range(300)]
+    made += [(" ".join(word(9, 14) for _ in range(90)), "en", "long words") for _ in range(40)]
+    made += [(" ".join(word(3, 8) for _ in range(90)), "en", "tiny") for _ in range(2)]
+    made += [(" ".join(word(3, 8) + "#$%" for _ in range(90)), "en", "tiny"), (" ".join(word(3, 8) for _ in range(90)), None, None)]
+    schema = "doc_id long, text string, lang string, source string"
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(made)], schema)
+    scored = quality.score(docs).orderBy("doc_id").collect()
+    assert [r.kept for r in scored] == brute.robust(made, quality.Rules())
+    assert all(r.kept for r in scored[300:342]) and not scored[342].kept and scored[343].kept
+    assert sum(r.kept for r in scored[:300]) > 290
+    one = quality.score(docs.where("doc_id = 343")).collect()
+    assert [(r.kept, r.distance is not None) for r in one] == [(True, True)]
+
+
 def test_simhash(spark):
     got = simhash.cluster(documents(spark))
     named = [(d, f"{f & (1 << 64) - 1:016x}", c) for d, f, c in rows(got, "doc_id", "fingerprint", "component_id")]
