@@ -14,16 +14,19 @@ the dictionary and are put together again. A false positive of the bit table onl
 entry to the dictionary.
 
 The tokenizer must drop white space between words, which `Codec` checks; its words are then
-independent of each other, and their tokens are kept in a cache of bounded size.
+independent of each other, and their tokens are kept in a cache of bounded size, one for each
+Python worker, so the tasks that follow each other in a worker share it.
 
 Defined cases: a null text is empty and has no tokens; repeated rows each give their
 result; special tokens written in a text are encoded as such, as the library does; an empty
-table gives an empty result. Token ids are packed as little-endian unsigned integers of
+table gives an empty result; a text at one of whose joins no neighbourhood agrees is encoded whole;
+very long texts are cut into chunks like others. Token ids are packed as little-endian unsigned integers of
 `id_bytes` bytes. The added column takes the place of an input column of its name.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import importlib.util
 import json
@@ -122,6 +125,12 @@ class Codec:
         return found
 
 
+@functools.lru_cache(maxsize=1)
+def codec_of(path: str) -> Codec:
+    """The worker's own codec, with the words it has seen in earlier tasks."""
+    return Codec(path)
+
+
 def cuts(data: bytes, rolling: Rolling) -> tuple[np.ndarray, np.ndarray]:
     """Places of the chunks' ends, and the chunks' hashes. A cut depends on the WINDOW bytes
     in front of it only, and never splits a character."""
@@ -140,9 +149,9 @@ def slots(hashes: np.ndarray) -> np.ndarray:
     return (hashes % np.uint64(TABLE_BITS)).astype(np.int64)
 
 
-def repaired(codec: Codec, words: list[bytes], ids: list[bytes], at: int, seam: bytes) -> bytes:
+def repaired(codec: Codec, words: list[bytes], ids: list[bytes], at: int, seam: bytes) -> bytes | None:
     """Tokens of `seam`, which stands before words[at]. It is encoded with its neighbours, whose
-    tokens must come out as `ids` has them; else the neighbourhood grows."""
+    tokens must come out as `ids` has them; else the neighbourhood grows. None if it never agrees."""
     reach = 1
     while True:
         left, right = max(0, at - reach), min(len(words), at + reach)
@@ -151,7 +160,7 @@ def repaired(codec: Codec, words: list[bytes], ids: list[bytes], at: int, seam:
         if whole.startswith(before) and whole.endswith(after) and len(whole) >= len(before) + len(after):
             return whole[len(before) : len(whole) - len(after)]
         if left == 0 and right == len(words):
-            raise ValueError("tokens around a join never agree")
+            return None
         reach *= 2
 
 
@@ -193,7 +202,7 @@ def _encode_chunks(path: str):
     """(key, chunk) to the packed ids and how many bytes of them the first and the last word have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for batch in batches:
             out = [codec.words(c.split()) for c in batch.column("chunk").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -243,8 +252,11 @@ def parts(codec: Codec, data: bytes, ends: np.ndarray, shared: np.ndarray) -> li
         core = core[:8] + core[-8:] if len(core_ids) < len(core) else core
         if seam is not None:
             near = words + core
-            pending.append(repaired(codec, near, coded + core_ids, len(words), seam))
-            words, coded = [seam], [pending[-1]]
+            made = repaired(codec, near, coded + core_ids, len(words), seam)
+            if made is None:
+                return [(None, codec.raw(data.decode()), False, False)]
+            pending.append(made)
+            words, coded = [seam], [made]
         if core:
             if shared[i]:
                 flush()
@@ -263,7 +275,7 @@ def _encode_documents(path: str, table, reuse: bool):
     ]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, rolling, bits = Codec(path), Rolling(), table.value
+        codec, rolling, bits = codec_of(path), Rolling(), table.value
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
             for a, b in blocks(sizes, SLICE):
@@ -334,7 +346,7 @@ def id_bytes(tokenizer: str) -> int:
 
 def _decoder(path: str):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for ids in batches:
             yield pa.array([codec.decode(value or b"") for value in ids.to_pylist()], pa.string())
 

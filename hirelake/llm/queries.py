@@ -117,7 +117,7 @@ def _id_digests(path: str):
     kind = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = bpe.Codec(path)
+        codec = bpe.codec_of(path)
         name = [str(i) for i in range(1 << 16)].__getitem__ if codec.kind.itemsize == 2 else str
         for ids in batches:
             out = []

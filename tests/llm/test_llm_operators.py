@@ -217,6 +217,16 @@ def test_bpe_round_trip(spark):
         assert r.back == own.decode(ids, skip_special_tokens=False)
 
 
+def test_text_without_agreement_is_encoded_whole(monkeypatch):
+    from hirelake.llm.rolling import Rolling
+
+    body = " ".join(f"word{i}" for i in range(3000)).encode()
+    codec = bpe.codec_of(WORDS)
+    ends = bpe.cuts(body, Rolling())[0]
+    monkeypatch.setattr(bpe, "repaired", lambda *_: None)
+    assert bpe.parts(codec, body, ends, np.ones(len(ends), bool)) == [(None, codec.raw(body.decode()), False, False)]
+
+
 def test_chunks_are_shared_and_repaired(spark):
     from hirelake.llm.rolling import Rolling
 
