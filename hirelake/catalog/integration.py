@@ -11,7 +11,7 @@ from hirelake.functions import urls
 from hirelake.operators import cards, links, quality
 from hirelake.plans import schema
 from hirelake.session import scratch
-from hirelake.sources import sinks
+from hirelake.sources import restated, sinks
 
 _PAIRS = f"""(select c.job_url, trim(c.industry) as industry,
     case when contains(c.label, ' ') then regexp_extract(c.label, '^(.*) [^ ]*$', 1) else c.label end as title,
@@ -153,3 +153,23 @@ def page_counters(spark, sf_dir):
 )
 def source_counters(spark, sf_dir):
     return quality.source_counters(shape(spark, sf_dir, "listing_pages"))
+
+
+@query(
+    """select o_orderstatus as source, o_orderkey as id, cast(year(o_orderdate) as integer) as day,
+    case when year(o_orderdate) >= 1995 then o_clerk else o_orderpriority end as title
+    from orders where year(o_orderdate) < 1995 or o_orderkey % 3 > 0"""
+)
+def restated_days(spark, sf_dir):
+    """Postings by period, some periods stated a second time with fewer rows, after a run that broke off."""
+    path = scratch(spark, "restated")
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("source"), F.col("o_orderkey").alias("id"), F.year("o_orderdate").alias("day"),
+        "o_clerk", F.col("o_orderpriority").alias("title"),
+    )
+    columns = ["source", "id", "day", "title"]
+    restated.restate(rows.select(columns), path, "first", 1)
+    restated.write_rows(rows.select(columns), path, "broken")
+    later = rows.where("day >= 1995 and id % 3 > 0").withColumn("title", F.col("o_clerk"))
+    restated.restate(later.select(columns), path, "second", 2)
+    return restated.read(spark, path, "source string, id long, day int, title string")
