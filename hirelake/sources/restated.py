@@ -63,8 +63,8 @@ def current(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Each day once, in the columns of `schema`. Runs and days are folders, so files of replaced days
-    are pruned by the join and not read."""
+    """Each day once, in the columns of `schema`. Rows of replaced days are scanned and
+    dropped by the join: their folders are not pruned, as the manifest is known only when the query runs."""
     rows = spark.read.schema(f"{schema}, run string, _day string").option("basePath", f"{path}/data").parquet(f"{path}/data")
     known = current(spark, path)
     meets = (rows["run"] == known["run"]) & rows["_day"].eqNullSafe(known["day"])
