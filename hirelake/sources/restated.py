@@ -3,7 +3,8 @@
 A run writes its rows under a folder of its own and then, as its last act, a manifest: one small
 table that names the days it stands for and its version. Readers take each day from the run of the
 highest version that names it. A run that breaks off has no manifest and is never read; one that is
-repeated under its name replaces itself; what older runs hold of a
+repeated under its name replaces itself (if it had its manifest already, the repetition must not
+break off: give a finished run's second go a new name and a higher version); what older runs hold of a
 day stays on disk and is passed over by readers.
 
 Defined cases: a null day is a day of its own; a run of no rows names no day, unless `days` does,
