@@ -25,9 +25,14 @@ NBSP = "\xa0"
 CRLF = "\r\n"
 
 
+def char_class(chars: str) -> str:
+    """A pattern for runs of the characters."""
+    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]+"
+
+
 def without_chars(text: Column, chars: str) -> Column:
     """Delete every occurrence of each character, in one pass."""
-    return F.regexp_replace(text, "[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]+", "")
+    return F.regexp_replace(text, char_class(chars), "")
 
 
 def without_crlf(text: Column) -> Column:
