@@ -14,8 +14,8 @@ removed, those at or over `generalise_at` replaced by a placeholder, wherever th
 in documents without the entity. Both need `min_contexts` different surroundings of the entity,
 so a text and its copies prove nothing.
 
-Only words of documents with an entity in enough surroundings become candidates, and only
-candidates are counted in the rest of the corpus. All counts fold before they are shuffled; no
+Only words of documents with an entity in enough surroundings become candidates, and of those
+only words rare enough to reach the lower limit. All counts fold before they are shuffled; no
 group is collected but the entities and the terms to mark of one document.
 
 Defined cases: a null text is empty; repeated rows each give their result (and count as
@@ -48,6 +48,10 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 IP_PARTS = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})){3}$"
 SPAN = "array<struct<kind:int,start:int,end:int,value:string>>"
+#: Terms whose counts every task knows, and slots of the table of terms to mark: both bound what is
+#: broadcast (a few MB), whatever the corpus has. They only spare rows; no result depends on them.
+COMMON = 1 << 16
+SLOTS = 1 << 18
 #: What stands between terms.
 BETWEEN = r"[^\p{L}\p{M}\p{N}]+"
 
@@ -174,34 +178,59 @@ def _forms(masked: Column, limits: Limits) -> Column:
     return F.filter(F.array_distinct(F.split(masked, BETWEEN)), lambda w: F.length(w) >= limits.min_letters)
 
 
+def _common(said: DataFrame) -> DataFrame:
+    """(term, often) of the `COMMON` terms of most documents."""
+    return said.orderBy(F.desc("with_term"), "term").limit(COMMON).select("term", F.col("with_term").alias("often"))
+
+
 def _scored(base: DataFrame, limits: Limits) -> DataFrame:
-    """(term, disclosed) of the terms over the lower limit, by the entity that each reveals most."""
+    """(term, disclosed) of the terms over the lower limit, by the entity that each reveals most.
+
+    A term stands with an entity in no more documents than the entity has. So one in over
+    with_entity^g * total^(1 - g) documents cannot disclose g of it, and is left out where it is
+    known to be as common as that, before any pair is counted."""
     found = base.where(F.size("_spans") > 0).select("_forms", F.explode("_found").alias("e")).select("e.*", "_forms")
     contexts = written(found.groupBy("entity", "context").agg(F.count("*").alias("docs")), "contexts")
+    total = base.agg(F.count("*").alias("total")).scalar()
+    most = F.pow("with_entity", F.lit(limits.generalise_at)) * F.pow(total, F.lit(1 - limits.generalise_at))
     entities = written(
         contexts.groupBy("entity").agg(F.sum("docs").alias("with_entity"), F.count("*").alias("contexts"))
-        .where(F.col("contexts") >= limits.min_contexts).drop("contexts"),
+        .where(F.col("contexts") >= limits.min_contexts).drop("contexts")
+        .select("*", F.monotonically_increasing_id().alias("number"), (most * (1 + 1e-9)).alias("most")),
         "entities",
     )
     terms = F.array_distinct(F.transform("_forms", F.lower))
-    near = found.join(entities.select("entity"), "entity", "left_semi").select("entity", "context", F.explode(terms).alias("term"))
-    pairs = near.groupBy("entity", "term", "context").agg(F.count("*").alias("docs"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("docs").alias("both"), F.count("*").alias("contexts"))
-    pairs = written(pairs.where(F.col("contexts") >= limits.min_contexts), "pairs")
-    candidates = written(pairs.select("term").distinct(), "candidates")
-    said = base.select(F.explode(terms).alias("term"))
-    with_term = said.groupBy("term").agg(F.count("*").alias("with_term")).join(candidates, "term", "left_semi")
-    total = base.agg(F.count("*").alias("total")).scalar()
+    said = written(base.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("with_term")), "said")
+    common = F.broadcast(written(_common(said), "common"))
+    near = found.join(entities, "entity").select("number", "most", "context", F.explode(terms).alias("term"))
+    near = near.join(common, "term", "left").where(F.coalesce(F.col("often") <= F.col("most"), F.lit(True)))
+    pairs = near.groupBy("number", "term", "context").agg(F.count("*").alias("docs"))
+    pairs = pairs.groupBy("number", "term").agg(F.sum("docs").alias("both"), F.count("*").alias("contexts"))
+    pairs = pairs.where(F.col("contexts") >= limits.min_contexts)
     share = F.log2(F.col("both") * total / (F.col("with_entity") * F.col("with_term")))
     whole = F.log2(total / F.col("with_entity"))
     return (
-        pairs.join(entities, "entity").join(with_term, "term")
+        pairs.join(entities, "number").join(said, "term")
         .withColumn("disclosed", F.when(whole > 0, share / whole).otherwise(F.lit(0.0)))
         .where(F.col("disclosed") >= limits.generalise_at)
         .groupBy("term").agg(F.max("disclosed").alias("disclosed"))
     )
 
 
+def _slot(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(SLOTS)).cast("int")
+
+
+def _marks(formed: DataFrame, scored: DataFrame) -> DataFrame:
+    """(_row, _kinds): the words of each row to mark, as they are written, with their kinds. Words in
+    slots without a term to mark are left out where they are read; the terms decide on the others."""
+    words = formed.select("_row", F.explode("_forms").alias("form")).withColumn("term", F.lower("form"))
+    taken = F.broadcast(scored.select(_slot(F.col("term")).alias("slot")).distinct())
+    asked = words.withColumn("slot", _slot(F.col("term"))).join(taken, "slot", "left_semi").drop("slot")
+    entry = F.struct("form", "kind")
+    return asked.join(scored, "term").groupBy("_row").agg(F.map_from_entries(F.collect_list(entry)).alias("_kinds"))
+
+
 def _marked(masked: Column, kinds: Column) -> Column:
     """Spans of all places of the words `kinds` (map of written form to kind)."""
     pattern = F.concat(
@@ -247,11 +276,7 @@ def find(docs: DataFrame, text: str = "text", carry: list[str] | None = None, li
     formed = base.select("_row", "_spans", "_found", _forms(F.col("_masked"), limits).alias("_forms"))
     kind = F.when(F.col("disclosed") >= limits.remove_at, F.lit(5)).otherwise(F.lit(4))
     scored = written(_scored(formed, limits).select("term", kind.alias("kind")), "terms")
-    marks = (
-        formed.select("_row", F.explode("_forms").alias("form")).withColumn("term", F.lower("form")).join(scored, "term")
-        .groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("form", "kind"))).alias("_kinds"))
-    )
-    extra = written(marks, "marks")
+    extra = written(_marks(formed, scored), "marks")
     none = F.array().cast(SPAN)
     base = base.join(extra, "_row", "left").withColumn(
         "_more", F.when(F.col("_kinds").isNotNull(), _marked(F.col("_masked"), F.col("_kinds"))).otherwise(none)
