@@ -178,12 +178,29 @@ def _forms(masked: Column, limits: Limits) -> Column:
     return F.filter(F.array_distinct(F.split(masked, BETWEEN)), lambda w: F.length(w) >= limits.min_letters)
 
 
+def _terms() -> Column:
+    return F.array_distinct(F.transform("_forms", F.lower))
+
+
 def _common(said: DataFrame) -> DataFrame:
     """(term, often) of the `COMMON` terms of most documents."""
     return said.orderBy(F.desc("with_term"), "term").limit(COMMON).select("term", F.col("with_term").alias("often"))
 
 
-def _scored(base: DataFrame, limits: Limits) -> DataFrame:
+def _pairs(near: DataFrame, limits: Limits) -> DataFrame:
+    """(number, term, both) of pairs in enough different surroundings. For one or two of them the least and
+    the greatest tell, so pairs fold once; for more they are counted apart."""
+    if limits.min_contexts <= 2:
+        ends = near.groupBy("number", "term").agg(
+            F.count("*").alias("both"), F.min("context").alias("low"), F.max("context").alias("high")
+        )
+        return ends.where((F.col("low") != F.col("high")) | F.lit(limits.min_contexts < 2)).drop("low", "high")
+    apart = near.groupBy("number", "term", "context").agg(F.count("*").alias("docs"))
+    pairs = apart.groupBy("number", "term").agg(F.sum("docs").alias("both"), F.count("*").alias("contexts"))
+    return pairs.where(F.col("contexts") >= limits.min_contexts).drop("contexts")
+
+
+def _scored(base: DataFrame, said: DataFrame, common: DataFrame, limits: Limits) -> DataFrame:
     """(term, disclosed) of the terms over the lower limit, by the entity that each reveals most.
 
     A term stands with an entity in no more documents than the entity has. So one in over
@@ -199,18 +216,12 @@ def _scored(base: DataFrame, limits: Limits) -> DataFrame:
         .select("*", F.monotonically_increasing_id().alias("number"), (most * (1 + 1e-9)).alias("most")),
         "entities",
     )
-    terms = F.array_distinct(F.transform("_forms", F.lower))
-    said = written(base.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("with_term")), "said")
-    common = F.broadcast(written(_common(said), "common"))
-    near = found.join(entities, "entity").select("number", "most", "context", F.explode(terms).alias("term"))
-    near = near.join(common, "term", "left").where(F.coalesce(F.col("often") <= F.col("most"), F.lit(True)))
-    pairs = near.groupBy("number", "term", "context").agg(F.count("*").alias("docs"))
-    pairs = pairs.groupBy("number", "term").agg(F.sum("docs").alias("both"), F.count("*").alias("contexts"))
-    pairs = pairs.where(F.col("contexts") >= limits.min_contexts)
+    near = found.join(entities, "entity").select("number", "most", "context", F.explode(_terms()).alias("term"))
+    near = near.join(F.broadcast(common), "term", "left").where(F.coalesce(F.col("often") <= F.col("most"), F.lit(True)))
     share = F.log2(F.col("both") * total / (F.col("with_entity") * F.col("with_term")))
     whole = F.log2(total / F.col("with_entity"))
     return (
-        pairs.join(entities, "number").join(said, "term")
+        _pairs(near, limits).join(entities, "number").join(said, "term")
         .withColumn("disclosed", F.when(whole > 0, share / whole).otherwise(F.lit(0.0)))
         .where(F.col("disclosed") >= limits.generalise_at)
         .groupBy("term").agg(F.max("disclosed").alias("disclosed"))
@@ -221,12 +232,14 @@ def _slot(term: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(SLOTS)).cast("int")
 
 
-def _marks(formed: DataFrame, scored: DataFrame) -> DataFrame:
-    """(_row, _kinds): the words of each row to mark, as they are written, with their kinds. Words in
-    slots without a term to mark are left out where they are read; the terms decide on the others."""
+def _marks(formed: DataFrame, scored: DataFrame, common: DataFrame) -> DataFrame:
+    """(_row, _kinds): the words of each row to mark, as they are written, with their kinds. Common words
+    not to mark, and others in slots without a term to mark, are left out where they are read; the terms
+    decide on the rest."""
     words = formed.select("_row", F.explode("_forms").alias("form")).withColumn("term", F.lower("form"))
+    spared = F.broadcast(written(common.join(scored, "term", "left_anti").select("term"), "spared"))
     taken = F.broadcast(scored.select(_slot(F.col("term")).alias("slot")).distinct())
-    asked = words.withColumn("slot", _slot(F.col("term"))).join(taken, "slot", "left_semi").drop("slot")
+    asked = words.join(spared, "term", "left_anti").withColumn("slot", _slot(F.col("term"))).join(taken, "slot", "left_semi")
     entry = F.struct("form", "kind")
     return asked.join(scored, "term").groupBy("_row").agg(F.map_from_entries(F.collect_list(entry)).alias("_kinds"))
 
@@ -275,8 +288,11 @@ def find(docs: DataFrame, text: str = "text", carry: list[str] | None = None, li
     )
     formed = base.select("_row", "_spans", "_found", _forms(F.col("_masked"), limits).alias("_forms"))
     kind = F.when(F.col("disclosed") >= limits.remove_at, F.lit(5)).otherwise(F.lit(4))
-    scored = written(_scored(formed, limits).select("term", kind.alias("kind")), "terms")
-    extra = written(_marks(formed, scored), "marks")
+    said = formed.select(F.explode(_terms()).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
+    said = written(said, "said")
+    common = written(_common(said), "common")
+    scored = written(_scored(formed, said, common, limits).select("term", kind.alias("kind")), "terms")
+    extra = written(_marks(formed, scored, common), "marks")
     none = F.array().cast(SPAN)
     base = base.join(extra, "_row", "left").withColumn(
         "_more", F.when(F.col("_kinds").isNotNull(), _marked(F.col("_masked"), F.col("_kinds"))).otherwise(none)
