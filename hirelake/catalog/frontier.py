@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from hirelake.catalog.html_shapes import LISTING_HTML
 from hirelake.catalog.links import ORIGIN
 from hirelake.catalog.registry import pages as captured_pages
-from hirelake.catalog.registry import query, shape, shape_sql, spread_table
+from hirelake.catalog.registry import query, shape, shape_sql, spread_table, table
 from hirelake.catalog.sql import PAGE_LINKS, absolute_sql, host_sql, normalised_sql, origin_sql
 from hirelake.functions import urls
 from hirelake.operators import frontier, links, paging, quality
 from hirelake.operators.seen import Seen
-from hirelake.plans import boards, crawl
+from hirelake.plans import boards, crawl, runs
 from hirelake.plans.rules import ATTEMPTS
 from hirelake.session import scratch, written
+from hirelake.sources import requests
 from hirelake.sources.requests import LISTINGS
 
 LISTING = shape_sql("listing_pages")
@@ -329,3 +330,52 @@ def retries_by_kind(spark, sf_dir):
     )
     kinds = [crawl.retries(log, kind).select(F.lit(kind).alias("kind"), "url", "attempts", "last_failure") for kind in ATTEMPTS]
     return reduce(DataFrame.unionByName, kinds)
+
+
+# A run captures each listing from its first page to a third, two thirds and the whole of it.
+_THIRD = "(select source, max(page_no) as m from {} t group by source)"
+RUNS_SQL = f"""select board, run, l.source, coalesce(max(page_no) filter (where inside), 0) as page_no,
+    cast(coalesce(sum(n_links) filter (where inside), 0) as bigint) as jobs_fetched, not bool_and(inside) as ended
+    from (select board, run, l.source, page_no, n_links, board = 'paypal' or coalesce(page_no < first, true) as inside
+      from {LISTING} l join {_THIRD.format(LISTING)} s on l.source = s.source
+      left join (select source, min(page_no) as first from {LISTING} e where n_links = 0 group by source) f on l.source = f.source
+      cross join (values ('paypal'), ('riteaid')) b(board) cross join (values (1), (2), (3)) r(run)
+      where page_no <= m * run // 3) l group by board, run, l.source"""
+
+
+@query(RUNS_SQL)
+def saved_state_runs(spark, sf_dir):
+    """Three runs of a crawl that go on from the saved state, of a board that ends at an empty page and
+    of one that does not. Pages of earlier runs are captured again and do not count twice."""
+    pages = written(shape(spark, sf_dir, "listing_pages"), "listing-pages")
+    thirds = pages.groupBy("source").agg(F.max("page_no").alias("m"))
+    out = []
+    for board in ("paypal", "riteaid"):
+        crawl_ = runs.Runs(spark, scratch(spark, f"{board}-runs"), board)
+        for run in (1, 2, 3):
+            captured = pages.join(thirds, "source").where(F.col("page_no") * 3 <= F.col("m") * run).drop("m")
+            state = crawl_.finish(captured, run)
+            out.append(state.select(F.lit(board).alias("board"), F.lit(run).alias("run"), "*"))
+    return reduce(DataFrame.unionByName, out)
+
+
+_TERMS = "select case p_partkey % 3 when 0 then 'monster_sg' when 1 then 'paypal' else 'quest' end as source, p_type as query"
+
+
+@query(
+    f"""select source, query, page_no, number, case source
+      when 'monster_sg' then 'https://www.monster.com.sg/srp/results?start=' || number || '&sort=1&limit=18&query=' || url_encode(query)
+      when 'paypal' then 'https://jobsearch.paypal-corp.com/en-US/search?keywords=' || url_encode(query) ||
+        '&facetcountry=&location=&facetcategory=&pagenumber=' || number
+      else 'https://careers.questdiagnostics.com/en-US/search?keywords=' || url_encode(query) || '&location=&pagenumber=' || number end as url
+    from (select *, case source when 'monster_sg' then (page_no - 1) * 18 else page_no end as number from (
+      select source, query, unnest(generate_series(1, last_page)) as page_no
+      from (select source, query, count(*) as last_page from ({_TERMS} from part) t group by source, query) c) p) n"""
+)
+def search_requests(spark, sf_dir):
+    """The listing requests of each search term, as many pages as the term has parts."""
+    terms = spark.sql(
+        f"select source, query, count(*) as last_page from ({_TERMS} from {{part}}) t group by source, query",
+        part=table(spark, sf_dir, "part"),
+    )
+    return requests.search_requests(terms)

@@ -28,6 +28,8 @@ LISTINGS = {
     ),
 }
 
+# The parameter of a listing that takes a search term.
+SEARCH = {"monster_sg": "query", "paypal": "keywords", "quest": "keywords"}
 
 BLOCK = 10_000
 
@@ -58,19 +60,34 @@ def listing_requests(ranges: DataFrame, template: str | Column, step: int | Colu
     )
 
 
-def board_requests(ranges: DataFrame) -> DataFrame:
-    """Requests for rows `(source, last_page)`, each board paged its own way."""
+def _paged(ranges: DataFrame, keep: list[str]) -> DataFrame:
+    """Each board's first and last number, with its paging in `_p`; other sources have no rows."""
     rows = [
-        F.struct(F.lit(name).alias("source"), F.lit(template).alias("template"),
+        F.struct(F.lit(name).alias("source"), F.lit(template).alias("template"), F.lit(SEARCH.get(name)).alias("term"),
                  F.lit(first).cast("long").alias("first"), F.lit(step).cast("long").alias("step"))
         for name, (template, first, step) in LISTINGS.items()
     ]
     paging = F.try_element_at(F.filter(F.array(*rows), lambda r: r["source"] == F.col("source")), F.lit(1))
-    known = (
-        ranges.select("source", "last_page", paging.alias("_p"))
+    return (
+        ranges.select(*keep, "last_page", paging.alias("_p"))
         .where(F.col("_p").isNotNull())
         .withColumn("start", F.col("_p.first"))
         .withColumn("stop", F.col("_p.first") + (F.col("last_page") - 1) * F.col("_p.step"))
     )
-    made = listing_requests(known, F.col("_p.template"), F.col("_p.step"))
+
+
+def board_requests(ranges: DataFrame) -> DataFrame:
+    """Requests for rows `(source, last_page)`, each board paged its own way."""
+    made = listing_requests(_paged(ranges, ["source"]), F.col("_p.template"), F.col("_p.step"))
     return made.select("source", "page_no", "number", "url")
+
+
+def search_requests(ranges: DataFrame) -> DataFrame:
+    """Requests for rows `(source, query, last_page)`: the same term on every page of a listing. A
+    null term leaves the board's own; a board whose listing takes no term has no requests for one."""
+    known = _paged(ranges, ["source", "query"]).where(F.col("query").isNull() | F.col("_p.term").isNotNull())
+    encoded = F.replace(F.url_encode("query"), F.lit("+"), F.lit("%20"))
+    place = F.concat(F.lit("(?<=[?&]"), F.col("_p.term"), F.lit("=)[^&]*"))
+    template = F.coalesce(F.regexp_replace(F.col("_p.template"), place, encoded), F.col("_p.template"))
+    made = listing_requests(known, template, F.col("_p.step"))
+    return made.select("source", "query", "page_no", "number", "url")
