@@ -7,8 +7,9 @@ tallies for every 32nd pair, so a list is kept for each choice of that many posi
 together: two fingerprints are in one list exactly if their tally reaches the minimum. The
 tally is then counted for the pairs of a list, and pairs that reach it are verified.
 
-Equal fingerprints are folded first. Lists longer than `BLOCK` are cut into blocks and every
-two blocks meet in a group of their own, so no list is ever in one task as a whole; pairs are
+Equal fingerprints are folded first. Lists are counted, which folds in every task; those longer than
+`BLOCK` are dealt by hash to blocks of about that size, and every two blocks meet in a group of
+their own, so no long list is ever in one task as a whole; pairs are
 compared inside the task, which returns one link per member to the least one that it is
 connected to within the group, never the pairs. Components of the links are then the
 components of all pairs.
@@ -26,7 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.llm.columns import packed, unpacked
@@ -36,7 +37,7 @@ from hirelake.session import written
 SHINGLE = 4
 SEED = 42
 BITS = 4
-#: Members of a list that are compared at once with the others of their block.
+#: Members of a list from which it is dealt to blocks.
 BLOCK = 512
 #: Hashes whose bits are counted at once.
 COUNTED = 1 << 15
@@ -152,13 +153,13 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
     index = prints.select("print", F.explode(choices).alias("c")).select(
         "print", F.col("c.choice").alias("choice"), F.col("print").bitwiseAND(F.col("c.mask")).alias("key")
     )
-    lists = Window.partitionBy("choice", "key")
-    placed = index.select(
-        "*", F.count("*").over(lists).alias("n"), (F.row_number().over(lists.orderBy("print")) - 1).alias("at")
-    ).where("n >= 2")
-    block, count = F.floor(F.col("at") / BLOCK).cast("int"), F.ceil(F.col("n") / BLOCK).cast("int")
-    others = F.sequence(F.lit(0), F.greatest(count - 2, F.lit(0)))
-    grouped = placed.select("choice", "key", "print", block.alias("own"), F.explode(others).alias("k"), count.alias("blocks"))
+    long = index.groupBy("choice", "key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select(
+        "choice", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+    )
+    placed = index.join(long, ["choice", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int").alias("own")
+    others = F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks") - 2, F.lit(0)))).alias("k")
+    grouped = placed.select("choice", "key", "print", "blocks", own, others)
     other = F.when(F.col("blocks") == 1, F.col("own")).when(F.col("k") >= F.col("own"), F.col("k") + 1).otherwise(F.col("k"))
     grouped = grouped.select("choice", "key", F.least("own", other).alias("i"), F.greatest("own", other).alias("j"), "print")
     keys = ["choice", "key", "i", "j"]
