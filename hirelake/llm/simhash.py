@@ -7,11 +7,11 @@ tallies for every 32nd pair, so a list is kept for each choice of that many posi
 together: two fingerprints are in one list exactly if their tally reaches the minimum. The
 tally is then counted for the pairs of a list, and pairs that reach it are verified.
 
-Equal fingerprints are folded first. Lists are counted, which folds in every task; those longer than
-`BLOCK` are dealt by hash to blocks of about that size, and every two blocks meet in a group of
-their own, so no long list is ever in one task as a whole; pairs are
-compared inside the task, which returns one link per member to the least one that it is
-connected to within the group, never the pairs. Components of the links are then the
+Equal fingerprints are folded first. Lists are counted, which folds in every task. Those of one
+member are left out; those longer than `BLOCK` are dealt by hash to blocks of about that size,
+and every two blocks meet in a group of their own, so no long list is ever in one task as a
+whole. Pairs are compared inside the task, which returns one link per member to the least one
+that it is connected to within the group, never the pairs. Components of the links are then the
 components of all pairs.
 
 Defined cases: a text without words (null, empty) has fingerprint zero, linked like any
@@ -153,10 +153,10 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
     index = prints.select("print", F.explode(choices).alias("c")).select(
         "print", F.col("c.choice").alias("choice"), F.col("print").bitwiseAND(F.col("c.mask")).alias("key")
     )
-    long = index.groupBy("choice", "key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select(
+    lists = index.groupBy("choice", "key").agg(F.count("*").alias("n")).where("n >= 2").select(
         "choice", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
     )
-    placed = index.join(long, ["choice", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = index.join(lists, ["choice", "key"])
     own = F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int").alias("own")
     others = F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks") - 2, F.lit(0)))).alias("k")
     grouped = placed.select("choice", "key", "print", "blocks", own, others)
