@@ -15,8 +15,9 @@ from hirelake.streaming import incremental, metrics, stateful
 
 
 def _arriving(spark, sf_dir):
-    """The given pages as a stream; captured_at counts up with the page."""
-    pages = captures.page_stream(spark, sf_dir, captures.PAGES, pattern="pages.parquet")
+    """The given pages as a stream, one file or a folder of them; captured_at counts up with the page."""
+    # A pattern, as a stream takes a path without one for a folder.
+    pages = captures.page_stream(spark, f"{sf_dir}/pages.parque[t]", captures.PAGES)
     return pages.select(
         F.lit("web").alias("source"), "page_id", "url", "html",
         F.timestamp_add("SECOND", F.col("page_id"), F.expr("timestamp '2024-01-01 00:00:00'")).alias("captured_at"),

@@ -131,3 +131,24 @@ def test_last_report_of_a_batch_counts(spark):
     rows = [("q", "r1", 0, "2024-01-01", "o", "n", 5.0), ("q", "r2", 0, "2024-01-02", "o", "n", 7.0), ("q", "r1", 1, "2024-01-01", "o", "n", 1.0)]
     got = metrics.latest(spark.createDataFrame(rows, metrics.METRICS)).select("batch", "value").collect()
     assert sorted(map(tuple, got)) == [(0, 7.0), (1, 1.0)]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_given_pages_are_a_file_or_a_folder(spark, tmp_path, files):
+    import glob
+    import os
+
+    from hirelake.catalog import QUERIES
+
+    pages = spark.createDataFrame([(i, f"https://p{i % 2}.com/{i}", f"<title>T{i}</title>") for i in range(6)], captures.PAGES)
+    pages.repartition(files).write.parquet(f"{tmp_path}/pages.parquet")
+    if files == 1:
+        os.makedirs(f"{tmp_path}/one")
+        os.link(glob.glob(f"{tmp_path}/pages.parquet/part-*")[0], f"{tmp_path}/one/pages.parquet")
+    at = f"{tmp_path}/one" if files == 1 else str(tmp_path)
+    rows = lambda name: sorted(map(tuple, QUERIES[name](spark, at).collect()))
+    assert sorted((r["page_id"], r["title"]) for r in QUERIES["stream_postings"](spark, at).collect()) == [(i, f"T{i}") for i in range(6)]
+    urls = [(f"https://p{i % 2}.com/{i}",) for i in range(6)]
+    assert rows("stream_first_seen") == rows("stream_first_seen_within") == sorted(urls)
+    assert rows("stream_counts") == [("p0.com", 3), ("p1.com", 3)]
+    assert rows("stream_metrics") == [(6, 6 * len("<title>T0</title>"), 6)]
