@@ -25,11 +25,10 @@ def _arriving(spark, sf_dir):
 
 
 def _fields(pages):
-    rules = ["title::text", "nav > ul > li > a::attr(href)"]
-    nodes = pages.select("source", "page_id", "url", H.html_nodes(F.col("html"), rules).alias("n"))
-    return nodes.select(
-        "source", "page_id", "url", H.select_first(F.col("n"), rules[0]).alias("title"),
-        F.size(H.select_all(F.col("n"), rules[1])).alias("n_links"),
+    rules = {"title": "title::text", "links": "nav > ul > li > a::attr(href)"}
+    read = pages.select("source", "page_id", "url", H.html_fields(F.col("html"), rules).alias("f"))
+    return read.select(
+        "source", "page_id", "url", F.get(F.col("f.title"), F.lit(0)).alias("title"), F.size("f.links").alias("n_links")
     )
 
 

@@ -25,6 +25,7 @@ import re
 import sys
 from collections.abc import Iterable
 from html import unescape
+from itertools import batched
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -68,6 +69,8 @@ _RESERVED = re.compile(r"[/#.\[\]%]")
 # that end an open element of the listed kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = ("script", "style")
+# Pages whose parts a Python worker holds at a time.
+PAGES_AT_ONCE = 64
 BLOCKS = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr"
     " main nav ol p pre section table ul".split()
@@ -94,14 +97,62 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
-def _start_tag(tag: str, source: str, regions: tuple, attrs: tuple) -> tuple[str, str, bool, dict]:
-    """(tag, rest of its step, opens a region, wanted attributes)"""
+class _Picks:
+    """What the selectors of `html_fields` match, picked out as a page is walked. Every part of every
+    selector has a bit; an element carries the bits of the parts that end at it and of those that end at
+    it or around it, so its own bits follow from its parent's, whatever the depth."""
+
+    def __init__(self, selectors: Iterable[str] = (), attrs: tuple = ()) -> None:
+        self.parts: list[tuple[int, tuple, int, int]] = []
+        self.first = self.child = self.below = 0
+        #: By kind: bits that match the element itself, bits that match around it.
+        self.masks = {kind: [0, 0] for kind in ("element", "text", "attr")}
+        self.targets: dict[int, tuple[int, str | None]] = {}
+        self.found: list[list] = []
+        self._known: dict[int, list] = {}
+        bit = 1
+        for column, selector in enumerate(selectors):
+            css, deep, attr = _target(selector)
+            for j, (link, compound) in enumerate(_compounds(css)):
+                p = _parts(compound)
+                wanted = (p["tag"], p["id"], p["classes"], p["part"])
+                self.parts.append((bit, wanted, int(p["nth"] or 0), int(p["typed"] or 0)))
+                self.first |= bit if not j else 0
+                self.child |= bit if j and link == ">" else 0
+                self.below |= bit if j and link != ">" else 0
+                last, bit = bit, bit << 1
+            kind = "element" if _names_elements(selector) else "text" if attr is None else "attr"
+            self.masks[kind][deep] |= last
+            self.targets[last] = (column, attr)
+            self.found.append([])
+        self.attrs = tuple(dict.fromkeys([*attrs, *(a for _, a in self.targets.values() if a)]))
+
+    def own(self, tag: str, ident: str, classes: list[str]) -> tuple[int, list]:
+        """Parts that a start tag fits wherever it stands, and those that also ask for its place."""
+        fits = [part for part in self.parts if _in_region(part[1], tag, ident, classes)]
+        placed = [(bit, nth, typed) for bit, _, nth, typed in fits if nth or typed]
+        return sum(bit for bit, _, nth, typed in fits if not (nth or typed)), placed
+
+    def hits(self, kind: str, exact: int, around: int) -> list[tuple[list, str | None]]:
+        """The lists that take a value of this kind from an element, each with its attribute."""
+        here, over = self.masks[kind]
+        hit = exact & here | around & over
+        if not hit:
+            return []
+        known = self._known.get(hit)
+        if known is None:
+            known = self._known[hit] = [(self.found[c], a) for bit, (c, a) in self.targets.items() if hit & bit]
+        return known
+
+
+def _start_tag(tag: str, source: str, regions: tuple, picks: _Picks) -> tuple[str, str, bool, dict, int, list]:
+    """(tag, rest of its step, opens a region, wanted attributes, parts it fits, parts it may fit by place)"""
     tag = tag.lower()
     given = _attributes(source) if source.strip() else {}
     ident, classes = given.get("id", ""), given.get("class", "").split()
     rest = (f"#{_encoded(ident)}" if ident else "") + "." + "".join(f"{_encoded(c)}." for c in classes)
     opens = any(_in_region(r, tag, ident, classes) for r in regions)
-    return tag, rest, opens, {a: given[a] for a in attrs if a in given}
+    return tag, rest, opens, {a: given[a] for a in picks.attrs if a in given}, *picks.own(tag, ident, classes)
 
 
 class _Nodes:
@@ -129,22 +180,24 @@ class _Nodes:
 
 class _Open:
     """The elements open at a place of the page, as a stack of [tag, children, children by tag,
-    inside a region, place of its node or -1, depth]. For each tag the places on the stack are
+    inside a region, place of its node or -1, depth, parts that end at it, parts that end at it or
+    around it, lists its texts go to]. For each tag the places on the stack are
     kept, so the innermost open element of a kind is found without looking through the others."""
 
     def __init__(self, inside: bool, nodes: _Nodes) -> None:
-        self.stack: list[list] = [["", 0, {}, inside, -1, 0]]
+        self.stack: list[list] = [["", 0, {}, inside, -1, 0, 0, 0, []]]
         self.places: dict[str, list[int]] = {}
         self.nodes = nodes
 
-    def push(self, tag: str, inside: bool, place: int, depth: int) -> None:
+    def push(self, tag: str, *entry: object) -> None:
         self.places.setdefault(tag, []).append(len(self.stack))
-        self.stack.append([tag, 0, {}, inside, place, depth])
+        self.stack.append([tag, 0, {}, *entry])
 
     def cut(self, length: int) -> None:
         """Close all but the outermost `length` entries."""
         while len(self.stack) > length:
-            tag, _, _, _, place, _ = self.stack.pop()
+            entry = self.stack.pop()
+            tag, place = entry[0], entry[4]
             self.places[tag].pop()
             if place >= 0:
                 self.nodes.sizes[place] = len(self.nodes.steps) - place
@@ -158,18 +211,22 @@ class _Open:
         return True
 
 
-def _walk(html: str, regions: tuple, attrs: tuple, memo: dict, nodes: _Nodes) -> None:
-    """Append the page's nodes. `memo` keeps start tags already read, which repeat a lot."""
-    opened = _Open(not regions, nodes)
-    stack, pos = opened.stack, 0
+def _walk(html: str, regions: tuple | None, picks: _Picks, memo: dict, nodes: _Nodes) -> None:
+    """Append the page's nodes and what it holds of the picks. `memo` keeps start tags already read,
+    which repeat a lot. Without regions every node is kept, with None for them none."""
+    opened = _Open(regions == (), nodes)
+    stack, pos, base = opened.stack, 0, len(nodes.steps)
 
     def add_text(text: str) -> None:
         top = stack[-1]
-        nodes.add(None, text, None, top[4], top[5])
+        if top[3]:
+            nodes.add(None, text, None, top[4], top[5])
+        for values, _ in top[8]:
+            values.append(text)
 
     for hit in _MARKUP.finditer(html):
         start, end = hit.span()
-        if start > pos and stack[-1][3]:
+        if start > pos and (stack[-1][3] or stack[-1][8]):
             add_text(unescape(html[pos:start]))
         pos = end
         kind = hit.lastindex
@@ -183,8 +240,8 @@ def _walk(html: str, regions: tuple, attrs: tuple, memo: dict, nodes: _Nodes) ->
         if known is None:
             if len(memo) > 20_000:
                 memo.clear()
-            known = memo[source] = _start_tag(*source, regions, attrs)
-        tag, rest, opens, given = known
+            known = memo[source] = _start_tag(*source, regions or (), picks)
+        tag, rest, opens, given, own, placed = known
         if tag in BLOCKS:
             opened.close(("p",), ("button", "table", "td", "th"))
         if tag in ENDS:
@@ -194,15 +251,31 @@ def _walk(html: str, regions: tuple, attrs: tuple, memo: dict, nodes: _Nodes) ->
         parent[1] += 1
         nth = parent[2][tag] = parent[2].get(tag, 0) + 1
         inside, place, depth = parent[3] or opens, -1, parent[5]
+        for bit, n, m in placed:
+            if n in (0, parent[1]) and m in (0, nth):
+                own |= bit
+        around = parent[7]
+        exact = own and own & (picks.first | (parent[6] << 1) & picks.child | (around << 1) & picks.below)
+        takers = picks.hits("text", exact, around)
         if inside:
             depth += 1
             place = nodes.add(f"/{tag}[{parent[1]},{nth}]{rest}", None, given, parent[4], depth)
-            if kind == _CONTENT and hit[3]:
-                nodes.add(None, hit[3] if tag in UNSEEN else unescape(hit[3]), None, place, depth)
+            for places, _ in picks.hits("element", exact, around):
+                places.append(place - base)
+        if given:
+            for values, attr in picks.hits("attr", exact, around):
+                if attr in given:
+                    values.append(given[attr])
+        if kind == _CONTENT and hit[3] and (inside or takers):
+            text = hit[3] if tag in UNSEEN else unescape(hit[3])
+            if inside:
+                nodes.add(None, text, None, place, depth)
                 nodes.sizes[place] = 2
+            for values, _ in takers:
+                values.append(text)
         if kind == _START and tag not in VOID:
-            opened.push(tag, inside, place, depth)
-    if pos < len(html) and stack[-1][3]:
+            opened.push(tag, inside, place, depth, exact, around | exact, takers)
+    if pos < len(html) and (stack[-1][3] or stack[-1][8]):
         add_text(unescape(html[pos:]))
     opened.cut(1)
 
@@ -218,10 +291,31 @@ def _in_region(region: tuple, tag: str, ident: str, classes: list[str]) -> bool:
 
 
 def _to_arrow(pages: Iterable[str | None], regions: tuple, attrs: tuple) -> pa.Array:
-    nodes, memo, page_ends = _Nodes(), {}, [0]
+    return _read(pages, regions, _Picks(attrs=attrs))[0]
+
+
+def _read(pages: Iterable[str | None], regions: tuple | None, picks: _Picks) -> list[pa.Array]:
+    """The pages' nodes, then what they hold of each pick. A batch is read a few pages at a time, so
+    that Python holds the parts of those only; what is read is kept in Arrow's form."""
+    memo: dict = {}
+    read = [_read_some(some, regions, picks, memo) for some in batched(pages, PAGES_AT_ONCE)]
+    return [pa.concat_arrays(parts) for parts in zip(*read or [_read_some((), regions, picks, memo)], strict=True)]
+
+
+def _read_some(pages: tuple[str | None, ...], regions: tuple | None, picks: _Picks, memo: dict) -> list[pa.Array]:
+    nodes, page_ends, found_ends = _Nodes(), [0], [[0] for _ in picks.found]
+    for found in picks.found:
+        found.clear()
     for page in pages:
-        _walk(page or "", regions, attrs, memo, nodes)
+        _walk(page or "", regions, picks, memo, nodes)
         page_ends.append(len(nodes.steps))
+        for ends, found in zip(found_ends, picks.found, strict=True):
+            ends.append(len(found))
+    kinds = [pa.int32() if bit & picks.masks["element"][0] else pa.string() for bit in picks.targets]
+    picked = [
+        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found, kind))
+        for ends, found, kind in zip(found_ends, picks.found, kinds, strict=True)
+    ]
     keys, values, map_ends = [], [], [0]
     for given in nodes.attrs:
         if given:
@@ -237,7 +331,7 @@ def _to_arrow(pages: Iterable[str | None], regions: tuple, attrs: tuple) -> pa.A
         ],
         fields=list(_ARROW_NODE),
     )
-    return pa.ListArray.from_arrays(pa.array(page_ends, pa.int32()), struct)
+    return [pa.ListArray.from_arrays(pa.array(page_ends, pa.int32()), struct), *picked]
 
 
 def html_nodes(html: Column, selectors: Iterable[str] = (), attrs: tuple = ("href", "aria-label")) -> Column:
@@ -250,11 +344,33 @@ def html_nodes(html: Column, selectors: Iterable[str] = (), attrs: tuple = ("hre
 
     @F.arrow_udf(NODE_TYPE)
     def nodes(pages: pa.Array) -> pa.Array:
-        return _to_arrow(pages.to_pylist(), regions, attrs)
+        return _to_arrow((page.as_py() for page in pages), regions, attrs)
 
     return nodes(html)
 
 
+def html_fields(html: Column, rules: dict[str, str], attrs: tuple = ("href", "aria-label")) -> Column:
+    """What each rule matches on a page, read in one pass: a struct with, by the rule's name, the texts
+    or attribute values in document order, or for a rule that names elements their places in the
+    struct's `nodes`, the node array cut down to the regions of such rules. The same as select_all and
+    elements give over html_nodes, without a search of the array for each rule."""
+    elements = [rule for rule in rules.values() if _names_elements(rule)]
+    regions = tuple(dict.fromkeys(_region(rule) for rule in elements)) or None
+    if regions and any(not any(r) for r in regions):
+        regions = ()
+    names = ["nodes", *rules]
+    schema = T.StructType().add("nodes", NODE_TYPE)
+    for name, rule in rules.items():
+        schema.add(name, T.ArrayType(T.IntegerType() if _names_elements(rule) else T.StringType()))
+
+    @F.arrow_udf(schema)
+    def fields(pages: pa.Array) -> pa.Array:
+        read = _read((page.as_py() for page in pages), regions, _Picks(rules.values(), attrs))
+        return pa.StructArray.from_arrays(read, names)
+
+    return fields(html)
+
+
 @F.arrow_udf(T.StringType())
 def html_text(fragments: pa.Array) -> pa.Array:
     """Plain text of an HTML fragment; script and style content is not text."""
@@ -338,6 +454,15 @@ def path_regex(compound: str) -> str:
     return f"^{_segment(_parts(compound))}$"
 
 
+def html_values(html: Column, rule: str) -> Column:
+    """Texts or attribute values that one rule matches on a page."""
+    return html_fields(html, {"found": rule})["found"]
+
+
+def _names_elements(selector: str) -> bool:
+    return not _TARGET.match(selector.strip())
+
+
 def _fits(nodes: Column, place: Column, css: str, deep: bool = False) -> Column:
     """Whether the element at a place matches (or lies strictly inside one that does).
 
@@ -430,6 +555,11 @@ def first_within(nodes: Column, css: str) -> Column:
     return lists.let(nodes, inside)
 
 
+def within_first(nodes: Column, places: Column) -> Column:
+    """Nodes of the first of the places; null when there is none."""
+    return lists.let(F.get(places, F.lit(0)), lambda p: F.when(p.isNotNull(), within(nodes, p)))
+
+
 def outside(nodes: Column, css: str) -> Column:
     """Nodes that lie in no matching element."""
 

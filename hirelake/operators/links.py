@@ -32,7 +32,7 @@ def region_links(
 ) -> DataFrame:
     """Links under a region. start/stop keep a slice of each page's links before the rows
     are made."""
-    hrefs = H.select_all(H.html_nodes(F.col(html), [selector]), selector)
+    hrefs = H.html_values(F.col(html), selector)
     sliced_hrefs = pages.select(*keep, lists.window(hrefs, start, stop).alias("_hrefs"))
     return exploded(sliced_hrefs, "_hrefs", keep, "href")
 
@@ -50,17 +50,18 @@ def cards(pages: DataFrame, card: str, fields: dict[str, str], html: str = "html
           keep: tuple = ("page_id",)) -> DataFrame:
     """One row per card of a listing page, with the first match of each field's selector
     inside the card."""
-    return card_fields(pages.select(*keep, H.html_nodes(F.col(html), [card]).alias("_nodes")), card, fields, keep)
+    return card_fields(pages, card, fields, html, keep)
 
 
-def card_nodes(pages: DataFrame, card: str, keep: tuple) -> DataFrame:
-    """One row per card with the card's own nodes in `card`, from pages with `_nodes`."""
-    inside = F.transform(H.elements(F.col("_nodes"), card), lambda p: H.within(F.col("_nodes"), p))
-    return exploded(pages.select(*keep, inside.alias("_cards")), "_cards", keep, "card")
+def card_nodes(pages: DataFrame, card: str, keep: tuple, html: str = "html") -> DataFrame:
+    """One row per card with the card's own nodes in `card`."""
+    read = pages.select(*keep, H.html_fields(F.col(html), {"card": card}).alias("_f"))
+    inside = F.transform(F.col("_f.card"), lambda p: H.within(F.col("_f.nodes"), p))
+    return exploded(read.select(*keep, inside.alias("_cards")), "_cards", keep, "card")
 
 
-def card_fields(pages: DataFrame, card: str, fields: dict[str, str], keep: tuple) -> DataFrame:
-    return card_nodes(pages, card, keep).select(
+def card_fields(pages: DataFrame, card: str, fields: dict[str, str], html: str, keep: tuple) -> DataFrame:
+    return card_nodes(pages, card, keep, html).select(
         *keep, "pos", *[H.select_first(F.col("card"), sel).alias(name) for name, sel in fields.items()]
     )
 

@@ -37,16 +37,22 @@ INNER = {"detail_key", "detail_value"}
 
 
 def _nodes(pages: DataFrame, rules: dict[str, str], keep: tuple = KEEP) -> DataFrame:
-    outer = [sel for name, sel in rules.items() if name not in INNER]
-    return pages.select(*keep, H.html_nodes(F.col("html"), outer).alias("n"))
+    outer = {name: sel for name, sel in rules.items() if name not in INNER}
+    return pages.select(*keep, H.html_fields(F.col("html"), outer).alias("f"))
 
 
-def _texts(board: str, rule: str) -> Column:
-    return H.select_all(F.col("n"), RULES[board][rule])
+def _all(rule: str) -> Column:
+    """All that a rule matches on the page: values, or places of elements in `f.nodes`."""
+    return F.col("f")[rule]
 
 
-def _first(board: str, rule: str) -> Column:
-    return H.select_first(F.col("n"), RULES[board][rule])
+def _first(rule: str) -> Column:
+    return F.get(_all(rule), F.lit(0))
+
+
+def _seen(rule: str) -> Column:
+    """Visible text of the first element a rule matches."""
+    return H.visible_text(H.within_first(_all("nodes"), _all(rule)))
 
 
 def _fields(df: DataFrame, board: str, **columns: Column) -> DataFrame:
@@ -65,11 +71,10 @@ def _one(text: Column) -> Column:
 
 def monster_sg(pages: DataFrame) -> DataFrame:
     board, rules = "monster_sg", RULES["monster_sg"]
-    n = F.col("n")
     details = F.transform(
-        H.elements(n, rules["detail"]),
+        _all("detail"),
         lambda place: lists.let(
-            H.within(n, place),
+            H.within(_all("nodes"), place),
             lambda row: F.struct(
                 H.select_first(row, rules["detail_key"]).alias("key"),
                 H.select_all(row, rules["detail_value"]).alias("value"),
@@ -79,52 +84,52 @@ def monster_sg(pages: DataFrame) -> DataFrame:
     df = _nodes(pages, rules).withColumn("details", details)
     routed = lambda word: lists.routed(F.col("details"), word)
     one = lambda word: lists.at(routed(word), 0)
-    salary_raw = tx.clean(_first(board, "salary"), board)
-    employment_type = tx.clean(_first(board, "employment_type"), board)
-    posted = F.coalesce(one("Posted"), _first(board, "posted"))
-    job_id = tx.integer_after_colon(F.coalesce(_first(board, "badge_4"), _first(board, "badge_3")))
+    salary_raw = tx.clean(_first("salary"), board)
+    employment_type = tx.clean(_first("employment_type"), board)
+    posted = F.coalesce(one("Posted"), _first("posted"))
+    job_id = tx.integer_after_colon(F.coalesce(_first("badge_4"), _first("badge_3")))
     return _fields(
         df,
         board,
-        employer_name=tx.clean(_first(board, "employer"), board),
+        employer_name=tx.clean(_first("employer"), board),
         job_id=job_id.cast("string"),
-        title=tx.clean(_first(board, "title"), board),
+        title=tx.clean(_first("title"), board),
         location=F.coalesce(
-            one("Location"), tx.clean(_first(board, "location"), board), F.lit(schema.CONSTANTS[board]["Location"])
+            one("Location"), tx.clean(_first("location"), board), F.lit(schema.CONSTANTS[board]["Location"])
         ),
         employment_type=employment_type,
         employment_industry=_one(tx.clean(one("Industry"), board)),
         job_function=_one(F.when(F.size("details") > 0, F.coalesce(one("Function"), F.lit("IT")))),
         skills=lists.clean_skills(routed("Skills")),
-        experience=pay.experience_range(_first(board, "experience")),
-        experience_raw=tx.clean(_first(board, "experience"), board),
+        experience=pay.experience_range(_first("experience")),
+        experience_raw=tx.clean(_first("experience"), board),
         salary=pay.salary_for_type(pay.salary_range(tx.sentinel_to_null(salary_raw)), employment_type),
         salary_raw=pay.salary_text_for_type(salary_raw, employment_type),
         posted_raw=posted,
         posted_at=dates.posted_at(posted, F.col("captured_at")),
-        description=lists.first_filled(*[_texts(board, f"description_{i}") for i in range(1, 6)]),
+        description=lists.first_filled(*[_all(f"description_{i}") for i in range(1, 6)]),
         apply_url=F.col("url"),
     )
 
 
 def careerjet(pages: DataFrame) -> DataFrame:
     board, rules = "careerjet", RULES["careerjet"]
-    n = F.col("n")
+    n = _all("nodes")
 
     def outside_icon(place: Column) -> Column:
         shown = F.filter(H.outside(H.within(n, place), "svg"), lambda x: x["text"].isNotNull())
         return tx.stripped(F.array_join(F.transform(shown, lambda x: x["text"]), ""))
 
-    header = F.transform(H.elements(n, rules["detail"]), outside_icon)
+    header = F.transform(_all("detail"), outside_icon)
     # Columns of their own, as what is made of them names them several times.
-    found = {"header": header, "posted": _first(board, "posted"), "text": H.plain_text(H.first_within(n, rules["description"]))}
+    found = {"header": header, "posted": _first("posted"), "text": H.plain_text(H.within_first(n, _all("description")))}
     df = _nodes(pages, rules).withColumns(found).withColumn("layout", lists.layout(F.col("header")))
     posted, description = F.col("posted"), F.col("text")
     return _fields(
         df,
         board,
-        employer_name=tx.stripped(_first(board, "employer")),
-        title=_first(board, "title"),
+        employer_name=tx.stripped(_first("employer")),
+        title=_first("title"),
         location=F.col("layout.location"),
         employment_type=F.col("layout.employment_type"),
         salary=pay.salary_range(F.col("layout.salary")),
@@ -133,21 +138,21 @@ def careerjet(pages: DataFrame) -> DataFrame:
         posted_at=dates.posted_at(posted, F.col("captured_at")),
         description=tx.clean(tx.without_ends(description), board),
         job_url=F.col("url"),
-        apply_url=urls.absolute(_first(board, "apply"), LINK_BASES[board]),
+        apply_url=urls.absolute(_first("apply"), LINK_BASES[board]),
     )
 
 
 def paypal(pages: DataFrame, date_format: str = "M/d/y") -> DataFrame:
     board = "paypal"
-    df = _nodes(pages, RULES[board]).withColumn("block", _texts(board, "block"))
+    df = _nodes(pages, RULES[board]).withColumn("block", _all("block"))
     field = {k: tx.non_empty(lists.at(F.col("block"), i)) for k, i in POSITIONS[board].items()}
-    parts = lists.between(_texts(board, "description"), *DESCRIPTION_CUTS[board])
+    parts = lists.between(_all("description"), *DESCRIPTION_CUTS[board])
     cleaned = F.transform(parts, lambda x: H.unescaped(tx.without_tags(tx.clean(x, board))))
     return _fields(
         df,
         board,
         job_id=field["job_id"],
-        title=tx.stripped(_first(board, "title")),
+        title=tx.stripped(_first("title")),
         location=field["location"],
         employment_type=field["employment_type"],
         employment_industry=_one(field["industry"]),
@@ -162,18 +167,18 @@ def paypal(pages: DataFrame, date_format: str = "M/d/y") -> DataFrame:
 
 def quest(pages: DataFrame, date_format: str = "M/d/y") -> DataFrame:
     board = "quest"
-    df = _nodes(pages, RULES[board]).withColumn("snapshot", _texts(board, "snapshot"))
+    df = _nodes(pages, RULES[board]).withColumn("snapshot", _all("snapshot"))
     at = {k: lists.at(F.col("snapshot"), i) for k, i in POSITIONS[board].items()}
-    location = _first(board, "location")
-    cleaned = F.transform(_texts(board, "description"), lambda x: tx.clean(x, board))
+    location = _first("location")
+    cleaned = F.transform(_all("description"), lambda x: tx.clean(x, board))
     return _fields(
         df,
         board,
         job_id=at["job_id"],
-        title=tx.title_before(_first(board, "title"), location),
+        title=tx.title_before(_first("title"), location),
         location=location,
         employment_type=at["employment_type"],
-        employment_industry=_one(_first(board, "industry")),
+        employment_industry=_one(_first("industry")),
         posted_raw=at["posted"],
         posted_date=dates.typed_date(at["posted"], date_format),
         description=lists.joined(lists.between(cleaned, *DESCRIPTION_CUTS[board])),
@@ -184,41 +189,41 @@ def quest(pages: DataFrame, date_format: str = "M/d/y") -> DataFrame:
 def lockheed(pages: DataFrame, date_format: str = "M/d/y") -> DataFrame:
     board = "lockheed"
     df = _nodes(pages, RULES[board])
-    industry = _texts(board, "industry")
-    posted = lists.at(_texts(board, "posted"), -1)
-    parts = lists.between(_texts(board, "description"), *DESCRIPTION_CUTS[board])
+    industry = _all("industry")
+    posted = lists.at(_all("posted"), -1)
+    parts = lists.between(_all("description"), *DESCRIPTION_CUTS[board])
     return _fields(
         df,
         board,
-        job_id=lists.at(_texts(board, "job_id"), -1),
-        title=_first(board, "title"),
-        location=_first(board, "location"),
+        job_id=lists.at(_all("job_id"), -1),
+        title=_first("title"),
+        location=_first("location"),
         employment_industry=F.when(F.size(industry) > 0, industry),
         posted_raw=posted,
         posted_date=dates.typed_date(posted, date_format),
         description=lists.joined(F.transform(parts, tx.without_crlf)),
-        apply_url=_first(board, "apply"),
+        apply_url=_first("apply"),
     )
 
 
 def cisco(pages: DataFrame) -> DataFrame:
-    board, rules = "cisco", RULES["cisco"]
-    seen = lambda rule: H.visible_text(H.first_within(F.col("n"), rules[rule]))
+    board = "cisco"
     return _fields(
-        _nodes(pages, rules),
+        _nodes(pages, RULES[board]),
         board,
-        job_id=seen("job_id"),
-        title=seen("title"),
-        location=seen("location"),
-        employment_industry=_one(seen("industry")),
-        description=seen("description"),
+        job_id=_seen("job_id"),
+        title=_seen("title"),
+        location=_seen("location"),
+        employment_industry=_one(_seen("industry")),
+        description=_seen("description"),
         job_url=F.col("url"),
     )
 
 
 def mckesson(pages: DataFrame) -> DataFrame:
     board = "mckesson"
-    items = lists.distinct_core(H.element_texts(F.col("n"), RULES[board]["item"]))
+    shown = F.transform(_all("item"), lambda place: H.visible_text(H.within(_all("nodes"), place)))
+    items = lists.distinct_core(shown)
     df = _nodes(pages, RULES[board]).withColumn("items", items)
     at = {k: lists.at(F.col("items"), i) for k, i in POSITIONS[board].items()}
     return _fields(
@@ -266,9 +271,8 @@ def riteaid_cards(listings: DataFrame) -> DataFrame:
     are those of the card's first anchor."""
     rules = LISTING_RULES["riteaid"]
     card = F.col("card")
-    pages = listings.select(H.html_nodes(F.col("html"), [rules["card"]]).alias("_nodes"))
     return (
-        link_ops.card_nodes(pages, rules["card"], ())
+        link_ops.card_nodes(listings, rules["card"], ())
         .select(
             H.visible_text(H.first_within(card, rules["industry"])).alias("industry"),
             H.first_element(card, rules["anchor"])["attrs"].alias("a"),
@@ -282,13 +286,11 @@ def riteaid_cards(listings: DataFrame) -> DataFrame:
 
 
 def riteaid_details(pages: DataFrame) -> DataFrame:
-    board, rules = "riteaid", RULES["riteaid"]
-    seen = lambda rule: H.visible_text(H.first_within(F.col("n"), rules[rule]))
-    return _nodes(pages, rules).select(
+    return _nodes(pages, RULES["riteaid"]).select(
         F.col("url").alias("job_url"),
-        seen("location").alias("location"),
-        seen("description").alias("description"),
-        _first(board, "apply").alias("apply_url"),
+        _seen("location").alias("location"),
+        _seen("description").alias("description"),
+        _first("apply").alias("apply_url"),
         "captured_at",
     )
 
@@ -334,19 +336,19 @@ def listing_pages(listings: DataFrame, board: str) -> DataFrame:
     """`(source, page_no, n_links, hrefs)` of listing pages; a page without links counts 0, one
     without HTML null."""
     rules = LISTING_RULES[board]
-    n = F.col("n")
+    f = F.col("f")
     if "card" in rules:
-        cards = F.transform(H.elements(n, rules["card"]), lambda place: H.within(n, place))
+        cards = F.transform(f["outer"], lambda place: H.within(f["nodes"], place))
         if "sponsored" in rules:
             cards = F.filter(cards, lambda c: F.coalesce(H.select_first(c, rules["sponsored"]), F.lit("")) == "")
         hrefs = F.array_compact(F.transform(cards, lambda c: H.select_first(c, rules["link"])))
         outer = rules["card"]
     else:
-        hrefs = lists.window(H.select_all(n, rules["links"]), *LINK_SLICES.get(board, (0, None)))
+        hrefs = lists.window(f["outer"], *LINK_SLICES.get(board, (0, None)))
         outer = rules["links"]
     read = F.col("html").isNotNull().alias("read")
     return (
-        listings.select("source", "page_no", read, H.html_nodes(F.col("html"), [outer]).alias("n"))
+        listings.select("source", "page_no", read, H.html_fields(F.col("html"), {"outer": outer}).alias("f"))
         .select("source", "page_no", "read", hrefs.alias("hrefs"))
         .select("source", "page_no", F.when(F.col("read"), F.size("hrefs")).cast("long").alias("n_links"), "hrefs")
     )
@@ -356,7 +358,7 @@ def next_page(listings: DataFrame, board: str) -> DataFrame:
     """The link to the next listing page, the last one of the page's own links to pages; null where
     there is none."""
     rule = LISTING_RULES[board]["next"]
-    href = link_ops.next_link(H.select_all(H.html_nodes(F.col("html"), [rule]), rule))
+    href = link_ops.next_link(H.html_values(F.col("html"), rule))
     return listings.select("source", "page_no", urls.absolute(href, LINK_BASES[board]).alias("next_url"))
 
 
@@ -387,5 +389,5 @@ def listing_links(listings: DataFrame, board: str) -> DataFrame:
 def listing_total(listings: DataFrame, board: str = "monster_sg") -> DataFrame:
     """The total a listing page's heading gives."""
     rule = LISTING_RULES[board]["total"]
-    heading = H.select_first(H.html_nodes(F.col("html"), [rule]), rule)
+    heading = F.get(H.html_values(F.col("html"), rule), F.lit(0))
     return listings.select("source", "page_no", tx.last_count(heading).alias("total"))

@@ -172,3 +172,39 @@ def test_a_page_of_many_cards_takes_time_in_proportion(spark):
 
     seconds(50)
     assert seconds(16_000) < 20 * max(seconds(2_000), 0.4)
+
+
+def test_fields_are_those_of_a_search_of_the_nodes(spark, monkeypatch):
+    """One pass gives what select_all and elements give, on markup of any shape."""
+    import random
+
+    import pyspark.sql.functions as F
+
+    monkeypatch.setattr(H, "PAGES_AT_ONCE", 3)
+    rules = {
+        "a": "#x > div *::text", "b": "div p::text", "c": "div:nth-child(2) > p:nth-of-type(1)::text", "d": "*.k::text",
+        "e": "ul > li *::attr(href)", "f": "a::attr(href)", "g": "[class*=ar]", "h": "div div > p", "i": "ul li.k", "j": "title::text",
+        "k": ".k .k::text", "l": "div > div > a::attr(href)", "m": "script::text", "n": "div *::text",
+    }
+    bits = ["<div>", '<div id="x">', '<div class="k">', '<div class="card k">', "</div>", "<p>", '<p class="k">', "</p>", "<ul>", "<li>", '<li class="k">',
+            "</ul>", '<a href="/1">', "<a href>", "</a>", "t", " u &amp; v", "<br>", "<title>T&lt;</title>", "<script>s&amp;</script>", "<!-- c -->", "<"]
+    rng = random.Random(1)
+    pages = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(0, 60)))) for i in range(200)] + [(200, None)]
+    df = spark.createDataFrame(pages, "id int, html string").repartition(2)
+    places = [rule for rule in rules.values() if "::" not in rule]
+    old = df.select("id", H.html_nodes(F.col("html"), places).alias("p"), H.html_nodes(F.col("html"), rules.values()).alias("n")).select(
+        "id", F.col("p").alias("nodes"),
+        *[(H.select_all(F.col("n"), r) if "::" in r else H.elements(F.col("p"), r)).alias(k) for k, r in rules.items()],
+    )
+    new = df.select("id", H.html_fields(F.col("html"), rules).alias("f")).select("id", "f.*")
+    got, wanted = (sorted(map(tuple, x.collect())) for x in (new, old))
+    assert got == wanted and all(any(row[i] for row in got) for i in range(2, len(rules) + 2))
+
+
+def test_only_a_few_pages_are_parts_at_a_time(monkeypatch):
+    most = []
+    walk = H._walk
+    monkeypatch.setattr(H, "_walk", lambda html, regions, picks, memo, nodes: (walk(html, regions, picks, memo, nodes), most.append(len(nodes.steps))))
+    found = H._read(["<p>a</p>"] * 5000, (), H._Picks(["p::text"]))
+    assert max(most) == 2 * H.PAGES_AT_ONCE
+    assert [len(x) for x in found] == [5000, 5000] and found[1].to_pylist() == [["a"]] * 5000
