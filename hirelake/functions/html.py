@@ -202,6 +202,12 @@ class _Open:
             if place >= 0:
                 self.nodes.sizes[place] = len(self.nodes.steps) - place
 
+    def end(self, tag: str) -> None:
+        """Close the innermost open element of the tag, if there is one."""
+        at = self.places.get(tag)
+        if at:
+            self.cut(at[-1])
+
     def close(self, names: Iterable[str], stops: Iterable[str] = ()) -> bool:
         """Close the innermost open element of the names, unless a stop is open inside it."""
         at = max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
@@ -213,9 +219,10 @@ class _Open:
 
 def _walk(html: str, regions: tuple | None, picks: _Picks, memo: dict, nodes: _Nodes) -> None:
     """Append the page's nodes and what it holds of the picks. `memo` keeps start tags already read,
-    which repeat a lot. Without regions every node is kept, with None for them none."""
+    which repeat a lot. Without regions every node is kept, with None for them those of picked elements."""
     opened = _Open(regions == (), nodes)
-    stack, pos, base = opened.stack, 0, len(nodes.steps)
+    stack, places, pos, base = opened.stack, opened.places, 0, len(nodes.steps)
+    first, child, below, hits = picks.first, picks.child, picks.below, picks.hits
 
     def add_text(text: str) -> None:
         top = stack[-1]
@@ -231,7 +238,7 @@ def _walk(html: str, regions: tuple | None, picks: _Picks, memo: dict, nodes: _N
         pos = end
         kind = hit.lastindex
         if kind == _END:
-            opened.close((hit[4].lower(),))
+            opened.end(hit[4].lower())
             continue
         if kind is None:
             continue
@@ -242,7 +249,7 @@ def _walk(html: str, regions: tuple | None, picks: _Picks, memo: dict, nodes: _N
                 memo.clear()
             known = memo[source] = _start_tag(*source, regions or (), picks)
         tag, rest, opens, given, own, placed = known
-        if tag in BLOCKS:
+        if tag in BLOCKS and places.get("p"):
             opened.close(("p",), ("button", "table", "td", "th"))
         if tag in ENDS:
             while opened.close(*ENDS[tag]):
@@ -250,20 +257,21 @@ def _walk(html: str, regions: tuple | None, picks: _Picks, memo: dict, nodes: _N
         parent = stack[-1]
         parent[1] += 1
         nth = parent[2][tag] = parent[2].get(tag, 0) + 1
-        inside, place, depth = parent[3] or opens, -1, parent[5]
         for bit, n, m in placed:
             if n in (0, parent[1]) and m in (0, nth):
                 own |= bit
         around = parent[7]
-        exact = own and own & (picks.first | (parent[6] << 1) & picks.child | (around << 1) & picks.below)
-        takers = picks.hits("text", exact, around)
+        exact = own and own & (first | (parent[6] << 1) & child | (around << 1) & below)
+        takers = hits("text", exact, around) if exact or around else ()
+        matched = hits("element", exact, 0) if exact else ()
+        inside, place, depth = parent[3] or opens or bool(matched), -1, parent[5]
         if inside:
             depth += 1
             place = nodes.add(f"/{tag}[{parent[1]},{nth}]{rest}", None, given, parent[4], depth)
-            for places, _ in picks.hits("element", exact, around):
-                places.append(place - base)
-        if given:
-            for values, attr in picks.hits("attr", exact, around):
+            for found, _ in matched:
+                found.append(place - base)
+        if given and (exact or around):
+            for values, attr in hits("attr", exact, around):
                 if attr in given:
                     values.append(given[attr])
         if kind == _CONTENT and hit[3] and (inside or takers):
@@ -352,12 +360,8 @@ def html_nodes(html: Column, selectors: Iterable[str] = (), attrs: tuple = ("hre
 def html_fields(html: Column, rules: dict[str, str], attrs: tuple = ("href", "aria-label")) -> Column:
     """What each rule matches on a page, read in one pass: a struct with, by the rule's name, the texts
     or attribute values in document order, or for a rule that names elements their places in the
-    struct's `nodes`, the node array cut down to the regions of such rules. The same as select_all and
+    struct's `nodes`, the node array cut down to such elements. The same as select_all and
     elements give over html_nodes, without a search of the array for each rule."""
-    elements = [rule for rule in rules.values() if _names_elements(rule)]
-    regions = tuple(dict.fromkeys(_region(rule) for rule in elements)) or None
-    if regions and any(not any(r) for r in regions):
-        regions = ()
     names = ["nodes", *rules]
     schema = T.StructType().add("nodes", NODE_TYPE)
     for name, rule in rules.items():
@@ -365,7 +369,7 @@ def html_fields(html: Column, rules: dict[str, str], attrs: tuple = ("href", "ar
 
     @F.arrow_udf(schema)
     def fields(pages: pa.Array) -> pa.Array:
-        read = _read((page.as_py() for page in pages), regions, _Picks(rules.values(), attrs))
+        read = _read((page.as_py() for page in pages), None, _Picks(rules.values(), attrs))
         return pa.StructArray.from_arrays(read, names)
 
     return fields(html)

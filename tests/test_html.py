@@ -192,13 +192,15 @@ def test_fields_are_those_of_a_search_of_the_nodes(spark, monkeypatch):
     pages = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(0, 60)))) for i in range(200)] + [(200, None)]
     df = spark.createDataFrame(pages, "id int, html string").repartition(2)
     places = [rule for rule in rules.values() if "::" not in rule]
-    old = df.select("id", H.html_nodes(F.col("html"), places).alias("p"), H.html_nodes(F.col("html"), rules.values()).alias("n")).select(
-        "id", F.col("p").alias("nodes"),
-        *[(H.select_all(F.col("n"), r) if "::" in r else H.elements(F.col("p"), r)).alias(k) for k, r in rules.items()],
+    texts = lambda place: H.visible_text(H.within(F.col("_f.nodes"), place))
+    old = df.select("id", H.html_nodes(F.col("html"), places).alias("_p"), H.html_nodes(F.col("html"), rules.values()).alias("_n")).select(
+        "id", *[(H.select_all(F.col("_n"), r) if "::" in r else H.element_texts(F.col("_p"), r)).alias(k) for k, r in rules.items()],
     )
-    new = df.select("id", H.html_fields(F.col("html"), rules).alias("f")).select("id", "f.*")
+    new = df.select("id", H.html_fields(F.col("html"), rules).alias("_f")).select(
+        "id", *[(F.col("_f")[k] if "::" in r else F.transform(F.col("_f")[k], texts)).alias(k) for k, r in rules.items()]
+    )
     got, wanted = (sorted(map(tuple, x.collect())) for x in (new, old))
-    assert got == wanted and all(any(row[i] for row in got) for i in range(2, len(rules) + 2))
+    assert got == wanted and all(any(row[i] for row in got) for i in range(1, len(rules) + 1))
 
 
 def test_only_a_few_pages_are_parts_at_a_time(monkeypatch):
