@@ -328,8 +328,7 @@ def retries_by_kind(spark, sf_dir):
         F.concat("url", F.lit("/"), (F.col("event_id") % 9).cast("string")).alias("url"), "ts", "event_id",
         quality.failure_class(F.col("status"), F.col("error")).alias("failure"),
     )
-    kinds = [crawl.retries(log, kind).select(F.lit(kind).alias("kind"), "url", "attempts", "last_failure") for kind in ATTEMPTS]
-    return reduce(DataFrame.unionByName, kinds)
+    return quality.retries_by_kind(log, ATTEMPTS)
 
 
 # A run captures each listing from its first page to a third, two thirds and the whole of it.

@@ -74,12 +74,29 @@ def retry_candidates(log: DataFrame, max_attempts: int) -> DataFrame:
     """URLs whose last attempt failed and that have attempts left.
 
     `log` holds url, ts, event_id, failure; the log of one URL folds before the shuffle."""
-    return (
-        log.groupBy("url")
-        .agg(
-            F.count(F.lit(1)).alias("attempts"),
-            F.max(F.struct("ts", "event_id", "failure")).alias("_last"),
-        )
-        .where((F.col("_last.failure") != "ok") & (F.col("attempts") < max_attempts))
-        .select("url", "attempts", F.col("_last.failure").alias("last_failure"))
+    return _retriable(last_attempts(log), F.col("attempts") < max_attempts)
+
+
+def retries_by_kind(log: DataFrame, attempts: dict[str, int]) -> DataFrame:
+    """(kind, url, attempts, last_failure): the candidates of each kind of request with its number of
+    attempts. The log is folded once for all of them."""
+    kinds = F.array(*(F.struct(F.lit(kind).alias("kind"), F.lit(most).alias("most")) for kind, most in attempts.items()))
+    left = last_attempts(log).where(F.col("attempts") < max(attempts.values())).withColumn("_k", F.explode(kinds))
+    return _retriable(left, F.col("attempts") < F.col("_k.most"), F.col("_k.kind"))
+
+
+def _retriable(last: DataFrame, has_left: Column, *more: Column) -> DataFrame:
+    return last.where((F.col("_last.failure") != "ok") & has_left).select(
+        *more, "url", "attempts", F.col("_last.failure").alias("last_failure")
+    )
+
+
+def last_attempts(log: DataFrame) -> DataFrame:
+    """(url, attempts, _last): attempts of each URL and the last of them.
+
+    The maximum of structs sorts a task's rows, so the log is dealt to tasks of one size first,
+    however large its files are; a URL with very many rows is split among tasks and folds there."""
+    dealt = log.hint("rebalance", F.col("url"))
+    return dealt.groupBy("url").agg(
+        F.count(F.lit(1)).alias("attempts"), F.max(F.struct("ts", "event_id", "failure")).alias("_last")
     )

@@ -338,3 +338,15 @@ def test_every_board_gives_details_and_its_next_listing(spark, board):
     assert [r.page_no for r in got if r.kind == "listing"] == [3]
     details = {r.url for r in got if r.kind == "detail"}
     assert details == {r.url for r in crawl.detail_frontier(df, seen, board).collect()}
+
+
+def test_log_is_folded_once_in_tasks_of_one_size(spark):
+    log = spark.createDataFrame(
+        [(u, i, i, "timeout") for u, n in (("a", 3), ("b", 7), ("c", 12), ("d", 20)) for i in range(n)], "url string, ts long, event_id long, failure string"
+    )
+    attempts = {"start": 5, "start_capped": 10, "detail": 15}
+    by_kind = quality.retries_by_kind(log, attempts)
+    apart = [(kind, r["url"], r["attempts"], "timeout") for kind, most in attempts.items() for r in quality.retry_candidates(log, most).collect()]
+    assert sorted(map(tuple, by_kind.collect())) == sorted(apart) and len(apart) == 6
+    plan = by_kind._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RebalancePartitions [url") == 1 and plan.count("Aggregate [url") == 1
