@@ -11,12 +11,15 @@ their anchor, and the work grows with the text.
    are done with.
 2. Equal segments fold to the least id that has one. Whatever other document has that segment
    loses all of it.
-3. Where one anchor has different segments, one text per segment goes to the anchor's shard. The
-   shard builds an FM-index over its segments (wavelet matrix of the Burrows-Wheeler transform)
-   and streams each through it; matching statistics of `window` and more against segments of
-   smaller ids are the windows to remove.
-4. An anchor with more than `crowd` different segments is too large for one shard: its segments
-   are cut into their windows, which are dealt by digest and fold by equality like segments.
+3. Where one anchor has different segments, one text per segment goes to the anchor's shard. There
+   a segment is trimmed to what lies between its first and its last window whose hash another owner
+   has as well; equal ones fold again. The shard builds an FM-index over what is left (wavelet matrix of
+   the Burrows-Wheeler transform) and streams each through it; matching statistics of `window` and
+   more against segments of smaller ids are the windows to remove.
+4. An anchor with more than `crowd` different segments is too large for one shard: its windows are
+   counted by digest across tasks, and its segments trimmed to the windows of several owners
+   and folded before they are dealt. So a common passage is one text, whatever stands around it. Only an
+   anchor that has more than `crowd` different texts even then is decided window by window.
 5. Ranges are collected per document and cut out.
 
 Defined cases: null texts have no words; a document without id is never an earlier one and
@@ -134,19 +137,71 @@ def ranges(found: np.ndarray, window: int) -> list[dict]:
     return [{"start": int(starts[a]), "end": int(starts[b]) + window} for a, b in zip(first, last)]
 
 
+def shared_windows(pieces: list[np.ndarray], owners: np.ndarray, window: int, rolling: Rolling) -> tuple[np.ndarray, ...]:
+    """Of each piece the first and the last window whose hash another owner has too (-1: none),
+    and whether one of them has an earlier owner."""
+    sizes = np.array([len(p) for p in pieces])
+    flat, piece = np.concatenate(pieces), np.repeat(np.arange(len(pieces)), sizes)
+    first, last, later = np.full(len(pieces), -1), np.full(len(pieces), -1), np.zeros(len(pieces), dtype=bool)
+    at = np.arange(max(0, len(flat) - window + 1))
+    at = at[piece[: len(at)] == piece[window - 1 :][: len(at)]]
+    if not len(at):
+        return first, last, later
+    hashes = rolling.between(rolling.prefix(flat), at, at + window)
+    order = np.argsort(hashes)
+    own = owners[piece[at]]
+    starts = np.flatnonzero(np.append(True, np.diff(hashes[order]) != 0))
+    group = np.empty(len(at), dtype=np.int64)
+    group[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(at))))
+    least, most = np.minimum.reduceat(own[order], starts), np.maximum.reduceat(own[order], starts)
+    kept = (least < most)[group]
+    later[piece[at[kept & (least[group] < own)]]] = True
+    at = at[kept]
+    inside = at - (np.cumsum(sizes) - sizes)[piece[at]]
+    last[piece[at]] = inside
+    first[piece[at][::-1]] = inside[::-1]
+    return first, last, later
+
+
+def searched(pieces: list[np.ndarray], owners: np.ndarray, window: int, rolling: Rolling) -> list[list[dict]]:
+    """The ranges of each piece that also stand in a piece of a smaller owner."""
+    first, last, later = shared_windows(pieces, owners, window, rolling)
+    folded: dict[bytes, int] = {}
+    texts, least, asked, place = [], [], [], {}
+    for i in np.flatnonzero(first >= 0).tolist():
+        text = pieces[i][first[i] : last[i] + window]
+        n = place[i] = folded.setdefault(text.tobytes(), len(texts))
+        if n == len(texts):
+            texts.append(text)
+            least.append(owners[i])
+            asked.append(later[i])
+        elif owners[i] < least[n]:
+            least[n], asked[n] = owners[i], later[i]
+    out: list[list[dict]] = [[] for _ in pieces]
+    if not texts:
+        return out
+    least, asked = np.array(least), np.flatnonzero(asked)
+    found = Index(texts, least).matches([texts[n] for n in asked], least[asked], window)
+    spans = {int(n): ranges(f >= window, window) for n, f in zip(asked, found)}
+    for i, n in place.items():
+        at = int(first[i])
+        if owners[i] > least[n]:
+            out[i] = [{"start": at, "end": at + len(texts[n])}]
+        else:
+            out[i] = [{"start": at + r["start"], "end": at + r["end"]} for r in spans.get(n, ())]
+    return out
+
+
 def _search(window: int):
     """Segments sorted by anchor to the ranges of each; complete anchors fill a shard."""
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
-    def shard(rows: list[dict]) -> pa.RecordBatch:
+    def shard(rows: list[dict], rolling: Rolling) -> pa.RecordBatch:
         numbers: dict[str, int] = {}
         pieces = [np.array([numbers.setdefault(w, len(numbers)) for w in r["plain"].split(" ")]) for r in rows]
         owners = np.unique([r["owner"] for r in rows], return_inverse=True)[1]
-        # The least owner of an anchor has nothing earlier to find.
-        asked = [i for i, r in enumerate(rows) if r["owner"] != r["least"]]
-        found = Index(pieces, owners).matches([pieces[i] for i in asked], owners[asked], window)
-        out = {i: ranges(f >= window, window) for i, f in zip(asked, found)}
-        kept = [i for i, x in out.items() if x]
+        out = searched(pieces, owners, window, rolling)
+        kept = [i for i, x in enumerate(out) if x]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([rows[i]["hash"] for i in kept], pa.int64()), pa.array([rows[i]["digest"] for i in kept], pa.int64()),
@@ -156,16 +211,16 @@ def _search(window: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, total = [], 0
+        rolling, held, total = Rolling(), [], 0
         for batch in batches:
             for row in batch.to_pylist():
                 if total > SHARD_WORDS and row["hash"] != held[-1]["hash"]:
-                    yield shard(held)
+                    yield shard(held, rolling)
                     held, total = [], 0
                 held.append(row)
                 total += row["plain"].count(" ") + 2
         if held:
-            yield shard(held)
+            yield shard(held, rolling)
 
     return run
 
@@ -195,6 +250,36 @@ def _windows(window: int):
     return run
 
 
+def _trimmed(window: int, table):
+    """Segments from their first to their last window in the table, with a digest of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rolling, bits = Rolling(), table.value
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column("plain").cast(pa.binary())]
+            for a, b in blocks([len(t) for t in texts]):
+                words = Words(texts[a:b], rolling)
+                one, whole = words.runs(window)
+                at = np.flatnonzero(whole)
+                at = at[bits[(one[at] % np.uint64(TABLE_BITS)).astype(np.int64)]]
+                text, low = np.unique(words.text[at], return_index=True)
+                high = np.append(low[1:], len(at)) - 1
+                begin, end = words.starts[at[low]], words.ends[at[high] + window - 1]
+                row = pa.array(text + a)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("hash").take(row), batch.column("digest").take(row), batch.column("owner").take(row),
+                        pa.array((at[low] - words.first[text]).astype(np.int32)),
+                        pa.array((at[high] - at[low] + window).astype(np.int32)),
+                        pa.array(digests(words.data, begin, end).view(np.int64)),
+                        pa.array([words.data[x:y].decode() for x, y in zip(begin.tolist(), end.tolist())], pa.string()),
+                    ],
+                    ["hash", "digest", "owner", "at", "size", "piece", "plain"],
+                )
+
+    return run
+
+
 def _gone(rows: DataFrame, window: int, crowd: int) -> DataFrame:
     """(id, tie, start, end): ranges of words to remove."""
     id_kind = rows.schema["_id"].dataType.simpleString()
@@ -215,26 +300,46 @@ def _gone(rows: DataFrame, window: int, crowd: int) -> DataFrame:
     texts = rows.mapInArrow(_segment_texts(window, table), "hash long, digest long, plain string")
     texts = texts.groupBy("hash", "digest").agg(F.first("plain").alias("plain"))
     texts = written(texts.join(mixed, ["hash", "digest"]), "segment-texts")
-    dealt = texts.where(F.col("segments") <= crowd).select("hash", "digest", "owner", "least", "plain")
+    dealt = texts.where(F.col("segments") <= crowd).select("hash", "digest", "owner", "plain")
+
+    crowded = texts.where(F.col("segments") > crowd).select("hash", "digest", "owner", "plain")
+    cut = _windows(window), f"hash long, digest long, owner {id_kind}, at int, w1 long, w2 long"
+    several = crowded.mapInArrow(*cut).groupBy("w1", "w2").agg(F.min("owner").alias("least"), F.max("owner").alias("last"))
+    several = written(several.where("least < last").select("w1", "w2", "least"), "shared-windows")
+    table = rows.sparkSession.sparkContext.broadcast(bit_table(several, "w1", TABLE_BITS))
+    trimmed = crowded.mapInArrow(
+        _trimmed(window, table), f"hash long, digest long, owner {id_kind}, at int, size int, piece long, plain string"
+    )
+    trimmed = written(trimmed, "trimmed")
+    pieces = trimmed.groupBy("hash", "piece").agg(F.min("owner").alias("owner"), F.first("plain").alias("plain"))
+    pieces = written(pieces.withColumnRenamed("piece", "digest"), "pieces")
+    pieces = pieces.join(pieces.groupBy("hash").agg(F.count("*").alias("segments")), "hash")
+    few = pieces.where(F.col("segments") <= crowd).select("hash", "digest", "owner", "plain")
+    many = pieces.where(F.col("segments") > crowd).select("hash", "digest", "owner", "plain")
+
     # Searching takes much longer than moving, so there are as many tasks as shards, small as they are.
-    total = texts.agg(F.coalesce(F.sum(F.length("plain")), F.lit(0))).first()[0]
+    total = dealt.agg(F.coalesce(F.sum(F.length("plain")), F.lit(0))).first()[0]
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total) // SHARD_CHARS)
-    dealt = dealt.repartition(tasks, "hash").sortWithinPartitions("hash")
+    dealt = dealt.unionByName(few).repartition(tasks, "hash").sortWithinPartitions("hash")
     span = "array<struct<start:int,end:int>>"
-    searched = dealt.mapInArrow(_search(window), f"hash long, digest long, found {span}")
-    searched = searched.select("hash", "digest", F.explode("found").alias("r")).select("hash", "digest", "r.*")
+    found = dealt.mapInArrow(_search(window), f"hash long, digest long, found {span}")
+    found = found.select("hash", "digest", F.explode("found").alias("r")).select("hash", "digest", "r.*")
+    single = many.mapInArrow(*cut).join(several, ["w1", "w2"]).where("least < owner").groupBy("hash", "digest").agg(
+        # No segment has windows so far apart that words between them are in neither.
+        F.min("at").alias("start"), (F.max("at") + window).alias("end")
+    )
+    found = written(found.unionByName(single), "found")
 
-    crowded = texts.where(F.col("segments") > crowd)
-    cut = crowded.select("hash", "digest", "owner", "plain").mapInArrow(
-        _windows(window), f"hash long, digest long, owner {id_kind}, at int, w1 long, w2 long"
+    # What was found in a piece holds for the segments of its owner; the others lose all of it.
+    known_pieces = trimmed.drop("plain").join(
+        pieces.select("hash", F.col("digest").alias("piece"), F.col("owner").alias("earlier")), ["hash", "piece"]
     )
-    cut = written(cut, "windows")
-    first = cut.groupBy("w1", "w2").agg(F.min("owner").alias("least"))
-    single = cut.join(first, ["w1", "w2"]).where("least < owner").select(
-        "hash", "digest", F.col("at").alias("start"), (F.col("at") + window).alias("end")
+    later = known_pieces.where("earlier < owner").select("hash", "digest", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
+    same = known_pieces.where("earlier = owner").join(found.withColumnRenamed("digest", "piece"), ["hash", "piece"]).select(
+        "hash", "digest", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end")
     )
-
-    own = written(searched.unionByName(single), "found")
+    # A piece with the digest of a segment is that segment.
+    own = found.unionByName(later).unionByName(same)
     placed = anchors.join(known, ["hash", "digest"])
     placed = written(placed.select("id", "tie", "hash", "digest", "low", "size", "owner"), "placed")
     whole = placed.where((F.col("owner") < F.col("id")) & (F.col("size") >= window)).select(

@@ -12,6 +12,7 @@ from cases import CLASHES, documents, texts
 from hirelake.llm import bpe, chat, decontam, lines, lm, pii, quality, secrets, simhash, substring
 from hirelake.llm.components import components
 from hirelake.llm.fmindex import Index
+from hirelake.session import tables_made
 
 BYTES, WORDS = (bpe.tokenizer_file(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 RULES = quality.Rules(pull=5)
@@ -182,6 +183,21 @@ def test_substrings(spark, window, crowd):
     assert plain == sorted(brute.repeats(texts(), window), key=repr)
 
 
+def test_common_passage_is_one_piece_whatever_surrounds_it(spark):
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(n, " ".join([*(f"a{n}x{i}" for i in range(40)), *passage, *(f"b{n}x{i}" for i in range(40))])) for n in range(40)]
+    # Windows that only some of the documents have.
+    rows += [(100 + n, " ".join([*(f"c{n}x{i}" for i in range(40)), *passage[:55], *(f"d{n % 3}x{i}" for i in range(40))])) for n in range(9)]
+    for crowd in (2000, 5, 1):
+        with tables_made() as paths:
+            got = substring.dedupe(documents(spark, rows), crowd=crowd).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_removed, brute.sha(r.kept_text)) for r in got) == sorted(brute.repeats(rows))
+        found = next(p for p in paths if "/found-" in p)
+        assert spark.read.parquet(found).count() <= 2 * len(rows)
+        if crowd == 5:
+            assert spark.read.parquet(next(p for p in paths if "/pieces-" in p)).count() < 30
+
+
 def test_matching_statistics():
     pick = random.Random(3)
     for _ in range(60):
