@@ -82,7 +82,9 @@ def late_counts(rows: DataFrame, by: tuple = ("source",)) -> DataFrame:
 
 
 class _RetryTimes(StatefulProcessor):
-    """One state value per URL: its earliest attempts, at most `most`, and up to when it was told."""
+    """One state value per URL: its earliest attempts, at most `most`, and up to when it was told. Each
+    call to the store is a message to the JVM and back, so the timer that is set is worked out
+    from the value, and nothing is asked for or set that is known or stands already."""
 
     def __init__(self, most: int, wait_ms: int) -> None:
         self.most, self.wait_ms = most, wait_ms
@@ -92,40 +94,54 @@ class _RetryTimes(StatefulProcessor):
         self.log = handle.getValueState("log", "told long, at array<bigint>, id array<bigint>, failure array<string>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        told, events = self._saved()
+        told, before = self._saved()
+        timer = self._ahead(before, told)
+        events = list(before)
         for row in rows:
             events.append((row["_at"], row["event_id"], row["failure"]))
             if len(events) >= 2 * self.most:
                 events = sorted(events)[: self.most]
-        yield from self._due(key, told, sorted(events)[: self.most], timerValues.getCurrentWatermarkInMs())
+        events = sorted(events)[: self.most]
+        # Later attempts than the last that counts change nothing.
+        if events != before:
+            yield from self._due(key, told, timer, events, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         told, events = self._saved()
-        yield from self._due(key, told, events, timerValues.getCurrentWatermarkInMs())
+        # Spark itself takes away the timer that went off, the only one.
+        yield from self._due(key, told, None, events, timerValues.getCurrentWatermarkInMs())
 
     def _saved(self) -> tuple[int, list[tuple]]:
-        if not self.log.exists():
+        saved = self.log.get()
+        if saved is None:
             return -1, []
-        told, at, ids, failure = self.log.get()
+        told, at, ids, failure = saved
         return told, list(zip(at, ids, failure, strict=True))
 
-    def _due(self, key, told: int, events: list[tuple], now: int) -> Iterator[Row]:
-        """What fell due after `told` and up to `now`; a timer for the next one."""
-        times = []
+    def _times(self, events: list[tuple]) -> Iterator[tuple[int, int, str]]:
         for n, (at, _, failure) in enumerate(events[: self.most - 1]):
             due = at + (self.wait_ms << n)
-            if failure != "ok" and due > told and (n + 1 == len(events) or events[n + 1][0] > due):
-                times.append((due, n + 1, failure))
-        for due, n, failure in times:
-            if due <= now:
+            if failure != "ok" and (n + 1 == len(events) or events[n + 1][0] > due):
+                yield due, n + 1, failure
+
+    def _ahead(self, events: list[tuple], told: int) -> int | None:
+        """The time after `told` for which the timer is set."""
+        return min((due for due, _, _ in self._times(events) if due > told), default=None)
+
+    def _due(self, key, told: int, timer: int | None, events: list[tuple], now: int) -> Iterator[Row]:
+        """What fell due after `told` and up to `now`; a timer for the next one in place of `timer`."""
+        for due, n, failure in self._times(events):
+            if told < due <= now:
                 yield Row(url=key[0], due_ms=due, attempts=n, last_failure=failure)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        ahead = [due for due, _, _ in times if due > now]
-        if ahead:
-            self.handle.registerTimer(min(ahead))
+        told = max(told, now)
+        ahead = self._ahead(events, told)
+        if timer != ahead:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if ahead is not None:
+                self.handle.registerTimer(ahead)
         at, ids, failure = (list(part) for part in zip(*events, strict=True))
-        self.log.update((max(told, now), at, ids, failure))
+        self.log.update((told, at, ids, failure))
 
     def close(self) -> None:
         pass

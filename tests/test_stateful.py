@@ -5,7 +5,9 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from hirelake.operators import paging
 from hirelake.streaming import incremental, stateful
@@ -128,6 +130,66 @@ def test_retry_waits_for_its_time(spark, tmp_path):
     assert run() == [("a", 1), ("a", 2)]
 
 
+class Store:
+    """Value state and timers of one key, with a list of the calls made."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def exists(self):
+        self.calls.append("exists")
+        return self.value is not None
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def listTimers(self):
+        self.calls.append("list")
+        return iter(self.timers)
+
+    def registerTimer(self, at):
+        self.calls.append("register")
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls.append("delete")
+        self.timers.discard(at)
+
+
+def test_retry_times_ask_the_store_no_more_than_they_must():
+    store, one = Store(), stateful._RetryTimes(3, 10)
+    one.init(store)
+
+    def calls(rows, now, expired=None):
+        store.calls.clear()
+        line = TimerValues(-1, now)
+        if expired is None:
+            rows = [Row(_at=at, event_id=i, failure=f) for at, i, f in rows]
+            out = list(one.handleInputRows(("u",), iter(rows), line))
+        else:
+            out = list(one.handleExpiredTimer(("u",), line, ExpiredTimerInfo(expired)))
+            store.timers.discard(expired)
+        return [(r["due_ms"], r["attempts"]) for r in out], store.calls
+
+    assert calls([(0, 1, "http")], 0) == ([], ["get", "register", "update"]) and store.timers == {10}
+    assert calls([(5, 2, "ok")], 0) == ([], ["get", "delete", "update"]) and store.timers == set()
+    assert calls([(4, 3, "dns")], 0) == ([], ["get", "update"])
+    assert calls([(9, 4, "ok")], 0) == ([], ["get"])
+    store.value = None
+    assert calls([(0, 1, "http")], 0) == ([], ["get", "register", "update"])
+    assert calls((), 12, 10) == ([(10, 1)], ["get", "update"]) and store.timers == set()
+    assert calls([(20, 2, "dns")], 12) == ([], ["get", "register", "update"]) and store.timers == {40}
+    assert calls([(15, 3, "ok")], 13) == ([], ["get", "delete", "update"]) and store.timers == set()
+
+
 LISTING = "source string, page_no long, n_links long"
 
 
