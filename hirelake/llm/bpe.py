@@ -15,7 +15,9 @@ entry to the dictionary.
 
 The tokenizer must drop white space between words, which `Codec` checks; its words are then
 independent of each other, and their tokens are kept in a cache of bounded size, one for each
-Python worker, so the tasks that follow each other in a worker share it.
+Python worker, so the tasks that follow each other in a worker share it. What a caller derives
+from the ids is made in that worker too (`each`): a second Python step would be a second
+worker per core, and as workers change places, each would come to hold such a cache.
 
 Defined cases: a null text is empty and has no tokens; repeated rows each give their
 result; special tokens written in a text are encoded as such, as the library does; an empty
@@ -31,8 +33,9 @@ import hashlib
 import importlib.util
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +52,9 @@ WINDOW = 24
 CUT_BITS = 11
 #: Slots of the table of repeated chunks (16 MB in a task), whatever the size of the corpus.
 TABLE_BITS = 1 << 24
-#: Words whose tokens a task keeps.
+#: Words whose tokens a worker keeps, and bytes of such words.
 CACHED_WORDS = 1 << 20
+CACHED_BYTES = 1 << 24
 #: Bytes of text that a task encodes before it hands rows on.
 SLICE = 1 << 22
 SPACE = b" \t\n\r\x0b\x0c"
@@ -76,7 +80,9 @@ class Codec:
         self.tokenizer.no_padding()
         size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+        self.names = list(map(str, range(size)))
         self.cache: dict[bytes, bytes] = {}
+        self.held = 0
         with open(path, encoding="utf-8") as file:
             made = json.load(file)
         self.lowers = '"Lowercase"' in json.dumps(made["normalizer"])
@@ -113,9 +119,10 @@ class Codec:
         found = list(map(cache.get, words))
         if None in found:
             missing = {w for w, ids in zip(words, found) if ids is None}
-            if len(cache) > CACHED_WORDS:
+            if len(cache) > CACHED_WORDS or self.held > CACHED_BYTES:
                 cache.clear()
-                missing = set(words)
+                self.held, missing = 0, set(words)
+            self.held += sum(map(len, missing))
             stems = {w: self._stem(w) for w in missing}
             new = list({x for pair in stems.values() for x in pair if x and x not in cache})
             cache.update(zip(new, self.many([w.decode() for w in new])))
@@ -125,6 +132,15 @@ class Codec:
         return found
 
 
+class Derived(NamedTuple):
+    """A column made from the packed ids of a row: its name, its type as Spark and Arrow write it, its value."""
+
+    name: str
+    type: str
+    kind: pa.DataType
+    of: Callable[[Codec, bytes], object]
+
+
 @functools.lru_cache(maxsize=1)
 def codec_of(path: str) -> Codec:
     """The worker's own codec, with the words it has seen in earlier tasks."""
@@ -268,8 +284,8 @@ def parts(codec: Codec, data: bytes, ends: np.ndarray, shared: np.ndarray) -> li
     return out
 
 
-def _encode_documents(path: str, table, reuse: bool):
-    """`reuse`: documents with repeated chunks, as parts; else the others, as ids."""
+def _encode_documents(path: str, table, reuse: bool, each: Derived | None = None):
+    """`reuse`: documents with repeated chunks, as parts; else the others, as ids and what is derived from them."""
     part = pa.list_(pa.struct([
         ("pos", pa.int32()), ("key", pa.binary()), ("ids", pa.binary()), ("first", pa.bool_()), ("last", pa.bool_()),
     ]))
@@ -292,16 +308,27 @@ def _encode_documents(path: str, table, reuse: bool):
                         out.append([{"pos": p, "key": k, "ids": x, "first": f, "last": e} for p, (k, x, f, e) in enumerate(made)])
                     else:
                         out.append(b"".join(x for _, x, _, _ in made))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_in").take(pa.array(kept, pa.int64())), pa.array(out, part if reuse else pa.binary())],
-                    ["_in", "_out"],
-                )
+                columns = [batch.column("_in").take(pa.array(kept, pa.int64())), pa.array(out, part if reuse else pa.binary())]
+                names = ["_in", "_out"]
+                if each:
+                    columns.append(pa.array([each.of(codec, x) for x in out], each.kind))
+                    names.append("_each")
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
-def _joined(parts_: pa.Array) -> pa.Array:
-    return pa.array([b"".join(p["ids"] for p in sorted(row, key=lambda p: p["pos"])) for row in parts_.to_pylist()], pa.binary())
+def _joined(path: str, each: Derived | None):
+    """The parts of a row put together, and what is derived from them."""
+    fields = [("ids", pa.binary()), *([("each", each.kind)] if each else [])]
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = codec_of(path) if each else None
+        for rows in batches:
+            ids = (b"".join(p["ids"] for p in sorted(row.as_py(), key=lambda p: p["pos"])) for row in rows)
+            yield pa.array([{"ids": x, "each": each.of(codec, x)} if each else {"ids": x} for x in ids], pa.struct(fields))
+
+    return run
 
 
 def repeated_chunks(rows: DataFrame) -> np.ndarray:
@@ -310,8 +337,8 @@ def repeated_chunks(rows: DataFrame) -> np.ndarray:
     return bit_table(counts.where("n >= 2"), "hash", TABLE_BITS)
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """Adds `ids` (binary, packed) to the columns `carry`, all of them unless named."""
+def encode(docs: DataFrame, tokenizer: str, text: str = "text", carry: list[str] | None = None, each: Derived | None = None) -> DataFrame:
+    """Adds `ids` (binary, packed), and the column `each` derives from them, to the columns `carry`, all of them unless named."""
     spark = docs.sparkSession
     carry = docs.columns if carry is None else carry
     rows = packed(docs, carry, text=F.col(text))
@@ -321,7 +348,8 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", carry: list[str]
     shared = written(once.mapInArrow(_encode_chunks(tokenizer), "key binary, ids binary, first int, last int"), "chunks")
 
     kind = rows.schema["_in"].dataType.simpleString()
-    alone = rows.mapInArrow(_encode_documents(tokenizer, table, False), f"_in {kind}, _out binary")
+    made = f", _each {each.type}" if each else ""
+    alone = rows.mapInArrow(_encode_documents(tokenizer, table, False, each), f"_in {kind}, _out binary{made}")
     part = "array<struct<pos:int,key:binary,ids:binary,first:boolean,last:boolean>>"
     split = rows.mapInArrow(_encode_documents(tokenizer, table, True), f"_in {kind}, _out {part}")
     split = split.withColumn("_row", F.monotonically_increasing_id())
@@ -332,12 +360,14 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", carry: list[str]
     joined = pieces.join(known, "key", "left").select(
         "_row", "_in", "pos", F.coalesce("ids", F.substring("all_ids", skip + 1, rest)).alias("ids")
     )
-    put = F.arrow_udf(_joined, "binary")
+    put = F.arrow_udf(_joined(tokenizer, each), f"struct<ids:binary{f',each:{each.type}' if each else ''}>")
     whole = joined.groupBy("_row").agg(
         F.first("_in", ignorenulls=True).alias("_in"), F.collect_list(F.struct("pos", "ids")).alias("parts")
     )
-    both = alone.unionByName(whole.select("_in", put("parts").alias("_out")))
-    return unpacked(both.withColumnRenamed("_out", "ids"), carry, "ids")
+    whole = whole.select("_in", put("parts").alias("m"))
+    both = alone.unionByName(whole.select("_in", F.col("m.ids").alias("_out"), *([F.col("m.each").alias("_each")] if each else [])))
+    added = [F.col("_out").alias("ids"), *([F.col("_each").alias(each.name)] if each else [])]
+    return unpacked(both, carry, *added)
 
 
 def id_bytes(tokenizer: str) -> int:

@@ -6,6 +6,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import CLASHES, documents, texts
 
@@ -233,6 +234,27 @@ def test_bpe_round_trip(spark):
         assert r.back == own.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_derives_in_the_worker_that_encodes(spark):
+    from hirelake.llm import queries
+
+    made = [(i, " ".join(f"word{j}" for j in range(i, 900))) for i in range(5)] + [(9, "alone"), (10, None), (11, "")]
+    length = bpe.Derived("n", "long", pa.int64(), lambda codec, ids: len(ids))
+    got = bpe.encode(documents(spark, made), WORDS, each=length)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(i for i, _ in made)
+    assert all(r.n == len(r.ids) for r in got.collect())
+    # A Python step more would be a second worker per core, with a cache of its own.
+    plan = queries.op5_bpe(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") <= 1
+
+
+def test_bpe_cache_is_bounded_by_bytes():
+    codec, longest = bpe.Codec(WORDS), 0
+    for i in range(60):
+        codec.words([b"%d" % (i * 100 + j) * 2000 for j in range(100)])
+        longest = max(longest, sum(map(len, codec.cache)))
+    assert longest < 2 * bpe.CACHED_BYTES
+
+
 def test_text_without_agreement_is_encoded_whole(monkeypatch):
     from hirelake.llm.rolling import Rolling
 
