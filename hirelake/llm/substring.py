@@ -16,10 +16,12 @@ their anchor, and the work grows with the text.
    has as well; equal ones fold again. The shard builds an FM-index over what is left (wavelet matrix of
    the Burrows-Wheeler transform) and streams each through it; matching statistics of `window` and
    more against segments of smaller ids are the windows to remove.
-4. An anchor with more than `crowd` different segments is too large for one shard: its windows are
-   counted by digest across tasks, and its segments trimmed to the windows of several owners
-   and folded before they are dealt. So a common passage is one text, whatever stands around it. Only an
-   anchor that has more than `crowd` different texts even then is decided window by window.
+4. An anchor with more than `crowd` different segments is too large for one shard. Its windows are
+   halved by how many words they have before the anchor: those of a half have the words next to the
+   anchor in common, by which they are dealt anew, and lie in a piece of the segment. Equal pieces fold, so a
+   common passage is one text, whatever stands around it; groups that are still crowded are halved again.
+   After at most log2(window) rounds a piece is one window, and those of a group are equal. A segment gives
+   two rows a round, and only while its group is crowded: no round makes a row per window.
 5. Ranges are collected per document and cut out.
 
 Defined cases: null texts have no words; a document without id is never an earlier one and
@@ -62,15 +64,16 @@ def tie(text: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True)
 
 
-def digests(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64 bits of XXH3 of each stretch, which stand for its words: rolling hashes only propose, as
-    they are equal for some pairs of long words."""
-    places = zip(starts.tolist(), ends.tolist())
-    return np.fromiter((xxhash.xxh3_64_intdigest(data[a:b]) for a, b in places), np.uint64, len(starts))
+def digests(data: bytes, starts: np.ndarray, ends: np.ndarray, leads: np.ndarray) -> np.ndarray:
+    """64 bits of XXH3 of each stretch and of the anchor's place in it, which stand for its words:
+    rolling hashes only propose, as they are equal for some pairs of long words."""
+    places = zip(starts.tolist(), ends.tolist(), leads.tolist())
+    return np.fromiter((xxhash.xxh3_64_intdigest(data[a:b], n) for a, b, n in places), np.uint64, len(starts))
 
 
 class Segments:
-    """Anchors of some texts: `text`, `hash`, `digest`, first word `low` and number of words `size`."""
+    """Anchors of some texts: `text`, `hash`, `digest`, first word `low`, number of words `size`,
+    and how many of them are before the anchor."""
 
     def __init__(self, texts: list[bytes], rolling: Rolling, window: int):
         self.words = w = Words(texts, rolling)
@@ -80,7 +83,8 @@ class Segments:
         self.begin = np.maximum(first, places - (window - GRAM))
         self.end = np.minimum(last, places + window)
         self.low, self.size = self.begin - first, self.end - self.begin
-        self.digest = digests(w.data, w.starts[self.begin], w.ends[self.end - 1])
+        self.lead = places - self.begin
+        self.digest = digests(w.data, w.starts[self.begin], w.ends[self.end - 1], self.lead)
 
     def plain(self, i: int) -> str:
         return self.words.data[self.words.starts[self.begin[i]] : self.words.ends[self.end[i] - 1]].decode()
@@ -120,8 +124,11 @@ def _segment_texts(window: int, table):
                 pairs = np.stack([s.hash[kept], s.digest[kept]], axis=1).view(np.int64)
                 once = np.unique(pairs, axis=0, return_index=True)[1] if len(kept) else kept
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs[once, 0]), pa.array(pairs[once, 1]), pa.array([s.plain(i) for i in kept[once]], pa.string())],
-                    ["hash", "digest", "plain"],
+                    [
+                        pa.array(pairs[once, 0]), pa.array(pairs[once, 1]), pa.array(s.lead[kept[once]].astype(np.int32)),
+                        pa.array([s.plain(i) for i in kept[once]], pa.string()),
+                    ],
+                    ["hash", "digest", "lead", "plain"],
                 )
 
     return run
@@ -225,59 +232,67 @@ def _search(window: int):
     return run
 
 
-def _windows(window: int):
-    """Each window of a segment by digest, with its place in the segment."""
+def _halved(window: int):
+    """Each piece twice: around its windows with few and with many of their words before the anchor. `part`
+    stands for the words that all windows of a half share; a text comes once per batch."""
+    reach = window - GRAM
+    names = ["part", "piece", "at", "size", "lead", "low", "high", "plain"]
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.string()]
+
+    def digest(text: str, seed: int = 0) -> int:
+        return int.from_bytes(xxhash.xxh3_64_digest(text.encode(), seed), "big", signed=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = Rolling()
         for batch in batches:
-            texts = [t.as_py() for t in batch.column("plain").cast(pa.binary())]
-            for a, b in blocks([len(t) for t in texts]):
-                words = Words(texts[a:b], rolling)
-                one, whole = words.runs(window)
-                at = np.flatnonzero(whole)
-                two = digests(words.data, words.starts[at], words.ends[at + window - 1])
-                row = pa.array(words.text[at] + a)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("hash").take(row), batch.column("digest").take(row), batch.column("owner").take(row),
-                        pa.array((at - words.first[words.text[at]]).astype(np.int32)),
-                        pa.array(one[at].view(np.int64)), pa.array(two.view(np.int64)),
-                    ],
-                    ["hash", "digest", "owner", "at", "w1", "w2"],
-                )
+            own, out, seen = [], [], set()
+            for i, r in enumerate(batch.select(["hash", "lead", "low", "high", "plain"]).to_pylist()):
+                words, lead = r["plain"].split(" "), r["lead"]
+                behind, middle = len(words) - lead - GRAM, (r["low"] + r["high"] + 1) // 2
+                for low, high in ((r["low"], middle - 1), (middle, r["high"])):
+                    if max(low, reach - behind) > min(high, lead):
+                        continue
+                    common = " ".join(words[lead - low : lead + GRAM + reach - high])
+                    begin, end = max(0, lead - high), min(len(words), lead + GRAM + reach - low)
+                    plain = " ".join(words[begin:end])
+                    part, piece = digest(f"{r['hash']} {low} {high} {common}"), digest(plain, lead - begin)
+                    own.append(i)
+                    out.append((part, piece, begin, end - begin, lead - begin, low, high, None if (part, piece) in seen else plain))
+                    seen.add((part, piece))
+            row = pa.array(own, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c).take(row) for c in ("hash", "digest", "owner")),
+                    *(pa.array([x[c] for x in out], kind) for c, kind in enumerate(kinds)),
+                ],
+                ["hash", "digest", "owner", *names],
+            )
 
     return run
 
 
-def _trimmed(window: int, table):
-    """Segments from their first to their last window in the table, with a digest of their own."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, bits = Rolling(), table.value
-        for batch in batches:
-            texts = [t.as_py() for t in batch.column("plain").cast(pa.binary())]
-            for a, b in blocks([len(t) for t in texts]):
-                words = Words(texts[a:b], rolling)
-                one, whole = words.runs(window)
-                at = np.flatnonzero(whole)
-                at = at[bits[(one[at] % np.uint64(TABLE_BITS)).astype(np.int64)]]
-                text, low = np.unique(words.text[at], return_index=True)
-                high = np.append(low[1:], len(at)) - 1
-                begin, end = words.starts[at[low]], words.ends[at[high] + window - 1]
-                row = pa.array(text + a)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("hash").take(row), batch.column("digest").take(row), batch.column("owner").take(row),
-                        pa.array((at[low] - words.first[text]).astype(np.int32)),
-                        pa.array((at[high] - at[low] + window).astype(np.int32)),
-                        pa.array(digests(words.data, begin, end).view(np.int64)),
-                        pa.array([words.data[x:y].decode() for x, y in zip(begin.tolist(), end.tolist())], pa.string()),
-                    ],
-                    ["hash", "digest", "owner", "at", "size", "piece", "plain"],
-                )
-
-    return run
+def _spread(crowded: DataFrame, window: int, crowd: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Pieces of crowded anchors in groups of at most `crowd`, and for each round which pieces its rows
+    became, with the pieces' least owner."""
+    id_kind = crowded.schema["owner"].dataType.simpleString()
+    schema = f"hash long, digest long, owner {id_kind}, part long, piece long, at int, size int, lead int, low int, high int, plain string"
+    columns, few, rounds = ["hash", "digest", "owner", "lead", "low", "high", "plain"], [], []
+    crowded = crowded.withColumns({"low": F.lit(0), "high": F.lit(window - GRAM)}).select(columns)
+    while not crowded.isEmpty():
+        halves = written(crowded.mapInArrow(_halved(window), schema), "halves")
+        pieces = halves.groupBy("part", "piece").agg(
+            F.min("owner").alias("owner"), *(F.first(c).alias(c) for c in ("lead", "low", "high")), F.first("plain", ignorenulls=True).alias("plain")
+        )
+        pieces = written(pieces.withColumnsRenamed({"part": "hash", "piece": "digest"}), "folded-halves")
+        groups = pieces.groupBy("hash").agg(F.count("*").alias("segments"), F.min("owner").alias("least"), F.max("owner").alias("most"))
+        mixed = pieces.join(groups.where("segments > 1 and least < most").select("hash", "segments"), "hash")
+        least = pieces.select(F.col("hash").alias("part"), F.col("digest").alias("piece"), F.col("owner").alias("earlier"))
+        rounds.append(halves.drop("plain").join(least, ["part", "piece"]))
+        few.append(mixed.where(F.col("segments") <= crowd).select("hash", "digest", "owner", "plain"))
+        crowded = written(mixed.where(F.col("segments") > crowd).select(columns), "crowded")
+    out = crowded.select("hash", "digest", "owner", "plain")
+    for pieces in few:
+        out = out.unionByName(pieces)
+    return written(out, "pieces"), rounds
 
 
 def _gone(rows: DataFrame, window: int, crowd: int) -> DataFrame:
@@ -297,25 +312,12 @@ def _gone(rows: DataFrame, window: int, crowd: int) -> DataFrame:
     mixed = known.where("segments > 1")
 
     table = rows.sparkSession.sparkContext.broadcast(bit_table(mixed, "hash", TABLE_BITS))
-    texts = rows.mapInArrow(_segment_texts(window, table), "hash long, digest long, plain string")
-    texts = texts.groupBy("hash", "digest").agg(F.first("plain").alias("plain"))
+    texts = rows.mapInArrow(_segment_texts(window, table), "hash long, digest long, lead int, plain string")
+    texts = texts.groupBy("hash", "digest").agg(F.first("lead").alias("lead"), F.first("plain").alias("plain"))
     texts = written(texts.join(mixed, ["hash", "digest"]), "segment-texts")
     dealt = texts.where(F.col("segments") <= crowd).select("hash", "digest", "owner", "plain")
 
-    crowded = texts.where(F.col("segments") > crowd).select("hash", "digest", "owner", "plain")
-    cut = _windows(window), f"hash long, digest long, owner {id_kind}, at int, w1 long, w2 long"
-    several = crowded.mapInArrow(*cut).groupBy("w1", "w2").agg(F.min("owner").alias("least"), F.max("owner").alias("last"))
-    several = written(several.where("least < last").select("w1", "w2", "least"), "shared-windows")
-    table = rows.sparkSession.sparkContext.broadcast(bit_table(several, "w1", TABLE_BITS))
-    trimmed = crowded.mapInArrow(
-        _trimmed(window, table), f"hash long, digest long, owner {id_kind}, at int, size int, piece long, plain string"
-    )
-    trimmed = written(trimmed, "trimmed")
-    pieces = trimmed.groupBy("hash", "piece").agg(F.min("owner").alias("owner"), F.first("plain").alias("plain"))
-    pieces = written(pieces.withColumnRenamed("piece", "digest"), "pieces")
-    pieces = pieces.join(pieces.groupBy("hash").agg(F.count("*").alias("segments")), "hash")
-    few = pieces.where(F.col("segments") <= crowd).select("hash", "digest", "owner", "plain")
-    many = pieces.where(F.col("segments") > crowd).select("hash", "digest", "owner", "plain")
+    few, rounds = _spread(texts.where(F.col("segments") > crowd), window, crowd)
 
     # Searching takes much longer than moving, so there are as many tasks as shards, small as they are.
     total = dealt.agg(F.coalesce(F.sum(F.length("plain")), F.lit(0))).first()[0]
@@ -324,22 +326,14 @@ def _gone(rows: DataFrame, window: int, crowd: int) -> DataFrame:
     span = "array<struct<start:int,end:int>>"
     found = dealt.mapInArrow(_search(window), f"hash long, digest long, found {span}")
     found = found.select("hash", "digest", F.explode("found").alias("r")).select("hash", "digest", "r.*")
-    single = many.mapInArrow(*cut).join(several, ["w1", "w2"]).where("least < owner").groupBy("hash", "digest").agg(
-        # No segment has windows so far apart that words between them are in neither.
-        F.min("at").alias("start"), (F.max("at") + window).alias("end")
-    )
-    found = written(found.unionByName(single), "found")
-
+    own = written(found, "found")
     # What was found in a piece holds for the segments of its owner; the others lose all of it.
-    known_pieces = trimmed.drop("plain").join(
-        pieces.select("hash", F.col("digest").alias("piece"), F.col("owner").alias("earlier")), ["hash", "piece"]
-    )
-    later = known_pieces.where("earlier < owner").select("hash", "digest", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
-    same = known_pieces.where("earlier = owner").join(found.withColumnRenamed("digest", "piece"), ["hash", "piece"]).select(
-        "hash", "digest", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end")
-    )
-    # A piece with the digest of a segment is that segment.
-    own = found.unionByName(later).unionByName(same)
+    for pieces in reversed(rounds):
+        later = pieces.where("earlier < owner").select("hash", "digest", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
+        same = pieces.where("earlier = owner").join(own.withColumnsRenamed({"hash": "part", "digest": "piece"}), ["part", "piece"]).select(
+            "hash", "digest", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end")
+        )
+        own = written(own.unionByName(later).unionByName(same), "found")
     placed = anchors.join(known, ["hash", "digest"])
     placed = written(placed.select("id", "tie", "hash", "digest", "low", "size", "owner"), "placed")
     whole = placed.where((F.col("owner") < F.col("id")) & (F.col("size") >= window)).select(

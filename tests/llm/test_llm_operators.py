@@ -199,6 +199,27 @@ def test_common_passage_is_one_piece_whatever_surrounds_it(spark):
             assert spark.read.parquet(next(p for p in paths if "/pieces-" in p)).count() < 30
 
 
+def test_crowded_anchors_make_no_row_per_window(spark):
+    passage, pick = [f"p{i}" for i in range(90)], random.Random(8)
+    rows = []
+    for n in range(60):
+        low, high = pick.randint(0, 20), pick.randint(70, 90)
+        rows.append((n, " ".join([*(f"a{n % 7}x{i}" for i in range(pick.randint(0, 40))), *passage[low:high], *(f"b{n % 5}x{i}" for i in range(40))])))
+    # Short texts in which an anchor comes again.
+    around = [f"r{i}" for i in range(24)] * 4
+    rows += [(200 + n, " ".join(around[n % 24 : n % 24 + 50 + n % 13])) for n in range(40)]
+    for crowd in (2000, 4):
+        with tables_made() as paths:
+            got = substring.dedupe(documents(spark, rows), crowd=crowd).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_removed, brute.sha(r.kept_text)) for r in got) == sorted(brute.repeats(rows))
+        read = {p: spark.read.parquet(p) for p in paths}
+        windows = sum(max(0, len(text.split()) - 49) for _, text in rows)
+        if crowd == 4:
+            halves = [t for p, t in read.items() if "/halves-" in p]
+            assert halves and all(t.groupBy("hash", "digest").count().where("count > 2").isEmpty() for t in halves)
+        assert all(t.count() < windows for t in read.values())
+
+
 def test_matching_statistics():
     pick = random.Random(3)
     for _ in range(60):
