@@ -309,6 +309,29 @@ def test_language_model(spark):
     assert (one.n_words, one.log_score) == (3, None)
 
 
+def test_language_model_sends_a_pair_once_a_block_in_few_bytes(spark):
+    pick = random.Random(4)
+    rows = [(n, " ".join(f"w{pick.randint(0, 5000)}" for _ in range(3000))) for n in range(20)]
+    rows += [(100 + n, " ".join(["very", "common"] * 300)) for n in range(100)]
+    with tables_made() as paths:
+        got = {r.doc_id: r for r in lm.score(documents(spark, rows)).collect()}
+    for (doc, _), (_, n, k, s) in zip(rows, brute.scores(rows)):
+        assert (got[doc].n_words, got[doc].n_backoff) == (n, k) and abs(got[doc].log_score - s) < 1e-9
+    made = spark.read.parquet(next(p for p in paths if "/blocks-" in p))
+    sent = made.select("block", "sizes", "words", "known").mapInArrow(lm._sent, "part int, block long, size long, digests binary, counts binary")
+    sent = sent.selectExpr("sum(size) AS n", "sum(length(digests) + length(counts)) AS bytes").first()
+    distinct = len({p for _, t in rows for p in zip(t.split(), t.split()[1:])}) + len({w for _, t in rows for w in t.split()})
+    assert distinct <= sent.n <= distinct * made.count() and sent.bytes < 9 * sent.n
+
+
+def test_whole_numbers_come_back_from_as_few_bytes_as_hold_them():
+    values = np.array([0, 3, 255, 256, 1 << 40, (1 << 64) - 1, 7], dtype=np.uint64)
+    ends = [2, 4, 6, 7]
+    data = lm.narrow(values, ends).to_pylist()
+    assert [len(x) for x in data] == [2, 4, 16, 1]
+    assert np.concatenate([lm.widened(x, n) for x, n in zip(data, [2, 2, 2, 1])]).tolist() == values.tolist()
+
+
 def der(tag, *parts):
     body = b"".join(parts)
     size = bytes([len(body)]) if len(body) < 128 else b"\x82" + len(body).to_bytes(2, "big")
