@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.columns import bit_table, packed, unpacked
+from hirelake.llm.columns import bit_table, packed, returned, unpacked
 from hirelake.llm.rolling import Rolling, blocks
 from hirelake.session import written
 
@@ -333,7 +333,7 @@ def _joined(path: str, each: Derived | None):
 
 def repeated_chunks(rows: DataFrame) -> np.ndarray:
     """The table of slots of chunk hashes that occur twice or more."""
-    counts = rows.select("text").mapInArrow(_count_chunks, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    counts = rows.select("text").mapInArrow(returned(_count_chunks), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
     return bit_table(counts.where("n >= 2"), "hash", TABLE_BITS)
 
 
@@ -343,15 +343,15 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", carry: list[str]
     carry = docs.columns if carry is None else carry
     rows = packed(docs, carry, text=F.col(text))
     table = spark.sparkContext.broadcast(repeated_chunks(rows))
-    texts = rows.select("text").mapInArrow(_chunk_texts(table), "key binary, chunk binary")
+    texts = rows.select("text").mapInArrow(returned(_chunk_texts(table)), "key binary, chunk binary")
     once = texts.groupBy("key").agg(F.first("chunk").alias("chunk"))
-    shared = written(once.mapInArrow(_encode_chunks(tokenizer), "key binary, ids binary, first int, last int"), "chunks")
+    shared = written(once.mapInArrow(returned(_encode_chunks(tokenizer)), "key binary, ids binary, first int, last int"), "chunks")
 
     kind = rows.schema["_in"].dataType.simpleString()
     made = f", _each {each.type}" if each else ""
-    alone = rows.mapInArrow(_encode_documents(tokenizer, table, False, each), f"_in {kind}, _out binary{made}")
+    alone = rows.mapInArrow(returned(_encode_documents(tokenizer, table, False, each)), f"_in {kind}, _out binary{made}")
     part = "array<struct<pos:int,key:binary,ids:binary,first:boolean,last:boolean>>"
-    split = rows.mapInArrow(_encode_documents(tokenizer, table, True), f"_in {kind}, _out {part}")
+    split = rows.mapInArrow(returned(_encode_documents(tokenizer, table, True)), f"_in {kind}, _out {part}")
     split = split.withColumn("_row", F.monotonically_increasing_id())
     pieces = split.select("_row", "_in", F.explode("_out").alias("p")).select("_row", F.when(F.col("p.pos") == 0, F.col("_in")).alias("_in"), "p.*")
     known = shared.withColumnsRenamed({"ids": "all_ids", "first": "head", "last": "tail"})

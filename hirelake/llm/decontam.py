@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.columns import bit_table, packed, unpacked
+from hirelake.llm.columns import bit_table, packed, returned, unpacked
 from hirelake.llm.rolling import Rolling, blocks, mixed
 from hirelake.llm.wordruns import Words
 from hirelake.session import written
@@ -165,7 +165,7 @@ def check(
     table = spark.sparkContext.broadcast(bit_table(prints, "fp", TABLE_BITS))
     rows = packed(docs, carry, _text=F.col(text))
     shape = rows.schema["_in"].dataType.simpleString()
-    marked = rows.mapInArrow(_documents(window, sizes, table), f"_in {shape}, n_words long, hits array<{HIT}>")
+    marked = rows.mapInArrow(returned(_documents(window, sizes, table)), f"_in {shape}, n_words long, hits array<{HIT}>")
     marked = written(marked.withColumn("_row", F.monotonically_increasing_id()), "document-prints")
 
     hits = marked.where(F.size("hits") > 0).select("_row", F.explode("hits").alias("h")).select("_row", "h.*")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirelake.llm.columns import bit_table, packed, unpacked
+from hirelake.llm.columns import bit_table, packed, returned, unpacked
 from hirelake.llm.rolling import Rolling, mixed
 from hirelake.session import written
 
@@ -147,7 +147,7 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _partners(candidates: DataFrame) -> DataFrame:
     """(cid, best) where an earlier line within one edit exists; best is the earliest place of
     one. `candidates`: cid, place, plain."""
-    keys = candidates.select("cid", "plain").mapInArrow(_variants, "variant long, pos int, cid long")
+    keys = candidates.select("cid", "plain").mapInArrow(returned(_variants), "variant long, pos int, cid long")
     met = keys.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).where("n >= 2").drop("n")
     met = written(met.join(candidates.select("cid", "place"), "cid").withColumn("one", F.struct("place", "cid")), "variants")
     shorter, longer = met.where("pos < 0").select("variant", "one"), met.where("pos >= 0")
@@ -190,7 +190,7 @@ def _removed(rows: DataFrame, min_chars: int) -> DataFrame:
     common = written(keys.groupBy("half").agg(F.count("*").alias("n")).where("n >= 2").select("half"), "halves")
     possible = written(keys.join(common, "half", "left_semi").select("h1", "h2").distinct(), "possible-lines")
     table = rows.sparkSession.sparkContext.broadcast(bit_table(possible, "h1", TABLE_BITS))
-    texts = rows.select("_text").mapInArrow(_texts_of(min_chars, table), "h1 long, h2 long, plain string")
+    texts = rows.select("_text").mapInArrow(returned(_texts_of(min_chars, table)), "h1 long, h2 long, plain string")
     texts = texts.groupBy("h1", "h2").agg(F.first("plain").alias("plain"))
     candidates = written(
         texts.join(possible, ["h1", "h2"], "left_semi").join(distinct.select("h1", "h2", F.col("first").alias("place")), ["h1", "h2"])

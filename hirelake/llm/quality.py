@@ -268,8 +268,9 @@ def score(
     # Written tables have a known size: small ones are broadcast, and rows with texts stay where they are.
     root, language, pair = _levels()
     vectors = stats.where(~F.col("base_failed")).select(
-        F.array(root, language, pair).alias("_levels"), *(f"_x{i}" for i in range(AXES)))
-    fit_on = written(vectors, "vectors").select(F.explode("_levels").alias("_group"), *(f"_x{i}" for i in range(AXES)))
+        F.explode(F.array(root, language, pair)).alias("_group"), *(f"_x{i}" for i in range(AXES)))
+    # Three rows a document, made once: every step of the fit reads them.
+    fit_on = written(vectors, "vectors")
     known = stats.where(~F.col("base_failed")).select(language.alias("_one"), pair.alias("_two")).distinct()
     links = F.array(*(F.struct(F.col(a).alias("_group"), b.alias("_wider")) for a, b in (("_one", root), ("_two", F.col("_one")))))
     parents = known.select(F.inline(links)).distinct()

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.columns import packed, unpacked
+from hirelake.llm.columns import packed, returned, unpacked
 from hirelake.llm.components import components
 from hirelake.session import written
 
@@ -164,7 +164,7 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
     grouped = grouped.select("choice", "key", F.least("own", other).alias("i"), F.greatest("own", other).alias("j"), "print")
     keys = ["choice", "key", "i", "j"]
     dealt = grouped.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(_links(bits), "a long, b long").distinct()
+    return dealt.mapInArrow(returned(_links(bits)), "a long, b long").distinct()
 
 
 def cluster(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: list[str] | None = None,
