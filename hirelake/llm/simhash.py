@@ -156,7 +156,8 @@ def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
     lists = index.groupBy("choice", "key").agg(F.count("*").alias("n")).where("n >= 2").select(
         "choice", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
     )
-    placed = index.join(lists, ["choice", "key"])
+    # A row per print and choice: Spark sizes them as if `explode` added no rows, and would broadcast them.
+    placed = index.hint("merge").join(lists, ["choice", "key"])
     own = F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int").alias("own")
     others = F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks") - 2, F.lit(0)))).alias("k")
     grouped = placed.select("choice", "key", "print", "blocks", own, others)

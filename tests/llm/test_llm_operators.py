@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from cases import CLASHES, documents, texts
+from pyspark.sql import functions as F
 
 from hirelake.llm import bpe, chat, decontam, lines, lm, pii, quality, secrets, simhash, substring
 from hirelake.llm.components import components
@@ -156,6 +157,16 @@ def test_links_in_blocks(spark, monkeypatch):
     assert all(found.get(p, p) == min(g) for g in groups.values() for p in g)
 
 
+def test_index_of_fingerprints_is_never_broadcast(spark):
+    """Spark takes the table of prints for small, and `explode` makes 70 rows of each."""
+    prints = spark.range(1000).select(F.xxhash64("id").alias("print"))
+    plan = simhash.links(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    near = spark.createDataFrame([(0,), (1,), (255,), (1 << 40,)], "print long")
+    found = {tuple(r) for r in components(simhash.links(near)).collect()}
+    assert found == {(1, 0), (1 << 40, 0)}
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
