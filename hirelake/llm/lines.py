@@ -149,9 +149,11 @@ def _partners(candidates: DataFrame) -> DataFrame:
     one. `candidates`: cid, place, plain."""
     keys = candidates.select("cid", "plain").mapInArrow(returned(_variants), "variant long, pos int, cid long")
     met = keys.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).where("n >= 2").drop("n")
-    met = written(met.join(candidates.select("cid", "place"), "cid").withColumn("one", F.struct("place", "cid")), "variants")
+    # Spark takes a line's variants for one row, and stored texts and runs of equal values for what they take on disk.
+    # So that none of these is broadcast, the first join, which finds every cid, is an outer one; others are merge joins.
+    met = written(met.join(candidates.select("cid", "place"), "cid", "left").withColumn("one", F.struct("place", "cid")), "variants")
     shorter, longer = met.where("pos < 0").select("variant", "one"), met.where("pos >= 0")
-    replaced = longer.join(longer.groupBy("variant", "pos").agg(F.min("one").alias("other")), ["variant", "pos"])
+    replaced = longer.hint("merge").join(longer.groupBy("variant", "pos").agg(F.min("one").alias("other")), ["variant", "pos"])
     added = longer.join(shorter.withColumnRenamed("one", "other"), "variant")
     dropped = shorter.join(longer.groupBy("variant").agg(F.min("one").alias("other")), "variant")
     pairs = replaced.select("one", "other").union(added.select("one", "other")).union(dropped.select("one", "other"))
@@ -159,7 +161,7 @@ def _partners(candidates: DataFrame) -> DataFrame:
         F.col("one.cid").alias("cid"), F.col("other.cid").alias("other"), F.col("other.place").alias("place")
     ).distinct()
     own, its = candidates.select("cid", "plain"), candidates.select(F.col("cid").alias("other"), F.col("plain").alias("its"))
-    near = pairs.join(own, "cid").join(its, "other").where(F.levenshtein("plain", "its", 1) >= 0)
+    near = pairs.join(own.hint("merge"), "cid").join(its.hint("merge"), "other").where(F.levenshtein("plain", "its", 1) >= 0)
     return near.groupBy("cid").agg(F.min("place").alias("best"))
 
 
@@ -204,7 +206,7 @@ def _removed(rows: DataFrame, min_chars: int) -> DataFrame:
         distinct.select("h1", "h2", "first", "n").join(partners, ["h1", "h2"], "left").where("n > 1 or best is not null")
         .select("h1", "h2", F.least("first", F.coalesce("best", "first")).alias("earliest"))
     )
-    gone = lines.select("h1", "h2", "place").join(earliest, ["h1", "h2"]).where("earliest < place")
+    gone = lines.select("h1", "h2", "place").hint("merge").join(earliest, ["h1", "h2"]).where("earliest < place")
     return gone.groupBy("place.id", "place.tie").agg(F.collect_set("place.line").alias("lines"))
 
 

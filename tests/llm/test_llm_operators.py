@@ -409,6 +409,22 @@ def test_lines(spark):
     assert lines.deduped(documents(spark, made)).columns == documents(spark, made).columns
 
 
+def test_lines_and_their_variants_are_never_broadcast(spark, monkeypatch):
+    """Spark takes all variants of a line for one row, and equal hashes for the little that they take on disk."""
+    plans, real = {}, lines.written
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(lines, "written", seen)
+    whole = [(1, "a line that is long enough\nanother line of the text"), (2, "a line that is long enouqh"), (3, "a line thatt is long enouqh")]
+    got = lines.dedupe(spark.createDataFrame(whole, "doc_id long, text string"), carry=["doc_id"])
+    assert rows(got, "doc_id", "n_removed") == [(1, 0), (2, 1), (3, 1)]
+    assert "LeftOuter, BuildRight" in plans["variants"] and "BuildLeft" not in plans["variants"]
+    assert plans["partners"].count("SortMergeJoin") == 3 and plans["removed-lines"].count("SortMergeJoin") == 1
+
+
 def test_conversations(spark):
     pick = random.Random(9)
     alphabet = ["<", "|", "<|turn|>", "<\\|end|>", "</s>", "[INST]", "\\", "é", "日本", "\n", " ", "😀", "<|endoftext|>", "plain words"]
